@@ -64,14 +64,15 @@ def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
-def epoch_seconds(ts: Column) -> Column:
-    """Seconds since 1970 of a timestamp, read off its fields.
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a timestamp, read off its fields.
 
     Does not depend on the session time zone for zone-less timestamps.
     """
-    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date"))
-    seconds = F.extract(F.lit("SECOND"), ts).cast("double")
-    return days * 86400.0 + F.hour(ts) * 3600.0 + F.minute(ts) * 60.0 + seconds
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    whole = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    micros = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    return whole * 60_000_000 + micros
 
 
 def epoch_days(d: Column) -> Column:

@@ -141,13 +141,11 @@ def ordered_buys(buys: DataFrame) -> DataFrame:
     return running_totals(merged, ["user_id"], order, {"last_position": F.col("copies")})
 
 
-def time_since_previous(
-    df: DataFrame, key: str, seconds: Column, result: str = "gap"
-) -> DataFrame:
+def time_since_previous(df: DataFrame, key: str, micros: Column) -> DataFrame:
     """Seconds since the previous row of the key, NULL for its first row."""
-    timed = df.select(key, seconds.alias("at")).withColumn("_row", F.monotonically_increasing_id())
+    timed = df.select(key, micros.alias("at")).withColumn("_row", F.monotonically_increasing_id())
     lagged = previous_value(timed, [key], "at", "_before", ties=["_row"])
-    return lagged.select(key, "at", (F.col("at") - F.col("_before")).alias(result))
+    return lagged.select(key, "at", ((F.col("at") - F.col("_before")) / 1_000_000.0).alias("gap"))
 
 
 def _squared_gaps(days: Column) -> Column:

@@ -19,10 +19,10 @@ _PARTS = {
     "pairs": """
         SELECT DISTINCT user_id, seller_id, (user_id * 7 + seller_id * 13) % 4 = 0 AS is_test
         FROM acts WHERE action_type = 2 AND time_stamp BETWEEN 1101 AND 1130""",
-    "returning": "SELECT DISTINCT user_id, seller_id FROM log_all WHERE event_date >= DATE '2000-01-01'",
+    "came_back": "SELECT DISTINCT user_id, seller_id FROM log_all WHERE event_date >= DATE '2000-01-01'",
     "labelled": """
         SELECT p.user_id, p.seller_id, CAST(r.user_id IS NOT NULL AS INTEGER) AS label
-        FROM pairs p LEFT JOIN returning r ON p.user_id = r.user_id AND p.seller_id = r.seller_id
+        FROM pairs p LEFT JOIN came_back r ON p.user_id = r.user_id AND p.seller_id = r.seller_id
         WHERE NOT p.is_test""",
     "unlabelled": "SELECT user_id, seller_id FROM pairs WHERE is_test",
     "raw_profile": """
@@ -47,8 +47,8 @@ _NEEDS = {
     "acts": ["dated_log"],
     "raw_log": ["acts"],
     "pairs": ["acts"],
-    "returning": ["log_all"],
-    "labelled": ["pairs", "returning"],
+    "came_back": ["log_all"],
+    "labelled": ["pairs", "came_back"],
     "unlabelled": ["pairs"],
     "profile": ["raw_profile"],
     "format2": ["labelled"],
