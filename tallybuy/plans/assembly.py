@@ -1 +1,152 @@
-"""Placeholder."""
+"""Aligned feature frames and the feature store joins."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallybuy.operators import assembly
+from tallybuy.operators.profiles import rows_per
+from tallybuy.plans.catalogue import CHECK_SQL, query
+from tallybuy.plans.populations import population
+from tallybuy.plans.ratios import seller_ratio, user_ratio, user_seller_ratio
+from tallybuy.plans.sql import over
+from tallybuy.sources.files import rounded_matrix
+from tallybuy.sources.vectors import dictionary_columns
+
+
+def _buyer_stats(fx):
+    return (
+        fx.log().where("action_type = 2").groupBy("seller_id")
+        .agg(F.count(F.lit(1)).alias("buys"), F.max("time_stamp").alias("last_buy"))
+    )
+
+
+def _clicker_stats(fx):
+    return (
+        fx.log().where("action_type = 0 AND seller_id % 3 <> 0").groupBy("seller_id")
+        .agg(F.count(F.lit(1)).alias("clicks"))
+    )
+
+
+_STATS_SQL = {
+    "b": """SELECT seller_id, count(*) AS b_buys, max(time_stamp) AS b_last_buy FROM acts
+            WHERE action_type = 2 GROUP BY seller_id""",
+    "c": """SELECT seller_id, count(*) AS c_clicks FROM acts
+            WHERE action_type = 0 AND seller_id % 3 <> 0 GROUP BY seller_id""",
+    "e": """SELECT vec_id AS seller_id, round(CAST(embedding[1] AS DOUBLE), 4) AS e_0_dic,
+            round(CAST(embedding[2] AS DOUBLE), 4) AS e_1_dic FROM embeddings""",
+}
+
+
+@query(
+    "feature_outer_join",
+    over(
+        "acts", **_STATS_SQL,
+        body="SELECT * FROM b FULL JOIN c USING (seller_id) FULL JOIN e USING (seller_id)",
+    ),
+)
+def _feature_outer_join(fx):
+    frames = {
+        "b": _buyer_stats(fx),
+        "c": _clicker_stats(fx),
+        "e": dictionary_columns(fx.seller_vectors(), "seller_id", 2),
+    }
+    return rounded_matrix(assembly.outer_align(frames, ["seller_id"]), ["seller_id"])
+
+
+@query(
+    "outer_join_filled",
+    over(
+        "acts", b=_STATS_SQL["b"], c=_STATS_SQL["c"],
+        body="""SELECT seller_id, coalesce(b_buys, 0) AS b_buys, coalesce(b_last_buy, 0) AS b_last_buy,
+                coalesce(c_clicks, 0) AS c_clicks FROM b FULL JOIN c USING (seller_id)""",
+    ),
+)
+def _outer_join_filled(fx):
+    frames = {"b": _buyer_stats(fx), "c": _clicker_stats(fx)}
+    return assembly.fill_aligned(frames, ["seller_id"])
+
+
+@query(
+    "assembled_features",
+    over(
+        "acts", **_STATS_SQL,
+        body="""SELECT seller_id, b_buys, b_last_buy, c_clicks, CAST(e_0_dic AS FLOAT) AS e_0_dic,
+                CAST(e_1_dic AS FLOAT) AS e_1_dic
+                FROM b FULL JOIN c USING (seller_id) FULL JOIN e USING (seller_id)""",
+    ),
+)
+def _assembled_features(fx):
+    vectors = rounded_matrix(dictionary_columns(fx.seller_vectors(), "seller_id", 2), ["seller_id"])
+    frames = {
+        "b": _buyer_stats(fx).withColumn("constant", F.lit(1)),
+        "c": _clicker_stats(fx).withColumn("empty", F.lit(None).cast("double")),
+        "e": vectors,
+    }
+    return assembly.assemble(frames, ["seller_id"])
+
+
+# (suffix, keys) of the seven feature tables a population row can join.
+_STORES = [
+    ("c", ["cat_id"]),
+    ("m", ["seller_id"]),
+    ("b", ["brand_id"]),
+    ("u", ["user_id"]),
+    ("mu", ["user_id", "seller_id"]),
+    ("mc", ["seller_id", "cat_id"]),
+    ("md", ["seller_id", "brand_id"]),
+]
+
+
+def _store_sql() -> str:
+    joins = []
+    for suffix, keys in _STORES:
+        k = ", ".join(keys)
+        on = " AND ".join(f"p.{c} = {suffix}.{c}" for c in keys)
+        joins.append(
+            f"LEFT JOIN (SELECT {k}, count(*) AS rows_{suffix} FROM acts GROUP BY {k}) {suffix} ON {on}"
+        )
+    picked = ", ".join(f"rows_{suffix}" for suffix, _ in _STORES)
+    return over(
+        "acts", pop=CHECK_SQL["population"], body=f"SELECT p.*, {picked} FROM pop p {' '.join(joins)}"
+    )
+
+
+@query("feature_store_join", _store_sql())
+def _feature_store_join(fx):
+    log = fx.log()
+    stores = [(suffix, keys, rows_per(log, keys, "rows")) for suffix, keys in _STORES]
+    return assembly.attach_features(population(fx), stores)
+
+
+def training_frame(fx):
+    """Population rows with user, seller and pair ratios; one log copy for all."""
+    stores = [
+        ("m", ["seller_id"], seller_ratio(fx)),
+        ("u", ["user_id"], user_ratio(fx)),
+        ("mu", ["user_id", "seller_id"], user_seller_ratio(fx)),
+    ]
+    return assembly.attach_features(population(fx), stores)
+
+
+@query(
+    "training_frame",
+    over(
+        pop=CHECK_SQL["population"],
+        m=CHECK_SQL["seller_ratio"],
+        u=CHECK_SQL["user_ratio"],
+        mu=CHECK_SQL["user_seller_ratio"],
+        body="""SELECT pop.user_id, pop.seller_id, item_id, label, m.all_count AS all_count_m,
+                m.buy_ratio AS buy_ratio_m, m.more_than_once_ratio AS more_than_once_ratio_m,
+                u.all_count AS all_count_u, u.old_x_buy_on_de AS old_x_buy_on_de_u,
+                mu.all_count AS all_count_mu, mu.click_ratio AS click_ratio_mu
+                FROM pop LEFT JOIN m ON pop.seller_id = m.seller_id LEFT JOIN u ON pop.user_id = u.user_id
+                LEFT JOIN mu ON pop.user_id = mu.user_id AND pop.seller_id = mu.seller_id""",
+    ),
+)
+def _training_frame(fx):
+    frame = training_frame(fx).select(
+        "user_id", "seller_id", "item_id", "label", "all_count_m", "buy_ratio_m",
+        "more_than_once_ratio_m", "all_count_u", "old_x_buy_on_de_u", "all_count_mu", "click_ratio_mu",
+    )
+    return rounded_matrix(frame, ["user_id", "seller_id", "item_id", "label"])

@@ -1 +1,221 @@
-"""Placeholder."""
+"""Feature selection statistics and decisions over the user ratio frame."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallybuy.operators import selection as sel
+from tallybuy.operators.scaling import robust_scale, robust_scale_sketch
+from tallybuy.plans.catalogue import CHECK_SQL, query
+from tallybuy.plans.ratios import user_ratio
+from tallybuy.plans.sql import over
+from tallybuy.session import write_out
+from tallybuy.sources.files import rounded_matrix
+
+_RATIO_SQL = CHECK_SQL["user_ratio"]
+
+# Columns of the frame in their order; "earlier" in collinear pairs refers to it.
+FEATURES = [
+    "all_count", "un_de_all_count", "cart_count", "click_count", "buy_count", "like_count",
+    "de_buy_count", "0_un_de_count", "1_un_de_count", "2_un_de_count", "old_buy_count_on_de",
+    "all_x_on_de", "more_than_once_number", "all_x_count", "buy_ratio", "click_ratio", "cart_ratio",
+    "like_ratio", "de_buy_ratio", "0_un_de_ratio", "1_un_de_ratio", "2_un_de_ratio",
+    "old_x_buy_on_de", "more_than_once_ratio", "const", "all_null", "mostly_null", "twin", "neg",
+]
+
+
+def selection_frame(fx):
+    """User ratios with columns that each selection rule should catch."""
+    base = rounded_matrix(user_ratio(fx), ["user_id"])
+    buys = F.col("buy_count")
+    return base.select(
+        "user_id",
+        *[F.col(f"`{c}`") for c in FEATURES[:24]],
+        F.lit(5).alias("const"),
+        F.lit(None).cast("double").alias("all_null"),
+        F.when(F.col("user_id") % 200 == 0, buys).alias("mostly_null"),
+        (buys * 2 + 1).alias("twin"),
+        (-buys).alias("neg"),
+    )
+
+
+_FRAME_SQL = f"""
+    SELECT *, CAST(5 AS INTEGER) AS const, CAST(NULL AS DOUBLE) AS all_null,
+           CASE WHEN user_id % 200 = 0 THEN buy_count END AS mostly_null,
+           buy_count * 2 + 1 AS twin, -buy_count AS neg FROM ({_RATIO_SQL})"""
+
+
+def _frame(fx):
+    # Several passes read it, so it is computed once.
+    return write_out(selection_frame(fx), "selection")
+
+
+def _each(template: str) -> str:
+    return " UNION ALL ".join(template.format(c=c) for c in FEATURES)
+
+
+@query(
+    "missing_stats",
+    over(
+        frame=_FRAME_SQL,
+        body=_each(
+            """SELECT '{c}' AS feature, round(1 - count("{c}") / count(*)::DOUBLE, 4) AS missing_fraction FROM frame"""
+        ),
+    ),
+)
+def _missing_stats(fx):
+    return rounded_matrix(sel.missing_fractions(selection_frame(fx), FEATURES), ["feature"])
+
+
+@query(
+    "unique_stats",
+    over(
+        frame=_FRAME_SQL,
+        body=_each("""SELECT '{c}' AS feature, count(DISTINCT "{c}") AS nunique FROM frame"""),
+    ),
+)
+def _unique_stats(fx):
+    return sel.distinct_counts(selection_frame(fx), FEATURES)
+
+
+def _pairs_sql(names: list[str]) -> str:
+    """Pairwise complete correlations, written out pair by pair."""
+    lines = []
+    for j, b in enumerate(names):
+        for a in names[:j]:
+            lines.append(
+                f"""SELECT '{b}' AS feature, '{a}' AS earlier_feature,
+                    CASE WHEN stddev_pop(CASE WHEN "{b}" IS NOT NULL THEN "{a}" END) > 0
+                          AND stddev_pop(CASE WHEN "{a}" IS NOT NULL THEN "{b}" END) > 0
+                         THEN corr(CAST("{a}" AS DOUBLE), CAST("{b}" AS DOUBLE)) END AS r FROM frame"""
+            )
+    return " UNION ALL ".join(lines)
+
+
+@query(
+    "correlation_pairs",
+    over(
+        frame=f"SELECT * FROM ({_FRAME_SQL})",
+        r=_pairs_sql(FEATURES),
+        body="SELECT feature, earlier_feature, round(r, 4) + 0 AS r FROM r",
+    ),
+)
+def _correlation_pairs(fx):
+    return rounded_matrix(sel.correlation_pairs(_frame(fx), FEATURES), ["feature", "earlier_feature"])
+
+
+@query(
+    "collinear_pairs",
+    over(
+        frame=f"SELECT * FROM ({_FRAME_SQL})",
+        r=_pairs_sql(FEATURES),
+        body="""SELECT feature AS drop_feature, earlier_feature AS corr_feature, round(r, 4) AS corr_value
+                FROM r WHERE abs(r) > 0.95""",
+    ),
+)
+def _collinear_pairs(fx):
+    pairs = sel.collinear_pairs(_frame(fx), FEATURES, 0.95)
+    return rounded_matrix(pairs, ["drop_feature", "corr_feature"])
+
+
+@query(
+    "collinear_drop",
+    over(
+        frame=f"SELECT * FROM ({_FRAME_SQL})",
+        r=_pairs_sql(FEATURES),
+        body="SELECT DISTINCT feature AS drop_feature FROM r WHERE abs(r) > 0.95",
+    ),
+)
+def _collinear_drop(fx):
+    return sel.collinear_pairs(_frame(fx), FEATURES, 0.95).select("drop_feature").distinct()
+
+
+_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@query(
+    "collinear_onehot",
+    over(
+        frame="SELECT p_size, p_retailprice, "
+        + ", ".join(f"CAST(p_type = '{v}' AS INTEGER) AS p_type_{v}" for v in _TYPES)
+        + " FROM part",
+        r=_pairs_sql(["p_size", "p_retailprice", *[f"p_type_{v}" for v in _TYPES]]),
+        body="SELECT feature, earlier_feature, round(r, 4) + 0 AS r FROM r",
+    ),
+)
+def _collinear_onehot(fx):
+    from tallybuy.operators.keys import one_hot_strings
+
+    wide = one_hot_strings(fx.table("part").select("p_size", "p_retailprice", "p_type"))
+    names = ["p_size", "p_retailprice", *[f"p_type_{v}" for v in _TYPES]]
+    return rounded_matrix(sel.correlation_pairs(wide, names), ["feature", "earlier_feature"])
+
+
+@query(
+    "low_importance",
+    """WITH i AS (SELECT concat('user_', user_id) AS feature, count(*)::DOUBLE AS importance
+                  FROM events GROUP BY user_id),
+            s AS (SELECT *, importance / sum(importance) OVER () AS normalized_importance FROM i),
+            c AS (SELECT *, sum(normalized_importance) OVER (ORDER BY importance DESC, feature
+                            ROWS UNBOUNDED PRECEDING) AS cumulative_importance FROM s)
+       SELECT feature, importance, round(normalized_importance, 4) AS normalized_importance,
+              round(cumulative_importance, 4) AS cumulative_importance
+       FROM c WHERE cumulative_importance > 0.95001""",
+)
+def _low_importance(fx):
+    importances = (
+        fx.table("events")
+        .groupBy(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("feature"))
+        .agg(F.count(F.lit(1)).cast("double").alias("importance"))
+    )
+    return rounded_matrix(sel.low_importance(importances, 0.95001), ["feature"])
+
+
+_KEPT_AFTER_REMOVAL = [c for c in FEATURES if c not in ("const", "all_null", "mostly_null")]
+
+
+@query(
+    "removed_columns",
+    over(
+        frame=_FRAME_SQL,
+        body="SELECT user_id, " + ", ".join(f'"{c}"' for c in _KEPT_AFTER_REMOVAL) + " FROM frame",
+    ),
+)
+def _removed_columns(fx):
+    selector = sel.FeatureSelector(_frame(fx), ["user_id"])
+    selector.identify_missing(0.9)
+    selector.identify_single_unique()
+    return selector.remove(["missing", "single_unique"])
+
+
+_SCALED = [c for c in FEATURES if c not in ("all_null", "mostly_null")]
+
+
+def _scaled_sql() -> str:
+    filled = ", ".join(f'coalesce(CAST("{c}" AS DOUBLE), 0) AS "{c}"' for c in _SCALED)
+    stats = ", ".join(
+        f"""quantile_cont("{c}", 0.001) AS "lo_{c}", quantile_cont("{c}", 0.5) AS "mid_{c}",
+            quantile_cont("{c}", 0.999) AS "hi_{c}" """
+        for c in _SCALED
+    )
+    out = ", ".join(
+        f"""round(("{c}" - "mid_{c}") / coalesce(nullif("hi_{c}" - "lo_{c}", 0), 1), 4) + 0 AS "{c}" """
+        for c in _SCALED
+    )
+    return over(
+        frame=_FRAME_SQL,
+        filled=f"SELECT user_id, {filled} FROM frame",
+        stats=f"SELECT {stats} FROM filled",
+        body=f"SELECT user_id, {out} FROM filled, stats",
+    )
+
+
+@query("robust_scaled", _scaled_sql())
+def _robust_scaled(fx):
+    frame = _frame(fx).select("user_id", *[F.col(f"`{c}`") for c in _SCALED])
+    return rounded_matrix(robust_scale(frame), ["user_id"])
+
+
+@query("robust_scaled_sketch")
+def _robust_scaled_sketch(fx):
+    return robust_scale_sketch(_frame(fx).select("user_id", *[F.col(f"`{c}`") for c in _SCALED]))

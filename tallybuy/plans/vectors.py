@@ -1 +1,117 @@
-"""Placeholder."""
+"""Embedding tables as features, feature dictionaries, rotation."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallybuy.operators.keys import dense_ids
+from tallybuy.operators.scaling import rotate_vectors, rotation_matrix
+from tallybuy.plans.catalogue import query
+from tallybuy.plans.sql import over
+from tallybuy.sources import vectors
+from tallybuy.sources.files import rounded_matrix, suffix_columns
+
+_WIDTH = 64
+
+
+def _spread_sql(vector: str, prefix: str, suffix: str = "", width: int = _WIDTH, as_double: bool = True) -> str:
+    cell = "CAST({v}[{i}] AS DOUBLE)" if as_double else "{v}[{i}]"
+    return ", ".join(
+        f'round({cell.format(v=vector, i=i + 1)}, 4) AS "{prefix}{i}{suffix}"' for i in range(width)
+    )
+
+
+def _bundle(fx, entity: str):
+    return fx.table("embeddings").select(
+        F.lit(entity).alias("entity"), F.col("vec_id").alias("id"), "embedding"
+    )
+
+
+@query("embedding_columns", f"SELECT vec_id AS seller_id, {_spread_sql('embedding', 'DHNE')} FROM embeddings")
+def _embedding_columns(fx):
+    wide = vectors.entity_columns(_bundle(fx, "seller_id"), "seller_id", _WIDTH)
+    return rounded_matrix(wide, ["seller_id"])
+
+
+@query(
+    "embedding_lines",
+    f"""SELECT vec_id AS id, {_spread_sql('embedding', 'v')} FROM embeddings""",
+)
+def _embedding_lines(fx):
+    parsed = vectors.parse_vector_lines(fx.vector_lines())
+    return rounded_matrix(vectors.spread_vector(parsed, "id", "vector", _WIDTH, "v"), ["id"])
+
+
+_ATTR_WIDTH = 8
+
+
+@query(
+    "attribute_embedding",
+    over(
+        "profile",
+        body=f"""SELECT user_id, age_range, gender,
+            {_spread_sql('u.embedding', 'DHNE_id', width=_ATTR_WIDTH)},
+            {_spread_sql('a.embedding', 'DHNE_age', width=_ATTR_WIDTH)},
+            {_spread_sql('g.embedding', 'DHNE_gender', width=_ATTR_WIDTH)}
+            FROM profile p LEFT JOIN embeddings u ON u.vec_id = user_id
+            LEFT JOIN embeddings a ON a.vec_id = age_range AND a.vec_id < 9
+            LEFT JOIN embeddings g ON g.vec_id = gender AND g.vec_id < 3""",
+    ),
+)
+def _attribute_embedding(fx):
+    table = fx.table("embeddings")
+    parts = [("user_id", F.lit(True)), ("age_range", F.col("vec_id") < 9), ("gender", F.col("vec_id") < 3)]
+    bundle = None
+    for entity, rows in parts:
+        part = table.where(rows).select(
+            F.lit(entity).alias("entity"), F.col("vec_id").alias("id"), "embedding"
+        )
+        bundle = part if bundle is None else bundle.unionByName(part)
+    joined = vectors.attribute_columns(fx.user_info(), bundle, _ATTR_WIDTH)
+    return rounded_matrix(joined, ["user_id", "age_range", "gender"])
+
+
+@query("dictionary_columns", f"SELECT vec_id AS seller_id, {_spread_sql('embedding', '', '_dic')} FROM embeddings")
+def _dictionary_columns(fx):
+    wide = vectors.dictionary_columns(fx.seller_vectors(), "seller_id", _WIDTH)
+    return rounded_matrix(wide, ["seller_id"])
+
+
+@query(
+    "resolved_vectors",
+    over(
+        "acts",
+        ids="""SELECT brand_id, row_number() OVER (ORDER BY brand_id) - 1 AS dense_id
+               FROM (SELECT DISTINCT brand_id FROM acts)""",
+        body=f"""SELECT CAST(brand_id AS BIGINT) AS brand_id, {_spread_sql('embedding', 'v', width=8)}
+                 FROM ids JOIN embeddings ON dense_id = vec_id""",
+    ),
+)
+def _resolved_vectors(fx):
+    mapping = dense_ids(fx.log(), "brand_id")
+    table = fx.table("embeddings").select(
+        F.col("vec_id").alias("dense_id"), F.col("embedding").alias("vector")
+    )
+    wide = vectors.spread_vector(
+        vectors.resolve_vectors(mapping, table, "brand_id"), "brand_id", "vector", 8, "v"
+    )
+    return rounded_matrix(wide, ["brand_id"])
+
+
+@query(
+    "suffixed_columns",
+    over(
+        "acts",
+        body="""SELECT seller_id, count(*) AS n_seller_stats, count(DISTINCT user_id) AS users_seller_stats
+                FROM acts GROUP BY seller_id""",
+    ),
+)
+def _suffixed_columns(fx):
+    met = fx.log().groupBy("seller_id", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    stats = met.groupBy("seller_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("users"))
+    return suffix_columns(stats, ["seller_id"], "_seller_stats")
+
+
+@query("rotated_embeddings")
+def _rotated_embeddings(fx):
+    return rotate_vectors(fx.seller_vectors(), "vector", rotation_matrix(_WIDTH, seed=0))
