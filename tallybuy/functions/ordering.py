@@ -117,14 +117,27 @@ def exact_quantiles(
     cumulated = running_totals(counts, ["feature"], ["value"], {"upto": F.col("n")})
     sizes = {r["feature"]: r["n"] for r in cumulated.groupBy("feature").agg(F.max("upto").alias("n")).collect()}
     wanted = {c: [p * (sizes[c] - 1) for p in probabilities] if c in sizes else [] for c in columns}
-    hit = F.lit(False)
-    for c, ranks in wanted.items():
-        ends = sorted({int(r) for r in ranks} | {min(int(r) + 1, sizes[c] - 1) for r in ranks})
-        for k in ends:
-            hit = hit | ((F.col("feature") == c) & (F.col("upto") > k) & (F.col("upto") - F.col("n") <= k))
+    ranks = sorted(
+        {
+            (c, k)
+            for c, exact in wanted.items()
+            for r in exact
+            for k in (int(r), min(int(r) + 1, sizes[c] - 1))
+        }
+    )
     spans: dict[str, list] = {c: [] for c in columns}
-    for r in cumulated.where(hit).collect():
-        spans[r["feature"]].append((r["upto"] - r["n"], r["upto"], r["value"]))
+    if ranks:
+        # At most two ranks per column and probability.
+        asked = df.sparkSession.createDataFrame(ranks, "feature string, rank bigint")
+        start = F.col("upto") - F.col("n")
+        found = (
+            cumulated.join(F.broadcast(asked), "feature")
+            .where((F.col("rank") >= start) & (F.col("rank") < F.col("upto")))
+            .select("feature", start.alias("start"), "upto", "value")
+            .distinct()
+        )
+        for r in found.collect():
+            spans[r["feature"]].append((r["start"], r["upto"], r["value"]))
 
     def at(c: str, k: int) -> float:
         return next(v for lo, hi, v in spans[c] if lo <= k < hi)

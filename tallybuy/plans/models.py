@@ -1 +1,181 @@
-"""Placeholder."""
+"""Model fits, searches and factor tables over the training frame.
+
+Fits have no SQL twin. They run over whole tables; what is small here is the
+number of boosting rounds, runs and settings, which callers choose.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from tallybuy import schemas
+from tallybuy.operators import models
+from tallybuy.operators.keys import with_action
+from tallybuy.operators.population import first_per_pair, rows_of, rows_to_score, training_rows
+from tallybuy.operators.profiles import implicit_matrix, rows_per
+from tallybuy.operators.scaling import reduce_dimension
+from tallybuy.operators.selection import FeatureSelector
+from tallybuy.plans.assembly import training_frame
+from tallybuy.plans.catalogue import query
+from tallybuy.session import workspace, write_out
+
+_ROUNDS = {"max_iter": 5, "minInstancesPerNode": 5}
+
+
+def _features(fx):
+    return write_out(first_per_pair(models.drop_useless(training_frame(fx))), "training")
+
+
+def _scores(fx, kind: int, **params):
+    rows = _features(fx)
+    marked = training_rows(rows, fx.labelled(), keep=0.5)
+    model = models.fit_model(marked, kind, **params)
+    return models.pair_scores(model, rows_to_score(rows, fx.unlabelled()))
+
+
+@query("train_rows")
+def _train_rows(fx):
+    return training_rows(_features(fx), fx.labelled(), keep=0.5)
+
+
+@query("gbt_scores")
+def _gbt_scores(fx):
+    return _scores(fx, 0, **_ROUNDS)
+
+
+@query("gbt_scores_sampled")
+def _gbt_scores_sampled(fx):
+    return _scores(fx, 1, **_ROUNDS)
+
+
+@query("lr_scores")
+def _lr_scores(fx):
+    return _scores(fx, 2, max_iter=50)
+
+
+@query("gbt_scores_weighted")
+def _gbt_scores_weighted(fx):
+    return _scores(fx, 3, max_iter=5)
+
+
+@query("score_runs")
+def _score_runs(fx):
+    runs = models.fit_score_runs(
+        training_frame(fx), fx.labelled(), fx.unlabelled(), n_runs=2, kind=1, measure=False, **_ROUNDS
+    )
+    return runs.scores
+
+
+@query("score_runs_reduced")
+def _score_runs_reduced(fx):
+    runs = models.fit_score_runs(
+        training_frame(fx), fx.labelled(), fx.unlabelled(), n_runs=1, kind=2, reduce=True,
+        measure=False, max_iter=20,
+    )
+    return runs.scores
+
+
+@query("restored_scores")
+def _restored_scores(fx):
+    rows = _features(fx)
+    marked = training_rows(rows, fx.labelled(), keep=0.5)
+    path = f"{workspace(fx.spark)}/models"
+    paths = {}
+    for kind, params in ((1, _ROUNDS), (2, {"max_iter": 20})):
+        paths[f"kind{kind}"] = f"{path}/kind{kind}"
+        model: PipelineModel = models.fit_model(marked, kind, **params)
+        models.save_model(model, paths[f"kind{kind}"])
+    return models.score_with_saved(paths, rows_to_score(rows, fx.unlabelled()))
+
+
+@query("model_areas")
+def _model_areas(fx):
+    rows = _features(fx)
+    marked = training_rows(rows, fx.labelled(), keep=0.5)
+    areas = models.area_by_part(models.fit_model(marked, 1, **_ROUNDS), marked)
+    return fx.spark.createDataFrame(list(areas.items()), "part string, auc double")
+
+
+def _labelled_features(fx):
+    return rows_of(_features(fx), fx.labelled())
+
+
+_SEARCH = {"max_iter": 3}
+
+
+@query("cv_search")
+def _cv_search(fx):
+    settings = models.draw_settings(models.STAGED_SPACE, 2)
+    small = [{**s, "minInstancesPerNode": 5, "minInfoGain": 0.0} for s in settings]
+    return models.cross_validate(_labelled_features(fx), small, n_folds=4, **_SEARCH)
+
+
+@query("random_search")
+def _random_search(fx):
+    settings = models.draw_settings(models.RANDOM_SPACE, 2, seed=0)
+    small = [
+        {**s, "maxIter": 3, "maxDepth": min(s["maxDepth"], 3), "minInfoGain": 0.0} for s in settings
+    ]
+    return models.cross_validate(_labelled_features(fx), small, n_folds=5, seed=0, **_SEARCH)
+
+
+@query("zero_importance")
+def _zero_importance(fx):
+    rows = _labelled_features(fx)
+    selector = FeatureSelector(
+        rows.select(*models.PAIR, "label", *models.feature_columns(rows)), models.PAIR, "label"
+    )
+    selector.identify_zero_importance("classification", "auc", n_iterations=2, max_iter=3)
+    return selector.feature_importances
+
+
+@query("important_features")
+def _important_features(fx):
+    rows = _labelled_features(fx)
+    return rows.drop(*models.unimportant_columns(rows, n_runs=2, max_iter=3))
+
+
+@query("select_all_methods")
+def _select_all_methods(fx):
+    rows = _labelled_features(fx)
+    selector = FeatureSelector(
+        rows.select(*models.PAIR, "label", *models.feature_columns(rows)), models.PAIR, "label"
+    )
+    selector.identify_all(
+        {
+            "missing_threshold": 0.9, "correlation_threshold": 0.98, "eval_metric": "auc",
+            "task": "classification", "cumulative_importance": 0.99, "n_iterations": 1, "max_iter": 3,
+        }
+    )
+    return selector.remove("all")
+
+
+@query("pca_reduced")
+def _pca_reduced(fx):
+    rows = _features(fx)
+    columns = models.feature_columns(rows)
+    return reduce_dimension(models.fill_features(rows.select(*models.PAIR, "label", *columns), columns))
+
+
+def _buys(fx):
+    return rows_per(with_action(fx.log(), schemas.BUY), ["user_id", "seller_id"], "counts")
+
+
+_RANK = {"rank": 8, "max_iter": 3}
+
+
+@query("als_factors")
+def _als_factors(fx):
+    return models.pair_factors(_buys(fx), **_RANK).users
+
+
+@query("als_seller_factors")
+def _als_seller_factors(fx):
+    return models.pair_factors(_buys(fx), **_RANK).sellers
+
+
+@query("als_binary_factors")
+def _als_binary_factors(fx):
+    marked = implicit_matrix(fx.format2()).withColumnRenamed("merchant_id", "seller_id")
+    return models.pair_factors(marked.where(F.col("value") > 0), "value", **_RANK).users
