@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOGIT_EPS = 1e-15
@@ -84,3 +85,16 @@ def spread(total: Column, squares: Column, n: Column) -> Column:
     m = n.cast("double")
     centred = F.greatest(squares - total * F.try_divide(total, m), F.lit(0.0))
     return F.when(n > 1, F.sqrt(F.try_divide(centred, m - 1.0)))
+
+
+def cells(df: DataFrame, kept: Sequence[Column | str], columns: Sequence[str]) -> DataFrame:
+    """One row per (row, column): ``kept``, then ``cell`` and ``value``.
+
+    ``cell`` is the position of the column in ``columns``, ``value`` its id. A
+    number rather than a name keeps grouping keys of fixed width.
+    """
+    entries = [
+        F.struct(F.lit(i).alias("cell"), F.col(c).cast("bigint").alias("value"))
+        for i, c in enumerate(columns)
+    ]
+    return df.select(*kept, F.inline(F.array(*entries)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybuy.operators.selection import FeatureSelector
+from tallybuy.session import write_out
 from tallybuy.sources.tables import downcast_doubles
 
 
@@ -64,8 +65,14 @@ def assemble(
     downcast: bool = True,
 ) -> DataFrame:
     """Prune each frame, align them, prune the result, optionally to floats."""
-    kept = {n: prune_unlabelled(df, keys, missing, correlation) for n, df in frames.items()}
-    joined = prune_unlabelled(outer_align(kept, keys), keys, missing, correlation)
+    # Which columns stay is known only after a look at the data, so every frame
+    # is read more than once and written out before.
+    kept = {
+        n: prune_unlabelled(write_out(df, f"frame-{n}"), keys, missing, correlation)
+        for n, df in frames.items()
+    }
+    aligned = write_out(outer_align(kept, keys), "aligned")
+    joined = prune_unlabelled(aligned, keys, missing, correlation)
     return downcast_doubles(joined) if downcast else joined
 
 

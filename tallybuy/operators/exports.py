@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybuy.operators.keys import dense_ids, map_ids
+from tallybuy.operators.keys import dense_id_table, map_ids
 from tallybuy.operators.profiles import cardinalities
+from tallybuy.session import write_out
 
 SEQUENCE_IDS = ("user_id", "seller_id", "brand_id", "cat_id")
 TRIPLE = ("user_id", "seller_id", "brand_id")
@@ -26,9 +27,9 @@ def reindex(
     df: DataFrame, columns: Sequence[str]
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Replace ids by dense ids; also returns the mapping of each column."""
-    mappings = {c: dense_ids(df, c) for c in columns}
-    kinds = {c: "bigint" for c in columns}
-    widened = df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else c for c in df.columns])
+    table = write_out(dense_id_table(df, columns), "dense-ids")
+    mappings = {c: table.where(F.col("column") == c).drop("column") for c in columns}
+    widened = df.select(*[F.col(c).cast("bigint").alias(c) if c in columns else c for c in df.columns])
     return map_ids(widened, mappings), mappings
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallybuy import schemas
 from tallybuy.functions.columns import PromoCalendar, composite_key, date_of, month_of
-from tallybuy.functions.ordering import positions
+from tallybuy.functions.ordering import positions, running_totals
 
 
 def with_action(log: DataFrame, action: int) -> DataFrame:
@@ -52,10 +52,22 @@ def columns_except(df: DataFrame, kept: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in kept]
 
 
+def dense_id_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, raw_id, dense_id)`` for several id columns from one pass.
+
+    Ids of a column are numbered from 0 in ascending order.
+    """
+    cells = df.select(*[F.col(c).cast("bigint").alias(c) for c in columns]).unpivot(
+        [], list(columns), "column", "raw_id"
+    )
+    ids = cells.where(F.col("raw_id").isNotNull()).distinct()
+    numbered = running_totals(ids, ["column"], ["raw_id"], {"dense_id": F.lit(1).cast("bigint")})
+    return numbered.withColumn("dense_id", F.col("dense_id") - 1)
+
+
 def dense_ids(df: DataFrame, column: str) -> DataFrame:
-    """``(raw_id, dense_id)``: ids numbered from 0 in ascending order."""
-    ids = df.where(F.col(column).isNotNull()).select(F.col(column).cast("bigint").alias("raw_id"))
-    return positions(ids.distinct(), ["raw_id"], "dense_id")
+    """``(raw_id, dense_id)`` of one id column."""
+    return dense_id_table(df, [column]).drop("column")
 
 
 def map_ids(df: DataFrame, mappings: Mapping[str, DataFrame]) -> DataFrame:

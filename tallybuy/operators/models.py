@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybuy.operators.blend import mean_per_pair, roc_area
-from tallybuy.operators.keys import dense_ids
+from tallybuy.operators.keys import dense_id_table
 from tallybuy.operators.population import PAIR, mark_split, rows_of
 from tallybuy.operators.population import first_per_pair, rows_to_score, training_rows
 from tallybuy.operators.scaling import reduce_dimension, robust_scale
@@ -136,7 +136,8 @@ def fit_model(rows: DataFrame, kind: int = 0, seed: int = 0, **params) -> Pipeli
             )
         )
     stages.append(family.estimator(seed=seed, **params))
-    return Pipeline(stages=stages).fit(ready)
+    # Fitting passes over the rows many times.
+    return Pipeline(stages=stages).fit(write_out(ready, "fit"))
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -385,8 +386,9 @@ def pair_factors(
     ALS wants 32-bit ids, hence the dense ids in between; the factor tables
     carry the raw ids again.
     """
-    users = write_out(dense_ids(counts, "user_id"), "user-ids")
-    sellers = write_out(dense_ids(counts, "seller_id"), "seller-ids")
+    table = write_out(dense_id_table(counts, ["user_id", "seller_id"]), "dense-ids")
+    users = table.where(F.col("column") == "user_id").drop("column")
+    sellers = table.where(F.col("column") == "seller_id").drop("column")
     indexed = (
         counts.join(users.select(F.col("raw_id").alias("user_id"), F.col("dense_id").alias("u")), "user_id")
         .join(

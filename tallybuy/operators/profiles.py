@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybuy import schemas
-from tallybuy.functions.columns import epoch_days, ratio, spread
+from tallybuy.functions.columns import cells, epoch_days, ratio, spread
 from tallybuy.functions.ordering import previous_value, running_totals
 
 SECONDS_PER_DAY = 86400.0
@@ -148,75 +148,100 @@ def time_since_previous(df: DataFrame, key: str, micros: Column) -> DataFrame:
     return lagged.select(key, "at", ((F.col("at") - F.col("_before")) / 1_000_000.0).alias("gap"))
 
 
-def _squared_gaps(days: Column) -> Column:
+def _middle(sorted_values: Column) -> Column:
+    """Median of a sorted, non-empty array."""
+    size = F.size(sorted_values)
+    low = F.element_at(sorted_values, F.floor((size + 1) / 2).cast("int"))
+    high = F.element_at(sorted_values, F.floor((size + 2) / 2).cast("int"))
+    return (low + high) / 2.0
+
+
+def _squared_gaps(sorted_days: Column) -> Column:
     """Sum of squared distances between neighbours of a sorted array."""
-    shifted = F.slice(days, 2, F.greatest(F.size(days) - 1, F.lit(0)))
-    pairs = F.arrays_zip(days.alias("a"), shifted.alias("b"))
-    return F.aggregate(
-        pairs,
-        F.lit(0.0),
-        lambda acc, p: acc
-        + F.coalesce(F.pow((p["b"] - p["a"]).cast("double"), F.lit(2.0)), F.lit(0.0)),
+    later = F.slice(sorted_days, 2, F.size(sorted_days))
+    squares = F.zip_with(
+        later,
+        F.slice(sorted_days, 1, F.size(sorted_days) - 1),
+        lambda b, a: (b - a).cast("double") * (b - a).cast("double"),
     )
+    return F.aggregate(squares, F.lit(0.0), lambda total, x: total + x)
 
 
-def key_profile(log: DataFrame, keys: Sequence[str], date: str = "event_date") -> DataFrame:
-    """Unique, repeat, daily, monthly, gap and trend features of a key.
+def _spread_over_time(name: str, n: Column) -> list[Column]:
+    return [
+        F.count(n).alias(f"{name}_active"),
+        F.avg(n).alias(f"{name}_mean"),
+        F.max(n).alias(f"{name}_max"),
+        F.min(n).alias(f"{name}_min"),
+        F.stddev_samp(n).alias(f"{name}_std"),
+    ]
+
+
+def time_profile(log: DataFrame, keys: Sequence[str], date: str = "event_date") -> DataFrame:
+    """Daily, monthly, trend and gap features of a key.
+
+    Rows are counted per key and day first. What is then brought together per
+    key is one row per day, a number the calendar bounds, so days and months
+    share one exchange on the key and the medians can look at whole lists.
+    """
+    keys = list(keys)
+    day, month = epoch_days(F.col(date)), F.year(date) * 12 + F.month(date)
+    counted = log.where(F.col(date).isNotNull()).groupBy(*keys, date).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    days = counted.select(*keys, "n", day.alias("day"), month.alias("month")).repartition(*keys)
+    n = F.col("n")
+    daily = days.groupBy(*keys).agg(
+        F.sum(n).alias("rows"),
+        *_spread_over_time("daily", n),
+        F.regr_slope(n, F.col("day")).alias("daily_trend"),
+        F.collect_list("n").alias("_ns"),
+        F.collect_list("day").alias("_days"),
+    )
+    monthly = (
+        days.groupBy(*keys, "month")
+        .agg(F.sum(n).alias("n"))
+        .groupBy(*keys)
+        .agg(*_spread_over_time("monthly", n), F.collect_list("n").alias("_months"))
+    )
+    days_sorted = F.array_sort("_days")
+    span = (F.array_max("_days") - F.array_min("_days")).cast("double")
+    gaps = F.col("rows") - 1
+    joined = daily.join(monthly, keys)
+    return joined.select(
+        *[c for c in joined.columns if not c.startswith("_")],
+        _middle(F.array_sort("_ns")).alias("daily_median"),
+        _middle(F.array_sort("_months")).alias("monthly_median"),
+        (ratio(span, gaps) * SECONDS_PER_DAY).alias("gap_mean"),
+        (spread(span, _squared_gaps(days_sorted), gaps) * SECONDS_PER_DAY).alias("gap_std"),
+    )
+
+
+def id_profile(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct values, repeat share and distinct share of the other id columns.
 
     One pass: every row becomes (column, value) cells, the cells are counted
-    per key, and the counts are folded into features. Both steps combine before
-    the shuffle, so heavy keys do not gather rows in one task. The only list
-    kept per key holds its distinct days, which the calendar bounds.
+    per key, and the counts are folded. Both steps combine before the shuffle.
     """
     keys = list(keys)
     ids = [c for c in ("user_id", "item_id", "cat_id", "seller_id", "brand_id") if c not in keys]
-    day = epoch_days(F.col(date))
-    month = F.year(date) * 12 + F.month(date)
-    cells = log.select(
-        *keys,
-        *[F.col(c).cast("bigint").alias(f"_{c}") for c in ids],
-        day.cast("bigint").alias("_day"),
-        month.cast("bigint").alias("_month"),
-    ).unpivot(keys, [*[f"_{c}" for c in ids], "_day", "_month"], "cell", "value")
-    n = rows_per(cells.where(F.col("value").isNotNull()), [*keys, "cell", "value"], "n")
-
-    def of(cell: str, value: Column) -> Column:
-        return F.when(F.col("cell") == cell, value)
-
-    features: list[Column] = [F.sum(of("_day", F.col("n"))).alias("rows")]
-    for c in ids:
-        here = F.col("cell") == f"_{c}"
+    long = cells(log, keys, ids).where(F.col("value").isNotNull())
+    counted = rows_per(long, [*keys, "cell", "value"], "n")
+    out = []
+    for i, c in enumerate(ids):
+        here = F.col("cell") == i
         distinct = F.count_if(here)
-        features += [
+        out += [
             distinct.alias(f"{c}_unique"),
-            F.avg(of(f"_{c}", (F.col("n") > 1).cast("double"))).alias(f"{c}_repeat"),
-            ratio(distinct, F.sum(of(f"_{c}", F.col("n")))).alias(f"{c}_share"),
-        ]
-    for name, cell in (("daily", "_day"), ("monthly", "_month")):
-        v = of(cell, F.col("n"))
-        features += [
-            F.count(v).alias(f"{name}_active"),
-            F.avg(v).alias(f"{name}_mean"),
-            F.max(v).alias(f"{name}_max"),
-            F.min(v).alias(f"{name}_min"),
-            F.stddev_samp(v).alias(f"{name}_std"),
-            F.median(v).alias(f"{name}_median"),
+            F.avg(F.when(here, (F.col("n") > 1).cast("double"))).alias(f"{c}_repeat"),
+            ratio(distinct, F.sum(F.when(here, F.col("n")))).alias(f"{c}_share"),
         ]
-    on = of("_day", F.col("value"))
-    features += [
-        F.regr_slope(of("_day", F.col("n")), on).alias("daily_trend"),
-        F.min(on).alias("_first"),
-        F.max(on).alias("_last"),
-        F.array_sort(F.collect_set(on)).alias("_days"),
-    ]
-    folded = n.groupBy(*keys).agg(*features)
-    gaps = F.col("rows") - 1
-    span = (F.col("_last") - F.col("_first")).cast("double")
-    return folded.select(
-        *[c for c in folded.columns if not c.startswith("_")],
-        (ratio(span, gaps) * SECONDS_PER_DAY).alias("gap_mean"),
-        (spread(span, _squared_gaps(F.col("_days")), gaps) * SECONDS_PER_DAY).alias("gap_std"),
-    )
+    return counted.groupBy(*keys).agg(*out)
+
+
+def key_profile(log: DataFrame, keys: Sequence[str], date: str = "event_date") -> DataFrame:
+    """Time and id features of a key; the two halves meet on the key's partitions."""
+    return time_profile(log, keys, date).join(id_profile(log, keys), list(keys), "left")
 
 
 # The seven key sets feature tables are kept for.

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybuy.functions.columns import PromoCalendar, epoch_days, month_of, ratio, spread
+from tallybuy.functions.columns import PromoCalendar, cells, epoch_days, month_of, ratio, spread
 from tallybuy.operators.keys import encode_top_values, with_actions
 from tallybuy.operators.population import ENTITY_KEYS, restrict_to
 from tallybuy.session import write_out
@@ -88,32 +88,61 @@ class FeatureSpec:
 
 # --- registries -------------------------------------------------------------
 
-# Weighted folds of a stacked value: (value sums of one condition) → column.
+# A fold takes the value, the number of rows it stands for, and the condition
+# under which it counts, and returns an aggregate over one target's values.
 Fold = Callable[[Column, Column, Column], Column]
 
 
-def _mean(value: Column, n: Column, _c: Column) -> Column:
+def _distinct(_value: Column, _n: Column, seen: Column) -> Column:
+    return F.count_if(seen)
+
+
+def _mode(value: Column, n: Column, seen: Column) -> Column:
+    """Most frequent value; among equals the lowest."""
+    best = F.max(F.when(seen, F.struct(n.alias("n"), (-value).alias("v"))))
+    return -best["v"]
+
+
+def _repeat_share(_value: Column, n: Column, seen: Column) -> Column:
+    return F.avg(F.when(seen, (n > 1).cast("double")))
+
+
+def _distinct_share(_value: Column, n: Column, seen: Column) -> Column:
+    return ratio(F.count_if(seen), F.sum(F.when(seen, n)))
+
+
+# Folds of a categorical column, over its distinct values.
+VALUE_FOLDS: dict[str, Fold] = {
+    "nunique": _distinct,
+    "mode": _mode,
+    "repeat_share": _repeat_share,
+    "distinct_share": _distinct_share,
+}
+
+
+def _mean(value: Column, n: Column, _seen: Column) -> Column:
     return ratio(F.sum(value * n), F.sum(n))
 
 
-def _std(value: Column, n: Column, _c: Column) -> Column:
+def _std(value: Column, n: Column, _seen: Column) -> Column:
     v = value.cast("double")
     return spread(F.sum(v * n), F.sum(v * v * n), F.sum(n))
 
 
-def _max(value: Column, n: Column, _c: Column) -> Column:
-    return F.max(F.when(n > 0, value))
+def _max(value: Column, _n: Column, seen: Column) -> Column:
+    return F.max(F.when(seen, value))
 
 
-def _min(value: Column, n: Column, _c: Column) -> Column:
-    return F.min(F.when(n > 0, value))
+def _min(value: Column, _n: Column, seen: Column) -> Column:
+    return F.min(F.when(seen, value))
 
 
-def _median(value: Column, n: Column, _c: Column) -> Column:
+def _median(value: Column, n: Column, seen: Column) -> Column:
     # Values are row counts of parents; see profiles.count_summary on its state.
-    return F.percentile(F.when(n > 0, value), F.lit(0.5), n)
+    return F.percentile(F.when(seen, value), F.lit(0.5), n)
 
 
+# Folds of a parent's aggregate, over the parents a target meets.
 STACKED_FOLDS: dict[str, Fold] = {
     "mean": _mean,
     "std": _std,
@@ -123,14 +152,11 @@ STACKED_FOLDS: dict[str, Fold] = {
 }
 
 
-def register_fold(name: str, fold: Fold) -> None:
-    """Add a primitive of one's own for stacked values."""
-    if name in STACKED_FOLDS:
+def register_fold(name: str, fold: Fold, stacked: bool = False) -> None:
+    """Add a primitive of one's own, for categorical or for stacked values."""
+    if name in VALUE_FOLDS or name in STACKED_FOLDS:
         raise ValueError(f"primitive {name} exists")
-    STACKED_FOLDS[name] = fold
-
-
-TRANSFORMS = ("time_since_previous",)
+    (STACKED_FOLDS if stacked else VALUE_FOLDS)[name] = fold
 
 
 # --- preparation ------------------------------------------------------------
@@ -214,15 +240,16 @@ def plan_features(spec: FeatureSpec) -> list[str]:
     names: list[str] = []
     if "count" in spec.primitives:
         names += [f"count{_suffix(c)}" for c in cases]
-    for primitive in ("nunique", "mode"):
-        if primitive in spec.primitives:
-            names += [f"{primitive}_{col}{_suffix(c)}" for col in spec.categoricals for c in cases]
+    for p in spec.primitives:
+        if p in VALUE_FOLDS:
+            names += [f"{p}_{col}{_suffix(c)}" for col in spec.categoricals for c in cases]
     if "trend" in spec.primitives:
         names += [f"daily_trend{_suffix(c)}" for c in cases]
-    if "time_since_previous" in spec.transforms:
-        for fold in ("mean", "std"):
-            if fold in spec.primitives:
-                names += [f"{fold}_time_since_previous{_suffix(c)}" for c in cases]
+    for transform in spec.transforms:
+        names += [
+            f"{fold}_{transform}{_suffix(c)}"
+            for fold in ("mean", "std") if fold in spec.primitives for c in cases
+        ]
     for value in stacked_values(spec):
         for c in _stacked_cases(spec, value):
             for fold in [*STACKED_FOLDS, "trend"]:
@@ -246,49 +273,44 @@ def _case_counts(spec: FeatureSpec) -> list[Column]:
     ]
 
 
-def _cells(spec: FeatureSpec, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Counts per (target, column, value) for several columns from one pass."""
+def _counted_cells(
+    spec: FeatureSpec, rows: DataFrame, keys: Sequence[Column], columns: Sequence[str]
+) -> DataFrame:
+    """Counts per (key, column, value) for several columns from one pass."""
     flags = spec.condition_columns()
-    wide = rows.select(
-        *spec.keys,
-        *[e.alias(f"_is_{c}") for c, e in flags.items()],
-        *[F.col(c).cast("bigint").alias(f"_v_{c}") for c in columns],
-    )
-    fixed = [*spec.keys, *[f"_is_{c}" for c in flags]]
-    long = wide.unpivot(fixed, [f"_v_{c}" for c in columns], "cell", "value")
-    return long.groupBy(*spec.keys, "cell", "value").agg(
+    kept = [*keys, *[e.alias(f"_is_{c}") for c, e in flags.items()]]
+    long = cells(rows, kept, columns)
+    by = [c for c in long.columns if not c.startswith("_is_")]
+    return long.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(f"_is_{c}").alias(_n(c)) for c in flags]
     )
 
 
 def _plain(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
-    """Row counts, distinct values and modes per target."""
+    """Row counts and folds of the categorical columns per target."""
     cases = [None, *spec.condition_columns()]
-    columns = spec.categoricals if {"nunique", "mode"} & set(spec.primitives) else []
+    folds = [p for p in spec.primitives if p in VALUE_FOLDS]
+    columns = spec.categoricals if folds else []
     if not columns:
         counts = rows.groupBy(*spec.keys).agg(*_case_counts(spec))
         wanted = [F.col(_n(c)).alias(f"count{_suffix(c)}") for c in cases]
         return counts.select(*spec.keys, *(wanted if "count" in spec.primitives else []))
-    cells = _cells(spec, rows, columns)
-    here = {col: F.col("cell") == f"_v_{col}" for col in columns}
+    counted = _counted_cells(spec, rows, [F.col(k) for k in spec.keys], columns)
     out: list[Column] = []
     if "count" in spec.primitives:
-        first = here[columns[0]]
+        first = F.col("cell") == 0
         out += [
             F.coalesce(F.sum(F.when(first, F.col(_n(c)))), F.lit(0)).alias(f"count{_suffix(c)}")
             for c in cases
         ]
-    for col in columns:
+    for i, col in enumerate(columns):
         for c in cases:
-            seen = here[col] & F.col("value").isNotNull() & (F.col(_n(c)) > 0)
-            if "nunique" in spec.primitives:
-                out.append(F.count_if(seen).alias(f"nunique_{col}{_suffix(c)}"))
-            if "mode" in spec.primitives:
-                # Most frequent value; among equals the lowest.
-                rank = F.struct(F.col(_n(c)).alias("n"), (-F.col("value")).alias("v"))
-                best = F.max(F.when(seen, rank))
-                out.append((-best["v"]).alias(f"mode_{col}{_suffix(c)}"))
-    return cells.groupBy(*spec.keys).agg(*out)
+            n = F.col(_n(c))
+            seen = (F.col("cell") == i) & F.col("value").isNotNull() & (n > 0)
+            for p in folds:
+                fold = VALUE_FOLDS[p](F.col("value"), n, seen)
+                out.append(fold.alias(f"{p}_{col}{_suffix(c)}"))
+    return counted.groupBy(*spec.keys).agg(*out)
 
 
 def _daily(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
@@ -334,6 +356,12 @@ def _gaps(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
     return timed.groupBy(*spec.keys).agg(*out)
 
 
+# Row transforms: each computes mean_<name> and std_<name>, with conditions.
+TRANSFORMS: dict[str, Callable[[FeatureSpec, DataFrame], DataFrame]] = {
+    "time_since_previous": _gaps,
+}
+
+
 def _parent_aggregates(spec: FeatureSpec, rows: DataFrame, parent: str) -> DataFrame:
     """One row per parent with every value stacked from it."""
     values = [v for v in stacked_values(spec) if v.parent == parent]
@@ -346,26 +374,16 @@ def _parent_aggregates(spec: FeatureSpec, rows: DataFrame, parent: str) -> DataF
                 for v in values
             ]
         )
-    wide = rows.select(
-        F.col(parent).alias("_parent"),
-        *[e.alias(f"_is_{c}") for c, e in cases.items()],
-        *[F.col(c).cast("bigint").alias(f"_v_{c}") for c in columns],
-    )
-    fixed = ["_parent", *[f"_is_{c}" for c in cases]]
-    cells = (
-        wide.unpivot(fixed, [f"_v_{c}" for c in columns], "cell", "value")
-        .groupBy("_parent", "cell", "value")
-        .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(f"_is_{c}").alias(_n(c)) for c in cases])
-    )
-    lead = F.col("cell") == f"_v_{columns[0]}"
+    counted = _counted_cells(spec, rows, [F.col(parent).alias("_parent")], columns)
     out = []
     for v in values:
         if v.of is None:
-            e = F.sum(F.when(lead, F.col(_n(v.condition))))
+            e = F.sum(F.when(F.col("cell") == 0, F.col(_n(v.condition))))
         else:
-            e = F.count_if((F.col("cell") == f"_v_{v.of}") & F.col("value").isNotNull())
+            here = F.col("cell") == columns.index(v.of)
+            e = F.count_if(here & F.col("value").isNotNull())
         out.append(e.alias(v.name))
-    return cells.groupBy(F.col("_parent").alias(parent)).agg(*out)
+    return counted.groupBy(F.col("_parent").alias(parent)).agg(*out)
 
 
 def _weighted_slope(value: Column, n: Column, x: Column) -> Column:
@@ -398,7 +416,7 @@ def _stacked(spec: FeatureSpec, rows: DataFrame, parent: str) -> DataFrame:
                 if fold == "trend":
                     e = _weighted_slope(v, n, epoch_days(F.col("date")) - _SLOPE_ORIGIN)
                 else:
-                    e = STACKED_FOLDS[fold](v, n, n)
+                    e = STACKED_FOLDS[fold](v, n, n > 0)
                 out.append(e.alias(f"{fold}_{value.name}{_suffix(c)}"))
     return joined.groupBy(*spec.keys).agg(*out)
 
@@ -417,8 +435,7 @@ def synthesize(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
     parts = [_plain(spec, rows)]
     if "trend" in spec.primitives:
         parts.append(_trend(spec, rows))
-    if "time_since_previous" in spec.transforms:
-        parts.append(_gaps(spec, rows))
+    parts += [TRANSFORMS[t](spec, rows) for t in spec.transforms]
     parts += [_stacked(spec, rows, p) for p in dict.fromkeys(v.parent for v in stacked)]
     # The first part has every target; the others may miss those without parents.
     joined = reduce(lambda a, b: a.join(b, spec.keys, "left"), parts)

@@ -114,13 +114,17 @@ def _store_sql() -> str:
 
 @query("feature_store_join", _store_sql())
 def _feature_store_join(fx):
+    fx = fx.stored()
     log = fx.log()
     stores = [(suffix, keys, rows_per(log, keys, "rows")) for suffix, keys in _STORES]
     return assembly.attach_features(population(fx), stores)
 
 
 def training_frame(fx):
-    """Population rows with user, seller and pair ratios; one log copy for all."""
+    """Population rows with user, seller and pair ratios.
+
+    ``fx`` should be stored: eight scans of the log come together here.
+    """
     stores = [
         ("m", ["seller_id"], seller_ratio(fx)),
         ("u", ["user_id"], user_ratio(fx)),
@@ -145,7 +149,7 @@ def training_frame(fx):
     ),
 )
 def _training_frame(fx):
-    frame = training_frame(fx).select(
+    frame = training_frame(fx.stored()).select(
         "user_id", "seller_id", "item_id", "label", "all_count_m", "buy_ratio_m",
         "more_than_once_ratio_m", "all_count_u", "old_x_buy_on_de_u", "all_count_mu", "click_ratio_mu",
     )

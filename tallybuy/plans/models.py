@@ -28,6 +28,7 @@ def _features(fx):
 
 
 def _scores(fx, kind: int, **params):
+    fx = fx.stored()
     rows = _features(fx)
     marked = training_rows(rows, fx.labelled(), keep=0.5)
     model = models.fit_model(marked, kind, **params)
@@ -36,6 +37,7 @@ def _scores(fx, kind: int, **params):
 
 @query("train_rows")
 def _train_rows(fx):
+    fx = fx.stored()
     return training_rows(_features(fx), fx.labelled(), keep=0.5)
 
 
@@ -61,6 +63,7 @@ def _gbt_scores_weighted(fx):
 
 @query("score_runs")
 def _score_runs(fx):
+    fx = fx.stored()
     runs = models.fit_score_runs(
         training_frame(fx), fx.labelled(), fx.unlabelled(), n_runs=2, kind=1, measure=False, **_ROUNDS
     )
@@ -69,6 +72,7 @@ def _score_runs(fx):
 
 @query("score_runs_reduced")
 def _score_runs_reduced(fx):
+    fx = fx.stored()
     runs = models.fit_score_runs(
         training_frame(fx), fx.labelled(), fx.unlabelled(), n_runs=1, kind=2, reduce=True,
         measure=False, max_iter=20,
@@ -78,6 +82,7 @@ def _score_runs_reduced(fx):
 
 @query("restored_scores")
 def _restored_scores(fx):
+    fx = fx.stored()
     rows = _features(fx)
     marked = training_rows(rows, fx.labelled(), keep=0.5)
     path = f"{workspace(fx.spark)}/models"
@@ -91,6 +96,7 @@ def _restored_scores(fx):
 
 @query("model_areas")
 def _model_areas(fx):
+    fx = fx.stored()
     rows = _features(fx)
     marked = training_rows(rows, fx.labelled(), keep=0.5)
     areas = models.area_by_part(models.fit_model(marked, 1, **_ROUNDS), marked)
@@ -98,6 +104,7 @@ def _model_areas(fx):
 
 
 def _labelled_features(fx):
+    fx = fx.stored()
     return rows_of(_features(fx), fx.labelled())
 
 
@@ -153,7 +160,7 @@ def _select_all_methods(fx):
 
 @query("pca_reduced")
 def _pca_reduced(fx):
-    rows = _features(fx)
+    rows = _features(fx.stored())
     columns = models.feature_columns(rows)
     return reduce_dimension(models.fill_features(rows.select(*models.PAIR, "label", *columns), columns))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallybuy import schemas
 from tallybuy.functions.columns import PromoCalendar
+from tallybuy.session import write_out
 
 CALENDAR = PromoCalendar(promo_from=1101, promo_to=1130, pre_after=1001, pre_before=1101)
 CUTOFF = "2000-01-01"
@@ -26,9 +27,26 @@ class Fixtures:
     def __init__(self, spark: SparkSession, directory: str) -> None:
         self.spark = spark
         self.directory = directory
+        self._tables: dict[str, DataFrame] = {}
+        self._stored_log: DataFrame | None = None
+        self._stored_pairs: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        """A driver table; opened once, as opening lists files and reads footers."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self._tables[name]
+
+    def stored(self) -> Fixtures:
+        """The same inputs over written-out copies of the log and the pairs.
+
+        For plans that start from them many times: the three-way join behind
+        the log is then done once.
+        """
+        copy = Fixtures(self.spark, self.directory)
+        copy._stored_log = write_out(self.log(), "log")
+        copy._stored_pairs = write_out(self.pairs(), "pairs")
+        return copy
 
     def log_all(self) -> DataFrame:
         """Every action, past and future, with its date."""
@@ -56,6 +74,8 @@ class Fixtures:
         return self.log_all().where(F.col("event_date") < F.lit(CUTOFF).cast("date"))
 
     def log(self) -> DataFrame:
+        if self._stored_log is not None:
+            return self._stored_log
         return self.dated_log().select(*LOG_COLUMNS)
 
     def log_raw(self) -> DataFrame:
@@ -66,6 +86,8 @@ class Fixtures:
 
     def pairs(self) -> DataFrame:
         """Pairs with a promotion buy in the past; label = seen again later."""
+        if self._stored_pairs is not None:
+            return self._stored_pairs
         past = F.col("event_date") < F.lit(CUTOFF).cast("date")
         buy = CALENDAR.is_promo(F.col("time_stamp")) & (F.col("action_type") == schemas.BUY)
         return (
@@ -91,6 +113,8 @@ class Fixtures:
 
         Needs no look into the future, so it reads less than :meth:`pairs`.
         """
+        if self._stored_pairs is not None:
+            return self._stored_pairs.select("user_id", "seller_id")
         buy = CALENDAR.is_promo(F.col("time_stamp")) & (F.col("action_type") == schemas.BUY)
         return self.log().where(buy).select("user_id", "seller_id").distinct()
 
