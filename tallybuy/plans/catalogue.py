@@ -37,6 +37,7 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from tallybuy.plans import (  # noqa: F401
         assembly,
+        files,
         models,
         populations,
         profiles,

@@ -227,6 +227,34 @@ def _mode_topn_encoded(fx):
     return syn.encoded(narrow, features, n=3, by_rank=True)
 
 
+_SHARES = syn.FeatureSpec(
+    "user_seller_buy_shares", "user_seller", (2,), ("count", "nunique", "repeat_share", "distinct_share"),
+    1, columns=("cat_id", "brand_id", "time_stamp"),
+)
+
+
+def _share_sql(column: str) -> str:
+    return f"""SELECT user_id, seller_id, count(*) AS nunique_{column},
+               round(avg(CASE WHEN n > 1 THEN 1.0::DOUBLE ELSE 0.0 END), 4) AS repeat_share_{column},
+               round(count(*) / sum(n)::DOUBLE, 4) AS distinct_share_{column}
+               FROM (SELECT user_id, seller_id, {column}, count(*) AS n FROM buys GROUP BY ALL)
+               GROUP BY user_id, seller_id"""
+
+
+@query(
+    "synth_user_seller_buy_shares",
+    over(
+        "acts", "profile",
+        buys="SELECT a.* FROM acts a JOIN profile p ON a.user_id = p.user_id WHERE action_type = 2",
+        body="SELECT * FROM (SELECT user_id, seller_id, count(*) AS count FROM buys GROUP BY ALL) "
+        + " ".join(f"JOIN ({_share_sql(c)}) USING (user_id, seller_id)" for c in _SHARES.columns),
+    ),
+)
+def _synth_shares(fx):
+    rows = syn.prepare(_SHARES, fx.log(), None, fx.user_info(), CALENDAR)
+    return rounded_matrix(syn.synthesize(_SHARES, rows), _SHARES.keys)
+
+
 @query(
     "top_categories",
     over(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybuy import schemas
@@ -66,27 +66,29 @@ def write_scores(scores: DataFrame, path: str) -> None:
     scores.write.mode("overwrite").partitionBy("run_id").parquet(path)
 
 
+def _directory() -> Column:
+    """Name of the directory a row's file lies in, e.g. ``run_id=3``."""
+    return F.element_at(F.split("_metadata.file_path", "/"), -2)
+
+
 def read_score_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Score files of an explicit list, each row with the file it came from."""
-    return spark.read.schema(schemas.SCORES).parquet(*paths).select(
-        F.col("_metadata.file_path").alias("source"), "user_id", "seller_id", "prob"
-    )
+    """Score files of an explicit list, each row with the directory it came from."""
+    scores = spark.read.schema(schemas.SCORES).parquet(*paths)
+    return scores.select(_directory().alias("source"), "user_id", "seller_id", "prob")
 
 
 def list_score_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """Files behind a glob pattern with their row counts."""
-    return (
-        spark.read.schema(schemas.SCORES)
-        .parquet(pattern)
-        .groupBy(F.col("_metadata.file_path").alias("source"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    """Score directories behind a glob pattern with their row counts."""
+    scores = spark.read.schema(schemas.SCORES).parquet(pattern)
+    return scores.groupBy(_directory().alias("source")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def write_blend(blended: DataFrame, path: str) -> None:
-    blended.select("user_id", "seller_id", F.format_number("prob", 16).alias("prob")).write.mode(
-        "overwrite"
-    ).option("header", True).csv(path)
+    """Blended scores as CSV with sixteen decimals."""
+    text = F.format_string("%.16f", F.col("prob"))
+    blended.select("user_id", "seller_id", text.alias("prob")).write.mode("overwrite").option(
+        "header", True
+    ).csv(path)
 
 
 def edge_lines(edges: DataFrame, src: str, dst: str, weight: str = "weight") -> DataFrame:
