@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybuy.operators.joins import lookup
 from tallybuy.operators.selection import FeatureSelector
 from tallybuy.session import write_out
 from tallybuy.sources.tables import downcast_doubles
@@ -82,8 +83,7 @@ def attach_features(
     """Left-join feature tables, each ``(suffix, keys, frame)``, one after another.
 
     Joins run on the id columns. Frames hold one row per key, so the row count
-    stays; Spark broadcasts the frames that are small and splits hot keys of
-    the others.
+    stays.
     """
     out = rows
     for suffix, keys, frame in stores:
@@ -91,11 +91,10 @@ def attach_features(
         named = frame.select(
             *keys, *[F.col(f"`{c}`").alias(f"{c}_{suffix}") for c in frame.columns if c not in keys]
         )
-        out = out.join(named, keys, "left")
-    lead = rows.columns
-    return out.select(*lead, *[c for c in out.columns if c not in lead])
+        out = lookup(out, named, keys)
+    return out
 
 
 def attach_parent(log: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Aggregates of a parent entity next to each of its log rows."""
-    return log.join(parent, key, "left")
+    return lookup(log, parent, [key])

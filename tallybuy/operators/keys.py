@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallybuy import schemas
 from tallybuy.functions.columns import PromoCalendar, composite_key, date_of, month_of
 from tallybuy.functions.ordering import positions, running_totals
+from tallybuy.operators.joins import lookup
 
 
 def with_action(log: DataFrame, action: int) -> DataFrame:
@@ -75,7 +76,7 @@ def map_ids(df: DataFrame, mappings: Mapping[str, DataFrame]) -> DataFrame:
     out = df
     for column, mapping in mappings.items():
         pairs = mapping.select(F.col("raw_id").alias(column), F.col("dense_id").alias("_dense"))
-        out = out.join(pairs, column, "left").drop(column).withColumnRenamed("_dense", column)
+        out = lookup(out, pairs, [column]).drop(column).withColumnRenamed("_dense", column)
     return out.select(*df.columns)
 
 

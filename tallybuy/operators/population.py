@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybuy.functions.columns import PromoCalendar
+from tallybuy.operators.joins import lookup
 from tallybuy.operators.keys import add_composite_keys, promo_buys
 
 PAIR = ("user_id", "seller_id")
@@ -32,19 +33,18 @@ def distinct_pairs(labelled: DataFrame, unlabelled: DataFrame) -> DataFrame:
 def restrict_to(log: DataFrame, pairs: DataFrame, entity: str = "user_seller") -> DataFrame:
     """Log rows whose entity occurs in ``pairs``.
 
-    Left as a plain semi-join: Spark broadcasts the ids when their measured
-    size allows it, and splits hot keys of the log side otherwise.
+    ``pairs`` need not be distinct.
     """
     keys = ENTITY_KEYS[entity]
-    return log.join(pairs.select(*keys).distinct(), keys, "left_semi")
+    return lookup(log, pairs.select(*keys), keys, "left_semi")
 
 
 def with_labels(rows: DataFrame, labelled: DataFrame) -> DataFrame:
-    return rows.join(labelled.select(*PAIR, "label"), list(PAIR), "left")
+    return lookup(rows, labelled.select(*PAIR, "label"), PAIR)
 
 
 def with_profile(rows: DataFrame, profile: DataFrame, how: str = "left") -> DataFrame:
-    return rows.join(profile, "user_id", how)
+    return lookup(rows, profile, ["user_id"], how)
 
 
 def population(
@@ -56,16 +56,8 @@ def population(
 ) -> DataFrame:
     """One row per promotion buy of a known pair, with label and profile."""
     buys = promo_buys(log, calendar).drop("time_stamp", "action_type").na.fill(0)
-    keyed = add_composite_keys(buys)
-    # One join does both jobs: the pair table carries the label where there is
-    # one, and rows of unknown pairs drop out.
-    known = (
-        labelled.select(*PAIR, "label")
-        .unionByName(unlabelled.select(*PAIR, F.lit(None).cast("int").alias("label")))
-        .groupBy(*PAIR)
-        .agg(F.max("label").alias("label"))
-    )
-    return with_profile(keyed.join(known, list(PAIR)), profile)
+    known = restrict_to(buys, all_pairs(labelled, unlabelled))
+    return with_profile(with_labels(add_composite_keys(known), labelled), profile)
 
 
 def first_per_pair(
@@ -85,11 +77,11 @@ def first_per_pair(
 
 
 def rows_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    return rows.join(pairs.select(*PAIR).distinct(), list(PAIR), "left_semi")
+    return lookup(rows, pairs.select(*PAIR), PAIR, "left_semi")
 
 
 def rows_outside(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    return rows.join(pairs.select(*PAIR).distinct(), list(PAIR), "left_anti")
+    return lookup(rows, pairs.select(*PAIR), PAIR, "left_anti")
 
 
 def split_share(salt: str | int = 0, keys: Sequence[str] = PAIR):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallybuy import schemas
 from tallybuy.functions.columns import cells, epoch_days, ratio, spread
 from tallybuy.functions.ordering import previous_value, running_totals
+from tallybuy.operators.joins import lookup
 
 SECONDS_PER_DAY = 86400.0
 
@@ -22,7 +23,7 @@ def rows_per(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFra
 def rows_of_light_users(log: DataFrame, below: int, key: str = "user_id") -> DataFrame:
     """Log rows of users with fewer than ``below`` actions."""
     light = rows_per(log, [key]).where(F.col("count") < below)
-    return log.join(light.select(key), key, "left_semi")
+    return lookup(log, light.select(key), [key], "left_semi")
 
 
 def cardinalities(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:

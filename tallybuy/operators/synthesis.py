@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybuy.functions.columns import PromoCalendar, cells, epoch_days, month_of, ratio, spread
+from tallybuy.operators.joins import lookup
 from tallybuy.operators.keys import encode_top_values, with_actions
-from tallybuy.operators.population import ENTITY_KEYS, restrict_to
+from tallybuy.operators.population import ENTITY_KEYS, restrict_to, with_profile
 from tallybuy.session import write_out
 
 SECONDS_PER_DAY = 86400.0
@@ -186,7 +187,7 @@ def prepare(
         when.alias("date"),
         calendar.is_before_promo(ts).alias("before_pro"),
     )
-    joined = dated.join(profile, "user_id", "inner")
+    joined = with_profile(dated, profile, "inner")
     return joined.drop(*[c for c in spec.drop if c not in spec.keys])
 
 
@@ -405,7 +406,7 @@ def _stacked(spec: FeatureSpec, rows: DataFrame, parent: str) -> DataFrame:
     per_day = ["date"] if "trend" in spec.primitives else []
     met = rows.groupBy(*spec.keys, F.col(parent).alias("_p"), *per_day).agg(*_case_counts(spec))
     about = _parent_aggregates(spec, rows, parent).withColumnRenamed(parent, "_p")
-    joined = met.where(F.col("_p").isNotNull()).join(about, "_p")
+    joined = lookup(met, about, ["_p"], "inner")
     out: list[Column] = []
     for value in (v for v in stacked_values(spec) if v.parent == parent):
         for c in _stacked_cases(spec, value):
@@ -448,7 +449,7 @@ def direct_features(spec: FeatureSpec, rows: DataFrame, parent: str) -> DataFram
     For a target these add nothing: a fold over them is already a stacked
     feature of depth 3.
     """
-    return rows.join(_parent_aggregates(spec, rows, parent), parent, "left")
+    return lookup(rows, _parent_aggregates(spec, rows, parent), [parent])
 
 
 def encoded(spec: FeatureSpec, features: DataFrame, n: int = 10, by_rank: bool = False) -> DataFrame:

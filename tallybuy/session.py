@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 _RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # split a hot join key even if the split costs one more exchange
+    # Split a hot join key even if the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 

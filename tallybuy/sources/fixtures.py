@@ -28,8 +28,8 @@ class Fixtures:
         self.spark = spark
         self.directory = directory
         self._tables: dict[str, DataFrame] = {}
-        self._stored_log: DataFrame | None = None
-        self._stored_pairs: DataFrame | None = None
+        self._log: DataFrame | None = None
+        self._pairs: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         """A driver table; opened once, as opening lists files and reads footers."""
@@ -44,8 +44,8 @@ class Fixtures:
         the log is then done once.
         """
         copy = Fixtures(self.spark, self.directory)
-        copy._stored_log = write_out(self.log(), "log")
-        copy._stored_pairs = write_out(self.pairs(), "pairs")
+        copy._log = write_out(self.log(), "log")
+        copy._pairs = write_out(self.pairs(), "pairs")
         return copy
 
     def log_all(self) -> DataFrame:
@@ -74,9 +74,9 @@ class Fixtures:
         return self.log_all().where(F.col("event_date") < F.lit(CUTOFF).cast("date"))
 
     def log(self) -> DataFrame:
-        if self._stored_log is not None:
-            return self._stored_log
-        return self.dated_log().select(*LOG_COLUMNS)
+        if self._log is None:
+            self._log = self.dated_log().select(*LOG_COLUMNS)
+        return self._log
 
     def log_raw(self) -> DataFrame:
         """The log with gaps in ``brand_id``, as a raw file would have them."""
@@ -86,8 +86,8 @@ class Fixtures:
 
     def pairs(self) -> DataFrame:
         """Pairs with a promotion buy in the past; label = seen again later."""
-        if self._stored_pairs is not None:
-            return self._stored_pairs
+        if self._pairs is not None:
+            return self._pairs
         past = F.col("event_date") < F.lit(CUTOFF).cast("date")
         buy = CALENDAR.is_promo(F.col("time_stamp")) & (F.col("action_type") == schemas.BUY)
         return (
@@ -113,8 +113,8 @@ class Fixtures:
 
         Needs no look into the future, so it reads less than :meth:`pairs`.
         """
-        if self._stored_pairs is not None:
-            return self._stored_pairs.select("user_id", "seller_id")
+        if self._pairs is not None:
+            return self._pairs.select("user_id", "seller_id")
         buy = CALENDAR.is_promo(F.col("time_stamp")) & (F.col("action_type") == schemas.BUY)
         return self.log().where(buy).select("user_id", "seller_id").distinct()
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybuy.operators.joins import lookup
+
 
 def parse_vector_lines(lines: DataFrame) -> DataFrame:
     """``X<id> v1 … vn `` lines to ``(id, vector)``.
@@ -56,11 +58,8 @@ def attribute_columns(profile: DataFrame, bundle: DataFrame, width: int | None =
     user = entity_columns(bundle, "user_id", n, "DHNE_id")
     age = entity_columns(bundle, "age_range", n, "DHNE_age")
     gender = entity_columns(bundle, "gender", n, "DHNE_gender")
-    return (
-        profile.join(user, "user_id", "left")
-        .join(age, "age_range", "left")
-        .join(gender, "gender", "left")
-    )
+    named = lookup(profile, user, ["user_id"])
+    return lookup(lookup(named, age, ["age_range"]), gender, ["gender"])
 
 
 def dictionary_columns(features: DataFrame, key: str, width: int | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Command line check: ``python tests/check.py [sf] [name ...]``."""
+"""Command line check: ``python tests/check.py [sf] [sql] [name ...]``."""
 
 import sys
 import time
@@ -18,6 +18,9 @@ def main() -> int:
     spark = build_session("8")
     con = connect(directory)
     queries, checks = entry.queries(), entry.oracle_sql()
+    if "sql" in args:
+        args.remove("sql")
+        queries = {n: q for n, q in queries.items() if n in checks}
     names = [n for n in queries if not args or any(a in n for a in args)]
     failed = []
     for name in names:
