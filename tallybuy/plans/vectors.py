@@ -10,6 +10,7 @@ from tallybuy.plans.catalogue import query
 from tallybuy.plans.sql import over
 from tallybuy.sources import vectors
 from tallybuy.sources.files import rounded_matrix, suffix_columns
+from tallybuy.sources.tables import downcast_doubles
 
 _WIDTH = 64
 
@@ -35,11 +36,14 @@ def _embedding_columns(fx):
 
 @query(
     "embedding_lines",
-    f"""SELECT vec_id AS id, {_spread_sql('embedding', 'v')} FROM embeddings""",
+    "SELECT vec_id AS id, "
+    + ", ".join(f"embedding[{i + 1}] AS v{i}" for i in range(_WIDTH))
+    + " FROM embeddings",
 )
 def _embedding_lines(fx):
+    # As floats again: the shortest text of a float gives back the same float.
     parsed = vectors.parse_vector_lines(fx.vector_lines())
-    return rounded_matrix(vectors.spread_vector(parsed, "id", "vector", _WIDTH, "v"), ["id"])
+    return downcast_doubles(vectors.spread_vector(parsed, "id", "vector", _WIDTH, "v"))
 
 
 _ATTR_WIDTH = 8

@@ -42,7 +42,7 @@ def _rows(table):
 def compare(spark_df, con, sql: str) -> str | None:
     """None if equal, else a short description of the difference."""
     got = spark_df.toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     got_names, got_rows = _rows(got)
     want_names, want_rows = _rows(want)
     if got_names != want_names:
