@@ -158,8 +158,8 @@ def _collinear_onehot(fx):
             s AS (SELECT *, importance / sum(importance) OVER () AS normalized_importance FROM i),
             c AS (SELECT *, sum(normalized_importance) OVER (ORDER BY importance DESC, feature
                             ROWS UNBOUNDED PRECEDING) AS cumulative_importance FROM s)
-       SELECT feature, importance, round(normalized_importance, 4) AS normalized_importance,
-              round(cumulative_importance, 4) AS cumulative_importance
+       SELECT feature, importance, round(normalized_importance, 6) AS normalized_importance,
+              round(cumulative_importance, 6) AS cumulative_importance
        FROM c WHERE cumulative_importance > 0.95001""",
 )
 def _low_importance(fx):
@@ -168,7 +168,10 @@ def _low_importance(fx):
         .groupBy(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("feature"))
         .agg(F.count(F.lit(1)).cast("double").alias("importance"))
     )
-    return rounded_matrix(sel.low_importance(importances, 0.95001), ["feature"])
+    shares = ("normalized_importance", "cumulative_importance")
+    return sel.low_importance(importances, 0.95001).select(
+        "feature", "importance", *[F.round(c, 6).alias(c) for c in shares]
+    )
 
 
 _KEPT_AFTER_REMOVAL = [c for c in FEATURES if c not in ("const", "all_null", "mostly_null")]
