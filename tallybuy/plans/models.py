@@ -6,7 +6,8 @@ number of boosting rounds, runs and settings, which callers choose.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallybuy import schemas
@@ -85,11 +86,11 @@ def _restored_scores(fx):
     fx = fx.stored()
     rows = _features(fx)
     marked = training_rows(rows, fx.labelled(), keep=0.5)
-    path = f"{workspace(fx.spark)}/models"
+    path = f"{workspace(fx.spark)}/models-{uuid.uuid4().hex}"
     paths = {}
     for kind, params in ((1, _ROUNDS), (2, {"max_iter": 20})):
         paths[f"kind{kind}"] = f"{path}/kind{kind}"
-        model: PipelineModel = models.fit_model(marked, kind, **params)
+        model = models.fit_model(marked, kind, **params)
         models.save_model(model, paths[f"kind{kind}"])
     return models.score_with_saved(paths, rows_to_score(rows, fx.unlabelled()))
 
