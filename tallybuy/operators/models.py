@@ -183,17 +183,17 @@ def tree_importances(
     """Mean feature importance of boosted trees over seeds 0 … n_runs − 1."""
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     usable = fill_features(rows, columns).withColumn("label", F.col(label).cast("double"))
-    known = [k for k in keys if k in rows.columns]
-    vectors = write_out(assembler.transform(usable).select(*known, "features", "label"), "vectors")
+    # Rows without a key are told apart by an id written out with them.
+    known = [k for k in keys if k in rows.columns] or ["_row"]
+    usable = assembler.transform(usable.withColumn("_row", F.monotonically_increasing_id()))
+    vectors = write_out(usable.select(*known, "features", "label"), "vectors")
     build = GBTClassifier if task == "classification" else GBTRegressor
     total = np.zeros(len(columns))
     for seed in range(n_runs):
         settings = {"maxIter": max_iter, "stepSize": step, "seed": seed, **params}
         frame = vectors
         if early_stopping:
-            digest = F.xxhash64(*known, F.lit(f"importance/{seed}")) if known else F.xxhash64(
-                "features", F.lit(f"importance/{seed}")
-            )
+            digest = F.xxhash64(*known, F.lit(f"importance/{seed}"))
             frame = vectors.withColumn("is_valid", F.pmod(digest, F.lit(100)) < 15)
             settings["validationIndicatorCol"] = "is_valid"
         total += build(**settings).fit(frame).featureImportances.toArray()

@@ -56,6 +56,14 @@ def test_importance_finds_the_useless_column(rows):
     assert "flat" not in selector.remove(["zero_importance"]).columns
 
 
+def test_importance_of_a_regression_without_keys(rows):
+    frame = rows.select("good", "noise", (F.col("good") * 2).alias("target"))
+    selector = FeatureSelector(frame, label="target")
+    selector.identify_zero_importance("regression", "l2", 1, max_iter=3)
+    top = selector.feature_importances.orderBy(F.desc("importance")).first()
+    assert top["feature"] == "good"
+
+
 def test_draws_repeat_and_stay_in_range():
     for space in (models.STAGED_SPACE, models.RANDOM_SPACE):
         one, two = models.draw_settings(space, 20, 7), models.draw_settings(space, 20, 7)
