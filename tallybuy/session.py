@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +15,6 @@ _RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_workspace: str | None = None
-
-
 def tune(spark: SparkSession) -> SparkSession:
     """Switch on the adaptive skew handling that the join plans rely on."""
     for key, value in _RUNTIME_SETTINGS.items():
@@ -26,8 +22,10 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """Local session for tests and the benchmark."""
+def build_session(
+    cores: str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None
+) -> SparkSession:
+    """Local session for tests and the benchmark; one machine, so a relative folder will do."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tallybuy")
@@ -35,6 +33,7 @@ def build_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", checkpoint_dir or "spark-warehouse/_intermediate")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()
     )
@@ -43,20 +42,16 @@ def build_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def workspace(spark: SparkSession) -> str:
-    """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+    """Folder for intermediate tables that driver and executors share.
 
-    A temporary folder stands in for it only in local mode, where driver and
-    executors share one machine.
+    It is ``spark.checkpoint.dir`` of the session. Where that is unset, a folder
+    in the session's warehouse stands in; both lie on a file system that Spark
+    itself opens.
     """
-    global _local_workspace
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if _local_workspace is None:
-        _local_workspace = tempfile.mkdtemp(prefix="tallybuy-")
-    return _local_workspace
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
 
 
 def write_out(df: DataFrame, name: str) -> DataFrame:
