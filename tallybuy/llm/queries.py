@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybuy.llm import exact_dedup
+from tallybuy.llm import exact_dedup, line_dedup, secrets, simhash
 from tallybuy.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,47 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def _exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
+
+
+@_query("op6_secret_scans")
+def _secret_scans(spark, sf_dir):
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(secrets.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+@_query(
+    "op8_line_dedup",
+    r"""
+    WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+    l AS (SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS pos FROM s),
+    k AS (
+      SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM l),
+    m AS (
+      SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10
+      GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+    d AS (SELECT k.*, coalesce(first <> doc_id, false) AS gone FROM k LEFT JOIN m USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM d GROUP BY doc_id
+    """,
+)
+def _line_dedup(spark, sf_dir):
+    kept = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query("op10_simhash")
+def _simhash(spark, sf_dir):
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, most_bits=4)
