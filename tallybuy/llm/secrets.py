@@ -22,17 +22,20 @@ KINDS = ("assign", "access", "hex", "random")
 
 #: Strings that the battery looks at: runs of encoding characters that no other letter or digit touches.
 _RUN = r"(?<![\p{L}\p{N}+/_-])[A-Za-z0-9+/_-]{16,}+=*(?![\p{L}\p{N}])"
-#: Encodings in the order they are tried: pattern of the whole string and alphabet.
+_LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: Encodings in the order they are tried: pattern of the whole string, alphabet, and the
+#: alphabet by which words are scored for the null distribution (an index into ``_WORD_ALPHABETS``).
 _ENCODINGS = (
-    ("^[0-9]+$", "0123456789"),
-    ("^[0-9a-f]+$", "0123456789abcdef"),
-    ("^[0-9A-F]+$", "0123456789ABCDEF"),
-    ("^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-    ("^[a-z]+$", "abcdefghijklmnopqrstuvwxyz"),
-    ("^[a-z0-9]+$", "abcdefghijklmnopqrstuvwxyz0123456789"),
-    ("^[A-Za-z0-9+/]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
-    ("", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_+/"),
+    ("^[0-9]+$", _DIGITS, 1),
+    ("^[0-9a-f]+$", _DIGITS + "abcdef", 1),
+    ("^[0-9A-F]+$", _DIGITS + "ABCDEF", 1),
+    ("^[A-Z2-7]+$", _UPPER + "234567", 1),
+    ("^[a-z]+$", _LOWER, 0),
+    ("^[a-z0-9]+$", _DIGITS + _LOWER, 1),
+    ("^[A-Za-z0-9+/]+$", _UPPER + _LOWER + _DIGITS + "+/", 2),
+    ("", _UPPER + _LOWER + _DIGITS + "-_+/", 2),
 )
+_WORD_ALPHABETS = (_LOWER, _DIGITS + _LOWER, _UPPER + _LOWER + _DIGITS + "+/")
 #: Lengths from which a new class begins; each class has its own null distribution and false-discovery rate.
 _CLASSES = (16, 20, 24, 32, 48, 64)
 #: Of each class, so many bins for its p-values, by tenths of a decimal logarithm.
@@ -105,24 +108,35 @@ def _length_class(points: Column) -> Column:
     return out
 
 
-def _alphabet(token: Column) -> Column:
-    out = F.lit(_ENCODINGS[-1][1])
-    for pattern, letters in reversed(_ENCODINGS[:-1]):
-        out = F.when(token.rlike(pattern), letters).otherwise(out)
+def _body(token: Column) -> Column:
+    return F.rtrim(token, F.lit("="))
+
+
+def _by_encoding(token: Column, values: list) -> Column:
+    """The value that belongs to the encoding of a string."""
+    out = F.lit(values[-1])
+    for (pattern, *_), value in reversed(list(zip(_ENCODINGS[:-1], values))):
+        out = F.when(token.rlike(pattern), value).otherwise(out)
     return out
 
 
-def _departure(token: Column) -> Column:
+def _family(token: Column) -> Column:
+    return _by_encoding(_body(token), [e[2] for e in _ENCODINGS])
+
+
+def _departure(token: Column, letters: Column | None = None) -> Column:
     """How far a string is from uniform random letters of its encoding: three tests, as one z-value.
 
     Chi-squared of letter counts (by Wilson and Hilferty's cube root), the number
     of runs above and below the middle of the alphabet, and the correlation of
-    neighbours.
+    neighbours. ``letters`` may name another alphabet than that of the encoding.
     """
-    body = F.rtrim(token, F.lit("="))
-    return _let(body, lambda t: _let(_alphabet(t), lambda letters: _let(
-        F.transform(F.split(t, ""), lambda c: F.instr(letters, c) - 1), lambda codes: _tests(codes, F.length(letters))
-    )))
+    return _let(_body(token), lambda t: _let(
+        _by_encoding(t, [e[1] for e in _ENCODINGS]) if letters is None else letters,
+        lambda alphabet: _let(
+            F.transform(F.split(t, ""), lambda c: F.instr(alphabet, c) - 1), lambda codes: _tests(codes, F.length(alphabet))
+        ),
+    ))
 
 
 def _tests(codes: Column, letters: Column) -> Column:
@@ -174,56 +188,74 @@ def _normal(z: Column) -> Column:
 
 @dataclass(frozen=True)
 class Battery:
-    """For each class of lengths the departure up to which a string counts as a secret."""
+    """For word alphabets and classes of lengths the departure up to which a string counts as a secret."""
 
-    cuts: tuple[tuple[int, float], ...]
+    cuts: tuple[tuple[int, int, float], ...]
 
     def finds(self, token: Column, departure: Column) -> Column:
-        out = F.lit(False)
-        for least, cut in self.cuts:
-            out = F.when(_length_class(F.length(token)) == least, departure <= cut).otherwise(out)
-        return out
+        if not self.cuts:
+            return F.lit(False)
+        chosen = F.coalesce(
+            *[F.when((_family(token) == f) & (_length_class(F.length(token)) == k), cut) for f, k, cut in self.cuts]
+        )
+        return F.coalesce(departure <= chosen, F.lit(False))
 
 
 def fit_battery(docs: DataFrame, false_rate: float = 0.01) -> Battery:
     """Fit the battery on all strings of all documents.
 
     Letters-only strings are taken for long words. Mean and spread of their
-    departures, by class of lengths, make the null distribution "a word of this
-    length". A string's p-value is the share of words that look at least as
-    random. Within each class the Benjamini-Hochberg rule at ``false_rate``
-    turns the counts of p-values, in bins, into a cut. A class without words
-    takes the null of all classes; without any words nothing is found.
+    departures, by alphabet and class of lengths, make the null distribution "a
+    word of this length"; classes of few words take it from all words, whose
+    departure grows with the root of the length. A string's p-value is the share
+    of words that look at least as random. Within each alphabet and class the
+    Benjamini-Hochberg rule at ``false_rate`` turns the counts of p-values, in
+    bins, into a cut, so the power that a length gives decides how random a
+    string has to look. Without any words nothing is found.
     """
     tokens = docs.select(F.explode(_located(text_of(), _RUN)).alias("span")).select(F.col("span.token").alias("token"))
+    word = F.col("token").rlike("^[A-Za-z]+$")
     scored = write_out(
         tokens.select(
-            _length_class(F.length("token")).alias("class"), F.col("token").rlike("^[A-Za-z]+$").alias("word"), _departure(F.col("token")).alias("departure")
+            _length_class(F.length("token")).alias("class"),
+            F.sqrt(F.length("token").cast("double")).alias("root"),
+            _family(F.col("token")).alias("family"),
+            _departure(F.col("token")).alias("departure"),
+            *[
+                F.when(word, _departure(F.lower("token") if k < 2 else F.col("token"), F.lit(x))).alias(f"as{k}")
+                for k, x in enumerate(_WORD_ALPHABETS)
+            ],
         ),
         "departures",
     )
-    words = scored.where("word")
-    own = words.groupBy("class").agg(F.avg("departure").alias("mean"), F.stddev("departure").alias("sd"), F.count("*").alias("n"))
-    every = words.agg(F.avg("departure").alias("mean"), F.stddev("departure").alias("sd"), F.count("*").alias("n")).first()
-    if not every["n"] or not every["sd"]:
+    families = range(len(_WORD_ALPHABETS))
+    sums = [F.count("as0").alias("n"), *[x for k in families for x in (F.avg(f"as{k}").alias(f"mean{k}"), F.stddev(f"as{k}").alias(f"sd{k}"))]]
+    words = scored.where("as0 IS NOT NULL")
+    every = words.agg(*sums, *[F.avg(F.col(f"as{k}") / F.col("root")).alias(f"slope{k}") for k in families]).first()
+    if every["n"] < 2:
         return Battery(())
-    null = {k: (every["mean"], every["sd"]) for k in _CLASSES}
-    null |= {r["class"]: (r["mean"], r["sd"]) for r in own.collect() if r["n"] >= 30 and r["sd"]}
-    mean, sd = (F.coalesce(*[F.when(F.col("class") == k, float(v[i])) for k, v in null.items()]) for i in (0, 1))
-    p = _normal((F.col("departure") - mean) / sd)
+    null = {(f, k): (every[f"slope{f}"] * k**0.5, every[f"sd{f}"]) for f in families for k in _CLASSES}
+    for r in words.groupBy("class").agg(*sums).collect():  # a row for each class
+        if r["n"] >= 30:
+            null |= {(f, r["class"]): (r[f"mean{f}"], r[f"sd{f}"]) for f in families}
+    mean, sd = (
+        F.coalesce(*[F.when((F.col("family") == f) & (F.col("class") == k), float(v[i])) for (f, k), v in null.items()])
+        for i in (0, 1)
+    )
+    p = _normal((F.col("departure") - mean) / F.greatest(sd, F.lit(1e-9)))
     bins = scored.groupBy(
-        "class", F.least(F.floor(-10 * F.log10(F.greatest(p, F.lit(1e-300)))), F.lit(_BINS)).cast("int").alias("bin")
+        "family", "class", F.least(F.floor(-10 * F.log10(F.greatest(p, F.lit(1e-300)))), F.lit(_BINS)).cast("int").alias("bin")
     ).agg(F.count("*").alias("n"), F.max("departure").alias("most"))
+    rows = bins.collect()  # at most _BINS for each alphabet and class
     cuts = {}
-    # At most _BINS rows for each class.
-    for k in _CLASSES:
-        rows = {r["bin"]: r for r in bins.where(F.col("class") == k).collect()}
-        total, so_far = sum(r["n"] for r in rows.values()), 0
-        for b in sorted(rows, reverse=True):
-            so_far += rows[b]["n"]
+    for place in null:
+        own = sorted(((r["bin"], r["n"], r["most"]) for r in rows if (r["family"], r["class"]) == place), reverse=True)
+        total, so_far = sum(n for _, n, _ in own), 0
+        for b, n, most in own:
+            so_far += n
             if 10 ** (-b / 10) <= false_rate * so_far / total:
-                cuts[k] = rows[b]["most"]
-    return Battery(tuple(sorted(cuts.items())))
+                cuts[place] = most
+    return Battery(tuple((*place, cut) for place, cut in sorted(cuts.items())))
 
 
 # --- the scan -----------------------------------------------------------------------------
