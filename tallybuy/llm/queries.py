@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybuy.llm import exact_dedup, line_dedup, secrets, simhash
+import corpus_pipeline
+from tallybuy.llm import exact_dedup, language_id, line_dedup, packing, secrets, simhash, suffix_dedup, tokens
 from tallybuy.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +33,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query("op2_packing")
+def _packing(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), path, capacity=2048, end_id=1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @_query(
     "op3_exact_dedup",
     r"""
@@ -49,6 +60,12 @@ def _exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+@_query("op5_suffix_dedup")
+def _suffix_dedup(spark, sf_dir):
+    cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=50)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query("op6_secret_scans")
 def _secret_scans(spark, sf_dir):
     def number(kind):
@@ -65,6 +82,18 @@ def _secret_scans(spark, sf_dir):
     )
 
 
+@_query("op7_byte_bpe")
+def _byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = tokens.encode(_table(spark, sf_dir, "documents"), path)
+    return tokens.decode(encoded, path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @_query(
     "op8_line_dedup",
     r"""
@@ -88,6 +117,18 @@ def _line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@_query("op9_language_id")
+def _language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit_language_model(docs))
+    return found.select("doc_id", "language", "confidence", "accepted")
+
+
 @_query("op10_simhash")
 def _simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, most_bits=4)
+
+
+@_query("pipeline", corpus_pipeline.ORACLE_SQL)
+def _pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
