@@ -134,19 +134,59 @@ def byte_characters() -> tuple[str, ...]:
     return tuple(chr(b) if b in shown else chr(next(spare)) for b in range(256))
 
 
-class PieceEncoder:
-    """Ids of texts by a BPE model whose symbols are byte characters."""
+class TokenTable:
+    """The bytes of each id."""
 
-    def __init__(self, model, token_bytes: list[bytes]):
-        self._model = model
-        self._known: dict[int, int] = {}
-        self._ids: list[np.ndarray] = []
-        self._to_chars = {b: c for b, c in enumerate(byte_characters())}
+    def __init__(self, token_bytes: list[bytes]):
         self.sizes = np.array([len(x) for x in token_bytes], np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.table = np.frombuffer(b"".join(token_bytes), np.uint8)
         reuse_freed_memory()
 
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Bytes of the ids, by the reversed byte table."""
+        sizes = self.sizes[ids]
+        at = np.cumsum(sizes)
+        spread = np.repeat(self.begins[ids] - (at - sizes), sizes)
+        return self.table[spread + np.arange(len(spread))].tobytes()
+
+    def offsets(self, text: str, ids: np.ndarray) -> list[tuple[int, int]]:
+        """Code points that each id covers; a character that ids split is covered by all of them."""
+        data = np.frombuffer(text.encode(), np.uint8)
+        lead = (data & 0xC0) != 0x80
+        point = np.cumsum(lead) - 1  # the character of each byte
+        ends = np.cumsum(self.sizes[ids])
+        starts = ends - self.sizes[ids]
+        return [(int(point[a]), int(point[b - 1]) + 1) for a, b in zip(starts, ends)]
+
+class PieceEncoder(TokenTable):
+    """Ids of texts by a BPE model whose symbols are byte characters."""
+
+    def __init__(self, model, token_bytes: list[bytes]):
+        super().__init__(token_bytes)
+        self._model = model
+        self._forget()
+        self._to_chars = {b: c for b, c in enumerate(byte_characters())}
+
+    def _forget(self) -> None:
+        """No piece is known: sorted hashes, and where the ids of each begin and how many there are."""
+        self._known = np.empty(0, np.uint64)
+        self._at = np.empty(0, np.int64)
+        self._many = np.empty(0, np.int64)
+        self._flat = np.empty(0, np.uint32)
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Remember the ids of new pieces."""
+        ids = [self.piece_ids(p) for p in pieces]
+        many = np.fromiter(map(len, ids), np.int64, len(ids))
+        at = len(self._flat) + np.cumsum(many) - many
+        self._flat = np.concatenate([self._flat, np.array([i for x in ids for i in x], np.uint32)])
+        known = np.concatenate([self._known, hashes])
+        order = np.argsort(known)
+        self._known = known[order]
+        self._at = np.concatenate([self._at, at])[order]
+        self._many = np.concatenate([self._many, many])[order]
+
     def piece_ids(self, piece: str) -> list[int]:
         chars = piece.encode().decode("latin-1").translate(self._to_chars)
         return [t.id for t in self._model.tokenize(chars)]
@@ -161,24 +201,19 @@ class PieceEncoder:
         first = np.empty(len(distinct), np.int64)
         first[codes[::-1]] = np.arange(len(codes))[::-1]
         if len(self._known) + len(distinct) > _MOST_PIECES:
-            self._known.clear()
-            self._ids.clear()
-        known, held = self._known, self._ids
-        slots = np.empty(len(distinct), np.int64)
-        begin, end = starts[first].tolist(), ends[first].tolist()
-        for k, h in enumerate(distinct.tolist()):
-            slot = known.get(h)
-            if slot is None:
-                slot = known[h] = len(held)
-                held.append(np.array(self.piece_ids(joined[begin[k] : end[k]]), np.uint32))
-            slots[k] = slot
-        pool = [held[s] for s in slots.tolist()]
-        sizes = np.fromiter(map(len, pool), np.int64, len(pool))
-        flat = np.concatenate(pool) if pool else np.empty(0, np.uint32)
-        offset = np.cumsum(sizes) - sizes
-        counts = sizes[codes]
+            self._forget()
+        place = np.searchsorted(self._known, distinct)
+        new = np.ones(len(distinct), bool)
+        if len(self._known):
+            new = self._known[np.minimum(place, len(self._known) - 1)] != distinct
+        if new.any():
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._learn(distinct[new], [joined[a:b] for a, b in spans])
+            place = np.searchsorted(self._known, distinct)
+        slots = place[codes]
+        counts = self._many[slots]
         total = np.concatenate([[0], np.cumsum(counts)])
-        ids = flat[np.repeat(offset[codes] - total[:-1], counts) + np.arange(total[-1])]
+        ids = self._flat[np.repeat(self._at[slots] - total[:-1], counts) + np.arange(total[-1])]
         # Ids before each text: those of the pieces before it.
         return ids, total[np.searchsorted(starts, np.concatenate([[0], text_ends]))]
 
@@ -202,46 +237,55 @@ class PieceEncoder:
         ids = [i for a, b in zip(starts, [*starts[1:], len(text)]) for i in self.piece_ids(text[a:b])]
         return np.array(ids, np.uint32)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """Bytes of the ids, by the reversed byte table."""
-        sizes = self.sizes[ids]
-        at = np.cumsum(sizes)
-        spread = np.repeat(self.begins[ids] - (at - sizes), sizes)
-        return self.table[spread + np.arange(len(spread))].tobytes()
-
-    def offsets(self, text: str, ids: np.ndarray) -> list[tuple[int, int]]:
-        """Code points that each id covers; a character that ids split is covered by all of them."""
-        data = np.frombuffer(text.encode(), np.uint8)
-        lead = (data & 0xC0) != 0x80
-        point = np.cumsum(lead) - 1  # the character of each byte
-        ends = np.cumsum(self.sizes[ids])
-        starts = ends - self.sizes[ids]
-        return [(int(point[a]), int(point[b - 1]) + 1) for a, b in zip(starts, ends)]
-
 
 def _bytes_of(chars: str, back: dict[str, int]) -> bytes:
     return bytes(back[c] for c in chars)
 
 
-@lru_cache(maxsize=4)
-def from_json(path: str) -> PieceEncoder:
-    """Encoder of a tokenizer file with a byte-level BPE model; special tokens are ordinary text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
+def _json_bytes(tokenizer: Tokenizer) -> list[bytes]:
     back = {c: b for b, c in enumerate(byte_characters())}
     special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
     vocabulary = tokenizer.get_vocab(with_added_tokens=True)
     token_bytes = [b""] * (max(vocabulary.values()) + 1)
     for token, i in vocabulary.items():
         token_bytes[i] = token.encode() if token in special else _bytes_of(token, back)
-    return PieceEncoder(tokenizer.model, token_bytes)
+    return token_bytes
+
+
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
+
+
+def _rank_bytes(ranks: dict[bytes, int]) -> list[bytes]:
+    token_bytes = [b""] * (max(ranks.values()) + 1)
+    for token, i in ranks.items():
+        token_bytes[i] = token
+    return token_bytes
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> PieceEncoder:
+    """Encoder of a byte-level BPE tokenizer: a ``.json`` file, or ranks."""
+    return from_json(path) if path.endswith(".json") else from_ranks(path)
+
+
+@lru_cache(maxsize=2)
+def table(path: str) -> TokenTable:
+    """Only what decoding needs of a tokenizer file."""
+    return TokenTable(_json_bytes(Tokenizer.from_file(path)) if path.endswith(".json") else _rank_bytes(_ranks(path)))
+
+
+def from_json(path: str) -> PieceEncoder:
+    """Encoder of a tokenizer file with a byte-level BPE model; special tokens are ordinary text."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    return PieceEncoder(tokenizer.model, _json_bytes(tokenizer))
 
 
-@lru_cache(maxsize=4)
 def from_ranks(path: str) -> PieceEncoder:
     """Encoder of a rank file: merges are all ways to put a token together from two others, by its rank."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
+    ranks = _ranks(path)
     chars = byte_characters()
 
     def shown(token: bytes) -> str:
@@ -253,7 +297,4 @@ def from_ranks(path: str) -> PieceEncoder:
         ways = [(a, b) for a, b in ways if a in ranks and b in ranks]
         merges += [(shown(a), shown(b)) for a, b in sorted(ways, key=lambda w: (ranks[w[0]], ranks[w[1]]))]
     model = models.BPE(vocab={shown(t): i for t, i in ranks.items()}, merges=merges, ignore_merges=True)
-    token_bytes = [b""] * (max(ranks.values()) + 1)
-    for token, i in ranks.items():
-        token_bytes[i] = token
-    return PieceEncoder(model, token_bytes)
+    return PieceEncoder(model, _rank_bytes(ranks))

@@ -150,13 +150,15 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1) -> D
     """
 
     def run(batches):
-        encoder = byte_bpe.from_json(path)
+        encoder = byte_bpe.encoder(path)
         sequence = TaskContext.get().partitionId() << 40
 
         def documents():
             for batch in batches:
-                for doc, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist())):
-                    yield doc, np.append(ids, np.uint32(end_id)).astype("<u4")
+                for at in range(0, batch.num_rows, _FLUSH_ROWS):
+                    part = batch.slice(at, _FLUSH_ROWS)
+                    for doc, ids in zip(part["doc_id"].to_pylist(), encoder.encode(part["text"].to_pylist())):
+                        yield doc, np.append(ids, np.uint32(end_id)).astype("<u4")
 
         rows: list[tuple] = []
         for pieces in pack_stream(documents(), capacity):

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from tallybuy.llm import byte_bpe
 from tallybuy.llm.common import text_of
 
+#: Rows that are taken, and go out, at once.
+_ROWS = 500
 _OFFSETS = "array<struct<start: int, end: int>>"
 
 
-def _encoder(path: str) -> byte_bpe.PieceEncoder:
-    return byte_bpe.from_json(path) if path.endswith(".json") else byte_bpe.from_ranks(path)
+def _slices(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
 
 
 def encode(docs: DataFrame, path: str, offsets: bool = False) -> DataFrame:
@@ -28,8 +32,8 @@ def encode(docs: DataFrame, path: str, offsets: bool = False) -> DataFrame:
     """
 
     def run(batches):
-        encoder = _encoder(path)
-        for batch in batches:
+        encoder = byte_bpe.encoder(path)
+        for batch in _slices(batches):
             texts = batch["text"].to_pylist()
             ids = list(encoder.encode(texts))
             columns = [
@@ -55,9 +59,9 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     kept = [c for c in tokens.columns if c not in ("ids", "decoded")]
 
     def run(batches):
-        encoder = _encoder(path)
-        for batch in batches:
-            out = [encoder.decode(np.frombuffer(x or b"", "<u4")) for x in batch["ids"].to_pylist()]
+        table = byte_bpe.table(path)
+        for batch in _slices(batches):
+            out = [table.decode(np.frombuffer(x or b"", "<u4")) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in kept), batch["ids"], pa.array(out, pa.binary())], names=[*kept, "ids", "decoded"]
             )

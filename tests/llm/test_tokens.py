@@ -44,7 +44,7 @@ HARD = [
 
 @pytest.mark.parametrize("path", [JSON, RANKS])
 def test_ids_match_the_libraries(path, reference):
-    encoder = tokens._encoder(path)
+    encoder = byte_bpe.encoder(path)
     texts = HARD + list(small_texts_cached())
     got = [x.tolist() for x in encoder.encode(texts)]
     for text, ids in zip(texts, got):
@@ -66,13 +66,13 @@ PIECES = st.sampled_from(["'", "s", "ll", "re", " ", "  ", "\n", "\t", " ", "wo
 def test_ids_of_made_up_texts(texts):
     tokenizer = Tokenizer.from_file(JSON) if not hasattr(test_ids_of_made_up_texts, "t") else test_ids_of_made_up_texts.t
     test_ids_of_made_up_texts.t = tokenizer
-    encoder = byte_bpe.from_json(JSON)
+    encoder = byte_bpe.encoder(JSON)
     got = [x.tolist() for x in encoder.encode(texts)]
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_offsets_cover_split_characters():
-    encoder = byte_bpe.from_json(JSON)
+    encoder = byte_bpe.encoder(JSON)
     text = "a 👩‍👩 日本é x"
     (ids,) = encoder.encode([text])
     spans = encoder.offsets(text, ids)
@@ -82,8 +82,8 @@ def test_offsets_cover_split_characters():
 
 
 def test_equal_hashes_change_nothing(monkeypatch, reference):
-    encoder = byte_bpe.PieceEncoder(byte_bpe.from_json(JSON)._model, [b""])
-    whole = byte_bpe.from_json(JSON)
+    encoder = byte_bpe.PieceEncoder(byte_bpe.encoder(JSON)._model, [b""])
+    whole = byte_bpe.encoder(JSON)
     encoder.sizes, encoder.begins, encoder.table = whole.sizes, whole.begins, whole.table
     monkeypatch.setattr(byte_bpe, "_piece_hash", lambda units, starts, ends: (ends - starts).astype(np.uint64))
     texts = ["one two six ten", "abc def ghi"]
