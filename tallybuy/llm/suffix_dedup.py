@@ -20,8 +20,6 @@ documents hold it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -34,7 +32,7 @@ from tallybuy.session import write_out
 #: Anchors are hashes of so many bytes.
 _GRAM = 24
 #: Bytes of text in a block, about; a longer text is a block of its own.
-_BLOCK_BYTES = 16 << 20
+_BLOCK_BYTES = 4 << 20
 #: Bytes of text for each shard of segments, about, and shards of segments for one of anchors.
 _SHARD_BYTES, _FINE = 4 << 20, 3
 #: Segments in a batch.
@@ -68,7 +66,6 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         block, held, size = TaskContext.get().partitionId() << 32, [], 0
-        null = pa.scalar(None, pa.int64())
 
         def flush():
             texts = [t.encode() for _, _, t in held]
@@ -154,7 +151,10 @@ def _anchors(block: _Block, length: int) -> tuple[np.ndarray, np.ndarray, np.nda
         return none.astype(np.uint64), none, none, none
     first = np.concatenate(firsts)
     document = np.searchsorted(block.ends, first, side="right")
-    return np.concatenate(hashes), first, np.concatenate(counts), document
+    # The smallest hashes of many are small; mixed once more they spread over all shards.
+    mixed = np.concatenate(hashes) * np.uint64(0x94D049BB133111EB)
+    mixed ^= mixed >> np.uint64(32)
+    return mixed * np.uint64(0xFF51AFD7ED558CCD), first, np.concatenate(counts), document
 
 
 # --- step 1: anchors of several blocks ----------------------------------------------------
@@ -164,6 +164,10 @@ def _shard_bits(total_bytes: int) -> int:
     return max(3 + _FINE, (total_bytes // _SHARD_BYTES).bit_length())
 
 
+def _tasks(bits: int) -> int:
+    return min(1 << bits, 8192)
+
+
 def _split(keys: np.ndarray, bits: int):
     """Slices of sorted 64-bit keys by their top bits: (shard, slice)."""
     shard = (keys >> np.uint64(64 - bits)).astype(np.int64)
@@ -218,7 +222,8 @@ def _shared_anchors(blocks: DataFrame, length: int, bits: int) -> DataFrame:
         return pa.Table.from_batches([_rows(out, kinds)])
 
     schema = "shard bigint, block bigint, hashes binary"
-    return blocks.mapInArrow(send, schema).groupBy("shard").applyInArrow(meet, schema)
+    # A shard is work enough for a task; small as its rows are, they aren't to be put together with others.
+    return blocks.mapInArrow(send, schema).repartition(_tasks(bits), "shard").groupBy("shard").applyInArrow(meet, schema)
 
 
 # --- step 2: segments ---------------------------------------------------------------------
@@ -230,6 +235,16 @@ def _gathered(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndar
     return data[np.repeat(first - (at - sizes), sizes) + np.arange(at[-1] if len(at) else 0)]
 
 
+def _alike(data: np.ndarray, one: np.ndarray, two: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether slices that begin in two places are equal."""
+    out = np.empty(len(one), bool)
+    for at in range(0, len(one), _CHUNK):
+        k = slice(at, at + _CHUNK)
+        differ = _gathered(data, one[k], sizes[k]) != _gathered(data, two[k], sizes[k])
+        out[k] = ~np.logical_or.reduceat(differ, np.cumsum(sizes[k]) - sizes[k])
+    return out
+
+
 def _segment_hash(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Hash of each slice of at least 8 bytes: of its overlapping words, and its size."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
@@ -278,10 +293,8 @@ def _segments(blocks: DataFrame, shared: DataFrame, length: int, bits: int, coar
                 lead = of[rows]
                 alike = sizes[rows] == sizes[lead]
                 rows, lead = rows[alike], lead[alike]
-                differ = _gathered(block.data, first[rows], sizes[rows]) != _gathered(block.data, first[lead], sizes[rows])
-                bad = np.add.reduceat(differ, np.cumsum(sizes[rows]) - sizes[rows]) > 0 if len(rows) else np.empty(0, bool)
                 later[:] = False
-                later[rows[~bad]] = True
+                later[rows[_alike(block.data, first[rows], first[lead], sizes[rows])]] = True
             if later.any():
                 out["shard"].append(-1)
                 out["block"].append(key[0].as_py())
@@ -346,7 +359,7 @@ class SuffixIndex:
         return least[place] < documents
 
 
-def _found(segments: DataFrame, length: int) -> DataFrame:
+def _found(segments: DataFrame, length: int, bits: int) -> DataFrame:
     """``block, body``: strings that repeat, as starts and numbers of neighbours."""
     kinds = {"block": pa.int64(), "body": pa.binary()}
 
@@ -359,6 +372,7 @@ def _found(segments: DataFrame, length: int) -> DataFrame:
         strings = strings.astype(np.int64)
         sizes = strings + length - 1
         begin = np.cumsum(sizes) - sizes
+        slices = np.lib.stride_tricks.sliding_window_view(data, length)
         order = np.argsort(dids, kind="stable")
         index = SuffixIndex()
         runs = []
@@ -368,7 +382,7 @@ def _found(segments: DataFrame, length: int) -> DataFrame:
             of = np.repeat(np.arange(len(k)), n)
             step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
             where = begin[k][of] + step
-            texts = np.ascontiguousarray(data[where[:, None] + np.arange(length)]).view(f"S{length}").ravel()
+            texts = slices[where].view(f"S{length}").ravel()
             hit = index.scan(texts, dids[k][of])
             of, step = of[hit], step[hit]
             if len(of):
@@ -386,7 +400,8 @@ def _found(segments: DataFrame, length: int) -> DataFrame:
                 out["body"].append(_squeeze(start[by[a:b]].astype("<u4"), count[by[a:b]].astype("<u4")))
         return pa.Table.from_batches([_rows(out, kinds)])
 
-    looked_up = segments.where("shard >= 0").groupBy("shard").applyInArrow(look_up, "block bigint, body binary")
+    sent = segments.where("shard >= 0").repartition(_tasks(bits), "shard")
+    looked_up = sent.groupBy("shard").applyInArrow(look_up, "block bigint, body binary")
     return looked_up.unionByName(segments.where("shard < 0").select("block", "body"))
 
 
@@ -450,4 +465,4 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     coarse = bits - _FINE
     shared = _shared_anchors(blocks, length, coarse)
     segments = write_out(_segments(blocks, shared, length, bits, coarse), "segments")
-    return _removed(blocks, _found(segments, length), length)
+    return _removed(blocks, _found(segments, length, bits), length)
