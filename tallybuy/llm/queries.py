@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybuy.llm import exact_dedup, language_id, line_dedup, packing, secrets, simhash, suffix_dedup, tokens
+from tallybuy.llm import exact_dedup, language_id, line_dedup, packing, secrets, simhash, suffix_dedup, tokens, top_k, toxicity
 from tallybuy.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query("op1_toxicity")
+def _toxicity(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @_query("op2_packing")
 def _packing(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +69,24 @@ def _exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+@_query(
+    "op4_exact_top_k",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def _exact_top_k(spark, sf_dir):
+    return top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @_query("op5_suffix_dedup")
 def _suffix_dedup(spark, sf_dir):
     cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=50)

@@ -20,10 +20,8 @@ _NONE = np.iinfo(np.int64).min
 
 def _vectors(rows: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
     """``row, vec_id, did, v``: vectors without null or non-finite components, as whole numbers."""
-    vector = F.col(vector_column)
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     return rows.select(
-        F.col(id_column).cast("bigint").alias("vec_id"), vector.alias("_vector"), F.monotonically_increasing_id().alias("row")
+        F.col(id_column).cast("bigint").alias("vec_id"), F.col(vector_column).alias("_vector"), F.monotonically_increasing_id().alias("row")
     ).where(F.col("_vector").isNotNull()).select(
         "row",
         "vec_id",
