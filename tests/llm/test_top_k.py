@@ -73,7 +73,7 @@ def test_blocks_and_bounds_lose_nothing():
             {"v": q, "rows": np.arange(40), "threshold": threshold}, {"v": v, "ids": ids, "rows": np.arange(5000)}, basis, 5, 4
         )
         for i in range(40):
-            top = np.lexsort((ids, -want[i]))[:5]
+            top = np.lexsort((ids, ~want[i]))[:5]
             assert best.scores[i].tolist() == want[i][top].tolist() and best.ids[i].tolist() == ids[top].tolist()
 
 
