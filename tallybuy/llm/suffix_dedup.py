@@ -258,7 +258,7 @@ def _segment_hash(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.
 
 
 def _segments(blocks: DataFrame, shared: DataFrame, length: int, bits: int, coarse: int) -> DataFrame:
-    """``shard, block, body``: segments to look up (by shard), or strings known to repeat (shard -1)."""
+    """``shard, block, body``: segments to look up, by shard, or strings known to repeat, with a negative shard."""
     kinds = {"shard": pa.int64(), "block": pa.int64(), "body": pa.binary()}
 
     def select(key, block_rows, shared_rows):
@@ -296,7 +296,7 @@ def _segments(blocks: DataFrame, shared: DataFrame, length: int, bits: int, coar
                 later[:] = False
                 later[rows[_alike(block.data, first[rows], first[lead], sizes[rows])]] = True
             if later.any():
-                out["shard"].append(-1)
+                out["shard"].append(-1 - key[0].as_py())
                 out["block"].append(key[0].as_py())
                 out["body"].append(_squeeze(first[later].astype("<u4"), strings[later].astype("<u4")))
             go = np.flatnonzero(~later)
@@ -364,6 +364,8 @@ def _found(segments: DataFrame, length: int, bits: int) -> DataFrame:
     kinds = {"block": pa.int64(), "body": pa.binary()}
 
     def look_up(key, table):
+        if key[0].as_py() < 0:
+            return table.select(["block", "body"])
         reuse_freed_memory()
         names = table["block"].to_numpy()
         parts = [_expand(x, "i8", "<u4", "u1", "u1") for x in table["body"].to_pylist()]
@@ -400,9 +402,8 @@ def _found(segments: DataFrame, length: int, bits: int) -> DataFrame:
                 out["body"].append(_squeeze(start[by[a:b]].astype("<u4"), count[by[a:b]].astype("<u4")))
         return pa.Table.from_batches([_rows(out, kinds)])
 
-    sent = segments.where("shard >= 0").repartition(_tasks(bits), "shard")
-    looked_up = sent.groupBy("shard").applyInArrow(look_up, "block bigint, body binary")
-    return looked_up.unionByName(segments.where("shard < 0").select("block", "body"))
+    sent = segments.repartition(_tasks(bits), "shard")
+    return sent.groupBy("shard").applyInArrow(look_up, "block bigint, body binary")
 
 
 # --- step 4: removal ----------------------------------------------------------------------
@@ -464,5 +465,5 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     bits = _shard_bits(total)
     coarse = bits - _FINE
     shared = _shared_anchors(blocks, length, coarse)
-    segments = write_out(_segments(blocks, shared, length, bits, coarse), "segments")
+    segments = _segments(blocks, shared, length, bits, coarse)
     return _removed(blocks, _found(segments, length, bits), length)
