@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+import random
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import PCA, RobustScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybuy.functions.ordering import exact_quantiles
@@ -49,11 +49,12 @@ def robust_scale(
 def robust_scale_sketch(
     df: DataFrame, lower: float = 0.001, upper: float = 0.999, kept: Sequence[str] = KEPT
 ) -> DataFrame:
-    """The same from quantile sketches: one pass, within a small rank error."""
+    """The same from quantile sketches: one pass, ranks right to a hundredth of the outer shares."""
     columns = _features(df, kept)
     vectors = VectorAssembler(inputCols=columns, outputCol="_raw").transform(_filled(df, columns))
     scaler = RobustScaler(
-        lower=lower, upper=upper, withCentering=True, inputCol="_raw", outputCol="_scaled"
+        lower=lower, upper=upper, withCentering=True, inputCol="_raw", outputCol="_scaled",
+        relativeError=min(lower, 1.0 - upper) / 100.0,
     )
     scaled = scaler.fit(vectors).transform(vectors).withColumn("_a", vector_to_array("_scaled"))
     return scaled.select(
@@ -84,25 +85,33 @@ def reduce_dimension(df: DataFrame, kept: Sequence[str] = KEPT, share: float = 0
     )
 
 
-def rotation_matrix(n: int, seed: int = 0, proper: bool = True) -> np.ndarray:
-    """Random orthogonal matrix; with ``proper`` its determinant is +1."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(n, n)))
-    turned = q * np.sign(np.diagonal(r))
-    if proper and np.linalg.det(turned) < 0:
-        turned[:, 0] *= -1.0
-    return turned
+def plane_angles(width: int, seed: int = 0, rounds: int = 2) -> list[list[float]]:
+    """Angles of the plane rotations of each round, one for each pair of positions."""
+    rng = random.Random(seed)
+    return [[rng.uniform(0.0, 2.0 * math.pi) for _ in range(width // 2)] for _ in range(rounds)]
 
 
-def rotate_vectors(df: DataFrame, vector: str, matrix: np.ndarray) -> DataFrame:
-    """Multiply every vector by the matrix, batch by batch."""
-    fixed = np.asarray(matrix, dtype=float)
+def rotate_vectors(df: DataFrame, vector: str, angles: Sequence[Sequence[float]]) -> DataFrame:
+    """Rotate every vector: each round turns pairs of positions by its angles.
 
-    @F.pandas_udf("array<double>")
-    def turn(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            if len(batch) == 0:
-                yield pd.Series([], dtype=object)
-                continue
-            yield pd.Series(list(np.stack(batch.to_numpy()).astype(float) @ fixed.T))
-
-    return df.withColumn(vector, turn(F.col(vector)))
+    A round pairs position i with i + width // 2, then moves all positions on by
+    one, so the next round pairs others. Lengths and angles between vectors stay.
+    NULL vectors stay NULL; positions without a partner are only moved.
+    """
+    out = df.withColumn(vector, F.col(vector).cast("array<double>"))
+    for planes in angles:
+        cosines = F.array(*[F.lit(math.cos(a)) for a in planes])
+        sines = F.array(*[F.lit(math.sin(a)) for a in planes])
+        # A column for each round: its cells refer to the vector of the round before.
+        out = out.withColumn(vector, _turned(F.col(vector), cosines, sines, len(planes)))
+        out = out.withColumn(vector, F.concat(F.slice(vector, 2, F.greatest(F.size(vector) - 1, F.lit(0))), F.slice(vector, 1, 1)))
+    return out
+
+
+def _turned(v: Column, cosines: Column, sines: Column, half: int) -> Column:
+    def cell(x: Column, i: Column) -> Column:
+        low = x * F.get(cosines, i) - F.get(v, i + half) * F.get(sines, i)
+        high = F.get(v, i - half) * F.get(sines, i - half) + x * F.get(cosines, i - half)
+        return F.when(i < half, low).when(i < 2 * half, high).otherwise(x)
+
+    return F.transform(v, cell)

@@ -70,4 +70,4 @@ def dictionary_columns(features: DataFrame, key: str, width: int | None = None)
 
 def resolve_vectors(mapping: DataFrame, vectors: DataFrame, key: str) -> DataFrame:
     """``raw_id → dense_id`` joined with ``dense_id → vector``, keyed by raw id."""
-    return mapping.join(vectors, "dense_id").select(F.col("raw_id").alias(key), "vector")
+    return lookup(mapping, vectors, ["dense_id"], "inner").select(F.col("raw_id").alias(key), "vector")
