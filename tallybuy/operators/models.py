@@ -13,18 +13,18 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import RobustScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybuy.operators.blend import mean_per_pair, roc_area
+from tallybuy.operators.joins import lookup
 from tallybuy.operators.keys import dense_id_table
 from tallybuy.operators.population import PAIR, mark_split, rows_of
 from tallybuy.operators.population import first_per_pair, rows_to_score, training_rows
 from tallybuy.operators.scaling import reduce_dimension, robust_scale
 from tallybuy.operators.selection import FeatureSelector
-from tallybuy.session import write_out
+from tallybuy.session import workspace, write_out
 
 NOT_FEATURES = (
     "user_id", "seller_id", "user_seller", "label", "part", "weight", "is_valid",
@@ -65,11 +65,10 @@ def class_weights(rows: DataFrame, negative: float = 0.05, positive: float = 0.9
 
 
 def _trees(**params) -> GBTClassifier:
-    return GBTClassifier(
-        featuresCol="features", labelCol="label", validationIndicatorCol="is_valid", **params
-    )
+    return GBTClassifier(featuresCol="features", labelCol="label", **params)
 
 
+# The settings of the three tree learners and the patience of the first two.
 def histogram_trees(max_iter: int = 3000, seed: int = 0, **params) -> GBTClassifier:
     """Deep slow learner: depth 6, step 0.02, 63 bins."""
     settings = {"maxDepth": 6, "stepSize": 0.02, "maxBins": 63, "minInstancesPerNode": 500}
@@ -91,6 +90,45 @@ def weighted_trees(max_iter: int = 1000, seed: int = 0, **params) -> GBTClassifi
     return _trees(maxIter=max_iter, seed=seed, **{**settings, **params})
 
 
+PATIENCE = {0: 200, 1: 30}
+
+
+def fit_with_patience(estimator, train: DataFrame, valid: DataFrame, patience: int | None):
+    """Boosted trees up to the round that is best on the valid rows.
+
+    Training ends once ``patience`` rounds bring nothing better, or with the
+    estimator's budget; without patience the budget is used up. Rounds are fitted
+    in doubling numbers: equal seeds give equal first trees, so a longer fit goes
+    on where the shorter one ended.
+    """
+    _keep_lineage_short(train.sparkSession)
+    budget = estimator.getMaxIter()
+    if patience is None or valid.isEmpty():
+        return estimator.fit(train)
+    rounds = min(budget, max(20, patience + patience // 4))
+    while True:
+        model = estimator.copy({estimator.maxIter: rounds}).fit(train)
+        losses = _losses(model, valid)
+        best = int(np.argmin(losses))
+        if rounds == budget or rounds - 1 - best >= patience:
+            break
+        rounds = min(budget, 2 * rounds)
+    return model if best + 1 == rounds else estimator.copy({estimator.maxIter: best + 1}).fit(train)
+
+
+def _losses(model, valid: DataFrame) -> list[float]:
+    """Loss on the valid rows after each round."""
+    if isinstance(model, GBTRegressionModel):
+        return model.evaluateEachIteration(valid, "squared")
+    return model.evaluateEachIteration(valid)
+
+
+def _keep_lineage_short(spark) -> None:
+    """Boosting checkpoints every few rounds, if there is a folder for it."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{workspace(spark)}/boosting")
+
+
 def logistic(max_iter: int = 5000, seed: int = 0, **params) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iter, **params
@@ -117,27 +155,38 @@ MODEL_KINDS: dict[int, ModelKind] = {
 def fit_model(rows: DataFrame, kind: int = 0, seed: int = 0, **params) -> PipelineModel:
     """Fit one model on rows marked ``part`` = train or valid.
 
-    Trees stop early on the valid rows; the linear model sees train rows only.
+    Trees stop early on the valid rows, with the patience of their kind; the
+    linear model and the weighted trees see train rows only, and class weights
+    balance the train rows.
     """
     family = MODEL_KINDS[kind]
     columns = feature_columns(rows)
     ready = fill_features(rows.where(F.col("part").isin("train", "valid")), columns)
-    ready = ready.withColumn("is_valid", F.col("part") == "valid").withColumn(
-        "label", F.col("label").cast("double")
-    )
+    ready = write_out(ready.withColumn("label", F.col("label").cast("double")), "fit")
+    train, valid = ready.where("part = 'train'"), ready.where("part = 'valid'")
     if family.weigh:
-        ready = family.weigh(ready)
+        train = family.weigh(train)
     stages: list = [VectorAssembler(inputCols=columns, outputCol="raw" if family.scale else "features")]
     if family.scale:
-        ready = ready.where(~F.col("is_valid"))
         stages.append(
             RobustScaler(
-                lower=0.01, upper=0.99, withCentering=True, inputCol="raw", outputCol="features"
+                lower=0.01, upper=0.99, withCentering=True, relativeError=1e-4,
+                inputCol="raw", outputCol="features",
             )
         )
-    stages.append(family.estimator(seed=seed, **params))
+    prepare = Pipeline(stages=stages).fit(train)
     # Fitting passes over the rows many times.
-    return Pipeline(stages=stages).fit(write_out(ready, "fit"))
+    kept = ["features", "label", *(["weight"] if family.weigh else [])]
+    vectors = write_out(prepare.transform(train).select(*kept), "fit-vectors")
+    patience = params.pop("patience", PATIENCE.get(kind))
+    estimator = family.estimator(seed=seed, **params)
+    if kind in PATIENCE:
+        checked = write_out(prepare.transform(valid).select("features", "label"), "valid-vectors")
+        last = fit_with_patience(estimator, vectors, checked, patience)
+    else:
+        _keep_lineage_short(ready.sparkSession)
+        last = estimator.fit(vectors)
+    return PipelineModel([*prepare.stages, last])
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -178,6 +227,7 @@ def score_with_saved(paths: Mapping[str, str], rows: DataFrame) -> DataFrame:
 def tree_importances(
     rows: DataFrame, columns: Sequence[str], label: str, task: str, n_runs: int,
     early_stopping: bool = True, max_iter: int = 1000, step: float = 0.05, keys: Sequence[str] = PAIR,
+    patience: int = 100,
     **params,
 ) -> dict[str, float]:
     """Mean feature importance of boosted trees over seeds 0 … n_runs − 1."""
@@ -191,12 +241,12 @@ def tree_importances(
     total = np.zeros(len(columns))
     for seed in range(n_runs):
         settings = {"maxIter": max_iter, "stepSize": step, "seed": seed, **params}
-        frame = vectors
+        train, valid = vectors, vectors.limit(0)
         if early_stopping:
-            digest = F.xxhash64(*known, F.lit(f"importance/{seed}"))
-            frame = vectors.withColumn("is_valid", F.pmod(digest, F.lit(100)) < 15)
-            settings["validationIndicatorCol"] = "is_valid"
-        total += build(**settings).fit(frame).featureImportances.toArray()
+            chosen = F.pmod(F.xxhash64(*known, F.lit(f"importance/{seed}")), F.lit(100)) < 15
+            train, valid = vectors.where(~chosen), vectors.where(chosen)
+        model = fit_with_patience(build(**settings), train, valid, patience if early_stopping else None)
+        total += model.featureImportances.toArray()
     return dict(zip(columns, (total / n_runs).tolist()))
 
 
@@ -319,10 +369,12 @@ def draw_settings(space: Mapping[str, Draw], n: int, seed: int = 50) -> list[dic
 
 def cross_validate(
     rows: DataFrame, settings: Sequence[dict], n_folds: int = 4, seed: int = 50,
-    parallelism: int = 2, max_iter: int = 5000,
+    max_iter: int = 5000, patience: int = 40,
 ) -> DataFrame:
     """Mean ROC area and loss of each parameter setting over the folds.
 
+    A fold's trees stop early on the fold itself, at their best round.
+
     Rows are assembled and written out once; folds come from a key hash, so
     they do not change between attempts of a task.
     """
@@ -335,30 +387,44 @@ def cross_validate(
         .select(*PAIR, "features", "label", fold.alias("fold")),
         "folds",
     )
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, seed=seed)
-    maps = []
-    for chosen in settings:
-        named = {
-            k: (str(v) if k == "featureSubsetStrategy" else v) for k, v in chosen.items()
-        }
-        maps.append({trees.getParam(k): v for k, v in named.items()})
-    search = CrossValidator(
-        estimator=trees,
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-        numFolds=n_folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    ).fit(vectors)
-    table = [
-        (i, str(sorted(chosen.items())), float(a), 1.0 - float(a))
-        for i, (chosen, a) in enumerate(zip(settings, search.avgMetrics))
-    ]
+    measure = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    table = []
+    for i, chosen in enumerate(settings):
+        areas = []
+        for k in range(n_folds):
+            trees = setting_trees(chosen, max_iter, seed)
+            valid = vectors.where(F.col("fold") == k)
+            model = fit_with_patience(trees, vectors.where(F.col("fold") != k), valid, patience)
+            areas.append(measure.evaluate(model.transform(valid)))
+        auc = float(np.mean(areas))
+        table.append((i, str(sorted(chosen.items())), auc, 1.0 - auc))
     return rows.sparkSession.createDataFrame(
         table, "setting int, params string, auc double, loss double"
     )
 
 
+def setting_trees(chosen: Mapping, max_iter: int = 5000, seed: int = 50) -> GBTClassifier:
+    """Boosted trees with drawn parameters; a drawn number of rounds is the budget."""
+    named = {k: (str(v) if k == "featureSubsetStrategy" else v) for k, v in chosen.items()}
+    return _trees(**{"maxIter": max_iter, "seed": seed, **named})
+
+
+def fit_best(rows: DataFrame, settings: Sequence[dict], table: DataFrame, max_iter: int = 5000, seed: int = 50,
+             patience: int = 40) -> tuple[PipelineModel, dict, float]:
+    """Model of the best setting of a search on rows marked train and valid, its parameters and its ROC area there."""
+    best = table.orderBy(F.desc("auc"), "setting").first()
+    chosen = settings[best["setting"]]
+    columns = feature_columns(rows)
+    ready = fill_features(rows.where(F.col("part").isin("train", "valid")), columns)
+    assembler = VectorAssembler(inputCols=columns, outputCol="features")
+    vectors = write_out(
+        assembler.transform(ready.withColumn("label", F.col("label").cast("double"))).select("part", "features", "label"), "best"
+    )
+    train, valid = vectors.where("part = 'train'"), vectors.where("part = 'valid'")
+    model = fit_with_patience(setting_trees(chosen, max_iter, seed), train, valid, patience)
+    return PipelineModel([assembler, model]), chosen, float(best["auc"])
+
+
 def sampled_search(rows: DataFrame, n_settings: int = 15, seed: int = 50, **kw) -> DataFrame:
     """Draws from the staged space, four folds."""
     return cross_validate(rows, draw_settings(STAGED_SPACE, n_settings, seed), 4, seed, **kw)
@@ -386,17 +452,15 @@ def pair_factors(
     ALS wants 32-bit ids, hence the dense ids in between; the factor tables
     carry the raw ids again.
     """
+    counts = write_out(counts, "pair-counts")
     table = write_out(dense_id_table(counts, ["user_id", "seller_id"]), "dense-ids")
     users = table.where(F.col("column") == "user_id").drop("column")
     sellers = table.where(F.col("column") == "seller_id").drop("column")
-    indexed = (
-        counts.join(users.select(F.col("raw_id").alias("user_id"), F.col("dense_id").alias("u")), "user_id")
-        .join(
-            sellers.select(F.col("raw_id").alias("seller_id"), F.col("dense_id").alias("s")),
-            "seller_id",
-        )
-        .select(F.col("u").cast("int"), F.col("s").cast("int"), F.col(value).cast("float").alias("v"))
+    counts = lookup(counts, users.select(F.col("raw_id").alias("user_id"), F.col("dense_id").alias("u")), ["user_id"], "inner")
+    counts = lookup(
+        counts, sellers.select(F.col("raw_id").alias("seller_id"), F.col("dense_id").alias("s")), ["seller_id"], "inner"
     )
+    indexed = counts.select(F.col("u").cast("int"), F.col("s").cast("int"), F.col(value).cast("float").alias("v"))
     model = ALS(
         rank=rank, maxIter=max_iter, implicitPrefs=True, nonnegative=True, seed=seed,
         userCol="u", itemCol="s", ratingCol="v",

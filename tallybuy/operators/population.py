@@ -12,7 +12,6 @@ from tallybuy.operators.joins import lookup
 from tallybuy.operators.keys import add_composite_keys, promo_buys
 
 PAIR = ("user_id", "seller_id")
-_BUCKETS = 10_000
 
 ENTITY_KEYS = {
     "user_id": ["user_id"],
@@ -86,8 +85,8 @@ def rows_outside(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def split_share(salt: str | int = 0, keys: Sequence[str] = PAIR):
     """Number in [0, 1) that depends on the key and the salt alone."""
-    digest = F.xxhash64(*[F.col(k).cast("bigint") for k in keys], F.lit(str(salt)))
-    return F.pmod(digest, F.lit(_BUCKETS)) / float(_BUCKETS)
+    text = F.concat_ws("|", *[F.col(k).cast("bigint").cast("string") for k in keys], F.lit(str(salt)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
 def mark_split(

@@ -1,7 +1,8 @@
 """Model fits, searches and factor tables over the training frame.
 
-Fits have no SQL twin. They run over whole tables; what is small here is the
-number of boosting rounds, runs and settings, which callers choose.
+Fits have no SQL twin. They run over whole tables. Boosted trees here have a
+smaller budget of rounds than the defaults of the functions, and leaves of five
+rows, as the fixtures have a few hundred labelled pairs; runs and settings are few.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ from tallybuy.operators.scaling import reduce_dimension
 from tallybuy.operators.selection import FeatureSelector
 from tallybuy.plans.assembly import training_frame
 from tallybuy.plans.catalogue import query
+from tallybuy.plans.populations import PART_SQL
+from tallybuy.plans.sql import over
 from tallybuy.session import workspace, write_out
 
-_ROUNDS = {"max_iter": 5, "minInstancesPerNode": 5}
+_ROUNDS = {"max_iter": 60, "minInstancesPerNode": 5}
 
 
 def _features(fx):
@@ -42,6 +45,13 @@ def _train_rows(fx):
     return training_rows(_features(fx), fx.labelled(), keep=0.5)
 
 
+@query("train_parts", over("labelled", body=f"SELECT *, {PART_SQL} AS part FROM labelled"))
+def _train_parts(fx):
+    fx = fx.stored()
+    marked = training_rows(_features(fx), fx.labelled(), keep=0.5)
+    return marked.select("user_id", "seller_id", "label", "part")
+
+
 @query("gbt_scores")
 def _gbt_scores(fx):
     return _scores(fx, 0, **_ROUNDS)
@@ -54,12 +64,12 @@ def _gbt_scores_sampled(fx):
 
 @query("lr_scores")
 def _lr_scores(fx):
-    return _scores(fx, 2, max_iter=50)
+    return _scores(fx, 2)
 
 
 @query("gbt_scores_weighted")
 def _gbt_scores_weighted(fx):
-    return _scores(fx, 3, max_iter=5)
+    return _scores(fx, 3, max_iter=20)
 
 
 @query("score_runs")
@@ -76,7 +86,7 @@ def _score_runs_reduced(fx):
     fx = fx.stored()
     runs = models.fit_score_runs(
         training_frame(fx), fx.labelled(), fx.unlabelled(), n_runs=1, kind=2, reduce=True,
-        measure=False, max_iter=20,
+        measure=False,
     )
     return runs.scores
 
@@ -88,7 +98,7 @@ def _restored_scores(fx):
     marked = training_rows(rows, fx.labelled(), keep=0.5)
     path = f"{workspace(fx.spark)}/models-{uuid.uuid4().hex}"
     paths = {}
-    for kind, params in ((1, _ROUNDS), (2, {"max_iter": 20})):
+    for kind, params in ((1, _ROUNDS), (2, {})):
         paths[f"kind{kind}"] = f"{path}/kind{kind}"
         model = models.fit_model(marked, kind, **params)
         models.save_model(model, paths[f"kind{kind}"])
@@ -109,23 +119,25 @@ def _labelled_features(fx):
     return rows_of(_features(fx), fx.labelled())
 
 
-_SEARCH = {"max_iter": 3}
-
-
 @query("cv_search")
 def _cv_search(fx):
-    settings = models.draw_settings(models.STAGED_SPACE, 2)
-    small = [{**s, "minInstancesPerNode": 5, "minInfoGain": 0.0} for s in settings]
-    return models.cross_validate(_labelled_features(fx), small, n_folds=4, **_SEARCH)
+    return models.sampled_search(_labelled_features(fx), n_settings=2, max_iter=40)
 
 
 @query("random_search")
 def _random_search(fx):
-    settings = models.draw_settings(models.RANDOM_SPACE, 2, seed=0)
-    small = [
-        {**s, "maxIter": 3, "maxDepth": min(s["maxDepth"], 3), "minInfoGain": 0.0} for s in settings
-    ]
-    return models.cross_validate(_labelled_features(fx), small, n_folds=5, seed=0, **_SEARCH)
+    return models.random_search(_labelled_features(fx), n_settings=2)
+
+
+@query("best_of_search")
+def _best_of_search(fx):
+    fx = fx.stored()
+    rows = _features(fx)
+    marked = training_rows(rows, fx.labelled(), keep=0.5)
+    settings = [{"maxDepth": 2, "stepSize": 0.1}, {"maxDepth": 4, "stepSize": 0.05}]
+    table = models.cross_validate(marked, settings, n_folds=2, max_iter=30)
+    model, _, area = models.fit_best(marked, settings, table, max_iter=30)
+    return models.pair_scores(model, rows_to_score(rows, fx.unlabelled())).withColumn("search_auc", F.lit(area))
 
 
 @query("zero_importance")
@@ -134,14 +146,14 @@ def _zero_importance(fx):
     selector = FeatureSelector(
         rows.select(*models.PAIR, "label", *models.feature_columns(rows)), models.PAIR, "label"
     )
-    selector.identify_zero_importance("classification", "auc", n_iterations=2, max_iter=3)
+    selector.identify_zero_importance("classification", "auc", n_iterations=2, max_iter=40)
     return selector.feature_importances
 
 
 @query("important_features")
 def _important_features(fx):
     rows = _labelled_features(fx)
-    return rows.drop(*models.unimportant_columns(rows, n_runs=2, max_iter=3))
+    return rows.drop(*models.unimportant_columns(rows, n_runs=2, max_iter=40))
 
 
 @query("select_all_methods")
@@ -153,7 +165,7 @@ def _select_all_methods(fx):
     selector.identify_all(
         {
             "missing_threshold": 0.9, "correlation_threshold": 0.98, "eval_metric": "auc",
-            "task": "classification", "cumulative_importance": 0.99, "n_iterations": 1, "max_iter": 3,
+            "task": "classification", "cumulative_importance": 0.99, "n_iterations": 2, "max_iter": 40,
         }
     )
     return selector.remove("all")
@@ -170,20 +182,17 @@ def _buys(fx):
     return rows_per(with_action(fx.log(), schemas.BUY), ["user_id", "seller_id"], "counts")
 
 
-_RANK = {"rank": 8, "max_iter": 3}
-
-
 @query("als_factors")
 def _als_factors(fx):
-    return models.pair_factors(_buys(fx), **_RANK).users
+    return models.pair_factors(_buys(fx)).users
 
 
 @query("als_seller_factors")
 def _als_seller_factors(fx):
-    return models.pair_factors(_buys(fx), **_RANK).sellers
+    return models.pair_factors(_buys(fx)).sellers
 
 
 @query("als_binary_factors")
 def _als_binary_factors(fx):
     marked = implicit_matrix(fx.format2()).withColumnRenamed("merchant_id", "seller_id")
-    return models.pair_factors(marked.where(F.col("value") > 0), "value", **_RANK).users
+    return models.pair_factors(marked.where(F.col("value") > 0), "value").users

@@ -125,6 +125,11 @@ def _light_users_log(fx):
         LEFT JOIN profile i ON b.user_id = i.user_id""",
     ),
 )
+def _population(fx):
+    # The log is joined once, for the rows and for the pairs.
+    return population(fx.stored())
+
+
 def population(fx):
     return pop.population(fx.log(), fx.labelled(), fx.unlabelled(), fx.user_info(), CALENDAR)
 
@@ -167,6 +172,14 @@ def _rows_outside_unlabelled(fx):
     return pop.rows_outside(fx.log(), fx.unlabelled()).select(*fx.log().columns)
 
 
-@query("split_by_pair")
+def _split_sql(salt: str) -> str:
+    return f"""('0x' || substr(md5(concat_ws('|', user_id, seller_id, '{salt}')), 1, 8))::BIGINT / 4294967296.0"""
+
+
+PART_SQL = f"""CASE WHEN {_split_sql('0')} < 0.85 THEN 'train'
+               WHEN {_split_sql('0/held-out')} < 0.5 THEN 'valid' ELSE 'test' END"""
+
+
+@query("split_by_pair", over("labelled", body=f"SELECT *, {PART_SQL} AS part FROM labelled"))
 def _split_by_pair(fx):
     return pop.mark_split(fx.labelled(), 0.85, salt=0, keep=0.5)

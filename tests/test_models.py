@@ -102,3 +102,37 @@ def test_components_are_half_of_all_columns(rows):
 def test_class_weights_balance(rows):
     sums = models.balanced_weights(rows).groupBy("label").agg(F.sum("weight").alias("w")).collect()
     assert abs(sums[0]["w"] - sums[1]["w"]) < 1e-6
+
+
+def test_weights_balance_the_train_rows_alone(spark, rows):
+    lopsided = rows.withColumn("label", F.when(F.col("part") == "valid", 1).otherwise(F.col("label")))
+    train = rows.where("part = 'train'").agg(F.avg("label")).first()[0]
+    model = models.fit_model(lopsided, 2)
+    again = models.fit_model(rows.where("part = 'train'"), 2)
+    assert 0 < train < 1
+    assert np.allclose(model.stages[-1].coefficients.toArray(), again.stages[-1].coefficients.toArray(), atol=1e-6)
+
+
+def test_slow_learners_keep_learning(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 3))
+    y = (x[:, 0] + 0.5 * x[:, 1] + rng.normal(size=1500) > 0).astype(int)
+    df = spark.createDataFrame(
+        [(i, 0, int(y[i]), *map(float, x[i])) for i in range(1500)],
+        "user_id bigint, seller_id bigint, label int, a double, b double, c double",
+    )
+    marked = models.mark_split(df, 0.7)
+    model = models.fit_model(marked, 0, max_iter=40, minInstancesPerNode=20, maxDepth=3)
+    assert model.stages[-1].getNumTrees > 20
+    fast = models.fit_model(marked, 1, max_iter=40, patience=5, minInstancesPerNode=20)
+    assert fast.stages[-1].getNumTrees < 40
+    best = models.tree_importances(marked, ["a", "b", "c"], "label", "classification", 1, max_iter=25)
+    assert best["a"] > 0 and best["b"] > 0
+
+
+def test_search_ends_in_a_model(rows):
+    settings = [{"maxDepth": 1, "stepSize": 0.1}, {"maxDepth": 2, "stepSize": 0.1}]
+    table = models.cross_validate(rows, settings, n_folds=2, max_iter=3)
+    model, chosen, area = models.fit_best(rows, settings, table, max_iter=3)
+    assert chosen in settings and area == table.agg(F.max("auc")).first()[0]
+    assert models.pair_scores(model, rows).count() == 300
