@@ -23,17 +23,24 @@ def outer_align(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFra
     """Full outer join of keyed frames; columns get the frame's name as prefix.
 
     Written as union plus one aggregate: a chain of outer joins would shuffle
-    the growing result once per frame. Each frame has one row per key.
+    the growing result once per frame. Each frame has one row per key; a key
+    that a frame holds twice raises an error when the result is read.
     """
     keys = list(keys)
     stacked: DataFrame | None = None
     for name, df in frames.items():
-        part = prefix_columns(df.dropna(subset=keys), keys, name)
+        part = prefix_columns(df.dropna(subset=keys), keys, name).withColumn("_frame", F.lit(name))
         stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
     if stacked is None:
         raise ValueError("no feature frames given")
-    features = [c for c in stacked.columns if c not in keys]
-    return stacked.groupBy(*keys).agg(*[F.max(f"`{c}`").alias(c) for c in features])
+    features = [c for c in stacked.columns if c not in (*keys, "_frame")]
+    names = list(frames)
+    merged = stacked.groupBy(*keys).agg(
+        *[F.max(f"`{c}`").alias(c) for c in features],
+        F.greatest(F.lit(0), *[F.count_if(F.col("_frame") == n) for n in names]).alias("_most"),
+    )
+    once = F.when(F.col("_most") > 1, F.raise_error(F.lit(f"a frame of {names} holds a key twice")).cast("boolean"))
+    return merged.where(F.coalesce(once, F.lit(True))).drop("_most")
 
 
 def fill_aligned(frames: Mapping[str, DataFrame], keys: Sequence[str], value=0) -> DataFrame:

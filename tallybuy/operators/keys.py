@@ -101,20 +101,13 @@ def one_hot(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
     return df.select(*rest, *flags)
 
 
-def string_domains(df: DataFrame, limit: int = 1000) -> dict[str, list[str]]:
-    """Distinct values of every string column.
-
-    Each value becomes a column of the encoded frame, so a column with more
-    than ``limit`` values is refused rather than cut.
-    """
+def string_domains(df: DataFrame) -> dict[str, list[str]]:
+    """Distinct values of every string column; each becomes a column of the encoded frame."""
     names = [c for c, kind in df.dtypes if kind == "string"]
-    out: dict[str, list[str]] = {}
-    for c in names:
-        rows = df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{c} has more than {limit} values, too many for one-hot columns")
-        out[c] = [r[0] for r in rows]
-    return out
+    return {
+        c: [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
+        for c in names
+    }
 
 
 def one_hot_strings(df: DataFrame, domains: Mapping[str, Sequence[str]] | None = None) -> DataFrame:

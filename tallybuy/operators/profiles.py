@@ -12,6 +12,7 @@ from tallybuy import schemas
 from tallybuy.functions.columns import cells, epoch_days, ratio, spread
 from tallybuy.functions.ordering import previous_value, running_totals
 from tallybuy.operators.joins import lookup
+from tallybuy.operators.keys import dense_ids
 
 SECONDS_PER_DAY = 86400.0
 
@@ -71,8 +72,14 @@ def count_density(
     histogram = counts.groupBy(F.col(column).cast("double").alias("v")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    total = counts.agg(F.count(column).cast("double")).scalar()
-    bandwidth = counts.agg(F.pow(F.count(column), F.lit(-0.2)) * F.stddev_samp(column)).scalar()
+    # Everything else comes from the histogram, a row for each distinct count.
+    n, mean = F.sum("n"), F.try_divide(F.sum(F.col("n") * F.col("v")), F.sum("n"))
+    total = histogram.where("v IS NOT NULL").agg(n.cast("double").alias("total"), mean.alias("mean"))
+    row = total.first()
+    spread = histogram.agg(F.sum(F.col("n") * F.pow(F.col("v") - F.lit(row["mean"]), 2.0)).alias("s")).first()["s"]
+    enough = row["total"] and row["total"] > 1
+    width = row["total"] ** -0.2 * math.sqrt(spread / (row["total"] - 1)) if enough else None
+    bandwidth, total = F.lit(width).cast("double"), F.lit(row["total"]).cast("double")
     grid = F.explode(F.sequence(F.lit(start), F.lit(stop - 1), F.lit(step))).alias("x")
     lines = histogram.select("v", "n", bandwidth.alias("h"), total.alias("total"), grid)
     z = (F.col("x") - F.col("v")) / F.col("h")
@@ -82,19 +89,16 @@ def count_density(
     )
 
 
-def buy_matrix(buys: DataFrame, sellers: Sequence[int], limit: int = 2000) -> DataFrame:
-    """Users × sellers count matrix over a given list of sellers.
+def buy_matrix(buys: DataFrame) -> DataFrame:
+    """Users × sellers count matrix over dense indices, as (row, column, count); zeros are left out.
 
-    The list becomes columns, hence its bound; :func:`rows_per` is the long
-    form without one.
+    The long form holds any number of sellers.
     """
-    if len(sellers) > limit:
-        raise ValueError(f"{len(sellers)} sellers are too many for columns; use the long form")
-    pair_counts = rows_per(buys, ["user_id", "seller_id"], "counts")
-    wide = pair_counts.groupBy("user_id").pivot("seller_id", list(sellers)).agg(F.sum("counts"))
-    return wide.select(
-        "user_id", *[F.coalesce(f"`{s}`", F.lit(0)).cast("bigint").alias(f"s{s}") for s in sellers]
-    )
+    counts = rows_per(buys, ["user_id", "seller_id"], "counts")
+    for key, index in (("user_id", "user_index"), ("seller_id", "seller_index")):
+        ids = dense_ids(counts, key).select(F.col("raw_id").alias(key), F.col("dense_id").alias(index))
+        counts = lookup(counts, ids, [key], "inner")
+    return counts.select("user_index", "seller_index", "counts")
 
 
 def implicit_matrix(format2: DataFrame) -> DataFrame:

@@ -256,7 +256,7 @@ class FeatureSelector:
         )
         for name in needed:
             if name not in params:
-                raise ValueError(f"{name} is a required parameter")
+                raise ValueError(f"identify_all needs {name}")
         self.identify_missing(params["missing_threshold"])
         self.identify_single_unique()
         self.identify_collinear(params["correlation_threshold"])
@@ -266,17 +266,17 @@ class FeatureSelector:
         return self.check_removal()
 
     def check_removal(self, keep_one_hot: bool = True) -> list[str]:
-        """All columns identified so far; without one-hot columns, those too."""
-        found = {c for dropped in self.ops.values() for c in dropped}
-        if not keep_one_hot:
-            found |= set(self.one_hot_features)
-        return sorted(found)
+        """All columns identified so far. One-hot columns are never among them by themselves;
+
+        :meth:`remove` drops them with ``keep_one_hot=False``.
+        """
+        return sorted({c for dropped in self.ops.values() for c in dropped})
 
     def remove(self, methods: Sequence[str] | str, keep_one_hot: bool = True) -> DataFrame:
         chosen = list(self.ops) if methods == "all" else list(methods)
         for m in chosen:
             if m not in self.ops:
-                raise NotImplementedError(f"{m} method has not been run")
+                raise NotImplementedError(f"nothing identified by {m} yet")
         on_encoded = methods == "all" or self._one_hot_correlated
         on_encoded = on_encoded or bool({"zero_importance", "low_importance"} & set(chosen))
         frame = self.encoded if on_encoded and self.encoded is not None else self.data

@@ -14,6 +14,9 @@ from tallybuy.sources.files import rounded_matrix
 from tallybuy.sources.vectors import dictionary_columns
 
 
+_WIDTH = 64
+
+
 def _buyer_stats(fx):
     return (
         fx.log().where("action_type = 2").groupBy("seller_id")
@@ -33,8 +36,9 @@ _STATS_SQL = {
             WHERE action_type = 2 GROUP BY seller_id""",
     "c": """SELECT seller_id, count(*) AS c_clicks FROM acts
             WHERE action_type = 0 AND seller_id % 3 <> 0 GROUP BY seller_id""",
-    "e": """SELECT vec_id AS seller_id, round(CAST(embedding[1] AS DOUBLE), 4) AS e_0_dic,
-            round(CAST(embedding[2] AS DOUBLE), 4) AS e_1_dic FROM embeddings""",
+    "e": "SELECT vec_id AS seller_id, "
+    + ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 4) AS e_{i}_dic" for i in range(_WIDTH))
+    + " FROM embeddings",
 }
 
 
@@ -49,7 +53,7 @@ def _feature_outer_join(fx):
     frames = {
         "b": _buyer_stats(fx),
         "c": _clicker_stats(fx),
-        "e": dictionary_columns(fx.seller_vectors(), "seller_id", 2),
+        "e": dictionary_columns(fx.seller_vectors(), "seller_id", _WIDTH),
     }
     return rounded_matrix(assembly.outer_align(frames, ["seller_id"]), ["seller_id"])
 
@@ -71,13 +75,13 @@ def _outer_join_filled(fx):
     "assembled_features",
     over(
         "acts", **_STATS_SQL,
-        body="""SELECT seller_id, b_buys, b_last_buy, c_clicks, CAST(e_0_dic AS FLOAT) AS e_0_dic,
-                CAST(e_1_dic AS FLOAT) AS e_1_dic
-                FROM b FULL JOIN c USING (seller_id) FULL JOIN e USING (seller_id)""",
+        body="SELECT seller_id, b_buys, b_last_buy, c_clicks, "
+        + ", ".join(f"CAST(e_{i}_dic AS FLOAT) AS e_{i}_dic" for i in range(_WIDTH))
+        + " FROM b FULL JOIN c USING (seller_id) FULL JOIN e USING (seller_id)",
     ),
 )
 def _assembled_features(fx):
-    vectors = rounded_matrix(dictionary_columns(fx.seller_vectors(), "seller_id", 2), ["seller_id"])
+    vectors = rounded_matrix(dictionary_columns(fx.seller_vectors(), "seller_id", _WIDTH), ["seller_id"])
     frames = {
         "b": _buyer_stats(fx).withColumn("constant", F.lit(1)),
         "c": _clicker_stats(fx).withColumn("empty", F.lit(None).cast("double")),
@@ -133,6 +137,11 @@ def training_frame(fx):
     return assembly.attach_features(population(fx), stores)
 
 
+def _renamed(store: str, *keys: str) -> str:
+    """All columns of a feature table, named as they are in the joined frame."""
+    return f"SELECT {', '.join(keys)}, COLUMNS(* EXCLUDE ({', '.join(keys)})) AS '\\0_{store}' FROM {store}"
+
+
 @query(
     "training_frame",
     over(
@@ -140,17 +149,14 @@ def training_frame(fx):
         m=CHECK_SQL["seller_ratio"],
         u=CHECK_SQL["user_ratio"],
         mu=CHECK_SQL["user_seller_ratio"],
-        body="""SELECT pop.user_id, pop.seller_id, item_id, label, m.all_count AS all_count_m,
-                m.buy_ratio AS buy_ratio_m, m.more_than_once_ratio AS more_than_once_ratio_m,
-                u.all_count AS all_count_u, u.old_x_buy_on_de AS old_x_buy_on_de_u,
-                mu.all_count AS all_count_mu, mu.click_ratio AS click_ratio_mu
-                FROM pop LEFT JOIN m ON pop.seller_id = m.seller_id LEFT JOIN u ON pop.user_id = u.user_id
-                LEFT JOIN mu ON pop.user_id = mu.user_id AND pop.seller_id = mu.seller_id""",
+        ms=_renamed("m", "seller_id"),
+        us=_renamed("u", "user_id"),
+        mus=_renamed("mu", "user_id", "seller_id"),
+        body="""SELECT pop.*, ms.* EXCLUDE (seller_id), us.* EXCLUDE (user_id), mus.* EXCLUDE (user_id, seller_id)
+                FROM pop LEFT JOIN ms ON pop.seller_id = ms.seller_id LEFT JOIN us ON pop.user_id = us.user_id
+                LEFT JOIN mus ON pop.user_id = mus.user_id AND pop.seller_id = mus.seller_id""",
     ),
 )
 def _training_frame(fx):
-    frame = training_frame(fx.stored()).select(
-        "user_id", "seller_id", "item_id", "label", "all_count_m", "buy_ratio_m",
-        "more_than_once_ratio_m", "all_count_u", "old_x_buy_on_de_u", "all_count_mu", "click_ratio_mu",
-    )
-    return rounded_matrix(frame, ["user_id", "seller_id", "item_id", "label"])
+    frame = training_frame(fx.stored())
+    return rounded_matrix(frame, population(fx).columns)

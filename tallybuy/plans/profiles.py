@@ -108,20 +108,19 @@ def _count_kde(fx):
     return rounded_matrix(profiles.count_density(per_user), ["x"])
 
 
-_SELLERS = list(range(0, 50))
-
-
 @query(
     "buy_matrix_pivot",
     over(
         "acts",
-        body="SELECT user_id, "
-        + ", ".join(f"count(*) FILTER (WHERE seller_id = {s}) AS s{s}" for s in _SELLERS)
-        + " FROM acts WHERE action_type = 2 GROUP BY user_id",
+        buys="SELECT user_id, seller_id, count(*) AS counts FROM acts WHERE action_type = 2 GROUP BY ALL",
+        users="SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS user_index FROM (SELECT DISTINCT user_id FROM buys)",
+        sellers="""SELECT seller_id, row_number() OVER (ORDER BY seller_id) - 1 AS seller_index
+                   FROM (SELECT DISTINCT seller_id FROM buys)""",
+        body="SELECT user_index, seller_index, counts FROM buys JOIN users USING (user_id) JOIN sellers USING (seller_id)",
     ),
 )
 def _buy_matrix_pivot(fx):
-    return profiles.buy_matrix(_buys(fx), _SELLERS)
+    return profiles.buy_matrix(_buys(fx))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallybuy import schemas
@@ -11,10 +13,20 @@ from tallybuy.plans.catalogue import query
 from tallybuy.plans.sql import over
 from tallybuy.sources import tables
 from tallybuy.sources.files import edge_lines
+from tallybuy.session import workspace
 from tallybuy.sources.fixtures import CALENDAR
 from tallybuy.operators.profiles import rows_per
 
 _CAP = 5000
+
+
+def _csv(fx, df, name: str) -> str:
+    """A CSV file of a frame: a column too many, and the others in another order."""
+    path = f"{workspace(fx.spark)}/{name}-{uuid.uuid4().hex}.csv"
+    df.select(F.lit("x").alias("extra"), *reversed(df.columns)).write.option("header", True).csv(path)
+    return path
+
+
 _ALL = "user_id, item_id, cat_id, seller_id, brand_id, time_stamp, action_type"
 
 
@@ -23,7 +35,7 @@ _ALL = "user_id, item_id, cat_id, seller_id, brand_id, time_stamp, action_type"
     over("raw_log", body="SELECT * REPLACE (coalesce(brand_id, 1) AS brand_id) FROM raw_log"),
 )
 def _log_scan(fx):
-    return tables.clean_log(fx.log_raw())
+    return tables.read_log(fx.spark, _csv(fx, fx.log_raw(), "log"))
 
 
 @query(
@@ -40,7 +52,7 @@ def _log_scan_capped(fx):
 
 @query("user_info_scan", over("profile", body="SELECT * FROM profile"))
 def _user_info_scan(fx):
-    return tables.clean_profile(fx.user_info_raw())
+    return tables.read_user_info(fx.spark, _csv(fx, fx.user_info_raw(), "user-info"))
 
 
 @query(
@@ -57,17 +69,20 @@ def _profile_repair(fx):
 
 @query("labelled_pair_scan", over("labelled", body="SELECT * FROM labelled"))
 def _labelled_pair_scan(fx):
-    return tables.name_seller(fx.labelled().withColumnRenamed("seller_id", "merchant_id"))
+    pairs = fx.labelled().withColumnRenamed("seller_id", "merchant_id")
+    return tables.read_labelled_pairs(fx.spark, _csv(fx, pairs, "labelled"))
 
 
 @query("unlabelled_pair_scan", over("unlabelled", body="SELECT * FROM unlabelled"))
 def _unlabelled_pair_scan(fx):
-    return tables.name_seller(fx.unlabelled().withColumnRenamed("seller_id", "merchant_id"))
+    pairs = fx.unlabelled().withColumnRenamed("seller_id", "merchant_id")
+    return tables.read_unlabelled_pairs(fx.spark, _csv(fx, pairs, "unlabelled"))
 
 
 @query("format2_scan", over("format2", body="SELECT user_id, merchant_id, label FROM format2"))
 def _format2_scan(fx):
-    return tables.row_cap(fx.format2().select("user_id", "merchant_id", "label"), None)
+    profile = fx.user_info_raw().select("user_id", "age_range", "gender")
+    return tables.read_format2(fx.spark, _csv(fx, fx.format2().join(profile, "user_id", "left"), "format2"))
 
 
 @query(

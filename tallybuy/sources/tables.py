@@ -15,18 +15,19 @@ from tallybuy.functions.ordering import positions
 LOG_FILL = 1
 PROFILE_FILL = {"gender": 2, "age_range": 0}
 
-# Above this many rows a row cap is taken from positions in the global order
-# instead of from one task.
-SINGLE_TASK_CAP = 1_000_000
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header or parquet, by the path's ending."""
+    """CSV with a header or parquet, by the path's ending; columns go by their names.
+
+    Other columns of the file are dropped; a missing one is an error.
+    """
     if ".csv" in path.rsplit("/", 1)[-1]:
-        return spark.read.schema(schema).option("header", True).csv(path)
-    return spark.read.parquet(path).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+        found = spark.read.option("header", True).csv(path)
+    else:
+        found = spark.read.parquet(path)
+    missing = [f.name for f in schema.fields if f.name not in found.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    return found.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def fill_constant(df: DataFrame, value=LOG_FILL, columns: list[str] | None = None) -> DataFrame:
@@ -51,15 +52,13 @@ def row_cap(df: DataFrame, n: int | None) -> DataFrame:
     """First ``n`` rows in the order of all columns; everything for ``None``."""
     if n is None:
         return df
-    if n <= SINGLE_TASK_CAP:
-        return df.orderBy(*df.columns).limit(n)
     # Equal rows are told apart by an arbitrary id, which spreads them over slices.
     told_apart = df.withColumn("_tie", F.monotonically_increasing_id())
     ranked = positions(told_apart, [*df.columns, "_tie"], "_position")
     return ranked.where(F.col("_position") < n).select(*df.columns)
 
 
-def read_log(spark: SparkSession, path: str, rows: int | None = 500_000) -> DataFrame:
+def read_log(spark: SparkSession, path: str, rows: int | None = None) -> DataFrame:
     return clean_log(row_cap(read_table(spark, path, schemas.LOG), rows))
 
 

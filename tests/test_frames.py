@@ -241,17 +241,15 @@ def test_split_is_complete_disjoint_and_stable(spark):
     assert one.exceptAll(population.mark_split(pairs, 0.85, salt=4, keep=0.5)).count() > 0
 
 
-@pytest.mark.parametrize("proper", [True, False])
-def test_rotation_keeps_lengths(spark, proper):
-    m = scaling.rotation_matrix(6, seed=1, proper=proper)
-    assert np.allclose(m @ m.T, np.eye(6))
-    if proper:
-        assert np.linalg.det(m) > 0
+@pytest.mark.parametrize("width", [6, 7])
+def test_rotation_keeps_lengths_and_angles(spark, width):
     rng = np.random.default_rng(0)
-    vectors = [(i, rng.normal(size=6).tolist()) for i in range(20)]
-    df = spark.createDataFrame(vectors, "id int, v array<double>")
-    for r in scaling.rotate_vectors(df, "v", m).collect():
-        assert abs(np.linalg.norm(r["v"]) - np.linalg.norm(vectors[r["id"]][1])) < 1e-9
+    vectors = [(i, rng.normal(size=width).tolist()) for i in range(20)]
+    df = spark.createDataFrame([*vectors, (20, None)], "id int, v array<double>")
+    turned = {r["id"]: r["v"] for r in scaling.rotate_vectors(df, "v", scaling.plane_angles(width, seed=1)).collect()}
+    assert turned.pop(20) is None
+    before, after = np.array([v for _, v in vectors]), np.array([turned[i] for i in range(20)])
+    assert np.allclose(before @ before.T, after @ after.T) and not np.allclose(before, after)
 
 
 def test_row_cap_counts_copies(spark):
@@ -259,19 +257,56 @@ def test_row_cap_counts_copies(spark):
 
     df = spark.createDataFrame([(1,), (1,), (1,), (2,)], "x int")
     assert [r[0] for r in tables.row_cap(df, 2).collect()] == [1, 1]
-    limit = tables.SINGLE_TASK_CAP
-    try:
-        tables.SINGLE_TASK_CAP = 0
-        assert [r[0] for r in tables.row_cap(df, 2).collect()] == [1, 1]
-        assert tables.row_cap(df, 4).count() == 4
-    finally:
-        tables.SINGLE_TASK_CAP = limit
+    assert tables.row_cap(df, 4).count() == 4 and tables.row_cap(df, None).count() == 4
+
+
+def test_many_one_hot_values(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(1200)], "s string")
+    assert len(keys.string_domains(df)["s"]) == 1200
 
 
-def test_too_many_one_hot_values_are_refused(spark):
-    df = spark.createDataFrame([(str(i),) for i in range(5)], "s string")
+def test_csv_columns_go_by_name(spark, tmp_path):
+    from tallybuy.sources import tables
+
+    path = str(tmp_path / "format2.csv")
+    raw = [(1, 3, 0, 77, 1, "log"), (2, None, 1, 78, -1, "log")]
+    spark.createDataFrame(raw, "user_id long, age_range int, gender int, merchant_id long, label int, activity_log string").write.option("header", True).csv(path)
+    assert sorted(tables.read_format2(spark, path).collect()) == [(1, 77, 1), (2, 78, -1)]
+    assert sorted(tables.read_labelled_pairs(spark, path).collect()) == [(1, 77, 1), (2, 78, -1)]
+    assert sorted(tables.read_unlabelled_pairs(spark, path).collect()) == [(1, 77), (2, 78)]
+    assert sorted(tables.read_user_info(spark, path).collect()) == [(1, 3, 0), (2, 0, 1)]
     with pytest.raises(ValueError):
-        keys.string_domains(df, limit=4)
+        tables.read_log(spark, path)
+    log = str(tmp_path / "log.csv")
+    rows = [(5, 1112, 4, None, 3, 2, 1)]
+    spark.createDataFrame(rows, "seller_id long, time_stamp int, item_id long, brand_id int, cat_id long, action_type int, user_id long").write.option("header", True).csv(log)
+    got = tables.read_log(spark, log).first()
+    assert got.asDict() == dict(user_id=1, item_id=4, cat_id=3, seller_id=5, brand_id=1, time_stamp=1112, action_type=2)
+
+
+def test_vector_text_files(spark, tmp_path):
+    from tallybuy.sources import vectors
+
+    path = tmp_path / "vectors.txt"
+    path.write_text("s7 0.5 -1.25 \ns8 2.0 3.0 \n")
+    got = {r["id"]: r["vector"] for r in vectors.read_vector_text(spark, str(path)).collect()}
+    assert got == {7: [0.5, -1.25], 8: [2.0, 3.0]}
+
+
+def test_repeated_keys_are_refused(spark):
+    from tallybuy.operators import assembly
+
+    one = spark.createDataFrame([(1, 2.0), (1, 3.0)], "seller_id long, x double")
+    with pytest.raises(Exception, match="a key twice"):
+        assembly.outer_align({"a": one, "b": one.dropDuplicates(["seller_id"])}, ["seller_id"]).collect()
+
+
+def test_sketch_scaling_on_heavy_tails(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(rng.lognormal(0, 2, 20_000))], "user_id long, x double")
+    exact = scaling.robust_scale(df).agg(F.max("x")).first()[0]
+    sketch = scaling.robust_scale_sketch(df).agg(F.max("x")).first()[0]
+    assert abs(sketch / exact - 1) < 0.1
 
 
 def test_plan_lists_the_computed_columns(spark, loyal):
