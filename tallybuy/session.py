@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ROOT = str(Path(__file__).resolve().parents[1])
+
 # Runtime settings only; everything the cluster decides (shuffle partitions,
 # memory, broadcast threshold) is left as it is found.
 _RUNTIME_SETTINGS = {
@@ -16,9 +20,17 @@ _RUNTIME_SETTINGS = {
 }
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Switch on the adaptive skew handling that the join plans rely on."""
+    """Switch on the adaptive skew handling that the join plans rely on.
+
+    Python workers also get this package on their path, wherever the driver was
+    started; where executors don't have its folder, ship it with ``--py-files``.
+    """
     for key, value in _RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
     return spark
 
 
