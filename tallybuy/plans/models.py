@@ -121,12 +121,12 @@ def _labelled_features(fx):
 
 @query("cv_search")
 def _cv_search(fx):
-    return models.sampled_search(_labelled_features(fx), n_settings=2, max_iter=40)
+    return models.sampled_search(_labelled_features(fx), n_settings=2, max_iter=40, patience=10)
 
 
 @query("random_search")
 def _random_search(fx):
-    return models.random_search(_labelled_features(fx), n_settings=2)
+    return models.random_search(_labelled_features(fx), n_settings=2, patience=10)
 
 
 @query("best_of_search")
