@@ -20,6 +20,9 @@ _TEMPER = 1 / 3
 #: The class of texts that no language explains: all trigrams alike.
 UNDETERMINED = "und"
 _GROUP_BYTES = 1 << 19
+#: Bytes that words consist of: a-z, apostrophe, blank, and all of other alphabets.
+_LETTERED = np.zeros(256, bool)
+_LETTERED[[*range(0x61, 0x7B), 0x20, 0x27, *range(0x80, 0x100)]] = True
 
 
 @dataclass(frozen=True)
@@ -32,14 +35,23 @@ class LanguageModel:
 
 
 def _codes(data: bytes, ends: np.ndarray) -> np.ndarray:
-    """Cell of the trigram from each byte on; the last two bytes of a text have none."""
-    b = np.frombuffer(data, np.uint8).astype(np.uint32)
+    """Cell of the trigram from each byte on.
+
+    The last two bytes of a text have none, nor have trigrams with a digit or
+    sign in them: numbers and marks are of no language.
+    """
+    raw = np.frombuffer(data, np.uint8)
+    b = raw.astype(np.uint32)
     code = b * np.uint32(0x9E3779B1)
     code[:-1] += b[1:] * np.uint32(0x85EBCA77)
     code[:-2] += b[2:] * np.uint32(0xC2B2AE3D)
     code ^= code >> np.uint32(15)
     code *= np.uint32(0x2C1B3C6D)
     code >>= np.uint32(16)
+    lettered = _LETTERED[raw]
+    lettered[:-1] &= lettered[1:]
+    lettered[:-1] &= lettered[1:]
+    code[~lettered] = _CELLS
     for k in (1, 2):
         at = ends - k
         code[at[at >= 0]] = _CELLS
