@@ -16,10 +16,16 @@ from tests.llm.test_tokens import JSON, _check_pieces
 def stages(spark, tmp_path_factory):
     """Result of each stage, written and read again."""
     folder = tmp_path_factory.mktemp("stages")
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    out = {"documents": docs}
+    secret = [
+        f"The letter number {k} in this text says password = {k:x}abcdef{k * 7919} and AKIA{'Q' * 15}{k % 10}{k} and so on."
+        for k in range(1, 9)
+    ]
+    more = documents(spark, secret, range(5000, 5008))
+    spark.read.parquet(f"{SMALL}/documents.parquet").unionByName(more).write.parquet(f"{folder}/documents.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = {"documents": docs, "folder": str(folder)}
     for name, stage in corpus_pipeline.STAGES:
-        stage(spark, docs, SMALL).write.parquet(f"{folder}/{name}")
+        stage(spark, docs, str(folder)).write.parquet(f"{folder}/{name}")
         docs = out[name] = spark.read.parquet(f"{folder}/{name}")
     return out
 
@@ -30,7 +36,7 @@ def _texts(df):
 
 def test_columns(stages):
     for name, df in stages.items():
-        if name != "packing":
+        if name not in ("packing", "folder"):
             assert tuple(df.columns) == corpus_pipeline.COLUMNS and df.dtypes == stages["documents"].dtypes
             assert df.where(F.length("text") != F.col("n_chars")).count() == 0
 
@@ -72,7 +78,7 @@ def test_packing_and_run(spark, stages):
     want = {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in _texts(stages["secret scans"]).items()}
     rows = [r.asDict() for r in stages["packing"].collect()]
     _check_pieces(rows, want)
-    again = corpus_pipeline.run(spark, SMALL)
+    again = corpus_pipeline.run(spark, stages["folder"])
     assert sum(r["length"] for r in rows) == again.agg(F.sum("length")).first()[0]
 
 
