@@ -25,6 +25,8 @@ _WORD_CELLS, _CHAR_CELLS = 1 << 15, 1 << 17
 #: Lengths of the character strings; a word has a mark at each end.
 _LENGTHS = (3, 4, 5, 6)
 _GROUP_WORDS = 1 << 16
+#: Words whose cells are found, and documents whose cells are counted, at once.
+_CHUNK, _CHUNK_DOCS = 1 << 14, 64
 
 
 # --- words --------------------------------------------------------------------------------
@@ -51,6 +53,13 @@ class _Words:
 
 
 def _cells(words: list[str]) -> _Words:
+    """Cells of any number of words, some at a time."""
+    parts = [_some_cells(words[at : at + _CHUNK]) for at in range(0, len(words), _CHUNK)]
+    word, chars, count = (np.concatenate(x) if parts else np.empty(0, np.int32) for x in (zip(*parts) if parts else ((), (), ())))
+    return _Words(word, chars, np.cumsum(count, dtype=np.int64) - count, count)
+
+
+def _some_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     marked = "".join(f"\x02{w}\x03" for w in words)
     points = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
@@ -74,7 +83,7 @@ def _cells(words: list[str]) -> _Words:
     owners, cells = np.concatenate(owners), np.concatenate(cells)
     order = np.argsort(owners, kind="stable")
     count = np.bincount(owners, minlength=len(words))
-    return _Words(word, cells[order], np.cumsum(count) - count, count)
+    return word.astype(np.int32), cells[order].astype(np.int32), count
 
 
 def _chosen(words: _Words, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,12 +225,18 @@ class Network:
 # --- training -----------------------------------------------------------------------------
 
 
-def _evidence(cells: np.ndarray, docs: np.ndarray, labels: np.ndarray, n: int) -> np.ndarray:
-    """Log-odds of a cell, by the documents of either label that hold it."""
-    pairs = np.unique(docs.astype(np.int64) * n + cells)
-    label, cell = labels[pairs // n], pairs % n
-    one, zero = np.bincount(cell[label == 1], minlength=n), np.bincount(cell[label == 0], minlength=n)
-    ratio = np.log((one + 1) / (labels.sum() + 2)) - np.log((zero + 1) / ((1 - labels).sum() + 2))
+def _evidence(cells_of, docs: np.ndarray, labels: np.ndarray, n: int) -> np.ndarray:
+    """Log-odds of n cells, by the documents of either label that hold them; ``cells_of`` a few documents."""
+    held = {0: np.zeros(n), 1: np.zeros(n)}
+    for at in range(0, len(docs), _CHUNK_DOCS):
+        part = docs[at : at + _CHUNK_DOCS]
+        which, cells = cells_of(part)
+        pairs = np.unique(which.astype(np.int64) * n + cells)
+        for label, count in held.items():
+            mine = labels[part][pairs // n] == label
+            count += np.bincount(pairs[mine] % n, minlength=n)
+    ones = labels[docs].sum()
+    ratio = np.log((held[1] + 1) / (ones + 2)) - np.log((held[0] + 1) / (len(docs) - ones + 2))
     return np.clip(ratio, -3, 3).astype(np.float32)
 
 
@@ -233,26 +248,33 @@ def train(texts: list[str], labels: np.ndarray, share: float, epochs: int = 5, b
     its cell. A fifth of the texts only calibrates: a logistic fit of labels on
     logits, weighed so that a ``share`` of texts is toxic, as in all labels.
     """
-    split = [words_of(t) for t in texts]
-    sizes = np.array([len(w) for w in split], np.int64)
-    codes, distinct = pd.factorize(np.array([w for ws in split for w in ws], object))
-    words = _cells([str(w) for w in distinct])
+    place: dict[str, int] = {}
+    coded = [np.array([place.setdefault(w, len(place)) for w in words_of(t)], np.int32) for t in texts]
+    sizes = np.array([len(c) for c in coded], np.int64)
+    codes = np.concatenate(coded) if coded else np.empty(0, np.int32)
+    del coded
+    words = _cells(list(place))
+    del place
     starts = np.cumsum(sizes) - sizes
     usable = np.flatnonzero(sizes > 0)
     rng = np.random.default_rng(1)
     rng.shuffle(usable)
     held, fit = usable[: len(usable) // 5], usable[len(usable) // 5 :]
     net = Network()
-    in_fit = np.zeros(len(texts), bool)
-    in_fit[fit] = True
-    doc_of = np.repeat(np.arange(len(texts)), sizes)
-    mine = in_fit[doc_of]
-    pairs = np.unique(doc_of[mine] * np.int64(max(1, len(distinct))) + codes[mine])
-    pair_doc, pair_word = pairs // max(1, len(distinct)), pairs % max(1, len(distinct))
-    word, chars, owner = _chosen(words, pair_word)
-    place = np.cumsum(in_fit) - 1
-    net.p["words"][:, 0] = _evidence(word, place[pair_doc], labels[fit[np.argsort(fit)]], _WORD_CELLS)
-    net.p["chars"][:, 0] = _evidence(chars, place[pair_doc][owner], labels[fit[np.argsort(fit)]], _CHAR_CELLS)
+
+    def word_cells(docs):
+        which = np.repeat(np.arange(len(docs)), sizes[docs])
+        return which, words.word[np.concatenate([codes[starts[d] : starts[d] + sizes[d]] for d in docs])]
+
+    def char_cells(docs):
+        which = np.repeat(np.arange(len(docs)), sizes[docs])
+        used = np.concatenate([codes[starts[d] : starts[d] + sizes[d]] for d in docs])
+        pairs = np.unique(which * np.int64(len(words.count)) + used)
+        _, chars, owner = _chosen(words, pairs % len(words.count))
+        return (pairs // len(words.count))[owner], chars
+
+    net.p["words"][:, 0] = _evidence(word_cells, fit, labels, _WORD_CELLS)
+    net.p["chars"][:, 0] = _evidence(char_cells, fit, labels, _CHAR_CELLS)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     steps = 0
 
@@ -270,7 +292,7 @@ def train(texts: list[str], labels: np.ndarray, share: float, epochs: int = 5, b
 
     for epoch in range(epochs):
         for at in range(0, len(fit), batch):
-            docs = rng.permutation(fit)[:batch] if epoch < 0 else fit[at : at + batch]
+            docs = fit[at : at + batch]
             logit, local, size, text, used = logits_of(docs)
             order = np.lexsort((-logit, text))
             top = order[np.concatenate([[True], text[order][1:] != text[order][:-1]])]
@@ -349,7 +371,7 @@ class ToxicityModel:
     share: float
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> ToxicityModel:
     """Train on about ``per_class`` labelled documents of each class.
 
     ``labels`` has ``doc_id`` and ``toxic`` (0 or 1; others and null ids don't
