@@ -27,11 +27,15 @@ _LETTERED[[*range(0x61, 0x7B), 0x20, 0x27, *range(0x80, 0x100)]] = True
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``languages``, their shares, and ``weights[cell, language]``: log-likelihoods of trigrams, the last for ``und``."""
+    """``languages``, their shares, and ``weights[cell, language]``: log-likelihoods of trigrams, the last for ``und``.
+
+    ``labelled`` is False where no row had a label, so nothing is known of any language.
+    """
 
     languages: tuple[str, ...]
     shares: tuple[float, ...]
     weights: np.ndarray
+    labelled: bool = True
 
 
 def _codes(data: bytes, ends: np.ndarray) -> np.ndarray:
@@ -83,20 +87,23 @@ def _text_scores(texts: list[str], weights: np.ndarray) -> np.ndarray:
 
 
 def fit_language_model(
-    docs: DataFrame, label: str = "lang", per_language: int = 3000, least_rows: int = 20
+    docs: DataFrame, label: str = "lang", per_language: int = 3000, least_rows: int = 1
 ) -> LanguageModel:
     """Fit trigram likelihoods on about ``per_language`` labelled rows of each language.
 
-    The share of a language is counted over all rows. Labels on fewer than
-    ``least_rows`` rows are no language. Rows are chosen by a hash of text and
-    label; the trigrams of each task are added up before they are shuffled, and
-    only the cells of the model reach the driver.
+    Every label in lower case is a language, on however few rows; null, empty
+    and ``und`` are no label. Labels on fewer than ``least_rows`` rows can be
+    left out. The share of a language is counted over all rows. Rows are chosen
+    by a hash of text and label; the trigrams of each task are added up before
+    they are shuffled, and only the cells of the model reach the driver.
     """
-    rows = docs.select(F.col(label).cast("string").alias("label"), text_of().alias("text")).where("label IS NOT NULL")
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().where(F.col("count") >= least_rows).collect()}
+    rows = docs.select(F.lower(F.col(label).cast("string")).alias("label"), text_of().alias("text"))
+    rows = rows.where(~F.col("label").isin("", UNDETERMINED))
+    found = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    counts = {name: n for name, n in found.items() if n >= least_rows}
     names = sorted(counts)
     if not names:
-        return LanguageModel((), (), np.zeros((_CELLS + 1, 1), np.float32))
+        return LanguageModel((), (), np.zeros((_CELLS + 1, 1), np.float32), bool(found))
     share = F.coalesce(*[F.when(F.col("label") == n, min(1.0, per_language / counts[n])) for n in names])
     chosen = rows.where(F.pmod(F.xxhash64("text", "label"), F.lit(1_000_000)) < share * 1_000_000)
 
@@ -173,7 +180,9 @@ def identify(
 
     A row is accepted if its best class is a language with a posterior of at
     least ``least``. Missing evidence (null, empty, unknown) leaves the other
-    parts to decide; where none speaks the shares of the corpus do. ``declared``
+    parts to decide; where none speaks the shares of the corpus do. With a model
+    of no labels at all every row is ``und`` and accepted: nothing speaks against
+    any. ``declared``
     and ``host`` name columns, None for no such evidence. Repeated rows are scored
     alike. Columns of ``docs`` named like the new ones are replaced.
     """
@@ -181,7 +190,7 @@ def identify(
     kept = [c for c in docs.columns if c not in ("language", "confidence", "accepted")]
     if not names:
         return docs.select(*[F.col(f"`{c}`") for c in kept]).select(
-            "*", F.lit(UNDETERMINED).alias("language"), F.lit(1.0).alias("confidence"), F.lit(False).alias("accepted")
+            "*", F.lit(UNDETERMINED).alias("language"), F.lit(1.0).alias("confidence"), F.lit(not model.labelled).alias("accepted")
         )
     known = F.lower(F.col(f"`{declared}`").cast("string")) if declared else F.lit(None).cast("string")
     address = F.lower(F.col(f"`{host}`").cast("string")) if host else F.lit(None).cast("string")

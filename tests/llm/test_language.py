@@ -111,3 +111,30 @@ def test_odd_texts_and_clashing_names(spark):
     assert language_id.identify(empty, language_id.fit_language_model(empty)).collect() == []
     alone = language_id.identify(docs, language_id.fit_language_model(docs, least_rows=100)).collect()
     assert not any(r.accepted for r in alone)
+
+
+SPANISH = "la casa del pueblo est\u00e1 cerca del r\u00edo y los ni\u00f1os juegan por la tarde con sus amigos del barrio"
+GREEK = "\u03b7 \u03b3\u03bb\u03ce\u03c3\u03c3\u03b1 \u03c4\u03c9\u03bd \u03b5\u03bb\u03bb\u03ae\u03bd\u03c9\u03bd \u03b5\u03af\u03bd\u03b1\u03b9 \u03c0\u03b1\u03bb\u03b9\u03ac \u03ba\u03b1\u03b9 \u03cc\u03bc\u03bf\u03c1\u03c6\u03b7"
+
+
+def test_rare_labels_are_languages(spark):
+    """17 Spanish rows of the smallest set, and one row of an alphabet of its own, with labels in any case."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    more = documents(spark, [GREEK], [9000]).withColumn("lang", F.lit("EL"))
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.upper("lang")).otherwise(F.col("lang"))).unionByName(more)
+    model = language_id.fit_language_model(docs)
+    assert model.languages == ("de", "el", "en", "es", "fr") and sum(model.shares) == pytest.approx(1)
+    rows = language_id.identify(docs, model).collect()
+    spanish = [r for r in rows if (r.lang or "").lower() == "es"]
+    assert 0 < len(spanish) < 20 and all(r.language == "es" and r.accepted for r in spanish)
+    assert [(r.language, r.accepted) for r in rows if r.doc_id == 9000] == [("el", True)]
+
+
+def test_few_or_no_labels_reject_nothing(spark):
+    few = documents(spark, [SPANISH, SPANISH + " y m\u00e1s", SPANISH + " hoy"]).withColumn("lang", F.lit("es"))
+    rows = language_id.identify(few, language_id.fit_language_model(few)).collect()
+    assert [(r.language, r.accepted) for r in rows] == [("es", True)] * 3
+    for none in (F.lit(None).cast("string"), F.lit(""), F.lit("und")):
+        docs = few.withColumn("lang", none)
+        rows = language_id.identify(docs, language_id.fit_language_model(docs)).collect()
+        assert len(rows) == 3 and all(r.language == "und" and r.accepted for r in rows)
