@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallybuy.llm import exact_dedup, language_id, line_dedup, packing, secrets, simhash, suffix_dedup, tokens, top_k, toxicity
+from tallybuy.operators.joins import lookup
 from tallybuy.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,6 +151,19 @@ def _language_id(spark, sf_dir):
     return found.select("doc_id", "language", "confidence", "accepted")
 
 
+@_query("op9_language_id_pages")
+def _language_id_pages(spark, sf_dir):
+    """All pages: the text model is that of documents, and of pages in the languages that only their markup names."""
+    pages = language_id.page_evidence(_table(spark, sf_dir, "pages"))
+    docs = _table(spark, sf_dir, "documents").select("text", F.lower("lang").alias("declared"))
+    own = lookup(
+        pages.where("declared IS NOT NULL").select("text", "declared"), docs.select("declared").distinct(), ["declared"], "left_anti"
+    )
+    model = language_id.fit_language_model(docs.unionByName(own), label="declared")
+    found = language_id.identify(pages, model, declared="declared", host="host")
+    return found.select(F.col("doc_id").alias("page_id"), "declared", "host", "language", "confidence", "accepted")
+
+
 @_query("op10_simhash")
 def _simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, most_bits=4)

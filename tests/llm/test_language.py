@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallybuy.llm import language_id
+from tallybuy.llm import language_id, queries
 from tests.llm.helpers import ODD, documents
 
 BIG = "/root/testdata/sf0.01"
@@ -138,3 +138,19 @@ def test_few_or_no_labels_reject_nothing(spark):
         docs = few.withColumn("lang", none)
         rows = language_id.identify(docs, language_id.fit_language_model(docs)).collect()
         assert len(rows) == 3 and all(r.language == "und" and r.accepted for r in rows)
+
+
+def test_pages_query_fuses_markup_and_addresses(spark, tmp_path):
+    """All pages; the text outweighs a wrong markup, and a suffix decides what neither text nor markup does."""
+    small = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{small}/documents.parquet").write.parquet(f"{tmp_path}/documents.parquet")
+    spanish = spark.read.parquet(f"{small}/documents.parquet").where("lang = 'es' AND length(text) > 500").first().text
+    more = [(9000, "http://wrong.example/x", f"<html lang=fr><p>{spanish}</p></html>"), (9001, "http://new.zz/", "<html><p>12</p></html>")]
+    more += [(9100 + k, f"http://h{k}.zz/", f"<html lang=el><p>{GREEK}</p></html>") for k in range(30)]
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    pages.unionByName(spark.createDataFrame(more, "page_id bigint, url string, html string")).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in queries.QUERIES["op9_language_id_pages"](spark, str(tmp_path)).collect()}
+    assert len(got) == pages.count() + len(more)
+    assert got[9000].language == "es" and got[9000].declared == "fr"
+    assert got[9001].declared is None and got[9001].language == "el" and got[9001].accepted
+    assert all(got[9100 + k].language == "el" and got[9100 + k].accepted for k in range(30))
