@@ -3,20 +3,20 @@
 The index has three tables. ``postings`` holds each line key of each document,
 ``counts`` the exact number of documents of each key and the smallest of them,
 and ``filters`` one cuckoo filter for each shard of the keys that at least two
-documents hold. Lines probe the filters where they lie; only hits are joined
-with the exact counts. A cuckoo filter can forget a key, so documents can be
+documents hold. Lines and filters meet in the executors, by shard; only hits are
+joined with the exact counts. Shards grow in number with the keys, and a shard
+with many lines is dealt out further, each part with a copy of its filter. A cuckoo filter can forget a key, so documents can be
 taken out again and lines come back.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybuy.llm.common import id_key, text_of
@@ -26,8 +26,10 @@ from tallybuy.session import write_out
 _BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SLOTS = 4
-#: Filters are broadcast in groups of at most so many bytes.
-_GROUP_BYTES = 64 << 20
+#: Keys in the filter of a shard, about (1 MB), and the least number of shards.
+_SHARD_KEYS, _LEAST_SHARDS = 1 << 18, 64
+#: Lines that probe one copy of a filter, at most about.
+_PROBE_ROWS = 1 << 19
 
 
 # --- cuckoo filters -----------------------------------------------------------------------
@@ -116,7 +118,7 @@ def cuckoo_remove(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LineIndex:
-    """``postings (shard, key, did)``, ``counts (shard, key, n_docs, first)``, ``filters (shard, cells)``.
+    """``postings (key, did)``, ``counts (key, n_docs, first)``, ``filters (shard, cells)``.
 
     The tables are written and never changed; an update makes a new index.
     """
@@ -128,7 +130,11 @@ class LineIndex:
     least_points: int
 
 
-def _postings(docs: DataFrame, shards: int, least_points: int) -> DataFrame:
+def _shard(shards: int) -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")
+
+
+def _postings(docs: DataFrame, least_points: int) -> DataFrame:
     lines = docs.select(
         id_key().alias("did"), F.explode(F.split(text_of(), "\n", -1)).alias("line")
     ).select(
@@ -138,11 +144,11 @@ def _postings(docs: DataFrame, shards: int, least_points: int) -> DataFrame:
     keyed = lines.where(F.length("line") >= least_points).select(
         F.unhex(F.md5("line")).alias("key"), "did"
     )
-    return keyed.distinct().select(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), "key", "did")
+    return keyed.distinct()
 
 
 def _counts(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("shard", "key").agg(
+    return postings.groupBy("key").agg(
         F.count("*").alias("n_docs"), F.min("did").alias("first")
     )
 
@@ -181,32 +187,44 @@ def _shared(counts: DataFrame) -> DataFrame:
     return counts.where("n_docs > 1")
 
 
-def build_index(docs: DataFrame, shards: int = 64, least_points: int = 10) -> LineIndex:
+def _enough_shards(counts: DataFrame) -> int:
+    """Shards for the shared keys of ``counts``."""
+    return max(_LEAST_SHARDS, -(-_shared(counts).count() // _SHARD_KEYS))
+
+
+def _filters(counts: DataFrame, shards: int) -> DataFrame:
+    keys = _shared(counts).select(_shard(shards), "key")
+    return write_out(keys.groupBy("shard").applyInArrow(_build, _FILTER_SCHEMA), "line-filters")
+
+
+def build_index(docs: DataFrame, shards: int | None = None, least_points: int = 10) -> LineIndex:
     """Index of all lines of ``docs`` with keys of at least ``least_points`` code points.
 
     A key is the line without blanks at its ends, A-Z in lower case, as its MD5.
     Rows that share a ``doc_id`` are one document; null ids are one document
-    behind all others. ``shards`` only sets how the filters are cut.
+    behind all others. ``shards`` only sets how the filters are cut;
+    None for as many as the shared keys need.
     """
-    postings = write_out(_postings(docs, shards, least_points), "postings")
+    postings = write_out(_postings(docs, least_points), "postings")
     counts = write_out(_counts(postings), "line-counts")
-    filters = write_out(
-        _shared(counts).select("shard", "key").groupBy("shard").applyInArrow(_build, _FILTER_SCHEMA),
-        "line-filters",
-    )
-    return LineIndex(postings, counts, filters, shards, least_points)
+    shards = shards or _enough_shards(counts)
+    return LineIndex(postings, counts, _filters(counts, shards), shards, least_points)
 
 
 def _updated(index: LineIndex, postings: DataFrame, touched: DataFrame) -> LineIndex:
-    """Index with new postings; only the counts of ``touched`` keys are computed anew."""
-    fresh = _counts(postings.join(touched, ["shard", "key"], "left_semi"))
-    counts = write_out(
-        index.counts.join(touched, ["shard", "key"], "left_anti").unionByName(fresh), "line-counts"
-    )
-    before = _shared(index.counts).select("shard", "key", F.lit(1).alias("was"))
-    after = _shared(counts).select("shard", "key", F.lit(1).alias("is"))
-    changes = before.join(after, ["shard", "key"], "full").select(
-        "shard", "key", (F.coalesce("is", F.lit(0)) - F.coalesce("was", F.lit(0))).alias("step")
+    """Index with new postings; only the counts of ``touched`` keys are computed anew.
+
+    Where the keys have outgrown the shards, all filters are built anew.
+    """
+    fresh = _counts(postings.join(touched, "key", "left_semi"))
+    counts = write_out(index.counts.join(touched, "key", "left_anti").unionByName(fresh), "line-counts")
+    shards = _enough_shards(counts)
+    if shards > max(_LEAST_SHARDS, 2 * index.shards):
+        return LineIndex(postings, counts, _filters(counts, shards), shards, index.least_points)
+    before = _shared(index.counts).select("key", F.lit(1).alias("was"))
+    after = _shared(counts).select("key", F.lit(1).alias("is"))
+    changes = before.join(after, "key", "full").select(
+        _shard(index.shards), "key", (F.coalesce("is", F.lit(0)) - F.coalesce("was", F.lit(0))).alias("step")
     )
     filters = write_out(
         index.filters.groupBy("shard")
@@ -219,57 +237,51 @@ def _updated(index: LineIndex, postings: DataFrame, touched: DataFrame) -> LineI
 
 def insert_documents(index: LineIndex, docs: DataFrame) -> LineIndex:
     """Index with further documents."""
-    added = write_out(_postings(docs, index.shards, index.least_points), "postings")
+    added = write_out(_postings(docs, index.least_points), "postings")
     postings = write_out(index.postings.unionByName(added).distinct(), "postings")
-    return _updated(index, postings, added.select("shard", "key").distinct())
+    return _updated(index, postings, added.select("key").distinct())
 
 
 def delete_documents(index: LineIndex, ids: DataFrame) -> LineIndex:
     """Index without the documents whose ``doc_id`` is in ``ids``; other lines may come back for it."""
     gone = ids.select(id_key().alias("did")).distinct()
-    postings = write_out(index.postings.join(gone, "did", "left_anti").select("shard", "key", "did"), "postings")
-    touched = index.postings.join(gone, "did", "left_semi").select("shard", "key").distinct()
+    postings = write_out(index.postings.join(gone, "did", "left_anti").select("key", "did"), "postings")
+    touched = index.postings.join(gone, "did", "left_semi").select("key").distinct()
     return _updated(index, postings, touched)
 
 
 # --- deduplication ------------------------------------------------------------------------
 
 
-def _groups(sizes: list[tuple[int, int]]) -> Iterator[list[int]]:
-    """Shards in groups whose filters fit into one broadcast."""
-    group, total = [], 0
-    for shard, size in sizes:
-        if group and total + size > _GROUP_BYTES:
-            yield group
-            group, total = [], 0
-        group.append(shard)
-        total += size
-    if group:
-        yield group
+def _copies(index: LineIndex, most: int) -> DataFrame:
+    """``shard, copies``: of its filter, one for about ``most`` lines, or fewer where all lines are few."""
+    lines = index.counts.groupBy(_shard(index.shards)).agg(F.sum("n_docs").alias("n"))
+    held = write_out(lines, "shard-lines")  # a row for each shard
+    total = held.agg(F.sum("n")).first()[0] or 0
+    # A shard with a hot line has more copies than others; all together are at most three for each shard.
+    part = max(1, min(most, -(-total // (2 * index.shards))))
+    return held.select("shard", F.ceil(F.col("n") / part).cast("int").alias("copies"))
 
 
-def _probed(index: LineIndex, spark: SparkSession) -> DataFrame:
+def _probe(key: tuple, postings: pa.Table, filters: pa.Table) -> pa.Table:
+    """The lines of one part of a shard that its filter may hold."""
+    rows = postings.select(["key", "did"])
+    if not filters.num_rows or not rows.num_rows:
+        return rows.slice(0, 0)
+    table = np.frombuffer(filters["cells"][0].as_py(), np.uint16).reshape(-1, _SLOTS)
+    return rows.filter(pa.array(cuckoo_has(table, _short(rows["key"]))))
+
+
+def _probed(index: LineIndex, most: int = _PROBE_ROWS) -> DataFrame:
     """Postings whose key the filter of its shard may hold."""
-    sizes = index.filters.select("shard", F.octet_length("cells")).orderBy("shard").collect()
-    found = None
-    for shards in _groups([tuple(r) for r in sizes]):
-        rows = index.filters.where(F.col("shard").isin(shards)).collect()
-        held = spark.sparkContext.broadcast({r["shard"]: bytes(r["cells"]) for r in rows})
-
-        def probe(batches, held=held):
-            tables = {k: np.frombuffer(v, np.uint16).reshape(-1, _SLOTS) for k, v in held.value.items()}
-            for batch in batches:
-                shard, keys = batch["shard"].to_numpy(), _short(batch["key"])
-                hit = np.zeros(len(shard), bool)
-                order = np.argsort(shard, kind="stable")
-                for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                    if len(part) and shard[part[0]] in tables:
-                        hit[part] = cuckoo_has(tables[shard[part[0]]], keys[part])
-                yield batch.filter(pa.array(hit))
-
-        part = index.postings.where(F.col("shard").isin(shards)).mapInArrow(probe, index.postings.schema)
-        found = part if found is None else found.unionByName(part)
-    return index.postings.limit(0) if found is None else found
+    copies = _copies(index, most)
+    sharded = lookup(index.postings.withColumn("shard", _shard(index.shards)), copies, ["shard"], "inner")
+    lines = sharded.select("shard", F.pmod(F.xxhash64("did", "key"), F.col("copies")).cast("int").alias("part"), "key", "did")
+    filters = index.filters.join(copies, "shard").select(
+        "shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("part"), "cells"
+    )
+    met = lines.groupBy("shard", "part").cogroup(filters.groupBy("shard", "part"))
+    return met.applyInArrow(_probe, "key binary, did bigint")
 
 
 def _rebuild(batches):
@@ -310,10 +322,7 @@ def drop_lines(index: LineIndex, docs: DataFrame, carry: tuple[str, ...] = ()) -
     texts have one empty line. A text whose lines all go is empty. One row comes
     out for each row of ``docs``, repeated rows too.
     """
-    spark = docs.sparkSession
-    hits = lookup(
-        _probed(index, spark), _shared(index.counts).select("key", "first"), ["key"], "inner"
-    )
+    hits = lookup(_probed(index), _shared(index.counts).select("key", "first"), ["key"], "inner")
     drops = hits.where("did <> first").groupBy("did").agg(F.collect_list("key").alias("drops"))
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),

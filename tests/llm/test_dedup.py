@@ -104,3 +104,23 @@ def test_cuckoo_filter():
     assert line_dedup.cuckoo_has(less, keys[4_000:10_000]).all()
     assert line_dedup.cuckoo_has(less, keys[:4_000]).mean() < 0.02
     assert line_dedup.cuckoo_add(table, keys) is None
+
+
+def test_filters_meet_lines_in_the_executors(spark, monkeypatch):
+    """No filter in a broadcast of the driver; shards grow with the keys, a hot shard has more copies of its filter."""
+    texts = [f"shared line number {k // 2} here\nthe line that all documents hold" for k in range(600)]
+    docs = documents(spark, texts)
+    monkeypatch.setattr(line_dedup, "_SHARD_KEYS", 3)
+    index = line_dedup.build_index(docs)
+    assert index.shards == 101 and index.filters.count() <= 101
+    assert index.counts.where("n_docs > 1").count() == 301
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.sparkContext), "broadcast", None)
+        probed = line_dedup._probed(index, most=20)
+    copies = sorted(r.copies for r in line_dedup._copies(index, 20).collect())
+    assert copies[-1] >= 30 and copies[len(copies) // 2] <= 2
+    assert probed.count() == 1200
+    assert _got(line_dedup.drop_lines(index, docs)) == _lines(list(enumerate(texts)))
+    index = line_dedup.build_index(docs.where("doc_id < 20"), shards=4)
+    index = line_dedup.insert_documents(index, docs.where("doc_id >= 20"))
+    assert index.shards == 101 and _got(line_dedup.drop_lines(index, docs)) == _lines(list(enumerate(texts)))
