@@ -14,8 +14,13 @@ wherever they stand; the strings of one anchor stand side by side as a segment.
    many, each about twice as large as the next.
 4. Blocks get back the strings that repeat and remove the bytes they cover.
 
-A hot string costs a block one anchor hash and one segment, however many
-documents hold it.
+A hot passage that stands alike in many documents costs a block one anchor hash
+and one segment. A phrase shorter than ``length``, or the edge of a passage, has
+other neighbours in each document and so a segment in each. Segments are counted
+for each anchor in step 1; those of hot anchors are dealt to shards string by
+string, by a hash of the whole string, and a block sends each of their strings
+only for its smallest document. So no anchor brings more than ``hot`` segments
+into one shard.
 """
 
 from __future__ import annotations
@@ -38,6 +43,8 @@ _SHARD_BYTES, _FINE = 4 << 20, 3
 #: Segments in a batch.
 _BATCH = 1 << 14
 _CHUNK = 1 << 16
+#: Segments of one anchor in all blocks, from which on their strings are dealt out one by one.
+_HOT = 1 << 13
 _INDEX_BITS = np.uint64((1 << 18) - 1)
 
 
@@ -181,49 +188,64 @@ def _rows(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(columns[c], kinds[c]) for c in kinds], names=list(kinds))
 
 
-def _shared_anchors(blocks: DataFrame, length: int, bits: int) -> DataFrame:
-    """``block, shard, hashes``: anchors of a block, the middle 32 bits of each, that other blocks have as well."""
-    kinds = {"shard": pa.int64(), "block": pa.int64(), "hashes": pa.binary()}
+def _shared_anchors(blocks: DataFrame, length: int, bits: int, hot: int) -> DataFrame:
+    """``block, shard, hashes, hot``: anchors of a block, the middle 32 bits of each, that other blocks have as well.
+
+    ``hot`` has a byte for each, whether all blocks together have more than ``hot`` segments of it.
+    """
+    sent = {"shard": pa.int64(), "block": pa.int64(), "hashes": pa.binary(), "segments": pa.binary()}
+    kinds = {"shard": pa.int64(), "block": pa.int64(), "hashes": pa.binary(), "hot": pa.binary()}
 
     def send(batches):
         reuse_freed_memory()
         for batch in batches:
             for name, body in zip(batch["block"].to_pylist(), batch["body"].to_pylist()):
-                hashes = np.unique(_anchors(_Block(body), length)[0])
-                out = {c: [] for c in kinds}
+                hashes, segments = np.unique(_anchors(_Block(body), length)[0], return_counts=True)
+                out = {c: [] for c in sent}
                 for shard, part in _split(hashes, bits):
                     out["shard"].append(shard)
                     out["block"].append(name)
                     out["hashes"].append((hashes[part] >> np.uint64(32 - bits)).astype("<u4").tobytes())
-                yield _rows(out, kinds)
+                    # Two bytes do where the sum only has to pass a limit below.
+                    out["segments"].append(np.minimum(segments[part], 65_535).astype("<u2").tobytes())
+                yield _rows(out, sent)
 
     def meet(key, table):
         reuse_freed_memory()
         names = table["block"].to_numpy()
-        arrays = [np.unique(np.frombuffer(x, "<u4")) for x in table["hashes"].to_pylist()]
-        sizes = [len(a) for a in arrays]
-        owner = np.repeat(np.arange(len(arrays), dtype=np.uint64), sizes)
-        keys = np.sort((np.concatenate(arrays).astype(np.uint64) << np.uint64(32)) | owner)
+        arrays = [np.frombuffer(x, "<u4") for x in table["hashes"].to_pylist()]
+        segments = np.concatenate([np.frombuffer(x, "<u2") for x in table["segments"].to_pylist()])
+        owner = np.repeat(np.arange(len(arrays), dtype=np.uint64), [len(a) for a in arrays])
+        keys = (np.concatenate(arrays).astype(np.uint64) << np.uint64(32)) | owner
+        order = np.argsort(keys, kind="stable")
+        keys, segments = keys[order], segments[order]
+        # Anchors of a block that are alike in these bits are one.
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        keys, segments = keys[first], np.add.reduceat(segments, first, dtype=np.int64)
         value = keys >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+        is_hot = np.repeat(np.add.reduceat(segments, first) > hot, np.diff(np.append(first, len(value)))).astype(np.uint8)
         same = value[1:] == value[:-1]
         shared = np.zeros(len(keys), bool)
         shared[1:] |= same
         shared[:-1] |= same
-        keys = keys[shared]
+        keys, is_hot = keys[shared], is_hot[shared]
         owner = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
         order = np.argsort(owner, kind="stable")
-        values, owner = (keys[order] >> np.uint64(32)).astype("<u4"), owner[order]
+        values, owner, is_hot = (keys[order] >> np.uint64(32)).astype("<u4"), owner[order], is_hot[order]
         edges = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1, [len(owner)]]) if len(owner) else [0]
         out = {c: [] for c in kinds}
         for a, b in zip(edges[:-1], edges[1:]):
             out["shard"].append(key[0].as_py())
             out["block"].append(int(names[owner[a]]))
             out["hashes"].append(values[a:b].tobytes())
+            out["hot"].append(is_hot[a:b].tobytes())
         return pa.Table.from_batches([_rows(out, kinds)])
 
-    schema = "shard bigint, block bigint, hashes binary"
+    schema = "shard bigint, block bigint, hashes binary, "
     # A shard is work enough for a task; small as its rows are, they aren't to be put together with others.
-    return blocks.mapInArrow(send, schema).repartition(_tasks(bits), "shard").groupBy("shard").applyInArrow(meet, schema)
+    dealt = blocks.mapInArrow(send, schema + "segments binary").repartition(_tasks(bits), "shard")
+    return dealt.groupBy("shard").applyInArrow(meet, schema + "hot binary")
 
 
 # --- step 2: segments ---------------------------------------------------------------------
@@ -257,6 +279,25 @@ def _segment_hash(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.
     return out
 
 
+def _repeated(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, dids: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """Whether a slice equals one of a smaller document, of those with its ``digest`` the smallest."""
+    order = np.lexsort((dids, digest))
+    new = np.concatenate([[True], digest[order][1:] != digest[order][:-1]])
+    leader = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    later = np.zeros(len(first), bool)
+    later[order] = dids[order] > dids[leader]
+    if later.any():  # equal hashes of unequal slices aren't repeats
+        of = np.empty(len(first), np.int64)
+        of[order] = leader
+        rows = np.flatnonzero(later)
+        lead = of[rows]
+        alike = sizes[rows] == sizes[lead]
+        rows, lead = rows[alike], lead[alike]
+        later[:] = False
+        later[rows[_alike(data, first[rows], first[lead], sizes[rows])]] = True
+    return later
+
+
 def _segments(blocks: DataFrame, shared: DataFrame, length: int, bits: int, coarse: int) -> DataFrame:
     """``shard, block, body``: segments to look up, by shard, or strings known to repeat, with a negative shard."""
     kinds = {"shard": pa.int64(), "block": pa.int64(), "body": pa.binary()}
@@ -269,45 +310,55 @@ def _segments(blocks: DataFrame, shared: DataFrame, length: int, bits: int, coar
             (np.uint64(s) << np.uint64(32)) | np.frombuffer(x, "<u4").astype(np.uint64)
             for s, x in zip(shared_rows["shard"].to_pylist(), shared_rows["hashes"].to_pylist())
         ]
-        known = np.sort(np.concatenate(sent)) if sent else np.empty(0, np.uint64)
+        known = np.concatenate(sent) if sent else np.empty(0, np.uint64)
+        order = np.argsort(known)
+        known = known[order]
+        heat = np.frombuffer(b"".join(shared_rows["hot"].to_pylist()), np.uint8)[order] > 0
         mine = hashes >> np.uint64(32 - coarse)
         _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-        wanted = counts[inverse] > 1
+        wanted, is_hot = counts[inverse] > 1, np.zeros(len(hashes), bool)
         if len(known):
             at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
-            wanted |= known[at] == mine
+            here = known[at] == mine
+            wanted |= here
+            is_hot = here & heat[at]
         hashes, first, strings, dids = hashes[wanted], first[wanted], strings[wanted], block.dids[document[wanted]]
+        is_hot = is_hot[wanted]
         out = {c: [] for c in kinds}
-        if len(first):
-            sizes = strings + length - 1
-            digest = _segment_hash(block.data, first, sizes)
-            order = np.lexsort((dids, digest))
-            new = np.concatenate([[True], digest[order][1:] != digest[order][:-1]])
-            leader = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-            later = np.zeros(len(first), bool)
-            later[order] = dids[order] > dids[leader]
-            if later.any():  # equal hashes of unequal segments aren't repeats
-                of = np.empty(len(first), np.int64)
-                of[order] = leader
-                rows = np.flatnonzero(later)
-                lead = of[rows]
-                alike = sizes[rows] == sizes[lead]
-                rows, lead = rows[alike], lead[alike]
-                later[:] = False
-                later[rows[_alike(block.data, first[rows], first[lead], sizes[rows])]] = True
+
+        def unrepeated(first, strings, dids, digest):
+            """What no smaller document of the block holds; the rest goes out as known to repeat."""
+            later = _repeated(block.data, first, strings + length - 1, dids, digest)
             if later.any():
                 out["shard"].append(-1 - key[0].as_py())
                 out["block"].append(key[0].as_py())
                 out["body"].append(_squeeze(first[later].astype("<u4"), strings[later].astype("<u4")))
-            go = np.flatnonzero(~later)
-            go = go[np.argsort(hashes[go], kind="stable")]
+            return ~later
+
+        def deal(hashes, first, strings, dids):
+            go = np.argsort(hashes, kind="stable")
             for shard, part in _split(hashes[go], bits):
                 k = go[part]
                 out["shard"].append(shard)
                 out["block"].append(key[0].as_py())
                 out["body"].append(
-                    _squeeze(dids[k], first[k].astype("<u4"), strings[k].astype("u1"), _gathered(block.data, first[k], sizes[k]))
+                    _squeeze(
+                        dids[k], first[k].astype("<u4"), strings[k].astype("u1"),
+                        _gathered(block.data, first[k], strings[k] + length - 1),
+                    )
                 )
+
+        if len(first):
+            go = unrepeated(first, strings, dids, _segment_hash(block.data, first, strings + length - 1))
+            cold, hot = go & ~is_hot, go & is_hot
+            deal(hashes[cold], first[cold], strings[cold], dids[cold])
+            if hot.any():
+                n = strings[hot]
+                start = np.repeat(first[hot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                one, owner = np.ones(len(start), np.int64), np.repeat(dids[hot], n)
+                digest = _segment_hash(block.data, start, one + length - 1)
+                go = unrepeated(start, one, owner, digest)
+                deal(digest[go] * np.uint64(0xFF51AFD7ED558CCD), start[go], one[go], owner[go])
         return pa.Table.from_batches([_rows(out, kinds)])
 
     return (
@@ -448,7 +499,7 @@ def _removed(blocks: DataFrame, found: DataFrame, length: int) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, hot: int = _HOT) -> DataFrame:
     """Texts without the bytes covered by a ``length``-byte string that starts in an earlier document, too.
 
     One row for each row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans``
@@ -456,7 +507,8 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     end within a character). Strings are those of the input, not of what is
     left, overlap, and don't cross documents. Rows that share an id are one
     document to each other; null ids are one document behind all others. Null
-    and empty texts and texts shorter than ``length`` lose nothing.
+    and empty texts and texts shorter than ``length`` lose nothing. ``hot`` only
+    sets how the work is dealt: segments of an anchor that one shard takes.
     """
     if not 2 * _GRAM <= length <= 256:
         raise ValueError(f"length must be from {2 * _GRAM} to 256")
@@ -464,6 +516,6 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     bits = _shard_bits(total)
     coarse = bits - _FINE
-    shared = _shared_anchors(blocks, length, coarse)
+    shared = _shared_anchors(blocks, length, coarse, hot)
     segments = _segments(blocks, shared, length, bits, coarse)
     return _removed(blocks, _found(segments, length, bits), length)

@@ -87,3 +87,24 @@ def test_hot_copies_nulls_and_nothing(spark):
     n = len(passage)
     assert got == [("4", 0), ("4", 0), ("None", n), ("None", n)]
     assert suffix_dedup.remove_repeats(documents(spark, [])).collect() == []
+
+
+def test_hot_anchors_are_dealt_string_by_string(spark):
+    """A line shorter than a string ends a third of all texts, each after other words; a passage has other edges."""
+    line = "under the license of this example corpora"
+    passage = "a passage that many documents hold, in full length and with a few more words"
+    texts = {k: f"{k * 7919} words {k} before {line if k % 3 else passage}{k % 5} {k * 31} and words after {k}" for k in range(600)}
+    texts |= {600 + k: "=" * (60 + k % 40) for k in range(60)}
+    docs = documents(spark, list(texts.values()), list(texts)).repartition(4)
+    want = brute_force(texts)
+    blocks = suffix_dedup.write_out(suffix_dedup._blocks(docs), "text-blocks")
+    largest = []
+    for hot in (20, 1 << 30):
+        assert _got(suffix_dedup.remove_repeats(docs, hot=hot)) == want
+        shared = suffix_dedup._shared_anchors(blocks, 50, 8, hot)
+        sent = suffix_dedup._segments(blocks, shared, 50, 11, 8).where("shard >= 0").collect()
+        strings = {}
+        for r in sent:
+            strings[r.shard] = strings.get(r.shard, 0) + int(suffix_dedup._expand(r.body, "i8", "<u4", "u1", "u1")[2].sum(dtype=np.int64))
+        largest.append(max(strings.values()))
+    assert largest[1] > 2_000 and largest[0] < largest[1] / 4
