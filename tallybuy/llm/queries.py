@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybuy.llm import exact_dedup, language_id, line_dedup, packing, secrets, simhash, suffix_dedup, tokens, top_k, toxicity
+from tallybuy.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    packing,
+    periodic_runs,
+    secrets,
+    simhash,
+    suffix_dedup,
+    tokens,
+    top_k,
+    toxicity,
+    turns,
+)
 from tallybuy.operators.joins import lookup
 from tallybuy.session import tune
 
@@ -169,6 +183,71 @@ def _simhash(spark, sf_dir):
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, most_bits=4)
 
 
+@_query(
+    "op11_decontamination",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS row, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+    b AS (
+      SELECT coalesce(item_id::VARCHAR, '') AS item,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+    k AS (
+      SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') AS gram
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 8, 2))) AS p FROM b WHERE len(w) > 0)),
+    n AS (SELECT DISTINCT n FROM k),
+    g AS (SELECT row, n.n, unnest(range(1, len(w) - n.n + 2)) AS p, w FROM d, n WHERE len(w) >= n.n),
+    f AS (SELECT row, g.n, p, item FROM g JOIN k ON g.n = k.n AND array_to_string(w[p : p + g.n - 1], ' ') = gram),
+    h AS (SELECT row, count(DISTINCT q) AS n_hit FROM (SELECT row, unnest(range(p, p + n)) AS q FROM f) GROUP BY row),
+    i AS (
+      SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT row, item FROM f) GROUP BY row)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN h USING (row) LEFT JOIN i USING (row)
+    """,
+)
+def _decontamination(spark, sf_dir):
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@_query("op12_turns")
+def _turns(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations")
+    return turns.with_all_ids(turns.Repair(turns.damaged(rows)).audits(), rows)
+
+
+@_query("op13_periodic_runs")
+def _periodic_runs(spark, sf_dir):
+    seed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), loop_seed=seed, with_text=False)
+    # The longest run; of equals that with the smallest start, then period.
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("col1"), (-r["start"]).alias("col2"), (-r["period"]).alias("col3"))))
+    length, start, period = (F.col(f"longest.col{k}") * sign for k, sign in ((1, 1), (2, -1), (3, -1)))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * longest.col1 div -longest.col3").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
 def _pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
