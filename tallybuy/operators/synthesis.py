@@ -10,6 +10,9 @@ gives; :func:`synthesize` computes them:
   e.g. the mean over a user's rows of how often the row's seller occurs. The
   parents' aggregates are not copied to the log rows; the log is first counted
   per (target, parent), and the counts serve as weights.
+
+:func:`synthesize_all` computes many specs from one prepared log and shares
+their counts.
 """
 
 from __future__ import annotations
@@ -262,128 +265,167 @@ def plan_features(spec: FeatureSpec) -> list[str]:
 # --- computing --------------------------------------------------------------
 
 
-def _n(condition: str | None) -> str:
-    return "n" if condition is None else f"n_{condition}"
+@dataclass(frozen=True)
+class Part:
+    """A spec as one of several that are computed together.
+
+    ``name`` sets its columns apart from those of the others; ``inside`` says which of
+    the shared rows it looks at (all, if None).
+    """
+
+    spec: FeatureSpec
+    name: str = ""
+    inside: Column | None = None
+
+    def n(self, condition: str | None) -> str:
+        """Name of the count of rows, or of rows under a condition."""
+        return f"n{self.name}" if condition is None else f"n{self.name}_{condition}"
 
+    def out(self, feature: str) -> str:
+        return f"{self.name}{feature}"
 
-def _case_counts(spec: FeatureSpec) -> list[Column]:
+    def cases(self) -> dict[str, Column | None]:
+        """What each count counts."""
+        found = {self.n(None): self.inside}
+        for c, e in self.spec.condition_columns().items():
+            found[self.n(c)] = e if self.inside is None else self.inside & e
+        return found
+
+
+def _all_cases(parts: Sequence[Part]) -> dict[str, Column | None]:
+    return {name: e for part in parts for name, e in part.cases().items()}
+
+
+def _case_counts(parts: Sequence[Part]) -> list[Column]:
     """Rows, and rows under each condition."""
     return [
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(e).alias(_n(c)) for c, e in spec.condition_columns().items()],
+        (F.count(F.lit(1)) if e is None else F.count_if(e)).alias(name)
+        for name, e in _all_cases(parts).items()
     ]
 
 
 def _counted_cells(
-    spec: FeatureSpec, rows: DataFrame, keys: Sequence[Column], columns: Sequence[str]
+    parts: Sequence[Part], rows: DataFrame, keys: Sequence[Column], columns: Sequence[str]
 ) -> DataFrame:
     """Counts per (key, column, value) for several columns from one pass."""
-    flags = spec.condition_columns()
-    kept = [*keys, *[e.alias(f"_is_{c}") for c, e in flags.items()]]
+    cases = _all_cases(parts)
+    flags = {name: e for name, e in cases.items() if e is not None}
+    kept = [*keys, *[e.alias(f"_is_{name}") for name, e in flags.items()]]
     long = cells(rows, kept, columns)
     by = [c for c in long.columns if not c.startswith("_is_")]
     return long.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(f"_is_{c}").alias(_n(c)) for c in flags]
+        *[(F.count_if(f"_is_{name}") if name in flags else F.count(F.lit(1))).alias(name) for name in cases]
     )
 
 
-def _plain(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
-    """Row counts and folds of the categorical columns per target."""
-    cases = [None, *spec.condition_columns()]
-    folds = [p for p in spec.primitives if p in VALUE_FOLDS]
-    columns = spec.categoricals if folds else []
+def _plain(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
+    """Row counts and folds of the categorical columns per target; ``n`` of each part says whether it has the target."""
+    keys = parts[0].spec.keys
+    folds = {part.name: [p for p in part.spec.primitives if p in VALUE_FOLDS] for part in parts}
+    columns = list(dict.fromkeys(c for part in parts if folds[part.name] for c in part.spec.categoricals))
     if not columns:
-        counts = rows.groupBy(*spec.keys).agg(*_case_counts(spec))
-        wanted = [F.col(_n(c)).alias(f"count{_suffix(c)}") for c in cases]
-        return counts.select(*spec.keys, *(wanted if "count" in spec.primitives else []))
-    counted = _counted_cells(spec, rows, [F.col(k) for k in spec.keys], columns)
-    out: list[Column] = []
-    if "count" in spec.primitives:
+        counts = rows.groupBy(*keys).agg(*_case_counts(parts))
+        counted = {name: F.col(name) for name in _all_cases(parts)}
+    else:
+        counts = _counted_cells(parts, rows, [F.col(k) for k in keys], columns)
         first = F.col("cell") == 0
-        out += [
-            F.coalesce(F.sum(F.when(first, F.col(_n(c)))), F.lit(0)).alias(f"count{_suffix(c)}")
-            for c in cases
-        ]
-    for i, col in enumerate(columns):
-        for c in cases:
-            n = F.col(_n(c))
-            seen = (F.col("cell") == i) & F.col("value").isNotNull() & (n > 0)
-            for p in folds:
-                fold = VALUE_FOLDS[p](F.col("value"), n, seen)
-                out.append(fold.alias(f"{p}_{col}{_suffix(c)}"))
-    return counted.groupBy(*spec.keys).agg(*out)
-
-
-def _daily(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
+        counted = {
+            name: F.coalesce(F.sum(F.when(first, F.col(name))), F.lit(0)) for name in _all_cases(parts)
+        }
+    out: list[Column] = []
+    for part in parts:
+        cases = [None, *part.spec.condition_columns()]
+        out.append(counted[part.n(None)].alias(part.n(None)))
+        if "count" in part.spec.primitives:
+            out += [counted[part.n(c)].alias(part.out(f"count{_suffix(c)}")) for c in cases]
+        for col in part.spec.categoricals if folds[part.name] else ():
+            for c in cases:
+                n = F.col(part.n(c))
+                seen = (F.col("cell") == columns.index(col)) & F.col("value").isNotNull() & (n > 0)
+                for p in folds[part.name]:
+                    fold = VALUE_FOLDS[p](F.col("value"), n, seen)
+                    out.append(fold.alias(part.out(f"{p}_{col}{_suffix(c)}")))
+    return counts.groupBy(*keys).agg(*out) if columns else counts.select(*keys, *out)
+
+
+def _daily(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
     """Counts per target and day. The calendar bounds the days of a target."""
-    return rows.groupBy(*spec.keys, "date").agg(*_case_counts(spec))
+    return rows.groupBy(*parts[0].spec.keys, "date").agg(*_case_counts(parts))
 
 
-def _trend(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
+def _trend(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
     """Slope of the daily row counts against time, in rows per day and day."""
     x = epoch_days(F.col("date"))
     out = []
-    for c in [None, *spec.condition_columns()]:
-        n = F.col(_n(c))
-        slope = F.regr_slope(F.when(n > 0, n), F.when(n > 0, x))
-        out.append(slope.alias(f"daily_trend{_suffix(c)}"))
-    return _daily(spec, rows).groupBy(*spec.keys).agg(*out)
+    for part in parts:
+        for c in [None, *part.spec.condition_columns()]:
+            n = F.col(part.n(c))
+            slope = F.regr_slope(F.when(n > 0, n), F.when(n > 0, x))
+            out.append(slope.alias(part.out(f"daily_trend{_suffix(c)}")))
+    return _daily(parts, rows).groupBy(*parts[0].spec.keys).agg(*out)
 
 
-def _gaps(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
+def _gaps(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
     """Mean and spread of the seconds since the target's previous row.
 
     Rows of the same day follow each other at distance zero, so days with their
     counts say everything; conditions must depend on the day alone.
     """
-    for c in spec.conditions:
-        if c not in _TIME_COLUMNS:
-            raise ValueError(f"time since previous cannot be conditioned on {c}")
-    days = _daily(spec, rows)
-    order = Window.partitionBy(*spec.keys).orderBy("date")
-    gap = F.datediff("date", F.lag("date").over(order)).cast("double") * SECONDS_PER_DAY
-    timed = days.withColumn("gap", gap)
-    out = []
-    for c in [None, *spec.condition_columns()]:
-        inside = F.col(_n(c)) > 0
-        g = F.when(inside, F.col("gap"))
-        # The target's very first row has no gap.
-        m = F.sum(F.col(_n(c)) - (inside & F.col("gap").isNull()).cast("int"))
-        total, squares = F.coalesce(F.sum(g), F.lit(0.0)), F.coalesce(F.sum(g * g), F.lit(0.0))
-        if "mean" in spec.primitives:
-            out.append(F.when(m > 0, ratio(total, m)).alias(f"mean_time_since_previous{_suffix(c)}"))
-        if "std" in spec.primitives:
-            out.append(spread(total, squares, m).alias(f"std_time_since_previous{_suffix(c)}"))
-    return timed.groupBy(*spec.keys).agg(*out)
+    keys, days, out = parts[0].spec.keys, _daily(parts, rows), []
+    for k, part in enumerate(parts):
+        for c in part.spec.conditions:
+            if c not in _TIME_COLUMNS:
+                raise ValueError(f"time since previous cannot be conditioned on {c}")
+        # Days without a row of the part are none of its days.
+        own = F.when(F.col(part.n(None)) > 0, F.col("date"))
+        order = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+        gap = F.datediff(own, F.max(own).over(order)).cast("double") * SECONDS_PER_DAY
+        days = days.withColumn(f"gap{k}", gap)
+        for c in [None, *part.spec.condition_columns()]:
+            inside = F.col(part.n(c)) > 0
+            g = F.when(inside, F.col(f"gap{k}"))
+            # The target's very first row has no gap.
+            m = F.sum(F.col(part.n(c)) - (inside & F.col(f"gap{k}").isNull()).cast("int"))
+            total, squares = F.coalesce(F.sum(g), F.lit(0.0)), F.coalesce(F.sum(g * g), F.lit(0.0))
+            if "mean" in part.spec.primitives:
+                mean = F.when(m > 0, ratio(total, m))
+                out.append(mean.alias(part.out(f"mean_time_since_previous{_suffix(c)}")))
+            if "std" in part.spec.primitives:
+                std = spread(total, squares, m)
+                out.append(std.alias(part.out(f"std_time_since_previous{_suffix(c)}")))
+    return days.groupBy(*keys).agg(*out)
 
 
 # Row transforms: each computes mean_<name> and std_<name>, with conditions.
-TRANSFORMS: dict[str, Callable[[FeatureSpec, DataFrame], DataFrame]] = {
+TRANSFORMS: dict[str, Callable[[Sequence[Part], DataFrame], DataFrame]] = {
     "time_since_previous": _gaps,
 }
 
 
-def _parent_aggregates(spec: FeatureSpec, rows: DataFrame, parent: str) -> DataFrame:
+def _of_parent(part: Part, parent: str) -> list[StackedValue]:
+    return [v for v in stacked_values(part.spec) if v.parent == parent]
+
+
+def _parent_aggregates(parts: Sequence[Part], rows: DataFrame, parent: str) -> DataFrame:
     """One row per parent with every value stacked from it."""
-    values = [v for v in stacked_values(spec) if v.parent == parent]
-    columns = [v.of for v in values if v.of is not None]
-    cases = spec.condition_columns()
+    wanted = [(part, v) for part in parts for v in _of_parent(part, parent)]
+    columns = list(dict.fromkeys(v.of for _, v in wanted if v.of is not None))
     if not columns:
-        return rows.groupBy(parent).agg(
-            *[
-                (F.count(F.lit(1)) if v.condition is None else F.count_if(cases[v.condition])).alias(v.name)
-                for v in values
-            ]
-        )
-    counted = _counted_cells(spec, rows, [F.col(parent).alias("_parent")], columns)
+        cases = _all_cases(parts)
+        out = []
+        for part, v in wanted:
+            case = cases[part.n(v.condition)]
+            out.append((F.count(F.lit(1)) if case is None else F.count_if(case)).alias(part.out(v.name)))
+        return rows.groupBy(parent).agg(*out)
+    counted = _counted_cells(parts, rows, [F.col(parent).alias("_parent")], columns)
     out = []
-    for v in values:
+    for part, v in wanted:
         if v.of is None:
-            e = F.sum(F.when(F.col("cell") == 0, F.col(_n(v.condition))))
+            e = F.sum(F.when(F.col("cell") == 0, F.col(part.n(v.condition))))
         else:
             here = F.col("cell") == columns.index(v.of)
-            e = F.count_if(here & F.col("value").isNotNull())
-        out.append(e.alias(v.name))
+            e = F.count_if(here & F.col("value").isNotNull() & (F.col(part.n(None)) > 0))
+        out.append(e.alias(part.out(v.name)))
     return counted.groupBy(F.col("_parent").alias(parent)).agg(*out)
 
 
@@ -401,25 +443,72 @@ def _weighted_slope(value: Column, n: Column, x: Column) -> Column:
 _SLOPE_ORIGIN = 9000
 
 
-def _stacked(spec: FeatureSpec, rows: DataFrame, parent: str) -> DataFrame:
+def _stacked(parts: Sequence[Part], rows: DataFrame, parent: str) -> DataFrame:
     """Parent aggregates folded over each target's rows."""
-    per_day = ["date"] if "trend" in spec.primitives else []
-    met = rows.groupBy(*spec.keys, F.col(parent).alias("_p"), *per_day).agg(*_case_counts(spec))
-    about = _parent_aggregates(spec, rows, parent).withColumnRenamed(parent, "_p")
+    keys = parts[0].spec.keys
+    per_day = ["date"] if any("trend" in part.spec.primitives for part in parts) else []
+    met = rows.groupBy(*keys, F.col(parent).alias("_p"), *per_day).agg(*_case_counts(parts))
+    about = _parent_aggregates(parts, rows, parent).withColumnRenamed(parent, "_p")
     joined = lookup(met, about, ["_p"], "inner")
     out: list[Column] = []
-    for value in (v for v in stacked_values(spec) if v.parent == parent):
-        for c in _stacked_cases(spec, value):
-            v, n = F.col(value.name), F.col(_n(c))
-            for fold in [*STACKED_FOLDS, "trend"]:
-                if fold not in spec.primitives:
-                    continue
-                if fold == "trend":
-                    e = _weighted_slope(v, n, epoch_days(F.col("date")) - _SLOPE_ORIGIN)
-                else:
-                    e = STACKED_FOLDS[fold](v, n, n > 0)
-                out.append(e.alias(f"{fold}_{value.name}{_suffix(c)}"))
-    return joined.groupBy(*spec.keys).agg(*out)
+    for part in parts:
+        for value in _of_parent(part, parent):
+            for c in _stacked_cases(part.spec, value):
+                v, n = F.col(part.out(value.name)), F.col(part.n(c))
+                for fold in [*STACKED_FOLDS, "trend"]:
+                    if fold not in part.spec.primitives:
+                        continue
+                    if fold == "trend":
+                        e = _weighted_slope(v, n, epoch_days(F.col("date")) - _SLOPE_ORIGIN)
+                    else:
+                        e = STACKED_FOLDS[fold](v, n, n > 0)
+                    out.append(e.alias(part.out(f"{fold}_{value.name}{_suffix(c)}")))
+    return joined.groupBy(*keys).agg(*out)
+
+
+def _passes(parts: Sequence[Part]) -> int:
+    """How many times the rows are read for some parts."""
+    spec_passes = {p for part in parts for p in part.spec.transforms}
+    parents = {v.parent for part in parts for v in stacked_values(part.spec)}
+    trends = any("trend" in part.spec.primitives for part in parts)
+    return 1 + trends + len(spec_passes) + 2 * len(parents)
+
+
+def _together(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
+    """Features of several parts with one target entity, one row per target of any.
+
+    Each kind of count is taken once for all parts that need it.
+    """
+    keys = parts[0].spec.keys
+    frames = [_plain(parts, rows)]
+
+    def add(chosen: list[Part], frame: Callable[[list[Part], DataFrame], DataFrame]) -> None:
+        if chosen:
+            frames.append(frame(chosen, rows))
+
+    add([p for p in parts if "trend" in p.spec.primitives], _trend)
+    for name, transform in TRANSFORMS.items():
+        add([p for p in parts if name in p.spec.transforms], transform)
+    for parent in dict.fromkeys(v.parent for p in parts for v in stacked_values(p.spec)):
+        add([p for p in parts if _of_parent(p, parent)], lambda some, r, parent=parent: _stacked(some, r, parent))
+    # The first frame has every target; the others may miss those without parents.
+    return reduce(lambda a, b: a.join(b, keys, "left"), frames)
+
+
+def _dealt(part: Part, wide: DataFrame) -> DataFrame:
+    """The frame of one part: its targets, and its columns under their own names."""
+    keys = part.spec.keys
+    names = [F.col(f"`{part.out(c)}`").alias(c) for c in plan_features(part.spec)]
+    return wide.where(F.col(f"`{part.n(None)}`") > 0).select(*keys, *names)
+
+
+def _needed(parts: Sequence[Part], extra: Sequence[str] = ()) -> set[str]:
+    """Columns of the rows that some parts look at."""
+    out = {"date", *extra}
+    for part in parts:
+        spec = part.spec
+        out |= {*spec.keys, *spec.categoricals, *spec.conditions, *spec.parents}
+    return out
 
 
 def synthesize(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
@@ -428,19 +517,12 @@ def synthesize(spec: FeatureSpec, rows: DataFrame) -> DataFrame:
     ``rows`` come from :func:`prepare`. With stacked features several passes
     start from them, so they are written out first.
     """
-    needed = {*spec.keys, *spec.categoricals, *spec.conditions, *spec.parents, "date"}
+    part = Part(spec)
+    needed = _needed([part])
     rows = rows.select(*[c for c in rows.columns if c in needed])
-    stacked = stacked_values(spec)
-    if stacked or spec.transforms or "trend" in spec.primitives:
+    if _passes([part]) > 1:
         rows = write_out(rows, "prepared")
-    parts = [_plain(spec, rows)]
-    if "trend" in spec.primitives:
-        parts.append(_trend(spec, rows))
-    parts += [TRANSFORMS[t](spec, rows) for t in spec.transforms]
-    parts += [_stacked(spec, rows, p) for p in dict.fromkeys(v.parent for v in stacked)]
-    # The first part has every target; the others may miss those without parents.
-    joined = reduce(lambda a, b: a.join(b, spec.keys, "left"), parts)
-    return joined.select(*spec.keys, *plan_features(spec))
+    return _dealt(part, _together([part], rows))
 
 
 def direct_features(spec: FeatureSpec, rows: DataFrame, parent: str) -> DataFrame:
@@ -449,7 +531,7 @@ def direct_features(spec: FeatureSpec, rows: DataFrame, parent: str) -> DataFram
     For a target these add nothing: a fold over them is already a stacked
     feature of depth 3.
     """
-    return lookup(rows, _parent_aggregates(spec, rows, parent), [parent])
+    return lookup(rows, _parent_aggregates([Part(spec)], rows, parent), [parent])
 
 
 def encoded(spec: FeatureSpec, features: DataFrame, n: int = 10, by_rank: bool = False) -> DataFrame:
@@ -458,6 +540,47 @@ def encoded(spec: FeatureSpec, features: DataFrame, n: int = 10, by_rank: bool =
     return encode_top_values(features, modes, n, by_rank)
 
 
+# --- several specs ------------------------------------------------------------
+
+
+def _scope(target: str) -> str:
+    return f"_of_{target}"
+
+
+def prepare_all(
+    specs: Sequence[FeatureSpec],
+    log: DataFrame,
+    pairs: DataFrame | None,
+    profile: DataFrame,
+    calendar: PromoCalendar,
+    day: Column | None = None,
+    unrestricted: Sequence[str] = (),
+) -> DataFrame:
+    """Log rows that any spec looks at, from one pass over the log.
+
+    The profile is joined once. Whether the entity of a row occurs in ``pairs`` is
+    looked up once for each kind of entity that specs are restricted by, and goes
+    along as a flag.
+    """
+    actions = sorted({a for s in specs for a in s.actions})
+    rows = with_actions(log, actions)
+    bound = [] if pairs is None else [s for s in specs if s.name not in unrestricted]
+    for target in dict.fromkeys(s.target for s in bound):
+        keys = ENTITY_KEYS[target]
+        known = pairs.select(*keys).distinct().withColumn(_scope(target), F.lit(True))
+        rows = lookup(rows, known, keys).fillna(False, [_scope(target)])
+    if len(bound) == len(specs) and bound:
+        rows = rows.where(reduce(lambda a, b: a | b, [_looked_at(s, True) for s in bound]))
+    whole = FeatureSpec("all", "user_seller", tuple(actions), ())
+    return prepare(whole, rows, None, profile, calendar, day)
+
+
+def _looked_at(spec: FeatureSpec, restricted: bool) -> Column:
+    """Rows of a spec among those of all."""
+    picked = F.col("action_type").isin(list(spec.actions))
+    return picked & F.col(_scope(spec.target)) if restricted else picked
+
+
 def synthesize_all(
     specs: Sequence[FeatureSpec],
     log: DataFrame,
@@ -465,11 +588,36 @@ def synthesize_all(
     profile: DataFrame,
     calendar: PromoCalendar,
     day: Column | None = None,
+    unrestricted: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """One lazy frame per spec."""
-    return {
-        s.name: synthesize(s, prepare(s, log, pairs, profile, calendar, day)) for s in specs
-    }
+    """Features of many specs by name, computed together; specs named ``unrestricted`` don't look at ``pairs``.
+
+    The log is prepared and written once for all specs (:func:`prepare_all`). Specs
+    with one target entity then share every count: their cells, days and parents are
+    the union of what each asks for, and each count is taken under the
+    actions and conditions of each spec in one aggregate. The wide frame of a target entity is
+    written, too, and its columns are dealt back to the specs, so reading the
+    result of one spec doesn't compute the others again.
+    """
+    names = [s.name for s in specs]
+    if len(set(names)) < len(names):
+        raise ValueError("specs must have different names")
+    if not specs:
+        return {}
+    restricted = {s.name: pairs is not None and s.name not in unrestricted for s in specs}
+    parts = [Part(s, f"{s.name}__", _looked_at(s, restricted[s.name])) for s in specs]
+    flags = {_scope(s.target) for s in specs if restricted[s.name]}
+    rows = prepare_all(specs, log, pairs, profile, calendar, day, unrestricted)
+    needed = _needed(parts, ["action_type", *flags])
+    rows = write_out(rows.select(*[c for c in rows.columns if c in needed]), "prepared")
+    out = {}
+    for target in dict.fromkeys(s.target for s in specs):
+        some = [part for part in parts if part.spec.target == target]
+        # Rows that no spec of this target looks at would only make targets without values.
+        seen = rows.where(reduce(lambda a, b: a | b, [part.inside for part in some]))
+        wide = write_out(_together(some, seen), "synthesized")
+        out |= {part.spec.name: _dealt(part, wide) for part in some}
+    return {name: out[name] for name in names}
 
 
 _FAVOUR = {"before_pro": (True, False), "action_type": (1, 3)}

@@ -136,6 +136,40 @@ def _register() -> None:
 
 _register()
 
+
+
+def _long_sql(spec: syn.FeatureSpec) -> str:
+    """Rows of one spec as cells, values as doubles and without nulls."""
+    keys = [c if c in spec.keys else "CAST(NULL AS BIGINT)" for c in ("user_id", "seller_id")]
+    features = f"COLUMNS(* EXCLUDE ({', '.join(spec.keys)}))"
+    return f"""
+        SELECT '{spec.name}' AS spec, {keys[0]} AS user_id, {keys[1]} AS seller_id, feature, value
+        FROM (UNPIVOT (SELECT {', '.join(spec.keys)}, CAST({features} AS DOUBLE) FROM ({_sql(spec)}))
+              ON COLUMNS(* EXCLUDE ({', '.join(spec.keys)})) INTO NAME feature VALUE value)"""
+
+
+@query("synth_batch", " UNION ALL ".join(_long_sql(s) for s in syn.SPECS.values()))
+def _synth_batch(fx):
+    """All named specs at once, as (spec, target, feature, value)."""
+    found = syn.synthesize_all(
+        list(syn.SPECS.values()), fx.log(), fx.any_pairs(), fx.user_info(), CALENDAR, unrestricted=_UNRESTRICTED
+    )
+    out = None
+    for name, frame in found.items():
+        keys = syn.SPECS[name].keys
+        doubles = rounded_matrix(frame, keys)
+        columns = [c for c in doubles.columns if c not in keys]
+        ids = [(F.col(c) if c in keys else F.lit(None)).cast("bigint").alias(c) for c in ("user_id", "seller_id")]
+        long = (
+            doubles.select(*ids, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+            .unpivot(["user_id", "seller_id"], columns, "feature", "value")
+            .where(F.col("value").isNotNull())
+            .select(F.lit(name).alias("spec"), "user_id", "seller_id", "feature", "value")
+        )
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 _PREPARED = syn.SPECS["seller_buy_pro_count"]
 
 

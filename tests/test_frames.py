@@ -334,3 +334,20 @@ def test_density_integrates_to_one(spark):
     counts = spark.createDataFrame([(i, 200 + (i * 37) % 100) for i in range(400)], "u int, count bigint")
     grid = profiles.count_density(counts, start=0, stop=600, step=1)
     assert abs(grid.agg(F.sum("density")).first()[0] - 1.0) < 1e-6
+
+
+def test_batch_equals_its_specs(spark, loyal):
+    """All named specs in one plan give the rows that each gives by itself, also where a scope has no row of a target."""
+    profile = spark.createDataFrame([(1, 3, 0), (2, 1, 1)], schemas.USER_INFO)
+    pairs = spark.createDataFrame([(1, 1), (2, 1)], "user_id bigint, seller_id bigint")
+    specs = list(syn.SPECS.values())
+    together = syn.synthesize_all(specs, loyal, pairs, profile, CAL, unrestricted=("user_seller_buy",))
+    assert list(together) == [s.name for s in specs]
+    for spec in specs:
+        own = None if spec.name == "user_seller_buy" else pairs
+        alone = syn.synthesize(spec, syn.prepare(spec, loyal, own, profile, CAL))
+        assert together[spec.name].columns == alone.columns
+        assert rows_of(together[spec.name]) == rows_of(alone), spec.name
+    assert syn.synthesize_all([], loyal, pairs, profile, CAL) == {}
+    with pytest.raises(ValueError, match="different names"):
+        syn.synthesize_all([specs[0], specs[0]], loyal, pairs, profile, CAL)

@@ -162,3 +162,13 @@ def test_hot_user_sequence_positions(spark, skewed_log):
     last = got.groupBy("user_id").agg(F.max("last_position").alias("n"))
     want = profiles.rows_per(buys, ["user_id"], "n")
     assert last.exceptAll(want).count() == 0 and want.exceptAll(last).count() == 0
+
+
+def test_batch_joins_profile_and_pairs_once(spark, skewed_log):
+    """All named specs start from one log: one join for the profile, one for each kind of entity."""
+    users = spark.createDataFrame([(1, 2, 1)], schemas.USER_INFO)
+    pairs = skewed_log.where("time_stamp = 1111").select("user_id", "seller_id").distinct()
+    specs = list(syn.SPECS.values())
+    rows = syn.prepare_all(specs, skewed_log, pairs, users, CAL, unrestricted=("user_seller_buy",))
+    logical = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\bJoin (Inner|LeftOuter|LeftSemi)", logical)) == 1 + len({s.target for s in specs})
