@@ -91,66 +91,104 @@ def positions(df: DataFrame, order: Sequence[str], result: str = "position") ->
     return numbered.withColumn(result, F.col(result) - 1)
 
 
+#: Ranks that a sketch may miss by, as a share of the rows, and columns that one pass narrows.
+_SKETCH_ACCURACY = 4_000
+_COLUMNS_A_PASS = 100
+
+
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = _SKETCH_ACCURACY
 ) -> dict[str, list[float | None]]:
     """Exact interpolated quantiles of each column, NULLs left out.
 
-    Value counts are taken first, so the sorted table has one row per distinct
-    value; only the rows next to a requested rank reach the driver.
+    Values are not sorted. A sketch of each column bounds each wanted rank from
+    both sides; a pass counts the values below the bounds, and another keeps
+    the values between them, as counts per value. Only these are put in order, and only the rows next
+    to a requested rank reach the driver. Should a sketch have missed a rank, its bounds
+    open to the least and largest value. ``df`` is read three times.
     """
-    long = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
+    out: dict[str, list[float | None]] = {}
+    for at in range(0, len(columns), _COLUMNS_A_PASS):
+        out |= _narrowed_quantiles(df, list(columns[at : at + _COLUMNS_A_PASS]), list(probabilities), accuracy)
+    return out
+
+
+def _narrowed_quantiles(
+    df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int
+) -> dict[str, list[float | None]]:
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    # Twice the share that a sketch may be off, to each side; the outermost bounds are exact.
+    reach = 2.0 / accuracy
+    asked = [min(max(q, 0.0), 1.0) for p in probabilities for q in (p - reach, p + reach)]
+    facts = values.agg(
+        *[
+            e.alias(f"{name}{i}")
+            for i in range(len(columns))
+            for name, e in (
+                ("n", F.count(f"v{i}")),
+                ("low", F.min(f"v{i}")),
+                ("high", F.max(f"v{i}")),
+                ("q", F.percentile_approx(f"v{i}", asked, accuracy)),
             )
-        ).alias("cell")
-    ).select("cell.*")
+        ]
+    ).first()
+    sizes = [facts[f"n{i}"] for i in range(len(columns))]
+    bands, targets = [], []
+    for i, n in enumerate(sizes):
+        for k, p in enumerate(probabilities if n else []):
+            rank = p * (n - 1)
+            low, high = facts[f"q{i}"][2 * k : 2 * k + 2]
+            low = facts[f"low{i}"] if asked[2 * k] == 0.0 else low
+            high = facts[f"high{i}"] if asked[2 * k + 1] == 1.0 else high
+            bands.append((i, low, high))
+            targets.append((int(rank), min(int(rank) + 1, n - 1), rank - int(rank)))
+    if bands:
+        bands = _sound_bands(values, bands, targets, facts)
+    spans = _values_of_ranks(values, bands, targets)
+    out: dict[str, list[float | None]] = {}
+    band = iter(range(len(bands)))
+    for i, c in enumerate(columns):
+        out[c] = [None] * len(probabilities)
+        for k in range(len(probabilities) if sizes[i] else 0):
+            b = next(band)
+            lo, hi, share = targets[b]
+            out[c][k] = spans[b, lo] * (1.0 - share) + spans[b, hi] * share
+    return out
+
+
+def _sound_bands(values: DataFrame, bands: list, targets: list, facts) -> list[tuple[int, float, float, int]]:
+    """Bands with the number of values below each; one that misses its ranks is opened."""
+    counts = values.agg(
+        *[F.count_if(F.col(f"v{i}") < low).alias(f"below{b}") for b, (i, low, _) in enumerate(bands)],
+        *[F.count_if(F.col(f"v{i}") <= high).alias(f"upto{b}") for b, (i, _, high) in enumerate(bands)],
+    ).first()
+    out = []
+    for b, ((i, low, high), (first, last, _)) in enumerate(zip(bands, targets)):
+        below = counts[f"below{b}"]
+        if not below <= first <= last < counts[f"upto{b}"]:
+            low, high, below = facts[f"low{i}"], facts[f"high{i}"], 0
+        out.append((i, low, high, below))
+    return out
+
+
+def _values_of_ranks(values: DataFrame, bands: list, targets: list) -> dict[tuple[int, int], float]:
+    """The value of each target rank, by band and rank."""
+    if not bands:
+        return {}
+    inside = [
+        F.when(F.col(f"v{i}").between(low, high), F.struct(F.lit(b).alias("band"), F.col(f"v{i}").alias("value")))
+        for b, (i, low, high, _) in enumerate(bands)
+    ]
     counts = (
-        long.where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
+        values.select(F.explode(F.array_compact(F.array(*inside))).alias("cell"))
+        .groupBy("cell.band", "cell.value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    cumulated = running_totals(counts, ["feature"], ["value"], {"upto": F.col("n")})
-    sizes = {r["feature"]: r["n"] for r in cumulated.groupBy("feature").agg(F.max("upto").alias("n")).collect()}
-    wanted = {c: [p * (sizes[c] - 1) for p in probabilities] if c in sizes else [] for c in columns}
-    ranks = sorted(
-        {
-            (c, k)
-            for c, exact in wanted.items()
-            for r in exact
-            for k in (int(r), min(int(r) + 1, sizes[c] - 1))
-        }
+    cumulated = running_totals(counts, ["band"], ["value"], {"upto": F.col("n")})
+    # At most two ranks for each column and probability.
+    ranks = sorted({(b, k, k - bands[b][3]) for b, (lo, hi, _) in enumerate(targets) for k in (lo, hi)})
+    wanted = values.sparkSession.createDataFrame(ranks, "band int, rank bigint, place bigint")
+    found = cumulated.join(F.broadcast(wanted), "band").where(
+        (F.col("place") >= F.col("upto") - F.col("n")) & (F.col("place") < F.col("upto"))
     )
-    spans: dict[str, list] = {c: [] for c in columns}
-    if ranks:
-        # At most two ranks per column and probability.
-        asked = df.sparkSession.createDataFrame(ranks, "feature string, rank bigint")
-        start = F.col("upto") - F.col("n")
-        found = (
-            cumulated.join(F.broadcast(asked), "feature")
-            .where((F.col("rank") >= start) & (F.col("rank") < F.col("upto")))
-            .select("feature", start.alias("start"), "upto", "value")
-            .distinct()
-        )
-        for r in found.collect():
-            spans[r["feature"]].append((r["start"], r["upto"], r["value"]))
-
-    def at(c: str, k: int) -> float:
-        return next(v for lo, hi, v in spans[c] if lo <= k < hi)
-
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        if c not in sizes:
-            out[c] = [None] * len(probabilities)
-            continue
-        row = []
-        for r in wanted[c]:
-            lo, frac = int(r), r - int(r)
-            hi = min(lo + 1, sizes[c] - 1)
-            row.append(at(c, lo) * (1.0 - frac) + at(c, hi) * frac)
-        out[c] = row
-    return out
+    return {(r["band"], r["rank"]): r["value"] for r in found.select("band", "rank", "value").collect()}

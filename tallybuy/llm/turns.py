@@ -253,7 +253,9 @@ def _aligned(pieces: DataFrame) -> DataFrame:
             kept = batch.drop_columns(["begins"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(tables, kind)], names=[*kept.schema.names, "table"])
 
-    return pieces.mapInArrow(run, f"{_PIECE_SCHEMA}, {_TABLE}")
+    # Pieces are few bytes and much work, so they aren't to be put together into few tasks.
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pieces.repartition(tasks, *_CONV, "piece").mapInArrow(run, f"{_PIECE_SCHEMA}, {_TABLE}")
 
 
 class _Audit:

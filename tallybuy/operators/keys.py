@@ -102,7 +102,10 @@ def one_hot(df: DataFrame, domains: Mapping[str, Sequence]) -> DataFrame:
 
 
 def string_domains(df: DataFrame) -> dict[str, list[str]]:
-    """Distinct values of every string column; each becomes a column of the encoded frame."""
+    """Distinct values of every string column; each becomes a column of the encoded frame.
+
+    For columns known to have few values; :mod:`.sparse` takes any number.
+    """
     names = [c for c, kind in df.dtypes if kind == "string"]
     return {
         c: [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()]

@@ -24,6 +24,7 @@ from tallybuy.operators.population import PAIR, mark_split, rows_of
 from tallybuy.operators.population import first_per_pair, rows_to_score, training_rows
 from tallybuy.operators.scaling import reduce_dimension, robust_scale
 from tallybuy.operators.selection import FeatureSelector
+from tallybuy.operators.sparse import one_hot_vectors
 from tallybuy.session import workspace, write_out
 
 NOT_FEATURES = (
@@ -227,18 +228,24 @@ def score_with_saved(paths: Mapping[str, str], rows: DataFrame) -> DataFrame:
 def tree_importances(
     rows: DataFrame, columns: Sequence[str], label: str, task: str, n_runs: int,
     early_stopping: bool = True, max_iter: int = 1000, step: float = 0.05, keys: Sequence[str] = PAIR,
-    patience: int = 100,
+    patience: int = 100, index: DataFrame | None = None,
     **params,
 ) -> dict[str, float]:
-    """Mean feature importance of boosted trees over seeds 0 … n_runs − 1."""
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
-    usable = fill_features(rows, columns).withColumn("label", F.col(label).cast("double"))
+    """Mean feature importance of boosted trees over seeds 0 … n_runs − 1.
+
+    String columns among ``columns`` go in as sparse 0/1 positions by ``index``
+    (:func:`.sparse.feature_index` of these columns); a column has the sum of its positions.
+    """
+    kinds = dict(rows.dtypes)
+    numeric, strings = ([c for c in columns if (kinds[c] == "string") == text] for text in (False, True))
+    usable = fill_features(rows, numeric).withColumn("label", F.col(label).cast("double"))
     # Rows without a key are told apart by an id written out with them.
     known = [k for k in keys if k in rows.columns] or ["_row"]
-    usable = assembler.transform(usable.withColumn("_row", F.monotonically_increasing_id()))
-    vectors = write_out(usable.select(*known, "features", "label"), "vectors")
+    usable = usable.withColumn("_row", F.monotonically_increasing_id())
+    vectors = write_out(one_hot_vectors(usable, [*known, "label"], numeric, strings, index), "vectors")
+    owner = [*numeric, *([strings[r["place"]] for r in index.select("place").orderBy("index").toLocalIterator()] if strings else [])]
     build = GBTClassifier if task == "classification" else GBTRegressor
-    total = np.zeros(len(columns))
+    total = np.zeros(len(owner))
     for seed in range(n_runs):
         settings = {"maxIter": max_iter, "stepSize": step, "seed": seed, **params}
         train, valid = vectors, vectors.limit(0)
@@ -247,7 +254,10 @@ def tree_importances(
             train, valid = vectors.where(~chosen), vectors.where(chosen)
         model = fit_with_patience(build(**settings), train, valid, patience if early_stopping else None)
         total += model.featureImportances.toArray()
-    return dict(zip(columns, (total / n_runs).tolist()))
+    out = dict.fromkeys(columns, 0.0)
+    for column, value in zip(owner, (total / n_runs).tolist()):
+        out[column] += value
+    return out
 
 
 def unimportant_columns(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybuy.functions.ordering import exact_quantiles
+from tallybuy.session import write_out
 
 # Columns that are carried along unscaled.
 KEPT = ("user_id", "seller_id", "user_seller", "label")
@@ -36,7 +37,8 @@ def robust_scale(
     A quantile range of zero counts as one.
     """
     columns = _features(df, kept)
-    filled = _filled(df, columns)
+    # Read by each pass behind the quantiles and again below.
+    filled = write_out(_filled(df, columns), "filled")
     quantiles = exact_quantiles(filled, columns, [lower, 0.5, upper])
     scaled = []
     for c in columns:

@@ -7,17 +7,19 @@ plain projection.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybuy.operators.keys import one_hot_strings, string_domains
+from tallybuy.operators import correlation, sparse
+from tallybuy.operators.joins import lookup
+from tallybuy.operators.keys import one_hot_strings
+from tallybuy.session import write_out
 
 METHODS = ("missing", "single_unique", "collinear", "zero_importance", "low_importance")
-_PAIR_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+#: Values of string columns that get a column each; more stay in sparse form.
+MOST_WIDE = 1000
 
 
 def _present(c: str) -> Column:
@@ -68,64 +70,18 @@ def single_valued(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if found[c]]
 
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, earlier_feature, r)`` for every pair of columns.
-
-    Pairwise complete: a pair uses the rows where both values are present. A
-    pair that is constant on those rows has r NULL. Each task folds its rows
-    into one matrix of sums per pair; only those matrices are shuffled.
-    """
-    columns = _numeric(df, columns)
-    p = len(columns)
-    schema = "i int, j int, " + ", ".join(f"{s} double" for s in _PAIR_SUMS)
-    values = df.select(*[_present(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
-    # Sums are taken around the column means, which keeps them accurate.
-    centre_row = values.agg(*[F.avg(f"c{k}").alias(f"c{k}") for k in range(p)]).first()
-    centre = np.array([v if v is not None else 0.0 for v in centre_row], dtype=float)
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = {s: np.zeros((p, p)) for s in _PAIR_SUMS}
-        for batch in batches:
-            x = batch.to_numpy(dtype=float) - centre
-            there = (~np.isnan(x)).astype(float)
-            x = np.nan_to_num(x, nan=0.0)
-            square = x * x
-            sums["n"] += there.T @ there
-            sums["sx"] += x.T @ there
-            sums["sy"] += there.T @ x
-            sums["sxx"] += square.T @ there
-            sums["syy"] += there.T @ square
-            sums["sxy"] += x.T @ x
-        i, j = np.triu_indices(p, k=1)
-        yield pd.DataFrame({"i": i, "j": j, **{s: m[i, j] for s, m in sums.items()}})
-
-    total = (
-        values.mapInPandas(fold, schema)
-        .groupBy("i", "j")
-        .agg(*[F.sum(s).alias(s) for s in _PAIR_SUMS])
-    )
-    n = F.col("n")
-    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
-    var_x = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
-    var_y = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
-    # Variances at rounding-noise level belong to constants.
-    noise_x = F.lit(1e-14) * F.col("sxx")
-    noise_y = F.lit(1e-14) * F.col("syy")
-    r = F.when(
-        (n > 1) & (var_x > noise_x) & (var_y > noise_y),
-        F.try_divide(cov, F.sqrt(var_x) * F.sqrt(var_y)),
-    )
-    names = F.array(*[F.lit(c) for c in columns])
-    return total.select(
-        F.get(names, F.col("j")).alias("feature"),
-        F.get(names, F.col("i")).alias("earlier_feature"),
-        r.alias("r"),
-    )
+def correlation_pairs(df: DataFrame, columns: Sequence[str], threshold: float | None = None) -> DataFrame:
+    """``(feature, earlier_feature, r)`` of the numeric columns among ``columns``, see :mod:`.correlation`."""
+    return correlation.correlation_pairs(df, _numeric(df, columns), threshold)
 
 
 def collinear_pairs(df: DataFrame, columns: Sequence[str], threshold: float) -> DataFrame:
     """Pairs beyond the threshold: the later column of each goes."""
-    return correlation_pairs(df, columns).where(F.abs("r") > threshold).select(
+    return _as_drops(correlation_pairs(df, columns, threshold))
+
+
+def _as_drops(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
         F.col("feature").alias("drop_feature"),
         F.col("earlier_feature").alias("corr_feature"),
         F.col("r").alias("corr_value"),
@@ -163,7 +119,9 @@ class FeatureSelector:
     ``keys`` (and ``label``) stay in the frame and are never candidates.
     """
 
-    def __init__(self, data: DataFrame, keys: Sequence[str] = (), label: str | None = None) -> None:
+    def __init__(
+        self, data: DataFrame, keys: Sequence[str] = (), label: str | None = None, most_wide: int = MOST_WIDE
+    ) -> None:
         self.data = data
         self.keys = list(keys)
         self.label = label
@@ -176,12 +134,38 @@ class FeatureSelector:
         self.feature_importances: DataFrame | None = None
         self.encoded: DataFrame | None = None
         self.one_hot_features: list[str] = []
+        self.dropped_values: DataFrame | None = None
+        self.most_wide = most_wide
         self._one_hot_correlated = False
+        self._index: DataFrame | None = None
+        self._wide: bool | None = None
+
+    @property
+    def strings(self) -> list[str]:
+        kinds = dict(self.data.dtypes)
+        return [c for c in self.features if kinds[c] == "string"]
+
+    def value_index(self) -> DataFrame:
+        """Values of the string features, numbered, see :func:`.sparse.feature_index`."""
+        if self._index is None:
+            self._index = sparse.feature_index(self.data, self.strings)
+        return self._index
+
+    def _is_wide(self) -> bool:
+        """Whether there are too many values to give each a column; results are the same either way."""
+        if self._wide is None:
+            self._wide = bool(self.strings) and self.value_index().count() > self.most_wide
+        return self._wide
 
     def _encode(self) -> DataFrame:
-        """The data with 0/1 columns of its string features in front of them."""
+        """The data with 0/1 columns of its string features in front of them, unless they are too many."""
+        if self.encoded is None and self._is_wide():
+            self.encoded = self.data
         if self.encoded is None:
-            domains = string_domains(self.data.select(*self.features))
+            domains: dict[str, list[str]] = {c: [] for c in self.strings}
+            if self.strings:
+                for r in self.value_index().orderBy("index").collect():  # at most `most_wide` rows
+                    domains[self.strings[r["place"]]].append(r["value"])
             wide = one_hot_strings(self.data, domains)
             self.one_hot_features = [c for c in wide.columns if c not in self.data.columns]
             self.encoded = wide.select(
@@ -191,8 +175,9 @@ class FeatureSelector:
         return self.encoded
 
     def _model_columns(self) -> list[str]:
+        """Numeric features and 0/1 columns; of too many values, their string columns."""
         wide = self._encode()
-        return _numeric(wide, self.features) + self.one_hot_features
+        return _numeric(wide, self.features) + (self.strings if self._is_wide() else self.one_hot_features)
 
     def identify_missing(self, threshold: float) -> list[str]:
         stats = missing_fractions(nan_to_null(self.data), self.features)
@@ -208,12 +193,28 @@ class FeatureSelector:
         return self.ops["single_unique"]
 
     def identify_collinear(self, threshold: float, one_hot: bool = False) -> list[str]:
+        """Later columns of pairs beyond the threshold.
+
+        With ``one_hot`` also among 0/1 columns of strings. Where these are too many for
+        columns, ``dropped_values`` has those that go, and the list only the others.
+        """
         self._one_hot_correlated = one_hot
-        frame = self._encode() if one_hot else self.data
-        columns = self._model_columns() if one_hot else self.features
-        pairs = collinear_pairs(nan_to_null(frame), columns, threshold)
+        clean = nan_to_null(self.data)
+        if one_hot and self._is_wide():
+            columns = _numeric(clean, self.features)
+            pairs = _as_drops(
+                correlation.sparse_correlations(clean, columns, self.strings, threshold, self.value_index())
+            )
+            pairs = write_out(pairs, "collinear")
+            values = self.value_index().select(F.col("feature").alias("drop_feature"))
+            self.dropped_values = lookup(pairs.select("drop_feature").distinct(), values, ["drop_feature"], "left_semi")
+            pairs_of_columns = pairs.where(F.col("drop_feature").isin(columns))
+        else:
+            columns = self._model_columns() if one_hot else self.features
+            pairs = collinear_pairs(nan_to_null(self._encode()) if one_hot else clean, columns, threshold)
+            pairs_of_columns = pairs
         self.record_collinear = pairs
-        found = {r["drop_feature"] for r in pairs.select("drop_feature").distinct().collect()}
+        found = {r["drop_feature"] for r in pairs_of_columns.select("drop_feature").distinct().collect()}
         self.ops["collinear"] = [c for c in columns if c in found]
         return self.ops["collinear"]
 
@@ -232,8 +233,9 @@ class FeatureSelector:
             raise ValueError("task must be 'classification' or 'regression'")
         columns = self._model_columns()
         wide = self._encode().where(F.col(self.label).isNotNull())
+        index = self.value_index() if self._is_wide() else None
         mean = tree_importances(
-            wide, columns, self.label, task, n_iterations, early_stopping, **training
+            wide, columns, self.label, task, n_iterations, early_stopping, index=index, **training
         )
         rows = [(c, float(v)) for c, v in mean.items()]
         table = self.data.sparkSession.createDataFrame(rows, "feature string, importance double")
@@ -266,11 +268,18 @@ class FeatureSelector:
         return self.check_removal()
 
     def check_removal(self, keep_one_hot: bool = True) -> list[str]:
-        """All columns identified so far. One-hot columns are never among them by themselves;
-
-        :meth:`remove` drops them with ``keep_one_hot=False``.
-        """
-        return sorted({c for dropped in self.ops.values() for c in dropped})
+        """All columns identified so far; without ``keep_one_hot`` with all 0/1 columns of strings."""
+        found = {c for dropped in self.ops.values() for c in dropped}
+        return sorted(found if keep_one_hot else found | set(self.one_hot_features))
+
+    def removable_one_hot(self) -> int:
+        """How many 0/1 columns of strings would go by ``keep_one_hot=False`` over those identified so far."""
+        found = {c for dropped in self.ops.values() for c in dropped}
+        if not self._is_wide():
+            self._encode()
+            return len(set(self.one_hot_features) - found)
+        gone = 0 if self.dropped_values is None else self.dropped_values.count()
+        return self.value_index().count() - gone
 
     def remove(self, methods: Sequence[str] | str, keep_one_hot: bool = True) -> DataFrame:
         chosen = list(self.ops) if methods == "all" else list(methods)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallybuy.operators import correlation, sparse
 from tallybuy.operators import selection as sel
 from tallybuy.operators.scaling import robust_scale, robust_scale_sketch
 from tallybuy.plans.catalogue import CHECK_SQL, query
@@ -151,6 +152,82 @@ def _collinear_onehot(fx):
     return rounded_matrix(sel.correlation_pairs(wide, names), ["feature", "earlier_feature"])
 
 
+_STRINGS = ["p_name", "p_brand", "p_type", "size"]
+_NUMBERS = ["p_retailprice", "p_size", "price_or_null"]
+_SPARSE_OVER = 0.04
+
+
+def _sparse_sql() -> str:
+    """Every pair of values and numbers, from counts of all values."""
+    cells = " UNION ALL ".join(
+        f"SELECT row, {k} AS place, {c} AS value, '{c}_' || {c} AS feature FROM f WHERE {c} IS NOT NULL" for k, c in enumerate(_STRINGS)
+    )
+    number = """
+        SELECT feature, '{x}' AS earlier_feature,
+          (sxy - (SELECT sum({x}) FROM f) * c / (SELECT count({x}) FROM f))
+          / (sqrt((SELECT var_pop({x}) * count({x}) FROM f)) * sqrt(c - c * c / (SELECT count({x}) FROM f)::DOUBLE)) AS r
+        FROM (SELECT feature, count({x}) AS c, coalesce(sum({x}), 0) AS sxy FROM cells JOIN f USING (row) GROUP BY feature)
+        WHERE c > 0 AND c < (SELECT count({x}) FROM f)"""
+    dense = f"""SELECT feature, earlier_feature, r FROM ({_pairs_sql(_NUMBERS).replace("FROM frame", "FROM f")})"""
+    return f"""
+        WITH f AS (SELECT row_number() OVER () AS row, p_name, p_brand, p_type, {_SIZE_SQL} AS size,
+                          p_retailprice::DOUBLE AS p_retailprice, p_size::DOUBLE AS p_size,
+                          CASE WHEN p_partkey % 3 <> 0 THEN p_retailprice::DOUBLE END AS price_or_null FROM part),
+        cells AS ({cells}),
+        v AS (SELECT place, value, feature, count(*) AS c FROM cells GROUP BY ALL),
+        t AS (SELECT a.feature AS x, b.feature AS y, count(*) AS n FROM cells a JOIN cells b ON a.row = b.row AND a.place < b.place GROUP BY ALL),
+        m AS (SELECT count(*)::DOUBLE AS n FROM f),
+        p AS (
+          SELECT b.feature AS feature, a.feature AS earlier_feature,
+            (coalesce(t.n, 0) - a.c * b.c / m.n) / (sqrt(a.c - a.c * a.c / m.n) * sqrt(b.c - b.c * b.c / m.n)) AS r
+          FROM v a JOIN v b ON (a.place, a.value) < (b.place, b.value) CROSS JOIN m
+          LEFT JOIN t ON t.x = a.feature AND t.y = b.feature WHERE a.c < m.n AND b.c < m.n)
+        SELECT feature, earlier_feature, round(r, 4) + 0 AS r
+        FROM (SELECT * FROM p UNION ALL {" UNION ALL ".join(number.format(x=x) for x in _NUMBERS)} UNION ALL {dense})
+        WHERE abs(r) > {_SPARSE_OVER}"""
+
+
+_SIZE_SQL = "CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END"
+
+
+@query("collinear_onehot_sparse", _sparse_sql())
+def _collinear_onehot_sparse(fx):
+    """0/1 columns of all strings of a table, names among them, against each other and its numbers."""
+    rows = fx.table("part").select(
+        "p_name", "p_brand", "p_type", F.when(F.col("p_size") > 25, "large").otherwise("small").alias("size"),
+        F.col("p_retailprice").cast("double").alias("p_retailprice"), F.col("p_size").cast("double").alias("p_size"),
+        F.when(F.col("p_partkey") % 3 != 0, F.col("p_retailprice").cast("double")).alias("price_or_null"),
+    )
+    return rounded_matrix(
+        correlation.sparse_correlations(rows, _NUMBERS, _STRINGS, _SPARSE_OVER), ["feature", "earlier_feature"]
+    )
+
+
+@query(
+    "onehot_cells",
+    """SELECT p_partkey, 'p_brand_' || p_brand AS feature FROM part WHERE p_brand IS NOT NULL
+       UNION ALL SELECT p_partkey, 'p_name_' || p_name FROM part WHERE p_name IS NOT NULL""",
+)
+def _onehot_cells(fx):
+    """The one-hot matrix of two strings in long form, any number of values."""
+    return sparse.one_hot_cells(fx.table("part"), ["p_partkey"], ["p_brand", "p_name"]).select("p_partkey", "feature")
+
+
+@query(
+    "removable_one_hot",
+    """SELECT (SELECT count(DISTINCT p_brand) + count(DISTINCT p_name) FROM part) AS values,
+              (SELECT count(DISTINCT p_brand) + count(DISTINCT p_name) FROM part) AS removable,
+              (SELECT 1) AS identified""",
+)
+def _removable_one_hot(fx):
+    """How many 0/1 columns would go over those that were identified as constant."""
+    rows = fx.table("part").select("p_partkey", "p_brand", "p_name", F.lit(1).alias("one"))
+    selector = sel.FeatureSelector(rows, ["p_partkey"])
+    selector.identify_single_unique()
+    found = (selector.value_index().count(), selector.removable_one_hot(), len(selector.check_removal()))
+    return fx.spark.createDataFrame([found], "values bigint, removable bigint, identified int")
+
+
 @query(
     "low_importance",
     """WITH i AS (SELECT concat('user_', user_id) AS feature, count(*)::DOUBLE AS importance

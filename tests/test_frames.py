@@ -351,3 +351,20 @@ def test_batch_equals_its_specs(spark, loyal):
     assert syn.synthesize_all([], loyal, pairs, profile, CAL) == {}
     with pytest.raises(ValueError, match="different names"):
         syn.synthesize_all([specs[0], specs[0]], loyal, pairs, profile, CAL)
+
+
+def test_quantiles_of_heavy_tails_by_narrowing(spark):
+    """Ties on bounds, heavy tails, nulls, one value, and a sketch so coarse that bands must open."""
+    rng = np.random.default_rng(11)
+    n = 6_000
+    tail, ties = rng.lognormal(0, 5, n), rng.integers(0, 3, n).astype(float)
+    mixed = np.where(rng.random(n) < 0.999, 0.0, rng.pareto(0.5, n))
+    frame = [(float(a), float(b), float(c) if k % 3 else None, 7.0, None) for k, (a, b, c) in enumerate(zip(tail, ties, mixed))]
+    df = spark.createDataFrame(frame, "t double, i double, m double, one double, `no ne` double").repartition(6)
+    asked = [0.0, 0.001, 0.25, 0.5, 0.999, 1.0]
+    for accuracy in (4_000, 50, 1):
+        got = exact_quantiles(df, ["t", "i", "m", "one", "no ne"], asked, accuracy)
+        some = np.array([r[2] for r in frame if r[2] is not None])
+        for name, want in (("t", tail), ("i", ties), ("m", some), ("one", np.full(n, 7.0))):
+            assert np.allclose(got[name], np.quantile(want, asked), rtol=1e-12), (name, accuracy)
+        assert got["no ne"] == [None] * len(asked)
