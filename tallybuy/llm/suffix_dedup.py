@@ -4,6 +4,10 @@ Texts are cut into blocks. Every string of ``length`` bytes has one anchor, the
 smallest hash among its shorter substrings, so equal strings have equal anchors
 wherever they stand; the strings of one anchor stand side by side as a segment.
 
+Texts longer than a block are cut into parts with ``length - 1`` bytes of overlap, so a
+block has a bounded size; what a shard gets is taken in turns by hash. A worker holds
+about 40 times the bytes of a block at most.
+
 1. Blocks send the distinct anchor hashes they hold to shards, which tell each
    block the anchors that another block has, too.
 2. Blocks send the segments of such anchors to shards. Of equal segments in one
@@ -31,12 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybuy.llm.common import id_key, reuse_freed_memory, text_of
+from tallybuy.llm.common import id_key, release_memory, reuse_freed_memory, text_of
+from tallybuy.llm.words import text_bytes
 from tallybuy.session import write_out
 
 #: Anchors are hashes of so many bytes.
 _GRAM = 24
-#: Bytes of text in a block, about; a longer text is a block of its own.
+#: Bytes of text in a block, about; a longer text is cut.
 _BLOCK_BYTES = 4 << 20
 #: Bytes of text for each shard of segments, about, and shards of segments for one of anchors.
 _SHARD_BYTES, _FINE = 4 << 20, 3
@@ -45,6 +50,8 @@ _BATCH = 1 << 14
 _CHUNK = 1 << 16
 #: Segments of one anchor in all blocks, from which on their strings are dealt out one by one.
 _HOT = 1 << 13
+#: Strings of a shard, and hot strings of a block, are taken in so many turns (as bits).
+_TURN_BITS = 3
 _INDEX_BITS = np.uint64((1 << 18) - 1)
 
 
@@ -57,8 +64,9 @@ def _squeeze(*arrays: np.ndarray) -> bytes:
     return len(raw).to_bytes(8, "little") + bytes(pa.Codec("zstd", compression_level=3).compress(raw))
 
 
-def _expand(data: bytes, *kinds: str) -> list[np.ndarray]:
-    raw = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"))
+def _expand(data, *kinds: str) -> list[np.ndarray]:
+    view = memoryview(data)
+    raw = pa.Codec("zstd").decompress(view[8:], int.from_bytes(view[:8], "little"))
     view, at, out = memoryview(raw), 0, []
     for kind in kinds:
         n = int(np.frombuffer(view[at : at + 8], np.int64)[0])
@@ -68,43 +76,60 @@ def _expand(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """``block, n_bytes, body``: ids, order keys and texts of some documents, compressed."""
+def _blocks(docs: DataFrame, length: int, block_bytes: int) -> DataFrame:
+    """``block, n_bytes, body, text, part``: ids, order keys and texts of some documents, compressed.
+
+    A text of more than ``block_bytes`` is cut into parts, each a block: the strings that
+    start in so many bytes, and so the first bytes of the next part, too. ``text`` is
+    the first block of such a text, and null for others.
+    """
+    names = ["block", "n_bytes", "body", "text", "part"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches):
         block, held, size = TaskContext.get().partitionId() << 32, [], 0
 
-        def flush():
-            texts = [t.encode() for _, _, t in held]
+        def row(rows, text=None, part=None):
             body = _squeeze(
-                np.array([d for d, _, _ in held], np.int64),
-                np.array([i is None for _, i, _ in held], np.uint8),
-                np.array([len(t) for t in texts], np.int64),
-                np.frombuffer(b"".join(texts), np.uint8),
-            )
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([size], pa.int64()), pa.array([body], pa.binary())],
-                names=["block", "n_bytes", "body"],
+                np.array([d for d, _, _ in rows], np.int64),
+                np.array([i for _, i, _ in rows], np.uint8),
+                np.array([len(t) for _, _, t in rows], np.int64),
+                np.concatenate([t for _, _, t in rows]),
             )
+            cells = (block, sum(len(t) for _, _, t in rows), body, text, part)
+            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names=names)
 
         for batch in batches:
-            for did, doc, text in zip(*(batch[c].to_pylist() for c in ("did", "doc_id", "text"))):
-                held.append((did, doc, text))
-                size += len(text.encode())
-                if size >= _BLOCK_BYTES:
-                    yield flush()
+            data, offsets = text_bytes(batch["text"])
+            edges, nulls = offsets.tolist(), batch["doc_id"].is_null().to_pylist()
+            for k, did in enumerate(batch["did"].to_pylist()):
+                text = data[edges[k] : edges[k + 1]]
+                if len(text) > block_bytes:
+                    if held:
+                        yield row(held)
+                        block, held, size = block + 1, [], 0
+                    first = block
+                    for part, at in enumerate(range(0, len(text), block_bytes)):
+                        yield row([(did, nulls[k], text[at : at + block_bytes + length - 1])], first, part)
+                        block += 1
+                    continue
+                # A copy, as the batch goes while its texts wait for a block.
+                held.append((did, nulls[k], text.copy()))
+                size += len(text)
+                if size >= block_bytes:
+                    yield row(held)
                     block, held, size = block + 1, [], 0
         if held:
-            yield flush()
+            yield row(held)
 
     rows = docs.select(id_key().alias("did"), F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(run, "block bigint, n_bytes bigint, body binary")
+    return rows.mapInArrow(run, "block bigint, n_bytes bigint, body binary, text bigint, part bigint")
 
 
 class _Block:
     """Texts of a block, laid end to end."""
 
-    def __init__(self, body: bytes):
+    def __init__(self, body):
         self.dids, self.null, self.sizes, self.data = _expand(body, "i8", "u1", "i8", "u1")
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
@@ -279,6 +304,16 @@ def _segment_hash(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.
     return out
 
 
+def _string_hash(data: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the string of ``length`` bytes that begins in each place."""
+    out = np.empty(len(first), np.uint64)
+    for at in range(0, len(first), _CHUNK):
+        k = slice(at, at + _CHUNK)
+        begin = first[k].astype(np.int64)
+        out[k] = _segment_hash(data, begin, np.full(len(begin), length, np.int64))
+    return out
+
+
 def _repeated(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, dids: np.ndarray, digest: np.ndarray) -> np.ndarray:
     """Whether a slice equals one of a smaller document, of those with its ``digest`` the smallest."""
     order = np.lexsort((dids, digest))
@@ -341,9 +376,11 @@ def _segments(blocks: DataFrame, shared: DataFrame, length: int, bits: int, coar
                 k = go[part]
                 out["shard"].append(shard)
                 out["block"].append(key[0].as_py())
+                # The bits behind those of the shard part its strings again.
+                turn = ((hashes[k] << np.uint64(bits)) >> np.uint64(64 - _TURN_BITS)).astype("u1")
                 out["body"].append(
                     _squeeze(
-                        dids[k], first[k].astype("<u4"), strings[k].astype("u1"),
+                        dids[k], first[k].astype("<u4"), strings[k].astype("u1"), turn,
                         _gathered(block.data, first[k], strings[k] + length - 1),
                     )
                 )
@@ -354,11 +391,17 @@ def _segments(blocks: DataFrame, shared: DataFrame, length: int, bits: int, coar
             deal(hashes[cold], first[cold], strings[cold], dids[cold])
             if hot.any():
                 n = strings[hot]
-                start = np.repeat(first[hot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                one, owner = np.ones(len(start), np.int64), np.repeat(dids[hot], n)
-                digest = _segment_hash(block.data, start, one + length - 1)
-                go = unrepeated(start, one, owner, digest)
-                deal(digest[go] * np.uint64(0xFF51AFD7ED558CCD), start[go], one[go], owner[go])
+                start = np.repeat((first[hot] - (np.cumsum(n) - n)).astype(np.int32), n) + np.arange(n.sum(), dtype=np.int32)
+                digest = _string_hash(block.data, start, length)
+                # Equal strings have equal digests, so they can be taken a part of the digests at a time.
+                turns = (digest & np.uint64((1 << _TURN_BITS) - 1)).astype(np.uint8)
+                for turn in range(1 << _TURN_BITS):
+                    at, mixed = start[turns == turn].astype(np.int64), digest[turns == turn]
+                    one = np.ones(len(at), np.int64)
+                    owner = block.dids[np.searchsorted(block.ends, at, side="right")]
+                    go = unrepeated(at, one, owner, mixed)
+                    deal(mixed[go] * np.uint64(0xFF51AFD7ED558CCD), at[go], one[go], owner[go])
+        release_memory()
         return pa.Table.from_batches([_rows(out, kinds)])
 
     return (
@@ -419,30 +462,34 @@ def _found(segments: DataFrame, length: int, bits: int) -> DataFrame:
             return table.select(["block", "body"])
         reuse_freed_memory()
         names = table["block"].to_numpy()
-        parts = [_expand(x, "i8", "<u4", "u1", "u1") for x in table["body"].to_pylist()]
-        dids, first, strings, data = (np.concatenate([p[k] for p in parts]) for k in range(4))
-        owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-        strings = strings.astype(np.int64)
-        sizes = strings + length - 1
+        parts = [_expand(x.as_buffer(), "i8", "<u4", "u1", "u1", "u1") for x in table["body"]]
+        dids, first, strings, turns, data = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
+        del parts
+        sizes = strings + np.int64(length - 1)
         begin = np.cumsum(sizes) - sizes
+        del sizes
         slices = np.lib.stride_tricks.sliding_window_view(data, length)
-        order = np.argsort(dids, kind="stable")
-        index = SuffixIndex()
         runs = []
-        for at in range(0, len(order), _BATCH):
-            k = order[at : at + _BATCH]
-            n = strings[k]
-            of = np.repeat(np.arange(len(k)), n)
-            step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-            where = begin[k][of] + step
-            texts = slices[where].view(f"S{length}").ravel()
-            hit = index.scan(texts, dids[k][of])
-            of, step = of[hit], step[hit]
-            if len(of):
-                new = np.concatenate([[True], (of[1:] != of[:-1]) | (step[1:] != step[:-1] + 1)])
-                head = np.flatnonzero(new)
-                count = np.diff(np.append(head, len(of)))
-                runs.append((owner[k][of[head]], first[k][of[head]] + step[head], count))
+        # Equal strings come in the same turn, so each turn has an index of its own.
+        for turn in range(1 << _TURN_BITS):
+            order = np.flatnonzero(turns == turn)
+            order = order[np.argsort(dids[order], kind="stable")]
+            index = SuffixIndex()
+            for at in range(0, len(order), _BATCH):
+                k = order[at : at + _BATCH]
+                n = strings[k].astype(np.int64)
+                of = np.repeat(np.arange(len(k)), n)
+                step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                where = begin[k][of] + step
+                texts = slices[where].view(f"S{length}").ravel()
+                hit = index.scan(texts, dids[k][of])
+                of, step = of[hit], step[hit]
+                if len(of):
+                    new = np.concatenate([[True], (of[1:] != of[:-1]) | (step[1:] != step[:-1] + 1)])
+                    head = np.flatnonzero(new)
+                    count = np.diff(np.append(head, len(of)))
+                    runs.append((owner[k][of[head]], first[k][of[head]] + step[head], count))
         out = {c: [] for c in kinds}
         if runs:
             who, start, count = (np.concatenate(x) for x in zip(*runs))
@@ -451,6 +498,7 @@ def _found(segments: DataFrame, length: int, bits: int) -> DataFrame:
             for a, b in zip(edges[:-1], edges[1:]):
                 out["block"].append(int(names[who[by[a]]]))
                 out["body"].append(_squeeze(start[by[a:b]].astype("<u4"), count[by[a:b]].astype("<u4")))
+        release_memory()
         return pa.Table.from_batches([_rows(out, kinds)])
 
     sent = segments.repartition(_tasks(bits), "shard")
@@ -460,16 +508,28 @@ def _found(segments: DataFrame, length: int, bits: int) -> DataFrame:
 # --- step 4: removal ----------------------------------------------------------------------
 
 
+_RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+
+
+def _gone(block: _Block, found_rows: pa.Table, length: int) -> np.ndarray:
+    """Whether each byte of a block is covered by a string that repeats."""
+    change = np.zeros(len(block.data) + 1, np.int32)
+    for body in found_rows["body"]:
+        start, count = (x.astype(np.int64) for x in _expand(body.as_buffer(), "<u4", "<u4"))
+        np.add.at(change, start, 1)
+        np.add.at(change, start + count + length - 1, -1)
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
+
+
 def _removed(blocks: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """Results of texts that lie in one block."""
+
     def cut(key, block_rows, found_rows):
+        if not block_rows.num_rows:  # a block of a long text
+            return pa.schema(_RESULT_KINDS).empty_table()
         reuse_freed_memory()
         block = _Block(block_rows["body"][0].as_py())
-        change = np.zeros(len(block.data) + 1, np.int32)
-        for body in found_rows["body"].to_pylist():
-            start, count = (x.astype(np.int64) for x in _expand(body, "<u4", "<u4"))
-            np.add.at(change, start, 1)
-            np.add.at(change, start + count + length - 1, -1)
-        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+        gone = _gone(block, found_rows, length)
         edge = gone.copy()
         edge[1:] &= ~gone[:-1]
         at = block.starts[block.sizes > 0]
@@ -482,24 +542,67 @@ def _removed(blocks: DataFrame, found: DataFrame, length: int) -> DataFrame:
             spans.append(int(np.count_nonzero(edge[a:b])) if n else 0)
             kept.append((block.data[a:b][~mine] if n else block.data[a:b]).tobytes())
         ids = pa.array(block.dids, pa.int64(), mask=block.null.astype(bool))
-        return pa.table(
+        out = [ids, pa.array(block.sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())]
+        release_memory()
+        return pa.table([*out, pa.array(kept, pa.binary())], schema=pa.schema(_RESULT_KINDS))
+
+    return (
+        blocks.where("text IS NULL").select("block", "body").groupBy("block")
+        .cogroup(found.groupBy("block"))
+        .applyInArrow(cut, _RESULT)
+    )
+
+
+_RESULT_KINDS = [(n, pa.binary() if n == "kept" else pa.int64()) for n in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")]
+
+
+def _removed_long(blocks: DataFrame, found: DataFrame, length: int, block_bytes: int) -> DataFrame:
+    """Results of texts that were cut into parts, put together again part by part."""
+    schema = "text bigint, part bigint, doc_id bigint, data binary, gone binary"
+
+    def mark(key, block_rows, found_rows):
+        if not block_rows.num_rows:
+            columns = [("text", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("data", pa.binary()), ("gone", pa.binary())]
+            return pa.schema(columns).empty_table()
+        block = _Block(block_rows["body"][0].as_py())
+        gone = _gone(block, found_rows, length)
+        out = pa.table(
             {
-                "doc_id": ids,
-                "n_bytes": pa.array(block.sizes, pa.int64()),
-                "n_removed": pa.array(removed, pa.int64()),
-                "n_spans": pa.array(spans, pa.int64()),
-                "kept": pa.array(kept, pa.binary()),
+                "text": block_rows["text"],
+                "part": block_rows["part"],
+                "doc_id": pa.array(block.dids, pa.int64(), mask=block.null.astype(bool)),
+                "data": pa.array([block.data[:block_bytes].tobytes()], pa.binary()),
+                "gone": pa.array([np.packbits(gone).tobytes()], pa.binary()),
             }
         )
-
-    return (
-        blocks.select("block", "body").groupBy("block")
+        release_memory()
+        return out
+
+    def join(key, table):
+        kept, n_bytes, n_removed, n_spans = [], 0, 0, 0
+        before, over = False, np.empty(0, bool)  # whether the byte before is gone; what the last part covers of this one
+        for k in np.argsort(table["part"].to_numpy()).tolist():
+            data = np.frombuffer(table["data"][k].as_buffer(), np.uint8)
+            gone = np.unpackbits(np.frombuffer(table["gone"][k].as_buffer(), np.uint8)).astype(bool)
+            gone[: len(over)] |= over[: len(gone)]
+            mine, over = gone[: len(data)], gone[len(data) : len(data) + length - 1]
+            n_bytes += len(data)
+            n_removed += int(np.count_nonzero(mine))
+            n_spans += int(np.count_nonzero(mine[1:] & ~mine[:-1])) + bool(mine[0] and not before)
+            before = bool(mine[-1])
+            kept.append(data[~mine].tobytes())
+        cells = [table["doc_id"][0].as_py(), n_bytes, n_removed, n_spans, b"".join(kept)]
+        return pa.table([pa.array([c], k) for c, (_, k) in zip(cells, _RESULT_KINDS)], schema=pa.schema(_RESULT_KINDS))
+
+    parts = (
+        blocks.where("text IS NOT NULL").select("block", "text", "part", "body").groupBy("block")
         .cogroup(found.groupBy("block"))
-        .applyInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+        .applyInArrow(mark, schema)
     )
+    return parts.groupBy("text").applyInArrow(join, _RESULT)
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, hot: int = _HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, hot: int = _HOT, block_bytes: int = _BLOCK_BYTES) -> DataFrame:
     """Texts without the bytes covered by a ``length``-byte string that starts in an earlier document, too.
 
     One row for each row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans``
@@ -507,15 +610,21 @@ def remove_repeats(docs: DataFrame, length: int = 50, hot: int = _HOT) -> DataFr
     end within a character). Strings are those of the input, not of what is
     left, overlap, and don't cross documents. Rows that share an id are one
     document to each other; null ids are one document behind all others. Null
-    and empty texts and texts shorter than ``length`` lose nothing. ``hot`` only
-    sets how the work is dealt: segments of an anchor that one shard takes.
+    and empty texts and texts shorter than ``length`` lose nothing. Other columns aren't
+    read; an empty table gives no rows. ``hot`` and ``block_bytes`` only set how the work
+    is dealt: segments of an anchor that one shard takes, and bytes of text in a block.
     """
     if not 2 * _GRAM <= length <= 256:
         raise ValueError(f"length must be from {2 * _GRAM} to 256")
-    blocks = write_out(_blocks(docs), "text-blocks")
-    total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
+    blocks = write_out(_blocks(docs, length, block_bytes), "text-blocks")
+    total, long = blocks.agg(F.sum("n_bytes"), F.count("text")).first()
+    total = total or 0
     bits = _shard_bits(total)
     coarse = bits - _FINE
     shared = _shared_anchors(blocks, length, coarse, hot)
     segments = _segments(blocks, shared, length, bits, coarse)
-    return _removed(blocks, _found(segments, length, bits), length)
+    found = _found(segments, length, bits)
+    if not long:
+        return _removed(blocks, found, length)
+    found = write_out(found, "repeats")
+    return _removed(blocks, found, length).unionByName(_removed_long(blocks, found, length, block_bytes))

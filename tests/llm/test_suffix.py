@@ -1,6 +1,11 @@
 """Removal of repeated byte strings."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallybuy.llm import suffix_dedup
 from tests.llm.helpers import ODD, documents, small_texts
@@ -97,7 +102,7 @@ def test_hot_anchors_are_dealt_string_by_string(spark):
     texts |= {600 + k: "=" * (60 + k % 40) for k in range(60)}
     docs = documents(spark, list(texts.values()), list(texts)).repartition(4)
     want = brute_force(texts)
-    blocks = suffix_dedup.write_out(suffix_dedup._blocks(docs), "text-blocks")
+    blocks = suffix_dedup.write_out(suffix_dedup._blocks(docs, 50, 4 << 20), "text-blocks")
     largest = []
     for hot in (20, 1 << 30):
         assert _got(suffix_dedup.remove_repeats(docs, hot=hot)) == want
@@ -105,6 +110,55 @@ def test_hot_anchors_are_dealt_string_by_string(spark):
         sent = suffix_dedup._segments(blocks, shared, 50, 11, 8).where("shard >= 0").collect()
         strings = {}
         for r in sent:
-            strings[r.shard] = strings.get(r.shard, 0) + int(suffix_dedup._expand(r.body, "i8", "<u4", "u1", "u1")[2].sum(dtype=np.int64))
+            strings[r.shard] = strings.get(r.shard, 0) + int(suffix_dedup._expand(r.body, "i8", "<u4", "u1", "u1", "u1")[2].sum(dtype=np.int64))
         largest.append(max(strings.values()))
     assert largest[1] > 2_000 and largest[0] < largest[1] / 4
+
+
+def test_long_texts_are_cut(spark):
+    """Texts of many parts, with runs over their edges, equal to one another, and of one letter."""
+    rng = np.random.default_rng(12)
+    base = "".join(chr(c) for c in rng.integers(97, 107, 9_000))
+    texts = {5: base[:3_000], 7: base, 8: "x" + base, 9: base[4_000:4_060], 11: "z" * 2_500, 12: "z" * 700, 13: None, 14: "é" * 900, 15: "é" * 901}
+    texts |= {20: base[:1_000], 21: base[:999], 22: base[:1_001]}
+    docs = documents(spark, list(texts.values()), list(texts)).repartition(2).withColumns({c: F.lit("q") for c in ("block", "body", "part", "did")})
+    want = brute_force(texts)
+    for block_bytes in (1_000, 333, 4 << 20):
+        assert _got(suffix_dedup.remove_repeats(docs, block_bytes=block_bytes)) == want
+
+
+def test_very_long_text_and_its_copy(spark):
+    """30 MB texts, one the copy of the other: all of the later goes."""
+    rng = np.random.default_rng(1)
+    text = rng.integers(97, 123, 30_000_000, dtype=np.uint8).tobytes().decode()
+    docs = documents(spark, [text[:100], text, "lead " + text], [0, 1, 2]).repartition(3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(docs).drop("kept").collect()}
+    assert got == {0: (100, 0, 0), 1: (30_000_000, 100, 1), 2: (30_000_005, 30_000_000, 1)}
+
+
+def test_worker_memory_of_a_long_text_is_bounded():
+    """Anchors of a block are what a worker holds at most of any text; a hundred MB of text are only cut."""
+    code = """
+import resource, numpy as np, pyarrow as pa
+from unittest import mock
+from tallybuy.llm import suffix_dedup as s
+rng = np.random.default_rng(3)
+text = rng.integers(97, 123, 100_000_000, dtype=np.uint8).tobytes()
+batch = pa.RecordBatch.from_pydict({"did": pa.array([4]), "doc_id": pa.array([4]), "text": pa.array([text.decode()], pa.string())})
+class Frame:
+    def select(self, *a): return self
+    def mapInArrow(self, run, schema): return run([batch])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+with mock.patch.object(s, "TaskContext"), mock.patch.object(s, "F"), mock.patch.object(s, "id_key"), mock.patch.object(s, "text_of"):
+    s.TaskContext.get.return_value.partitionId.return_value = 0
+    n = 0
+    for row in s._blocks(Frame(), 50, s._BLOCK_BYTES):
+        block = s._Block(row["body"][0].as_py())
+        assert len(block.data) <= s._BLOCK_BYTES + 49
+        if n < 2: s._anchors(block, 50)
+        n += 1
+print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+    root = Path(__file__).resolve().parents[2]
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, check=True).stdout.split()
+    assert out[0] == "24" and float(out[1]) < 300
