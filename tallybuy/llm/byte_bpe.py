@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -159,12 +160,17 @@ class TokenTable:
         starts = ends - self.sizes[ids]
         return [(int(point[a]), int(point[b - 1]) + 1) for a, b in zip(starts, ends)]
 
+
 class PieceEncoder(TokenTable):
     """Ids of texts by a BPE model whose symbols are byte characters."""
 
-    def __init__(self, model, token_bytes: list[bytes]):
+    def __init__(self, model, token_bytes: list[bytes], added: dict[str, int] | None = None):
         super().__init__(token_bytes)
         self._model = model
+        self._added = added or {}
+        # Of several that begin in one place the longest counts.
+        whole = "|".join(re.escape(t) for t in sorted(self._added, key=len, reverse=True))
+        self._added_pattern = re.compile(f"({whole})") if whole else None
         self._forget()
         self._to_chars = {b: c for b, c in enumerate(byte_characters())}
 
@@ -218,7 +224,20 @@ class PieceEncoder(TokenTable):
         return ids, total[np.searchsorted(starts, np.concatenate([[0], text_ends]))]
 
     def encode(self, texts: list[str]):
-        """Ids of each text, in order, as uint32 arrays."""
+        """Ids of each text, in order, as uint32 arrays.
+
+        Added tokens are cut out first, and what stands between them is encoded piece by piece.
+        """
+        if self._added_pattern is None:
+            yield from self._plainly(texts)
+            return
+        parts = [self._added_pattern.split(t) for t in texts]
+        between = self._plainly([p for own in parts for p in own[::2]])
+        for own in parts:
+            ids = [np.array([self._added[p]], np.uint32) if k % 2 else next(between) for k, p in enumerate(own)]
+            yield ids[0] if len(ids) == 1 else np.concatenate(ids)
+
+    def _plainly(self, texts: list[str]):
         group, points = [], 0
         for k, text in enumerate(texts):
             group.append(text)
@@ -277,10 +296,13 @@ def table(path: str) -> TokenTable:
 
 
 def from_json(path: str) -> PieceEncoder:
-    """Encoder of a tokenizer file with a byte-level BPE model; special tokens are ordinary text."""
+    """Encoder of a tokenizer file with a byte-level BPE model; as in the library, added tokens in a text are tokens."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
-    return PieceEncoder(tokenizer.model, _json_bytes(tokenizer))
+    added = tokenizer.get_added_tokens_decoder()
+    if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
+        raise ValueError("added tokens that depend on what stands around them aren't supported")
+    return PieceEncoder(tokenizer.model, _json_bytes(tokenizer), {t.content: i for i, t in added.items()})
 
 
 def from_ranks(path: str) -> PieceEncoder:

@@ -104,7 +104,9 @@ def pack_stream(documents: Iterator[tuple], capacity: int) -> Iterator[list[tupl
     ``documents`` gives (document, ids). Whole windows of a long document go out
     as they are; its rest is placed by the sum-of-squares rule. What is open at
     the end is cut anew into full windows; the last rest goes out in sequences
-    of powers of two, which need no padding.
+    of powers of two, which need no padding. Documents that can't share windows (all
+    of 1,500 tokens, say) leave a window open each; so that memory stays bounded, open
+    windows are cut anew as at the end whenever there are ``_MOST_OPEN`` of them.
     """
     packer = SumOfSquares(capacity)
     for doc, ids in documents:
@@ -138,7 +140,7 @@ _FLUSH_ROWS = 2000
 def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 1) -> DataFrame:
     """Pieces of all documents in sequences of at most ``capacity`` tokens: one row for each piece.
 
-    A document is its ids by the tokenizer file at ``path`` and ``end_id``. Columns:
+    A document is its ids by the tokenizer file at ``path``, added tokens in a text included, and ``end_id``. Columns:
     ``doc_id, start`` (ids of the document before the piece)``, length, ids``
     (binary, unsigned 32-bit little-endian)``, doc_tokens, sequence_id, offset``
     (place in the sequence). Every id is in one piece; sequences have

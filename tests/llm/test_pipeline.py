@@ -74,7 +74,6 @@ def test_secrets(stages):
 
 def test_packing_and_run(spark, stages):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     want = {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in _texts(stages["secret scans"]).items()}
     rows = [r.asDict() for r in stages["packing"].collect()]
     _check_pieces(rows, want)

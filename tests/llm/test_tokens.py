@@ -23,7 +23,6 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     return {
@@ -37,6 +36,8 @@ HARD = [
     "'s's 's 'll'll don't !'s a's's' 'sst ''s \n's\t're  've 'd 'M 'S x'y",
     "  two  three   \n\n mixed \t x y  ",
     "12 34,56 ½ Ⅷ x² ９９ a1b2 _under_ <|endoftext|> é é ﬁ ß 日本語 हिन्दी 👩‍👩‍👧",
+    "<|endoftext|>",
+    "x <|endoftext|> y<|endoftext|><|endoftext|>  \n <|endoftext |> <|endoftext|>'s <|EndOfText|>",
     "\x1c\x1d\x1e\x1f\x85 ᠎ ​ ﻿",
     "aaaaaaaaaaaaaaaaaaaa bbbbbbb abababababab ........... ------ ======",
 ]
@@ -58,7 +59,7 @@ def small_texts_cached():
     return [r[0] for r in duckdb.sql(f"select text from '{SMALL}/documents.parquet'").fetchall()]
 
 
-PIECES = st.sampled_from(["'", "s", "ll", "re", " ", "  ", "\n", "\t", " ", "word", "9", "!", "é", "'s", "T", "　"])
+PIECES = st.sampled_from(["<|endoftext|>", "<|", "'", "s", "ll", "re", " ", "  ", "\n", "\t", " ", "word", "9", "!", "é", "'s", "T", "　"])
 
 
 @settings(max_examples=300, deadline=None)
