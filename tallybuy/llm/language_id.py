@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybuy.llm.common import reuse_freed_memory, text_of
 from tallybuy.operators.joins import lookup
@@ -184,7 +185,8 @@ def identify(
     of no labels at all every row is ``und`` and accepted: nothing speaks against
     any. ``declared``
     and ``host`` name columns, None for no such evidence. Repeated rows are scored
-    alike. Columns of ``docs`` named like the new ones are replaced.
+    alike. Columns of ``docs`` named like the new ones are replaced; all others, whatever their
+    names, come through as they are. An empty table gives no rows.
     """
     names = model.languages
     kept = [c for c in docs.columns if c not in ("language", "confidence", "accepted")]
@@ -194,8 +196,10 @@ def identify(
         )
     known = F.lower(F.col(f"`{declared}`").cast("string")) if declared else F.lit(None).cast("string")
     address = F.lower(F.col(f"`{host}`").cast("string")) if host else F.lit(None).cast("string")
+    # The columns of `docs` go along in one, so that none can clash with those below.
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
+        text_of().alias("_text"),
         F.when(known.isin(*names), known).alias("_declared"),
         F.when(address != "", address).alias("_host"),
     ).withColumn("_suffix", suffix_of(F.col("_host")))
@@ -207,15 +211,19 @@ def identify(
     def score(batches):
         reuse_freed_memory()
         for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
+            row = batch["_row"]
+            texts = [t or "" for t in (row.field("text") if plain else batch["_text"]).to_pylist()]
             scores = _text_scores(texts, weights.value) * _TEMPER
             flat = pa.array(scores.reshape(-1), pa.float64())
-            lists = pa.ListArray.from_arrays(np.arange(0, flat.__len__() + 1, scores.shape[1], dtype=np.int32), flat)
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "_text"])
-
-    kinds = dict(rows.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in rows.columns)
-    scored = rows.mapInArrow(score, f"{schema}, _text array<double>")
+            lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, scores.shape[1], dtype=np.int32), flat)
+            rest = [c for c in batch.schema.names if c != "_text"]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in rest), lists], names=[*rest, "_text"])
+
+    # A text that is a string already goes to the workers once, with its row.
+    plain = dict(docs.dtypes)["text"] == "string"
+    rows = rows.drop("_text") if plain else rows
+    schema = T.StructType([*(f for f in rows.schema if f.name != "_text"), T.StructField("_text", T.ArrayType(T.DoubleType()))])
+    scored = rows.mapInArrow(score, schema)
     placed = lookup(lookup(scored, hosts, ["_host"]), suffixes, ["_suffix"])
 
     def smoothed(counts: str, own: int, before: Column, weight: float) -> Column:
@@ -237,8 +245,15 @@ def identify(
     ).otherwise(float(np.log(1 / len(names))))
     logs = F.array(*[log_posterior(k) for k in range(len(names))], undetermined)
     best = placed.withColumn("_logs", logs).withColumn("_top", F.array_max("_logs"))
-    return best.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.get(F.array(*[F.lit(n) for n in (*names, UNDETERMINED)]), F.array_position("_logs", F.col("_top")).cast("int") - 1).alias("language"),
-        (1 / F.aggregate("_logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("_top")))).alias("confidence"),
-    ).withColumn("accepted", (F.col("language") != UNDETERMINED) & (F.col("confidence") >= least))
+    names_of = F.array(*[F.lit(n) for n in (*names, UNDETERMINED)])
+    found = best.select(
+        "_row",
+        F.get(names_of, F.array_position("_logs", F.col("_top")).cast("int") - 1).alias("_language"),
+        (1 / F.aggregate("_logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("_top")))).alias("_confidence"),
+    )
+    result = F.struct(
+        F.col("_language").alias("language"),
+        F.col("_confidence").alias("confidence"),
+        ((F.col("_language") != UNDETERMINED) & (F.col("_confidence") >= least)).alias("accepted"),
+    )
+    return found.select("_row", result.alias("_result")).select("_row.*", "_result.*")

@@ -104,8 +104,12 @@ def test_page_evidence(spark):
 
 
 def test_odd_texts_and_clashing_names(spark):
-    docs = documents(spark, ODD).withColumn("language", F.lit("clash")).withColumn("_text", F.lit(3)).drop("_text")
+    docs = documents(spark, ODD).withColumn("language", F.lit("clash"))
+    own = ("_text", "_host", "_declared", "_suffix", "_n_host", "_n_suffix", "_logs", "_top", "_row", "a.b")
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in own})
     rows = language_id.identify(docs, _model()).collect()
+    assert rows[0].__fields__ == [*[c for c in docs.columns if c != "language"], "language", "confidence", "accepted"]
+    assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in own)
     assert len(rows) == len(ODD) and {r.language for r in rows} <= {"aa", "bb", "und"}
     empty = documents(spark, [])
     assert language_id.identify(empty, language_id.fit_language_model(empty)).collect() == []
