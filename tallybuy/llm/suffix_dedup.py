@@ -189,6 +189,10 @@ def _anchors(block: _Block, length: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return mixed * np.uint64(0xFF51AFD7ED558CCD), first, np.concatenate(counts), document
 
 
+#: Blocks are dealt out by these columns each time they meet something, so that Spark shuffles them once.
+_BLOCK = ("block", "text", "part", "body")
+
+
 # --- step 1: anchors of several blocks ----------------------------------------------------
 
 
@@ -405,7 +409,7 @@ def _segments(blocks: DataFrame, shared: DataFrame, length: int, bits: int, coar
         return pa.Table.from_batches([_rows(out, kinds)])
 
     return (
-        blocks.select("block", "body").groupBy("block")
+        blocks.select(*_BLOCK).groupBy("block")
         .cogroup(shared.groupBy("block"))
         .applyInArrow(select, "shard bigint, block bigint, body binary")
     )
@@ -525,7 +529,7 @@ def _removed(blocks: DataFrame, found: DataFrame, length: int) -> DataFrame:
     """Results of texts that lie in one block."""
 
     def cut(key, block_rows, found_rows):
-        if not block_rows.num_rows:  # a block of a long text
+        if not block_rows.num_rows or block_rows["text"][0].is_valid:  # a part of a long text
             return pa.schema(_RESULT_KINDS).empty_table()
         reuse_freed_memory()
         block = _Block(block_rows["body"][0].as_py())
@@ -547,7 +551,7 @@ def _removed(blocks: DataFrame, found: DataFrame, length: int) -> DataFrame:
         return pa.table([*out, pa.array(kept, pa.binary())], schema=pa.schema(_RESULT_KINDS))
 
     return (
-        blocks.where("text IS NULL").select("block", "body").groupBy("block")
+        blocks.select(*_BLOCK).groupBy("block")
         .cogroup(found.groupBy("block"))
         .applyInArrow(cut, _RESULT)
     )
@@ -561,7 +565,7 @@ def _removed_long(blocks: DataFrame, found: DataFrame, length: int, block_bytes:
     schema = "text bigint, part bigint, doc_id bigint, data binary, gone binary"
 
     def mark(key, block_rows, found_rows):
-        if not block_rows.num_rows:
+        if not block_rows.num_rows or not block_rows["text"][0].is_valid:
             columns = [("text", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("data", pa.binary()), ("gone", pa.binary())]
             return pa.schema(columns).empty_table()
         block = _Block(block_rows["body"][0].as_py())
@@ -595,7 +599,7 @@ def _removed_long(blocks: DataFrame, found: DataFrame, length: int, block_bytes:
         return pa.table([pa.array([c], k) for c, (_, k) in zip(cells, _RESULT_KINDS)], schema=pa.schema(_RESULT_KINDS))
 
     parts = (
-        blocks.where("text IS NOT NULL").select("block", "text", "part", "body").groupBy("block")
+        blocks.select(*_BLOCK).groupBy("block")
         .cogroup(found.groupBy("block"))
         .applyInArrow(mark, schema)
     )
