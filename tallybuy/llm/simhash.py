@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -12,8 +14,10 @@ from tallybuy.llm.common import reuse_freed_memory, text_of
 from tallybuy.operators.joins import lookup
 from tallybuy.session import write_out
 
-#: Fingerprints below one node of the top level of the trie, about.
-_NODE_ROWS = 1 << 15
+#: Fingerprints in one group of the join, about; groups of so many are split.
+_GROUP_ROWS, _HEAVY_ROWS = 1 << 11, 1 << 15
+#: Most levels by which a heavy group is split.
+_MOST_DEPTH = 12
 #: Most node or fingerprint pairs that are expanded at once.
 _PAIRS_AT_ONCE = 1 << 18
 
@@ -116,14 +120,15 @@ def _chunks(sizes: np.ndarray):
     return [slice(a, b) for a, b in zip([0, *edges], [*edges, len(sizes)])]
 
 
-def trie_pairs(left: np.ndarray, right: np.ndarray, most_bits: int, start: int = 0, stride: int = 4):
+def trie_pairs(left: np.ndarray, right: np.ndarray, most_bits: int, start: int = 0, stride: int = 4, linked=None):
     """Batches of index pairs (into sorted ``left`` and ``right``) that differ in few bits.
 
     Both tries are walked together from depth ``start``. Going down ``stride``
     levels, the differing bits of the two prefixes are counted; a pair of nodes
     over the budget is left with all that is below it. Small pairs of nodes end
     in a comparison of whole fingerprints. Where both sides are one trie, each
-    pair of nodes is walked once.
+    pair of nodes is walked once. ``linked()`` gives the group that each fingerprint of the left and the
+    right is known to be in; node pairs all of one group are left.
     """
     if not len(left) or not len(right):
         return
@@ -137,6 +142,9 @@ def trie_pairs(left: np.ndarray, right: np.ndarray, most_bits: int, start: int =
     stack = [(start, x[keep], y[keep])]
     while stack:
         depth, x, y = stack.pop()
+        if linked is not None and len(x):
+            open_ = _still_open(linked, a.level(depth)[1], b.level(depth)[1], x, y)
+            x, y = x[open_], y[open_]
         if not len(x):
             continue
         sizes = (np.diff(a.level(depth)[1])[x]) * (np.diff(b.level(depth)[1])[y])
@@ -165,54 +173,117 @@ def trie_pairs(left: np.ndarray, right: np.ndarray, most_bits: int, start: int =
                     stack.append((below, i[near], j[near]))
 
 
-def _linked(left: np.ndarray, right: np.ndarray, most_bits: int, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """A forest over the links of two sorted arrays: as many edges as there are linked fingerprints, at most."""
+def _still_open(linked, a_starts: np.ndarray, b_starts: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Node pairs with fingerprints of more than one group."""
+    of_left, of_right = linked()
+    low, high = (f.reduceat(of_left, a_starts[:-1])[x] for f in (np.minimum, np.maximum))
+    low_, high_ = (f.reduceat(of_right, b_starts[:-1])[y] for f in (np.minimum, np.maximum))
+    return (low != high) | (low_ != high_) | (low != low_)
+
+
+def _neighbours(values: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Some links: of fingerprints that stand side by side in order, with the bits turned in five ways."""
+    a, b = [], []
+    for turn in range(0, 64, 13):
+        order = np.argsort((values << np.uint64(turn)) | (values >> np.uint64((64 - turn) % 64)), kind="stable")
+        near = np.bitwise_count(values[order[1:]] ^ values[order[:-1]]) <= most_bits
+        a.append(order[:-1][near])
+        b.append(order[1:][near])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _linked(left: np.ndarray, right: np.ndarray, most_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest over the links of two sorted arrays: as many edges as there are linked fingerprints, at most.
+
+    Links that are cheap to find come first, and what they join isn't compared again.
+    """
     one = left is right
+    values = left if one else np.concatenate([left, right])
     n = len(left)
-    root = np.arange(n if one else n + len(right))
-    for i, j in trie_pairs(left, right, most_bits, start):
-        j = j if one else j + n
-        a, b = root[i], root[j]
+    root = forest(len(values), *_neighbours(values, most_bits))
+
+    def linked():
+        return root[:n], root if one else root[n:]
+
+    for i, j in trie_pairs(left, right, most_bits, linked=linked):
+        a, b = root[i], root[j if one else j + n]
         new = a != b
         if new.any():
             root = forest(len(root), np.concatenate([np.arange(len(root)), a[new]]), np.concatenate([root, b[new]]))
-    values = left if one else np.concatenate([left, right])
     moved = np.flatnonzero(root != np.arange(len(root)))
     return values[moved], values[root[moved]]
 
 
-def linked_fingerprints(classes: DataFrame, most_bits: int) -> DataFrame:
+def _blocks(rows: int, most_bits: int) -> list[list[tuple[int, int]]]:
+    """Ways to choose bits that must be equal: for each, the (first bit, width) of some blocks.
+
+    Fingerprints are cut into ``most_bits + s`` blocks. Two within the budget differ in at most
+    ``most_bits`` of them, so s are equal, and the pair meets under one choice of s
+    blocks. One block does up to some hundred million rows; the number of choices doesn't
+    grow below that.
+    """
+    wanted = max(0, (max(rows, 1) // _GROUP_ROWS).bit_length())
+    s = 1
+    while (64 // (most_bits + s)) * s < wanted - 4 and s < 6:
+        s += 1
+    edges = [64 * k // (most_bits + s) for k in range(most_bits + s + 1)]
+    width = min(-(-wanted // s), min(b - a for a, b in zip(edges, edges[1:])))
+    return [[(edges[k], width) for k in chosen] for chosen in combinations(range(most_bits + s), s)]
+
+
+def keyed(classes: DataFrame, most_bits: int, rows: int) -> DataFrame:
+    """``choice, key, bits``: each fingerprint once for each choice of blocks, with the bits of these blocks."""
+    choices = []
+    for c, blocks in enumerate(_blocks(rows, most_bits)):
+        key = F.lit(0).cast("bigint")
+        for first, width in blocks:
+            part = F.shiftrightunsigned(F.shiftleft("bits", first), 64 - width) if width else F.lit(0).cast("bigint")
+            key = F.shiftleft(key, width).bitwiseOR(part)
+        # Bits to split a heavy group by: those behind its last block.
+        turn = (blocks[-1][0] + blocks[-1][1]) % 64
+        rest = F.shiftleft("bits", turn).bitwiseOR(F.shiftrightunsigned("bits", 64 - turn)) if turn else F.col("bits")
+        choices.append(F.struct(F.lit(c).alias("choice"), key.alias("key"), F.shiftrightunsigned(rest, 64 - _MOST_DEPTH).alias("top")))
+    return classes.select("bits", F.explode(F.array(*choices)).alias("_c")).select("_c.*", "bits")
+
+
+def linked_fingerprints(classes: DataFrame, most_bits: int, heavy_rows: int = _HEAVY_ROWS) -> DataFrame:
     """Edges ``a, b`` that connect what is connected by links of at most ``most_bits`` differing bits.
 
-    ``classes`` has each fingerprint once, as ``bits``. The top of the trie is
-    cut at a depth that grows with the logarithm of the rows. Each pair of its
-    nodes within the budget is one group, so a fingerprint goes to the groups of
-    its own node only, however many are alike. A group returns a forest over its
+    ``classes`` has each fingerprint once, as ``bits``. Fingerprints that share a block
+    of bits are a group, so each goes to as many groups as there are blocks, however many rows there are
+    (:func:`_blocks`). In a group the trie is joined with itself. A group of more than ``heavy_rows``,
+    as of a template with very many variants, is split by the next bits: each pair of
+    its nodes within the budget is a group. A group returns a forest over its
     links instead of all its pairs.
     """
-    rows = classes.count()
-    depth = min(12, max(2, (max(rows, 1) // _NODE_ROWS).bit_length()))
-    nodes = np.arange(1 << depth)
-    near = [[int(v) for v in nodes if int(u ^ v).bit_count() <= most_bits] for u in nodes]
-    partners = F.array(*[F.array(*[F.lit(v) for v in vs]) for vs in near])
-    rows_of = classes.select("bits").withColumn(
-        "u", F.shiftrightunsigned("bits", 64 - depth).cast("int")
-    ).withColumn("v", F.explode(F.get(partners, F.col("u"))))
-    placed = rows_of.select(
-        F.least("u", "v").alias("low"), F.greatest("u", "v").alias("high"), "u", "bits"
-    )
+    rows = write_out(keyed(classes, most_bits, classes.count()), "keyed")
+    sizes = rows.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > heavy_rows)
+    depth = F.least(F.lit(_MOST_DEPTH), F.greatest(F.lit(1), F.ceil(F.log2(F.col("n") / F.lit(heavy_rows / 4.0))).cast("int")))
+    heavy = write_out(sizes.select("choice", "key", depth.alias("depth")), "heavy")
+    whole = rows
+    split = None
+    if not heavy.isEmpty():
+        masks = F.array(*[F.lit(m) for m in range(1 << _MOST_DEPTH) if m.bit_count() <= most_bits])
+        node = F.expr(f"shiftrightunsigned(top, {_MOST_DEPTH} - depth)").cast("int")
+        near = F.transform(F.filter(masks, lambda m: m < F.expr("shiftleft(1, depth)")), lambda m: m.bitwiseXOR(F.col("u")))
+        split = lookup(rows, heavy, ["choice", "key"], "inner").withColumn("u", node).withColumn("v", F.explode(near))
+        split = split.select("choice", "key", F.least("u", "v").alias("low"), F.greatest("u", "v").alias("high"), "u", "bits")
+        whole = lookup(rows, heavy, ["choice", "key"], "left_anti")
+    zero = F.lit(0)
+    placed = whole.select("choice", "key", zero.alias("low"), zero.alias("high"), zero.alias("u"), "bits")
+    placed = placed if split is None else placed.unionByName(split)
 
     def join(key, table):
         reuse_freed_memory()
-        low, high = (k.as_py() for k in key)
+        low, high = (k.as_py() for k in key[2:])
         u = table["u"].to_numpy()
         bits = table["bits"].to_numpy().view(np.uint64)
         left = np.sort(bits[u == low])
         right = left if low == high else np.sort(bits[u == high])
-        a, b = _linked(left, right, most_bits, depth)
+        a, b = _linked(left, right, most_bits)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return placed.groupBy("low", "high").applyInArrow(join, "a bigint, b bigint")
+    return placed.groupBy("choice", "key", "low", "high").applyInArrow(join, "a bigint, b bigint")
 
 
 # --- groups -------------------------------------------------------------------------------

@@ -5,6 +5,8 @@ import re
 import numpy as np
 import xxhash
 
+from pyspark.sql import functions as F
+
 from tallybuy.llm import simhash
 from tests.llm.helpers import ODD, SMALL, documents, small_texts
 
@@ -37,7 +39,7 @@ def _groups(prints):
 
 def test_fingerprints_of_odd_texts():
     for text in ODD:
-        if len(text or "") < 100_000:
+        if len(text or "") < 400_000:
             assert simhash.fingerprint(text or "") == _fingerprint(text)
 
 
@@ -79,3 +81,67 @@ def test_nothing_and_null_ids(spark):
     docs = documents(spark, ["some words", "some words", None], [None, 9, None])
     got = sorted((str(r.doc_id), str(r.component_id)) for r in simhash.near_duplicates(docs).collect())
     assert got == [("9", "9"), ("None", "9"), ("None", "None")]
+
+
+def _near_values(rng, n):
+    """Distinct fingerprints: random ones, near ones, and a ball of variants around one."""
+    base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (n, 4)).astype(np.uint64)
+    near = base[rng.integers(0, n // 4, n)] ^ flips[:, 0] ^ flips[:, 1] ^ flips[:, 2] ^ flips[:, 3]
+    ball = base[0] ^ flips[:, 0] ^ flips[:, 1] ^ flips[:, 2]
+    return np.unique(np.concatenate([base, near, ball]))
+
+
+def _roots(values):
+    root = np.arange(len(values))
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
+    i, j = np.nonzero(np.triu(near, 1))
+    return simhash.forest(len(values), i, j), (i, j)
+
+
+def test_blocks_find_every_link_at_any_size(spark):
+    """The same components whatever the number of blocks, and with groups that are split by further bits."""
+    values = _near_values(np.random.default_rng(21), 500)
+    root, pairs = _roots(values)
+    classes = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "bits bigint")
+    signed = values.view(np.int64).tolist()
+    by_root = {}
+    for k, r in enumerate(root.tolist()):
+        by_root.setdefault(r, set()).add(signed[k])
+    want = {frozenset(g) for g in by_root.values() if len(g) > 1}
+    for heavy_rows in (1 << 15, 40):
+        got = {}
+        for r in simhash.components(simhash.linked_fingerprints(classes, 4, heavy_rows)).collect():
+            got.setdefault(r.root, set()).add(r.bits)
+        assert {frozenset(g) for g in got.values()} == want
+    for rows in (1, 10**6, 10**9, 10**12):
+        keys = {}
+        for r in simhash.keyed(classes, 4, rows).collect():
+            keys.setdefault(r.bits, set()).add((r.choice, r.key))
+        assert all(keys[signed[i]] & keys[signed[j]] for i, j in zip(*(x.tolist() for x in pairs)))
+
+
+def test_copies_do_not_grow_with_the_rows(spark):
+    """From half a GB to 30 GB of documents and beyond, each fingerprint is in five groups, and keys are as many as groups need."""
+    for rows in (235_000, 13_000_000, 130_000_000):
+        assert len(simhash._blocks(rows, 4)) == 5
+        width = sum(w for _, w in simhash._blocks(rows, 4)[0])
+        assert rows / (1 << width) < 1 << 15
+    classes = spark.range(100).select(F.xxhash64("id").alias("bits"))
+    assert simhash.keyed(classes, 4, 13_000_000).count() == 500
+
+
+def test_dense_ball_is_linked_without_all_pairs():
+    """Variants that are all near are linked by neighbours first, so few pairs are left to compare."""
+    rng = np.random.default_rng(2)
+    flips = np.uint64(1) << rng.integers(0, 64, (20_000, 2)).astype(np.uint64)
+    values = np.unique(np.uint64(0x0123456789ABCDEF) ^ flips[:, 0] ^ flips[:, 1])
+    a, _ = simhash._linked(values, values, 4)
+    assert len(a) == len(values) - 1
+    root = simhash.forest(len(values), *simhash._neighbours(values, 4))
+    assert len(np.unique(root)) < len(values) / 10
+
+
+def test_other_columns_are_not_read(spark):
+    docs = documents(spark, ["a b c d e", "a b c d e"]).withColumns({c: F.lit("x") for c in ("bits", "root", "first", "key", "u")})
+    assert [r.component_id for r in simhash.near_duplicates(docs).collect()] == [0, 0]
