@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tallybuy.llm.common import reuse_freed_memory, text_of
 
-_WINDOW, _STRIDE = 32, 24
+#: Windows overlap by half, so every passage of up to 16 words lies whole in one.
+_WINDOW, _STRIDE = 32, 16
 _WIDTH, _HIDDEN = 8, 8
 #: Cells of the hashed embeddings, of words and of character strings.
 _WORD_CELLS, _CHAR_CELLS = 1 << 15, 1 << 17
