@@ -5,8 +5,10 @@ Everything runs in DataFrame functions. Positions count code points.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +43,12 @@ _CLASSES = (16, 20, 24, 32, 48, 64)
 #: Of each class, so many bins for its p-values, by tenths of a decimal logarithm.
 _BINS = 200
 _BLOCK = 256
+_WORD = "^[A-Za-z]+$"
+#: Words from which on their departures make a null distribution.
+_LEAST_WORDS = 30
+#: Departure of uniform random letters: of its three z-values two are absolute, so the sum has these mean and spread.
+_UNIFORM_MEAN = 2 * (2 / math.pi) ** 0.5 / 3**0.5
+_UNIFORM_SD = ((1 + 2 * (1 - 2 / math.pi)) / 3) ** 0.5
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -191,6 +199,8 @@ class Battery:
     """For word alphabets and classes of lengths the departure up to which a string counts as a secret."""
 
     cuts: tuple[tuple[int, int, float], ...]
+    #: Whether strings of letters alone are taken for words without a test.
+    spares_words: bool = False
 
     def finds(self, token: Column, departure: Column) -> Column:
         if not self.cuts:
@@ -198,7 +208,8 @@ class Battery:
         chosen = F.coalesce(
             *[F.when((_family(token) == f) & (_length_class(F.length(token)) == k), cut) for f, k, cut in self.cuts]
         )
-        return F.coalesce(departure <= chosen, F.lit(False))
+        found = F.coalesce(departure <= chosen, F.lit(False))
+        return found & ~token.rlike(_WORD) if self.spares_words else found
 
 
 def fit_battery(docs: DataFrame, false_rate: float = 0.01) -> Battery:
@@ -211,10 +222,12 @@ def fit_battery(docs: DataFrame, false_rate: float = 0.01) -> Battery:
     of words that look at least as random. Within each alphabet and class the
     Benjamini-Hochberg rule at ``false_rate`` turns the counts of p-values, in
     bins, into a cut, so the power that a length gives decides how random a
-    string has to look. Without any words nothing is found.
+    string has to look. Where there are no words to compare with (fewer than ``_LEAST_WORDS``), a string
+    of more than letters is found if it departs from uniform random ones no more than all but
+    ``false_rate`` of them do.
     """
     tokens = docs.select(F.explode(_located(text_of(), _RUN)).alias("span")).select(F.col("span.token").alias("token"))
-    word = F.col("token").rlike("^[A-Za-z]+$")
+    word = F.col("token").rlike(_WORD)
     scored = write_out(
         tokens.select(
             _length_class(F.length("token")).alias("class"),
@@ -232,11 +245,12 @@ def fit_battery(docs: DataFrame, false_rate: float = 0.01) -> Battery:
     sums = [F.count("as0").alias("n"), *[x for k in families for x in (F.avg(f"as{k}").alias(f"mean{k}"), F.stddev(f"as{k}").alias(f"sd{k}"))]]
     words = scored.where("as0 IS NOT NULL")
     every = words.agg(*sums, *[F.avg(F.col(f"as{k}") / F.col("root")).alias(f"slope{k}") for k in families]).first()
-    if every["n"] < 2:
-        return Battery(())
+    if every["n"] < _LEAST_WORDS:
+        cut = _UNIFORM_MEAN + NormalDist().inv_cdf(1 - false_rate) * _UNIFORM_SD
+        return Battery(tuple((f, k, cut) for f in families for k in _CLASSES), spares_words=True)
     null = {(f, k): (every[f"slope{f}"] * k**0.5, every[f"sd{f}"]) for f in families for k in _CLASSES}
     for r in words.groupBy("class").agg(*sums).collect():  # a row for each class
-        if r["n"] >= 30:
+        if r["n"] >= _LEAST_WORDS:
             null |= {(f, r["class"]): (r[f"mean{f}"], r[f"sd{f}"]) for f in families}
     mean, sd = (
         F.coalesce(*[F.when((F.col("family") == f) & (F.col("class") == k), float(v[i])) for (f, k), v in null.items()])
@@ -268,8 +282,11 @@ def find_secrets(docs: DataFrame, battery: Battery | None = None, carry: tuple[s
     fixed kinds) and ``spans`` (these and those of the battery that overlap none
     of them), both arrays of ``start, kind, end`` in this order; ``kind`` is an
     index into ``KINDS``. Null and empty texts have no spans. Repeated rows are
-    scanned like others; columns of ``docs`` that aren't named aren't read.
+    scanned like others; columns of ``docs`` that aren't named aren't read. ``carry`` can't name a column
+    of the result.
     """
+    if clash := {"doc_id", "base", "spans"} & {c.lower() for c in carry}:
+        raise ValueError(f"columns of the result can't be carried along: {sorted(clash)}")
     battery = battery or fit_battery(docs)
     text = F.col("_text")
     assign = F.filter(
@@ -278,7 +295,9 @@ def find_secrets(docs: DataFrame, battery: Battery | None = None, carry: tuple[s
     base = F.array_sort(
         F.concat(_of_kind(assign, 0), _of_kind(_located(text, _ACCESS), 1), _of_kind(_located(text, _HEX), 2))
     )
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[F.col(f"`{c}`") for c in carry], text_of().alias("_text"))
+    # What is carried goes along in one column, so that no name clashes with those here.
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_carried")] if carry else []
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *carried, text_of().alias("_text"))
 
     def with_random(known: Column) -> Column:
         random = F.filter(
@@ -288,9 +307,9 @@ def find_secrets(docs: DataFrame, battery: Battery | None = None, carry: tuple[s
         )
         return F.struct(known.alias("base"), F.array_sort(F.concat(known, _of_kind(random, 3))).alias("spans"))
 
-    return rows.select("doc_id", *[F.col(f"`{c}`") for c in carry], _let(base, with_random).alias("_found")).select(
-        "doc_id", *[F.col(f"`{c}`") for c in carry], F.col("_found.base").alias("base"), F.col("_found.spans").alias("spans")
-    )
+    names = ["_carried"] if carry else []
+    found = rows.select("doc_id", *names, _let(base, with_random).alias("_found"))
+    return found.select("doc_id", *[f"{c}.*" for c in names], "_found.*")
 
 
 def spans_text(spans: Column) -> Column:

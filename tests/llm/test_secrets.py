@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallybuy.llm import secrets
@@ -80,3 +81,28 @@ def test_masking(spark):
 
 def test_nothing(spark):
     assert secrets.find_secrets(documents(spark, [])).collect() == []
+
+
+def test_lone_key_is_found_without_words(spark):
+    """No or few words to compare with: random keys are found all the same, long words are not."""
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = [_random(rng, letters, n) for n in (32, 40, 64) for _ in range(10)]
+    words = "internationalization incomprehensibility counterrevolutionary uncharacteristically"
+    for extra in ("", words):
+        texts = [f"the key is {k} here {extra}" for k in keys]
+        found = 0
+        for i in (0, 12, 25):  # each alone in its table
+            (row,) = secrets.find_secrets(documents(spark, [texts[i]])).collect()
+            spans = {texts[i][s.start : s.end] for s in row.spans}
+            found += keys[i] in spans
+            assert not spans & set(words.split())
+        assert found == 3
+
+
+def test_carried_columns_do_not_clash(spark):
+    docs = documents(spark, ["password=abcdefgh"]).withColumns({c: F.lit("x") for c in ("base", "spans", "_text", "_found")})
+    row = secrets.find_secrets(docs, carry=("lang", "_found")).first()
+    assert (row.lang, row._found, len(row.base)) == ("en", "x", 1)
+    with pytest.raises(ValueError, match="base"):
+        secrets.find_secrets(docs, carry=("base",))
