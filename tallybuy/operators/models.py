@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
+import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,7 +20,10 @@ from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+from pyspark.util import inheritable_thread_target
 
+from tallybuy.operators import registry
 from tallybuy.operators.blend import mean_per_pair, roc_area
 from tallybuy.operators.joins import lookup
 from tallybuy.operators.keys import dense_id_table
@@ -292,12 +299,14 @@ def fit_score_runs(
     reduce: bool = False,
     measure: bool = True,
     selection: Mapping | None = None,
+    registered: str | None = None,
     **params,
 ) -> ScoreRuns:
     """Train on a fresh split and score the unlabelled pairs, ``n_runs`` times.
 
     Run *i* uses split and model seed *i*. The joined features are written out
-    once and shared by all runs.
+    once and shared by all runs. ``registered`` names a folder for the models and their
+    areas, see :mod:`.registry`.
     """
     rows = first_per_pair(drop_useless(features))
     if select_features:
@@ -317,6 +326,10 @@ def fit_score_runs(
         model = fit_model(marked, kind, seed=run, **params)
         if measure:
             runs.areas[run] = area_by_part(model, marked)
+        if registered:
+            registry.register(
+                rows.sparkSession, registered, f"kind{kind}-run{run}", model, kind, run, params, runs.areas.get(run)
+            )
         part = pair_scores(model, to_score).withColumn("run_id", F.lit(run))
         stacked = part if stacked is None else stacked.unionByName(part)
     runs.scores = stacked
@@ -377,17 +390,41 @@ def draw_settings(space: Mapping[str, Draw], n: int, seed: int = 50) -> list[dic
     return [{name: d.sample(rng) for name, d in space.items()} for _ in range(n)]
 
 
+_RESULT = "setting int, fold int, auc double, rounds int, seconds double"
+
+
+def _search_id(rows: DataFrame, *parts) -> str:
+    """Names a search by its settings and its rows, so that results of another one are never taken for its own."""
+    print_of = rows.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*rows.columns)).alias("x")).first()
+    text = json.dumps([*parts, print_of["n"], print_of["x"]], sort_keys=True, default=str)
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+def _finished(spark, folder: str) -> DataFrame:
+    """Results of (setting, fold) pairs so far; a pair whose write was lost has none."""
+    try:
+        return spark.read.schema(_RESULT).parquet(f"{folder}/*")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], _RESULT)
+
+
 def cross_validate(
     rows: DataFrame, settings: Sequence[dict], n_folds: int = 4, seed: int = 50,
-    max_iter: int = 5000, patience: int = 40,
+    max_iter: int = 5000, patience: int = 40, store: str | None = None, side_by_side: int = 8,
 ) -> DataFrame:
     """Mean ROC area and loss of each parameter setting over the folds.
 
     A fold's trees stop early on the fold itself, at their best round.
 
     Rows are assembled and written out once; folds come from a key hash, so
-    they do not change between attempts of a task.
+    they do not change between attempts of a task. Each finished (setting, fold) is a file in
+    ``store`` (by default a folder of the workspace named by rows and settings); a search that was
+    broken off goes on with the rest. ``side_by_side`` fits run at a time: their
+    jobs are small and mostly wait for one another.
     """
+    spark = rows.sparkSession
     columns = feature_columns(rows)
     ready = fill_features(rows.where(F.col("label").isNotNull()), columns)
     fold = F.pmod(F.xxhash64(*PAIR, F.lit(f"fold/{seed}")), F.lit(n_folds)).cast("int")
@@ -397,20 +434,31 @@ def cross_validate(
         .select(*PAIR, "features", "label", fold.alias("fold")),
         "folds",
     )
-    measure = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    table = []
-    for i, chosen in enumerate(settings):
-        areas = []
-        for k in range(n_folds):
-            trees = setting_trees(chosen, max_iter, seed)
-            valid = vectors.where(F.col("fold") == k)
-            model = fit_with_patience(trees, vectors.where(F.col("fold") != k), valid, patience)
-            areas.append(measure.evaluate(model.transform(valid)))
-        auc = float(np.mean(areas))
-        table.append((i, str(sorted(chosen.items())), auc, 1.0 - auc))
-    return rows.sparkSession.createDataFrame(
-        table, "setting int, params string, auc double, loss double"
-    )
+    known = ready.select(*PAIR, "label", *columns)
+    root = store or f"{workspace(spark)}/searches"
+    folder = f"{root}/{_search_id(known, list(settings), n_folds, seed, max_iter, patience)}"
+    done = {(r["setting"], r["fold"]) for r in _finished(spark, folder).collect()}
+
+    def run(job: tuple[int, int]) -> None:
+        i, k = job
+        began = time.monotonic()
+        valid = vectors.where(F.col("fold") == k)
+        trees = setting_trees(settings[i], max_iter, seed)
+        model = fit_with_patience(trees, vectors.where(F.col("fold") != k), valid, patience)
+        measure = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+        result = (i, k, float(measure.evaluate(model.transform(valid))), model.getNumTrees, time.monotonic() - began)
+        spark.createDataFrame([result], _RESULT).coalesce(1).write.mode("overwrite").parquet(f"{folder}/{i}-{k}")
+
+    todo = [(i, k) for i in range(len(settings)) for k in range(n_folds) if (i, k) not in done]
+    _keep_lineage_short(spark)
+    with ThreadPoolExecutor(max(1, side_by_side)) as pool:
+        for finished in [pool.submit(inheritable_thread_target(spark)(run), job) for job in todo]:
+            finished.result()
+    # In the order of folds, so that a mean doesn't depend on which fold came first.
+    area = F.aggregate(F.sort_array(F.collect_list(F.struct("fold", "auc"))), F.lit(0.0), lambda s, x: s + x["auc"]) / F.count("auc")
+    names = spark.createDataFrame([(i, str(sorted(s.items()))) for i, s in enumerate(settings)], "setting int, params string")
+    means = _finished(spark, folder).groupBy("setting").agg(area.alias("auc"))
+    return names.join(F.broadcast(means), "setting").select("setting", "params", "auc", (1.0 - F.col("auc")).alias("loss"))
 
 
 def setting_trees(chosen: Mapping, max_iter: int = 5000, seed: int = 50) -> GBTClassifier:
@@ -445,6 +493,16 @@ def random_search(rows: DataFrame, n_settings: int = 10, seed: int = 0, **kw) ->
     return cross_validate(rows, draw_settings(RANDOM_SPACE, n_settings, seed), 5, seed, **kw)
 
 
+def best_by_search(
+    marked: DataFrame, space: Mapping[str, Draw], n_settings: int, n_folds: int, seed: int, max_iter: int = 5000,
+    patience: int = 40, **kw,
+) -> tuple[PipelineModel, dict, float]:
+    """Search over the labelled rows, then the best setting fitted on those marked train and valid: model, setting, area."""
+    settings = draw_settings(space, n_settings, seed)
+    table = cross_validate(marked.drop("part"), settings, n_folds, seed, max_iter, patience, **kw)
+    return fit_best(marked, settings, table, max_iter, seed, patience)
+
+
 # --- factors ----------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ from tallybuy.functions.columns import cells, epoch_days, ratio, spread
 from tallybuy.functions.ordering import previous_value, running_totals
 from tallybuy.operators.joins import lookup
 from tallybuy.operators.keys import dense_ids
+from tallybuy.session import write_out
 
 SECONDS_PER_DAY = 86400.0
 
@@ -72,7 +73,8 @@ def count_density(
     histogram = counts.groupBy(F.col(column).cast("double").alias("v")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    # Everything else comes from the histogram, a row for each distinct count.
+    # Everything else comes from the histogram, a row for each distinct count; read three times, made once.
+    histogram = write_out(histogram, "histogram")
     n, mean = F.sum("n"), F.try_divide(F.sum(F.col("n") * F.col("v")), F.sum("n"))
     total = histogram.where("v IS NOT NULL").agg(n.cast("double").alias("total"), mean.alias("mean"))
     row = total.first()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallybuy.operators import assembly
@@ -124,6 +126,19 @@ def _feature_store_join(fx):
     return assembly.attach_features(population(fx), stores)
 
 
+@query("bucketed_store_join", _store_sql())
+def _bucketed_store_join(fx):
+    """The same join from stores in buckets by their keys."""
+    fx = fx.stored()
+    log, mark = fx.log(), uuid.uuid4().hex
+    buckets = int(fx.spark.conf.get("spark.sql.shuffle.partitions"))
+    stores = [
+        (suffix, keys, assembly.write_bucketed(rows_per(log, keys, "rows"), keys, f"store_{suffix}_{mark}", buckets))
+        for suffix, keys in _STORES
+    ]
+    return assembly.attach_bucketed(population(fx), stores)
+
+
 def training_frame(fx):
     """Population rows with user, seller and pair ratios.
 

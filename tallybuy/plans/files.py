@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallybuy import schemas
+from tallybuy.operators.assembly import outer_align
 from tallybuy.operators.blend import blend, mean_per_pair
 from tallybuy.operators.keys import dense_ids, with_action
 from tallybuy.operators.profiles import rows_per
@@ -37,6 +38,37 @@ def _feature_file(fx):
     return files.read_many_features(fx.spark, [path], ["seller_id"])[0]
 
 
+@query(
+    "pruned_files",
+    over(
+        "acts",
+        a="SELECT seller_id, count(*) AS a_rows_a FROM acts GROUP BY seller_id",
+        b="""SELECT seller_id, round(avg(time_stamp), 4) AS b_stamp_b, count(*) FILTER (action_type = 2) AS b_buys_b
+             FROM acts WHERE action_type <> 1 GROUP BY seller_id""",
+        c="""SELECT seller_id, max(brand_id) AS c_brand_c FROM acts WHERE action_type = 0 GROUP BY seller_id""",
+        body="SELECT * FROM a FULL JOIN b USING (seller_id) FULL JOIN c USING (seller_id)",
+    ),
+)
+def _pruned_files(fx):
+    """Three files, one with an empty column, one with a constant and a nearly empty one, joined after pruning each."""
+    log, folder = fx.log(), _folder(fx)
+
+    def stats(rows, *columns):
+        return rows.groupBy("seller_id").agg(*columns)
+
+    empty, constant = F.lit(None).cast("double").alias("empty"), F.lit(3).alias("constant")
+    rare = F.max(F.when(F.col("seller_id") == 1, 1.5)).alias("rare")
+    frames = {
+        "a": stats(log, F.count(F.lit(1)).alias("rows")).withColumn("empty", empty),
+        "b": stats(log.where("action_type <> 1"), F.avg("time_stamp").alias("stamp"), F.count_if(F.col("action_type") == 2).alias("buys"), rare),
+        "c": stats(log.where("action_type = 0"), F.max("brand_id").alias("brand")).withColumn("constant", constant),
+    }
+    for name, frame in frames.items():
+        files.write_features(frame, f"{folder}/{name}", ["seller_id"])
+    pruned = files.read_pruned_features(fx.spark, [f"{folder}/{n}" for n in frames], ["seller_id"])
+    return outer_align(dict(zip(frames, pruned)), ["seller_id"])
+
+
 @query(
     "id_mapping_file",
     over(

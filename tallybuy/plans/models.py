@@ -1,8 +1,9 @@
 """Model fits, searches and factor tables over the training frame.
 
-Fits have no SQL twin. They run over whole tables. Boosted trees here have a
-smaller budget of rounds than the defaults of the functions, and leaves of five
-rows, as the fixtures have a few hundred labelled pairs; runs and settings are few.
+Fits have no SQL twin; ``*_check`` queries say in SQL terms whether a fit is what it
+claims to be. All run over whole tables. Searches run in full. Other boosted trees have a
+smaller budget of rounds here than the defaults of the functions, and leaves of five
+rows, as the fixtures have a few hundred labelled pairs; README has the times of the defaults.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallybuy import schemas
-from tallybuy.operators import models
+from tallybuy.operators import models, optimality, registry
+from tallybuy.operators.blend import roc_area
 from tallybuy.operators.keys import with_action
 from tallybuy.operators.population import first_per_pair, rows_of, rows_to_score, training_rows
 from tallybuy.operators.profiles import implicit_matrix, rows_per
@@ -91,18 +93,70 @@ def _score_runs_reduced(fx):
     return runs.scores
 
 
+def _registered(fx, rows, kinds: dict[int, dict]) -> str:
+    """A registry of one model of each kind, with its ROC areas."""
+    root = f"{workspace(fx.spark)}/registry-{uuid.uuid4().hex}"
+    marked = write_out(training_rows(rows, fx.labelled(), keep=0.5), "marked")
+    for kind, params in kinds.items():
+        model = models.fit_model(marked, kind, **params)
+        areas = models.area_by_part(model, marked)
+        registry.register(fx.spark, root, f"kind{kind}", model, kind, 0, params, areas)
+    return root
+
+
 @query("restored_scores")
 def _restored_scores(fx):
+    """Scores of registered models with the areas that were kept with them."""
     fx = fx.stored()
     rows = _features(fx)
-    marked = training_rows(rows, fx.labelled(), keep=0.5)
-    path = f"{workspace(fx.spark)}/models-{uuid.uuid4().hex}"
-    paths = {}
-    for kind, params in ((1, _ROUNDS), (2, {})):
-        paths[f"kind{kind}"] = f"{path}/kind{kind}"
-        model = models.fit_model(marked, kind, **params)
-        models.save_model(model, paths[f"kind{kind}"])
-    return models.score_with_saved(paths, rows_to_score(rows, fx.unlabelled()))
+    root = _registered(fx, rows, {1: _ROUNDS, 2: {}})
+    return registry.score_with_registered(fx.spark, root, rows_to_score(rows, fx.unlabelled()))
+
+
+@query(
+    "registered_areas",
+    over(
+        "labelled",
+        parts=f"SELECT {PART_SQL} AS part, label FROM labelled",
+        kinds="SELECT 'kind' || k AS run_id FROM (VALUES (0), (1), (2), (3)) AS t(k)",
+        body="""SELECT run_id, part, count(*) AS n, count(*) FILTER (label = 1) AS n_pos, true AS agrees, true AS in_range
+                FROM parts CROSS JOIN kinds GROUP BY run_id, part""",
+    ),
+)
+def _registered_areas(fx):
+    """Each kind of model restored and scored again: the areas of its scores are those in the registry."""
+    fx = fx.stored()
+    rows = _features(fx)
+    small = {"max_iter": 10, "minInstancesPerNode": 5}
+    root = _registered(fx, rows, {0: small, 1: small, 2: {"max_iter": 50}, 3: {"max_iter": 5}})
+    known = {r["name"]: r for r in registry.entries(fx.spark, root).collect()}
+    marked = write_out(training_rows(rows, fx.labelled(), keep=0.5), "marked")
+    out = []
+    for name, model in registry.restore(fx.spark, root, F.col("name").startswith("kind")).items():
+        scored = write_out(models.score(model, marked), "restored")
+        facts = scored.groupBy("part").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("n_pos"), F.min(F.col("prob").between(0, 1)).alias("ok")
+        )
+        for r in facts.collect():
+            area = roc_area(scored.where(F.col("part") == r["part"])).first()["auc"]
+            kept = known[name][f"auc_{r['part']}"]
+            agrees = area is None and kept is None or abs(area - kept) < 1e-9
+            out.append((name, r["part"], r["n"], r["n_pos"], agrees, r["ok"]))
+    return fx.spark.createDataFrame(out, "run_id string, part string, n bigint, n_pos bigint, agrees boolean, in_range boolean")
+
+
+@query(
+    "score_runs_checked",
+    over("unlabelled", body="SELECT r.run_id, user_id, seller_id, true AS in_range FROM unlabelled CROSS JOIN (VALUES (0), (1)) AS r(run_id)"),
+)
+def _score_runs_checked(fx):
+    """Two runs on selected and normalised features: every unlabelled pair has one score from 0 to 1 in each."""
+    fx = fx.stored()
+    runs = models.fit_score_runs(
+        training_frame(fx), fx.labelled(), fx.unlabelled(), n_runs=2, kind=2, select_features=True, normalize=True, measure=False,
+        selection={"n_runs": 1, "max_iter": 20, "patience": 10}, max_iter=50,
+    )
+    return runs.scores.select("run_id", "user_id", "seller_id", F.col("prob").between(0, 1).alias("in_range"))
 
 
 @query("model_areas")
@@ -121,22 +175,23 @@ def _labelled_features(fx):
 
 @query("cv_search")
 def _cv_search(fx):
-    return models.sampled_search(_labelled_features(fx), n_settings=2, max_iter=40, patience=10)
+    """The whole search: 15 settings, 4 folds, up to 5,000 rounds with a patience of 40."""
+    return models.sampled_search(_labelled_features(fx))
 
 
 @query("random_search")
 def _random_search(fx):
-    return models.random_search(_labelled_features(fx), n_settings=2, patience=10)
+    """10 settings with their own budgets, 5 folds, a patience of 40."""
+    return models.random_search(_labelled_features(fx))
 
 
 @query("best_of_search")
 def _best_of_search(fx):
+    """The best setting of the whole search, fitted and scored; a search that was run before goes on from its results."""
     fx = fx.stored()
     rows = _features(fx)
     marked = training_rows(rows, fx.labelled(), keep=0.5)
-    settings = [{"maxDepth": 2, "stepSize": 0.1}, {"maxDepth": 4, "stepSize": 0.05}]
-    table = models.cross_validate(marked, settings, n_folds=2, max_iter=30)
-    model, _, area = models.fit_best(marked, settings, table, max_iter=30)
+    model, _, area = models.best_by_search(marked, models.STAGED_SPACE, 15, 4, 50)
     return models.pair_scores(model, rows_to_score(rows, fx.unlabelled())).withColumn("search_auc", F.lit(area))
 
 
@@ -182,6 +237,64 @@ def _buys(fx):
     return rows_per(with_action(fx.log(), schemas.BUY), ["user_id", "seller_id"], "counts")
 
 
+@query(
+    "lr_check",
+    over("labelled", parts=f"SELECT {PART_SQL} AS part FROM labelled",
+         body="SELECT count(*) FILTER (part = 'train') AS n_rows, true AS fitted, 0 AS n_steep FROM parts"),
+)
+def _lr_check(fx):
+    """The gradient of the weighted log loss at the solution: no position is steep against its terms."""
+    fx = fx.stored()
+    marked = training_rows(_features(fx), fx.labelled(), keep=0.5)
+    model = models.fit_model(marked, 2)
+    columns = models.feature_columns(marked)
+    train = models.balanced_weights(models.fill_features(marked.where("part = 'train'"), columns))
+    train = write_out(train.withColumn("label", F.col("label").cast("double")), "train")
+    slopes = optimality.logistic_gradient(model, train)
+    steep = F.count_if(F.abs("gradient") > 0.02 * F.col("scale") + 1e-6)
+    return slopes.agg(
+        F.lit(train.count()).cast("bigint").alias("n_rows"), (F.count(F.lit(1)) == len(columns) + 1).alias("fitted"), steep.cast("int").alias("n_steep")
+    )
+
+
+@query(
+    "pca_check",
+    over("pairs", body="SELECT count(*) AS n_rows, 0 AS n_correlated, 0 AS n_out_of_order FROM pairs"),
+)
+def _pca_check(fx):
+    """Components have no covariance with one another, and their variances fall."""
+    rows = _features(fx.stored())
+    columns = models.feature_columns(rows)
+    reduced = write_out(
+        reduce_dimension(models.fill_features(rows.select(*models.PAIR, "label", *columns), columns)), "reduced"
+    )
+    names = [c for c in reduced.columns if c.startswith("pc")]
+    largest = max(reduced.agg(*[F.var_samp(c).alias(c) for c in names]).first()) or 0.0
+    pairs = optimality.component_covariances(reduced, names)
+    variances = reduced.agg(*[F.var_samp(c).alias(c) for c in names]).first()
+    falling = sum(a < b - 1e-9 * largest for a, b in zip(variances, variances[1:]))
+    return pairs.agg(
+        F.lit(reduced.count()).cast("bigint").alias("n_rows"),
+        F.count_if(F.abs("covariance") > 1e-8 * largest).cast("int").alias("n_correlated"),
+        F.lit(falling).alias("n_out_of_order"),
+    )
+
+
+@query(
+    "als_check",
+    over("acts", body="SELECT DISTINCT user_id, true AS non_negative, true AS stationary FROM acts WHERE action_type = 2"),
+)
+def _als_check(fx):
+    """Each user's factors are the best non-negative ones, given those of the sellers."""
+    counts = write_out(_buys(fx), "buys")
+    factors = models.pair_factors(counts)
+    users, sellers = write_out(factors.users, "user-factors"), write_out(factors.sellers, "seller-factors")
+    checked = optimality.factor_stationarity(counts, users, sellers, "user_id")
+    return checked.select(
+        "user_id", (F.col("smallest") >= 0).alias("non_negative"), (F.col("worst") <= 1e-3 * F.col("scale")).alias("stationary")
+    )
+
+
 @query("als_factors")
 def _als_factors(fx):
     return models.pair_factors(_buys(fx)).users

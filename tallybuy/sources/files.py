@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,57 @@ def read_many_features(
     return [read_features(spark, p, keys) for p in paths]
 
 
+def column_statistics(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """``(file, feature, missing_fraction, single)`` of all columns of all frames, in one job.
+
+    ``single``: the column has one distinct value. NaN counts as missing.
+    """
+    out: DataFrame | None = None
+    for name, df in frames.items():
+        kinds = dict(df.dtypes)
+        columns = [c for c in df.columns if c not in keys]
+        there = {c: F.nanvl(F.col(f"`{c}`"), F.lit(None)) if kinds[c] in ("float", "double") else F.col(f"`{c}`") for c in columns}
+        facts = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[
+                F.struct(F.count(e).alias("n"), F.coalesce(F.min(e) == F.max(e), F.lit(False)).alias("single")).alias(f"c{k}")
+                for k, e in enumerate(there.values())
+            ],
+        )
+        cells = F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("file"), F.lit(c).alias("feature"),
+                    (1.0 - F.try_divide(F.col(f"c{k}.n"), F.col("rows"))).alias("missing_fraction"), F.col(f"c{k}.single").alias("single"),
+                )
+                for k, c in enumerate(columns)
+            ]
+        )
+        part = facts.select(F.explode(cells).alias("_c")).select("_c.*") if columns else None
+        out = part if out is None else out if part is None else out.unionByName(part)
+    return out
+
+
+def read_pruned_features(
+    spark: SparkSession, paths: Sequence[str], keys: Sequence[str], missing: float = 0.99
+) -> list[DataFrame]:
+    """Feature files without the columns that are mostly missing or have one value in their own file.
+
+    Statistics of all files come from one job, two numbers for each column. The frames then read only the
+    columns that are left; parquet files don't open the others again.
+    """
+    frames = {p: read_features(spark, p, keys) for p in paths}
+    facts = column_statistics(frames, keys) if frames else None
+    gone: dict[str, set[str]] = {p: set() for p in paths}
+    # A file without rows has no fraction and keeps its columns.
+    unfit = F.coalesce(F.col("missing_fraction") > missing, F.lit(False)) | F.col("single")
+    for r in facts.where(unfit).collect() if facts is not None else ():
+        gone[r["file"]].add(r["feature"])
+    return [
+        df.select(*[F.col(f"`{c}`") for c in df.columns if c not in gone[p]]) for p, df in frames.items()
+    ]
+
+
 def rounded_matrix(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Doubles at four decimals, the precision feature matrices are stored with."""
     kinds = dict(df.dtypes)

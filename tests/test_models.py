@@ -136,3 +136,81 @@ def test_search_ends_in_a_model(rows):
     model, chosen, area = models.fit_best(rows, settings, table, max_iter=3)
     assert chosen in settings and area == table.agg(F.max("auc")).first()[0]
     assert models.pair_scores(model, rows).count() == 300
+
+
+def test_search_goes_on_where_it_stopped(rows, tmp_path, monkeypatch):
+    """Finished (setting, fold) results are kept; a broken search fits only the rest, and other rows have a search of their own."""
+    settings = [{"maxDepth": 1, "stepSize": 0.1}, {"maxDepth": 2, "stepSize": 0.1}, {"maxDepth": 2, "stepSize": 0.3}]
+    store, fitted, plain = str(tmp_path / "search"), [], models.fit_with_patience
+
+    def broken(estimator, train, valid, patience):
+        fitted.append(1)
+        if len(fitted) > 3:
+            raise RuntimeError("executor lost")
+        return plain(estimator, train, valid, patience)
+
+    kw = {"n_folds": 2, "max_iter": 3, "store": store, "side_by_side": 1}
+    monkeypatch.setattr(models, "fit_with_patience", broken)
+    with pytest.raises(RuntimeError):
+        models.cross_validate(rows, settings, **kw)
+    count = []
+    monkeypatch.setattr(models, "fit_with_patience", lambda *a: (count.append(1), plain(*a))[1])
+    resumed = models.cross_validate(rows, settings, **kw).orderBy("setting").collect()
+    assert len(count) == 3
+    again = models.cross_validate(rows, settings, **kw).orderBy("setting").collect()
+    whole = models.cross_validate(rows, settings, **{**kw, "store": str(tmp_path / "other"), "side_by_side": 4}).orderBy("setting").collect()
+    assert resumed == again == whole and len(count) == 9
+    models.cross_validate(rows.where("user_id <> 5"), settings[:1], **kw)
+    assert len(count) == 11
+
+
+def test_best_setting_of_a_search_is_fitted(rows, tmp_path):
+    space = {"maxDepth": models.Draw("randint", 1, 4, integer=True), "stepSize": models.Draw("uniform", 0.1, 0.3)}
+    model, chosen, area = models.best_by_search(rows, space, 3, 2, 1, max_iter=3, patience=2, store=str(tmp_path))
+    assert chosen in models.draw_settings(space, 3, 1) and 0.5 < area <= 1
+    assert model.stages[-1].getMaxDepth() == chosen["maxDepth"]
+
+
+def test_registry_keeps_areas_and_picks_by_condition(spark, rows, tmp_path):
+    from tallybuy.operators import registry
+
+    root = str(tmp_path / "registry")
+    assert registry.entries(spark, root).count() == 0
+    with pytest.raises(ValueError):
+        registry.score_with_registered(spark, root, rows)
+    labelled, unlabelled = rows.select("user_id", "seller_id", "label"), rows.select("user_id", "seller_id").limit(20)
+    runs = models.fit_score_runs(rows.drop("part"), labelled, unlabelled, 2, 1, registered=root, max_iter=3, minInstancesPerNode=5)
+    kept = {r["name"]: r for r in registry.entries(spark, root).collect()}
+    assert sorted(kept) == ["kind1-run0", "kind1-run1"]
+    for run, areas in runs.areas.items():
+        row = kept[f"kind1-run{run}"]
+        assert {p: row[f"auc_{p}"] for p in areas} == areas and row["seed"] == run and row["rounds"] >= 1
+    name, model = registry.best(spark, root)
+    top = max(kept.values(), key=lambda r: (r["auc_valid"], [-ord(c) for c in r["name"]]))
+    assert name == top["name"]
+    some = registry.score_with_registered(spark, root, unlabelled.join(rows, ["user_id", "seller_id"]), F.col("seed") == 1)
+    assert {r["run_id"] for r in some.collect()} == {"kind1-run1"}
+    assert some.first()["auc_train"] == runs.areas[1]["train"]
+
+
+def test_optimality_residuals(spark, rows):
+    """Zero at the solutions, not elsewhere."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from tallybuy.operators import optimality
+
+    columns = models.feature_columns(rows)
+    noisy = rows.withColumn("label", F.when(F.col("user_id") % 5 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    model = models.fit_model(noisy, 2)
+    train = models.balanced_weights(models.fill_features(noisy.where("part = 'train'"), columns))
+    train = train.withColumn("label", F.col("label").cast("double"))
+    slopes = optimality.logistic_gradient(model, train).collect()
+    assert len(slopes) == len(columns) + 1 and isinstance(model.stages[-1], LogisticRegressionModel)
+    assert all(abs(r.gradient) <= 0.02 * r.scale + 1e-6 for r in slopes)
+    early = optimality.logistic_gradient(models.fit_model(noisy, 2, max_iter=1), train).collect()
+    assert any(abs(r.gradient) > 0.02 * r.scale + 1e-6 for r in early)
+    counts = spark.createDataFrame([(u, s, 1 + (u * s) % 3) for u in range(30) for s in range(9) if (u + s) % 3], "user_id bigint, seller_id bigint, counts bigint")
+    f = models.pair_factors(counts, rank=4, max_iter=3)
+    for users, good in ((f.users, True), (f.users.select("user_id", *[(F.col(str(i)) * 1.5 + 0.1).alias(str(i)) for i in range(4)]), False)):
+        got = optimality.factor_stationarity(counts, users, f.sellers, "user_id").collect()
+        assert len(got) == 30 and all((r.worst <= 1e-3 * r.scale) == good and r.smallest >= 0 for r in got)

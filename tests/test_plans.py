@@ -172,3 +172,74 @@ def test_batch_joins_profile_and_pairs_once(spark, skewed_log):
     rows = syn.prepare_all(specs, skewed_log, pairs, users, CAL, unrestricted=("user_seller_buy",))
     logical = rows._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"\bJoin (Inner|LeftOuter|LeftSemi)", logical)) == 1 + len({s.target for s in specs})
+
+
+def test_bucketed_stores_are_not_shuffled(spark, skewed_log):
+    """Only the rows move, once for each key of a store; the result is that of the plain join."""
+    stores, names = [], []
+    for suffix, keys in (("u", ["user_id"]), ("m", ["seller_id"]), ("mu", ["user_id", "seller_id"])):
+        counts = profiles.rows_per(skewed_log, keys, "n")
+        names.append(f"bucketed_test_{suffix}")
+        stores.append((suffix, keys, assembly.write_bucketed(counts, keys, names[-1], 5)))
+    try:
+        rows = skewed_log.limit(2_000)
+        want = assembly.attach_features(rows, stores)
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+            got = assembly.attach_bucketed(spark.createDataFrame(rows.collect(), rows.schema), stores)
+            plan = plan_of(got)
+            store_sides = re.findall(r"Exchange[^\n]*\n[^\n]*\n?[^\n]*FileScan parquet[^\n]*bucketed_test", plan)
+            assert not store_sides and plan.count("Exchange hashpartitioning") == 3 and plan.count("Bucketed: true") == 3
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_pruned_files_read_only_what_is_left(spark, tmp_path):
+    from tallybuy.sources import files
+
+    one = spark.createDataFrame([(k, float(k), 3, None, 1.5 if k == 7 else None) for k in range(300)], "id int, x double, same int, `no ne` double, rare double")
+    one.write.parquet(f"{tmp_path}/one")
+    two = spark.createDataFrame([(k, float("nan"), k % 2) for k in range(50)], "id int, nan double, bit int")
+    two.write.parquet(f"{tmp_path}/two")
+    one.limit(0).write.parquet(f"{tmp_path}/three")
+    one.select("id", "x", "same").write.option("header", True).csv(f"{tmp_path}/four.csv")
+    paths = [f"{tmp_path}/{n}" for n in ("one", "two", "three", "four.csv")]
+    got = files.read_pruned_features(spark, paths, ["id"])
+    assert [df.columns for df in got] == [
+        ["id", "x_one"], ["id", "bit_two"], ["id", "x_three", "same_three", "no ne_three", "rare_three"], ["id", "x_four"],
+    ]
+    assert "ReadSchema: struct<id:int,x:double>" in plan_of(got[0], "formatted")
+    assert got[0].count() == 300 and files.read_pruned_features(spark, [], ["id"]) == []
+
+
+def test_running_shares_need_no_single_partition(spark):
+    from tallybuy.operators import selection
+
+    table = spark.range(1000).select(F.concat(F.lit("f"), "id").alias("feature"), (F.col("id") % 97).cast("double").alias("importance"))
+    got = selection.cumulative_importance(table)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # What comes to one task is a row for each slice.
+    assert re.findall(r"Exchange SinglePartition[^\n]*\n[^\n]*HashAggregate\(keys=\[_slice", plan)
+    assert plan.count("SinglePartition") == 1
+    rows = sorted(got.collect(), key=lambda r: (-r.importance, r.feature))
+    total, upto = sum(r.importance for r in rows), 0.0
+    for r in rows:
+        upto += r.importance / total
+        assert abs(r.cumulative_importance - upto) < 1e-9
+
+
+def test_sketches_merge_and_typed_counts(spark):
+    from tallybuy.operators import selection
+
+    df = spark.range(30_000).select(
+        (F.col("id") % 3).alias("day"), (F.col("id") % 5000).alias("a"), (F.col("id") % 7).cast("string").alias("s"),
+        (F.col("id") / 2).alias("x"), F.lit(None).cast("double").alias("none"), F.when(F.col("id") % 2 == 0, 1).alias("one"),
+    )
+    names = ["a", "s", "x", "none", "one"]
+    exact = {r.feature: r.nunique for r in selection.distinct_counts(df, names).collect()}
+    assert exact == {"a": 5000, "s": 7, "x": 30_000, "none": 0, "one": 1}
+    stored = selection.distinct_sketches(df, names, ["day"])
+    assert stored.where("feature <> 'none'").count() == 12
+    for r in selection.merged_distinct(stored).collect():
+        assert abs(r.estimate - exact[r.feature]) <= max(0.04 * exact[r.feature], 0)
