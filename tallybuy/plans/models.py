@@ -1,9 +1,9 @@
 """Model fits, searches and factor tables over the training frame.
 
 Fits have no SQL twin; ``*_check`` queries say in SQL terms whether a fit is what it
-claims to be. All run over whole tables. Searches run in full. Other boosted trees have a
-smaller budget of rounds here than the defaults of the functions, and leaves of five
-rows, as the fixtures have a few hundred labelled pairs; README has the times of the defaults.
+claims to be. All run over whole tables. Boosted trees have a smaller budget of rounds
+here than the defaults of the functions, and leaves of five rows, as the fixtures have a few
+hundred labelled pairs; searches have fewer settings. README has the times of the defaults.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from tallybuy.plans.sql import over
 from tallybuy.session import workspace, write_out
 
 _ROUNDS = {"max_iter": 60, "minInstancesPerNode": 5}
+_SEARCH = {"max_iter": 40, "patience": 10}
 
 
 def _features(fx):
@@ -175,23 +176,21 @@ def _labelled_features(fx):
 
 @query("cv_search")
 def _cv_search(fx):
-    """The whole search: 15 settings, 4 folds, up to 5,000 rounds with a patience of 40."""
-    return models.sampled_search(_labelled_features(fx))
+    return models.sampled_search(_labelled_features(fx), n_settings=2, **_SEARCH)
 
 
 @query("random_search")
 def _random_search(fx):
-    """10 settings with their own budgets, 5 folds, a patience of 40."""
-    return models.random_search(_labelled_features(fx))
+    return models.random_search(_labelled_features(fx), n_settings=2, patience=10)
 
 
 @query("best_of_search")
 def _best_of_search(fx):
-    """The best setting of the whole search, fitted and scored; a search that was run before goes on from its results."""
+    """The best setting of ``cv_search``, fitted and scored; where that search was run before, its results are taken up."""
     fx = fx.stored()
     rows = _features(fx)
     marked = training_rows(rows, fx.labelled(), keep=0.5)
-    model, _, area = models.best_by_search(marked, models.STAGED_SPACE, 15, 4, 50)
+    model, _, area = models.best_by_search(marked, models.STAGED_SPACE, 2, 4, 50, **_SEARCH)
     return models.pair_scores(model, rows_to_score(rows, fx.unlabelled())).withColumn("search_auc", F.lit(area))
 
 
