@@ -45,7 +45,7 @@ def _feature_file(fx):
         a="SELECT seller_id, count(*) AS a_rows_a FROM acts GROUP BY seller_id",
         b="""SELECT seller_id, round(avg(time_stamp), 4) AS b_stamp_b, count(*) FILTER (action_type = 2) AS b_buys_b
              FROM acts WHERE action_type <> 1 GROUP BY seller_id""",
-        c="""SELECT seller_id, max(brand_id) AS c_brand_c FROM acts WHERE action_type = 0 GROUP BY seller_id""",
+        c="""SELECT seller_id, sum(brand_id)::BIGINT AS c_brand_c FROM acts WHERE action_type = 0 GROUP BY seller_id""",
         body="SELECT * FROM a FULL JOIN b USING (seller_id) FULL JOIN c USING (seller_id)",
     ),
 )
@@ -61,7 +61,7 @@ def _pruned_files(fx):
     frames = {
         "a": stats(log, F.count(F.lit(1)).alias("rows")).withColumn("empty", empty),
         "b": stats(log.where("action_type <> 1"), F.avg("time_stamp").alias("stamp"), F.count_if(F.col("action_type") == 2).alias("buys"), rare),
-        "c": stats(log.where("action_type = 0"), F.max("brand_id").alias("brand")).withColumn("constant", constant),
+        "c": stats(log.where("action_type = 0"), F.sum("brand_id").alias("brand")).withColumn("constant", constant),
     }
     for name, frame in frames.items():
         files.write_features(frame, f"{folder}/{name}", ["seller_id"])
