@@ -5,8 +5,7 @@ smallest hash among its shorter substrings, so equal strings have equal anchors
 wherever they stand; the strings of one anchor stand side by side as a segment.
 
 Texts longer than a block are cut into parts with ``length - 1`` bytes of overlap, so a
-block has a bounded size; what a shard gets is taken in turns by hash. A worker holds
-about 40 times the bytes of a block at most.
+block has a bounded size; what a shard gets is taken in turns by hash.
 
 1. Blocks send the distinct anchor hashes they hold to shards, which tell each
    block the anchors that another block has, too.
