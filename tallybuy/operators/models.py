@@ -17,7 +17,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import RobustScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -29,6 +29,7 @@ from tallybuy.operators.joins import lookup
 from tallybuy.operators.keys import dense_id_table
 from tallybuy.operators.population import PAIR, mark_split, rows_of
 from tallybuy.operators.population import first_per_pair, rows_to_score, training_rows
+from tallybuy.operators.rounds import round_losses
 from tallybuy.operators.scaling import reduce_dimension, robust_scale
 from tallybuy.operators.selection import FeatureSelector
 from tallybuy.operators.sparse import one_hot_vectors
@@ -101,8 +102,8 @@ def weighted_trees(max_iter: int = 1000, seed: int = 0, **params) -> GBTClassifi
 PATIENCE = {0: 200, 1: 30}
 
 
-def fit_with_patience(estimator, train: DataFrame, valid: DataFrame, patience: int | None):
-    """Boosted trees up to the round that is best on the valid rows.
+def fit_with_patience(estimator, train: DataFrame, valid: DataFrame, patience: int | None, metric: str | None = None):
+    """Boosted trees up to the round that is best on the valid rows by ``metric`` (see :func:`.rounds.round_losses`).
 
     Training ends once ``patience`` rounds bring nothing better, or with the
     estimator's budget; without patience the budget is used up. Rounds are fitted
@@ -116,21 +117,13 @@ def fit_with_patience(estimator, train: DataFrame, valid: DataFrame, patience: i
     rounds = min(budget, max(20, patience + patience // 4))
     while True:
         model = estimator.copy({estimator.maxIter: rounds}).fit(train)
-        losses = _losses(model, valid)
-        best = int(np.argmin(losses))
+        best = int(np.argmin(round_losses(model, valid, metric)))
         if rounds == budget or rounds - 1 - best >= patience:
             break
         rounds = min(budget, 2 * rounds)
     return model if best + 1 == rounds else estimator.copy({estimator.maxIter: best + 1}).fit(train)
 
 
-def _losses(model, valid: DataFrame) -> list[float]:
-    """Loss on the valid rows after each round."""
-    if isinstance(model, GBTRegressionModel):
-        return model.evaluateEachIteration(valid, "squared")
-    return model.evaluateEachIteration(valid)
-
-
 def _keep_lineage_short(spark) -> None:
     """Boosting checkpoints every few rounds, if there is a folder for it."""
     if spark.sparkContext.getCheckpointDir() is None:
@@ -235,7 +228,7 @@ def score_with_saved(paths: Mapping[str, str], rows: DataFrame) -> DataFrame:
 def tree_importances(
     rows: DataFrame, columns: Sequence[str], label: str, task: str, n_runs: int,
     early_stopping: bool = True, max_iter: int = 1000, step: float = 0.05, keys: Sequence[str] = PAIR,
-    patience: int = 100, index: DataFrame | None = None,
+    patience: int = 100, index: DataFrame | None = None, metric: str | None = None,
     **params,
 ) -> dict[str, float]:
     """Mean feature importance of boosted trees over seeds 0 … n_runs − 1.
@@ -259,7 +252,7 @@ def tree_importances(
         if early_stopping:
             chosen = F.pmod(F.xxhash64(*known, F.lit(f"importance/{seed}")), F.lit(100)) < 15
             train, valid = vectors.where(~chosen), vectors.where(chosen)
-        model = fit_with_patience(build(**settings), train, valid, patience if early_stopping else None)
+        model = fit_with_patience(build(**settings), train, valid, patience if early_stopping else None, metric)
         total += model.featureImportances.toArray()
     out = dict.fromkeys(columns, 0.0)
     for column, value in zip(owner, (total / n_runs).tolist()):

@@ -16,6 +16,7 @@ from tallybuy.functions.ordering import running_totals
 from tallybuy.operators import correlation, sparse
 from tallybuy.operators.joins import lookup
 from tallybuy.operators.keys import one_hot_strings
+from tallybuy.operators.rounds import check_metric
 from tallybuy.session import write_out
 
 METHODS = ("missing", "single_unique", "collinear", "zero_importance", "low_importance")
@@ -254,7 +255,11 @@ class FeatureSelector:
         self, task: str, eval_metric: str | None = None, n_iterations: int = 10,
         early_stopping: bool = True, **training,
     ) -> list[str]:
-        """Columns no boosted tree used, over ``n_iterations`` seeds."""
+        """Columns no boosted tree used, over ``n_iterations`` seeds.
+
+        With early stopping, a run ends at the round that is best by ``eval_metric``
+        (see :func:`.rounds.round_losses`) on the rows it holds out.
+        """
         from tallybuy.operators.models import tree_importances
 
         if early_stopping and eval_metric is None:
@@ -263,11 +268,12 @@ class FeatureSelector:
             raise ValueError("no label column given")
         if task not in ("classification", "regression"):
             raise ValueError("task must be 'classification' or 'regression'")
+        check_metric(task, eval_metric)
         columns = self._model_columns()
         wide = self._encode().where(F.col(self.label).isNotNull())
         index = self.value_index() if self._is_wide() else None
         mean = tree_importances(
-            wide, columns, self.label, task, n_iterations, early_stopping, index=index, **training
+            wide, columns, self.label, task, n_iterations, early_stopping, index=index, metric=eval_metric, **training
         )
         rows = [(c, float(v)) for c, v in mean.items()]
         table = self.data.sparkSession.createDataFrame(rows, "feature string, importance double")

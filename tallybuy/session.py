@@ -66,6 +66,11 @@ def workspace(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
 
 
+def intermediate_path(spark: SparkSession, name: str) -> str:
+    """A new path in the workspace."""
+    return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def write_out(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet into the workspace and return the table read back.
 
@@ -74,6 +79,6 @@ def write_out(df: DataFrame, name: str) -> DataFrame:
     a broadcast from facts.
     """
     spark = df.sparkSession
-    path = f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
+    path = intermediate_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
