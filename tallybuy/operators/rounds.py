@@ -139,10 +139,9 @@ def round_areas(model, rows: DataFrame) -> list[float] | None:
         cells.withColumn("won", won)
         .groupBy("round")
         .agg(F.try_divide(F.sum("won"), F.sum("pos").cast("double") * F.sum("neg")).alias("area"))
-        .orderBy("round")
         .collect()
     )
-    found = [r["area"] for r in areas]
+    found = [r["area"] for r in sorted(areas, key=lambda r: r["round"])]
     return found if found and found[0] is not None else None
 
 

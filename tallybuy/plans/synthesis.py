@@ -170,6 +170,26 @@ def _synth_batch(fx):
     return out
 
 
+def _filled_sql(spec: syn.FeatureSpec) -> str:
+    counts = f"SELECT count(COLUMNS(* EXCLUDE ({', '.join(spec.keys)}))) FROM ({_sql(spec)})"
+    return f"SELECT '{spec.name}' AS spec, feature, n FROM (UNPIVOT ({counts}) ON COLUMNS(*) INTO NAME feature VALUE n)"
+
+
+@query("feature_listing", " UNION ALL ".join(_filled_sql(s) for s in syn.SPECS.values()))
+def _feature_listing(fx):
+    """The columns each spec lists before anything is computed, and how many targets have a value there."""
+    found = syn.synthesize_all(
+        list(syn.SPECS.values()), fx.log(), fx.any_pairs(), fx.user_info(), CALENDAR, unrestricted=_UNRESTRICTED
+    )
+    out = None
+    for name, frame in found.items():
+        listed = syn.plan_features(syn.SPECS[name])
+        counts = frame.agg(*[F.count(f"`{c}`").alias(c) for c in listed]).unpivot([], listed, "feature", "n")
+        counts = counts.select(F.lit(name).alias("spec"), "feature", "n")
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 _PREPARED = syn.SPECS["seller_buy_pro_count"]
 
 
