@@ -8,7 +8,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from tallybuy.llm import (
     decontaminate,
     exact_dedup,
@@ -246,8 +245,3 @@ def _periodic_runs(spark, sf_dir):
         "runs_sha256",
         "collapsed_sha256",
     )
-
-
-@_query("pipeline", corpus_pipeline.ORACLE_SQL)
-def _pipeline(spark, sf_dir):
-    return corpus_pipeline.run(spark, sf_dir)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybuy.llm.common import id_key, reuse_freed_memory
+from tallybuy.operators.joins import lookup
 from tallybuy.session import write_out
 
 #: Vectors in a block and queries that meet it at once, about.
@@ -16,6 +17,8 @@ _BLOCK_ROWS, _QUERY_ROWS = 1 << 14, 1 << 13
 #: Vectors of a block that are looked at between two updates of the thresholds.
 _STEP = 1 << 10
 _NONE = np.iinfo(np.int64).min
+#: Bands of length in a doubling; zero length and none at all.
+_BANDS, _LOWEST, _HIGHEST = 8, -1, 1 << 30
 
 
 def _vectors(rows: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
@@ -211,14 +214,42 @@ def _meet(queries: DataFrame, blocks: DataFrame, basis: np.ndarray, k: int, grou
         return pa.table({c: pa.array(x, pa.int64()) for c, x in out.items()})
 
     sent = queries.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int"))
-    copies = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    # A block is copied only to the groups of queries that reach it.
+    reached = sent.select("block", "part").distinct()
+    copies = lookup(reached, blocks, ["block"], "inner").select("block", "part", "ids", "rows", "body").toDF("block", "part", "ids", "rows", "body")
     return (
         sent.groupBy("block", "part")
-        .cogroup(copies.select("block", "part", "ids", "rows", "body").groupBy("block", "part"))
+        .cogroup(copies.groupBy("block", "part"))
         .applyInArrow(run, _FOUND)
     )
 
 
+def _band(length: Column) -> Column:
+    """Bands of length, eight for each doubling; the length of whole numbers is zero or at least 1."""
+    return F.when(length > 0, F.floor(F.log2(length) * _BANDS)).otherwise(_LOWEST).cast("int")
+
+
+def _sent(queries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Each query with every block (block, longest) whose longest vector may reach its threshold.
+
+    They meet by bands of length. The driver sees the bands only, some 8,000 at most
+    whatever the number of blocks, as lengths are doubles.
+    """
+    banded = blocks.withColumn("band", _band(F.col("longest")))
+    bands = banded.agg(F.sort_array(F.collect_set("band"))).first()[0]
+    # One band further down makes up for rounding; the exact condition follows.
+    needed = _band((F.col("threshold") - 1e-6) / (F.col("length") * (1 + 1e-9))) - 1
+    least = (
+        F.when(F.col("threshold").isNull() | (F.col("threshold") <= 1e-6), _LOWEST)
+        .when(F.col("length") > 0, needed)
+        .otherwise(_HIGHEST)
+    )
+    all_bands = F.array(*[F.lit(b) for b in bands]).cast("array<int>")
+    asked = queries.withColumn("least", least).withColumn("band", F.explode(F.filter(all_bands, lambda b: b >= F.col("least"))))
+    reach = F.col("longest") * F.col("length") * (1 + 1e-9) + 1e-6 >= F.col("threshold")
+    return lookup(asked, banded, ["band"], "inner").where(F.col("threshold").isNull() | reach)
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "did", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -249,22 +280,15 @@ def top_k(
     width = max(1, stats["width"])
     basis = _rotation(vectors, width)
     blocks = write_out(_pack_blocks(vectors, stats["n"], width), "vector-blocks")
-    # One number for each block of thousands of vectors.
-    longest = [(r["block"], r["longest"]) for r in blocks.select("block", "longest").orderBy("block").collect()]
+    top = blocks.select("block", "longest").orderBy(F.desc("longest"), "block").first()["block"]
     groups = max(1, -(-stats["queries"] // _QUERY_ROWS))
     queries = vectors.where(is_query).select("row", "v", "length")
-    start = queries.withColumn("threshold", F.lit(None).cast("double")).withColumn("block", F.lit(longest[0][0]))
-    first = write_out(_meet(start, blocks.where(F.col("block") == longest[0][0]), basis, k, groups), "first-block")
-    found = first
-    if len(longest) > 1:
-        kth = _ranked(first, k).where(F.col("rank") == k).select(F.col("query_row").alias("row"), F.col("score").cast("double").alias("threshold"))
-        others = F.array(*[F.struct(F.lit(b).alias("block"), F.lit(x).alias("longest")) for b, x in longest[1:]])
-        reach = F.filter(
-            others,
-            lambda b: F.col("threshold").isNull() | (b["longest"] * F.col("length") * (1 + 1e-9) + 1e-6 >= F.col("threshold")),
-        )
-        sent = queries.join(kth, "row", "left").withColumn("block", F.explode(F.transform(reach, lambda b: b["block"])))
-        found = first.unionByName(_meet(sent.select("row", "v", "threshold", "block"), blocks, basis, k, groups))
+    start = queries.withColumn("threshold", F.lit(None).cast("double")).withColumn("block", F.lit(top))
+    first = write_out(_meet(start, blocks.where(F.col("block") == top), basis, k, groups), "first-block")
+    kth = _ranked(first, k).where(F.col("rank") == k).select(F.col("query_row").alias("row"), F.col("score").cast("double").alias("threshold"))
+    rest = blocks.where(F.col("block") != top)
+    sent = _sent(queries.join(kth, "row", "left"), rest.select("block", "longest"))
+    found = first.unionByName(_meet(sent.select("row", "v", "threshold", "block"), rest, basis, k, groups))
     names = vectors.select("row", "vec_id")
     return (
         _ranked(found, k)

@@ -81,3 +81,17 @@ def test_large_numbers_stay_exact():
     a = np.array([[2**30 + 1, 3]])
     b = np.array([[2**30 + 7, 5], [1, 1]])
     assert top_k._dot(a, b).tolist() == [[(2**30 + 1) * (2**30 + 7) + 15, 2**30 + 4]]
+
+
+def test_queries_meet_the_blocks_they_may_reach(spark):
+    """Against every pair of a query and a block; zero lengths, negative thresholds and none at all are among them."""
+    rng = np.random.default_rng(8)
+    queries = [(i, float(x), None if i % 7 == 0 else float(t)) for i, (x, t) in enumerate(zip(rng.integers(0, 60, 60), rng.integers(-50, 4000, 60)))]
+    blocks = [(b, float(x)) for b, x in enumerate([0, 0, 1, 1, 2, 3, *rng.integers(1, 120, 40)])]
+    got = top_k._sent(
+        spark.createDataFrame(queries, "row bigint, length double, threshold double"), spark.createDataFrame(blocks, "block int, longest double")
+    )
+    want = {(i, b) for i, x, t in queries for b, y in blocks if t is None or x * y * (1 + 1e-9) + 1e-6 >= t}
+    found = [(r.row, r.block) for r in got.collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    assert top_k._sent(got.select("row", "length", "threshold"), spark.createDataFrame([], "block int, longest double")).count() == 0
