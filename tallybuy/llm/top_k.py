@@ -177,11 +177,12 @@ def search_block(queries: dict, block: dict, basis: np.ndarray, k: int, head: in
     return best
 
 
+_COPY = ["block", "part", "ids", "rows", "body"]
 _FOUND = "query_row bigint, did bigint, row bigint, score bigint"
 
 
-def _meet(queries: DataFrame, blocks: DataFrame, basis: np.ndarray, k: int, groups: int) -> DataFrame:
-    """Best vectors of each block for the queries sent to it (column ``block``)."""
+def _meet(sent: DataFrame, copies: DataFrame, basis: np.ndarray, k: int) -> DataFrame:
+    """Best vectors of each block for the queries sent to it, by ``block`` and ``part``, the group of queries."""
     width = len(basis)
     head = max(1, width // 4)
 
@@ -213,13 +214,9 @@ def _meet(queries: DataFrame, blocks: DataFrame, basis: np.ndarray, k: int, grou
             }
         return pa.table({c: pa.array(x, pa.int64()) for c, x in out.items()})
 
-    sent = queries.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int"))
-    # A block is copied only to the groups of queries that reach it.
-    reached = sent.select("block", "part").distinct()
-    copies = lookup(reached, blocks, ["block"], "inner").select("block", "part", "ids", "rows", "body").toDF("block", "part", "ids", "rows", "body")
     return (
         sent.groupBy("block", "part")
-        .cogroup(copies.groupBy("block", "part"))
+        .cogroup(copies.select(*_COPY).toDF(*_COPY).groupBy("block", "part"))
         .applyInArrow(run, _FOUND)
     )
 
@@ -282,13 +279,17 @@ def top_k(
     blocks = write_out(_pack_blocks(vectors, stats["n"], width), "vector-blocks")
     top = blocks.select("block", "longest").orderBy(F.desc("longest"), "block").first()["block"]
     groups = max(1, -(-stats["queries"] // _QUERY_ROWS))
-    queries = vectors.where(is_query).select("row", "v", "length")
+    part = F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("part")
+    queries = vectors.where(is_query).select("row", "v", "length", part)
     start = queries.withColumn("threshold", F.lit(None).cast("double")).withColumn("block", F.lit(top))
-    first = write_out(_meet(start, blocks.where(F.col("block") == top), basis, k, groups), "first-block")
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    first = write_out(_meet(start, blocks.where(F.col("block") == top).withColumn("part", everywhere), basis, k), "first-block")
     kth = _ranked(first, k).where(F.col("rank") == k).select(F.col("query_row").alias("row"), F.col("score").cast("double").alias("threshold"))
     rest = blocks.where(F.col("block") != top)
     sent = _sent(queries.join(kth, "row", "left"), rest.select("block", "longest"))
-    found = first.unionByName(_meet(sent.select("row", "v", "threshold", "block"), rest, basis, k, groups))
+    # Other blocks are copied only to the groups that reach them.
+    copies = lookup(sent.select("block", "part").distinct(), rest, ["block"], "inner")
+    found = first.unionByName(_meet(sent.select("row", "v", "threshold", "block", "part"), copies, basis, k))
     names = vectors.select("row", "vec_id")
     return (
         _ranked(found, k)
