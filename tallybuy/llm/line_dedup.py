@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ _SLOTS = 4
 _SHARD_KEYS, _LEAST_SHARDS = 1 << 18, 64
 #: Lines that probe one copy of a filter, at most about.
 _PROBE_ROWS = 1 << 19
+#: Text that is taken apart at once, about.
+_SLICE_BYTES = 1 << 22
 
 
 # --- cuckoo filters -----------------------------------------------------------------------
@@ -284,9 +287,19 @@ def _probed(index: LineIndex, most: int = _PROBE_ROWS) -> DataFrame:
     return met.applyInArrow(_probe, "key binary, did bigint")
 
 
-def _rebuild(batches):
-    """Texts without the lines whose key is among ``drops``."""
+def _in_slices(batches, most: int = _SLICE_BYTES):
+    """The batches in slices of about ``most`` bytes of text, a row at least."""
     for batch in batches:
+        sizes = np.asarray(pc.binary_length(batch["text"]), np.int64)
+        at = np.cumsum(sizes) // most
+        edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(edges, edges[1:]):
+            yield batch.slice(low, high - low)
+
+
+def _rebuild(batches):
+    """Texts without the lines whose key is among ``drops``; as objects, only those of a slice are held."""
+    for batch in _in_slices(batches):
         kept, before, dropped = [], [], []
         for text, drops in zip(batch["text"].to_pylist(), batch["drops"].to_pylist()):
             if not drops:

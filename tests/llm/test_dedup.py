@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from tallybuy.llm import line_dedup
 from tallybuy.llm.exact_dedup import exact_dedup
@@ -124,3 +125,13 @@ def test_filters_meet_lines_in_the_executors(spark, monkeypatch):
     index = line_dedup.build_index(docs.where("doc_id < 20"), shards=4)
     index = line_dedup.insert_documents(index, docs.where("doc_id >= 20"))
     assert index.shards == 101 and _got(line_dedup.drop_lines(index, docs)) == _lines(list(enumerate(texts)))
+
+
+def test_texts_are_taken_apart_in_slices():
+    """One slice of texts at a time becomes objects, however much a batch holds."""
+    texts = ["a line of text\n" * 200_000, "", "b line of text\n" * 200_000, "short\nkept"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [0, 1, 2, 3], "text": texts, "drops": pa.array([None] * 4, pa.list_(pa.binary()))})
+    found = list(line_dedup._rebuild([batch, batch.slice(0, 0)]))
+    assert sum(b.num_rows > 0 for b in found) > 1
+    assert [t for b in found for t in b["text"].to_pylist()] == texts
+    assert [n for b in found for n in b["n_lines"].to_pylist()] == [200_001, 1, 200_001, 2]
