@@ -246,9 +246,23 @@ def id_profile(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.groupBy(*keys).agg(*out)
 
 
+#: Rows that one task turns into cells, about: it holds a count for each distinct one.
+_PROFILE_ROWS = 1 << 20
+#: Logs of so many tasks are read as they lie.
+_FEW_TASKS = 1
+
+
 def key_profile(log: DataFrame, keys: Sequence[str], date: str = "event_date") -> DataFrame:
-    """Time and id features of a key; the two halves meet on the key's partitions."""
-    return time_profile(log, keys, date).join(id_profile(log, keys), list(keys), "left")
+    """Time and id features of a key; the two halves meet on the key's partitions.
+
+    The log is written once for both. Where it is large its rows are dealt out for the id half, so
+    that the counts a task holds don't grow with the log, whatever cuts its files have.
+    """
+    ids = ("user_id", "item_id", "cat_id", "seller_id", "brand_id")
+    log = write_out(log.select(*dict.fromkeys([*keys, *ids, date])), "profile-log")
+    tasks = -(-log.count() // _PROFILE_ROWS)
+    dealt = log.repartition(tasks) if tasks > _FEW_TASKS else log
+    return time_profile(log, keys, date).join(id_profile(dealt, keys), list(keys), "left")
 
 
 # The seven key sets feature tables are kept for.

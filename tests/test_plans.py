@@ -243,3 +243,13 @@ def test_sketches_merge_and_typed_counts(spark):
     assert stored.where("feature <> 'none'").count() == 12
     for r in selection.merged_distinct(stored).collect():
         assert abs(r.estimate - exact[r.feature]) <= max(0.04 * exact[r.feature], 0)
+
+
+def test_profile_tasks_hold_a_bounded_number_of_rows(spark, skewed_log, monkeypatch):
+    """A large log is dealt out for the cells of its ids, whatever the cuts of its files; the profile stays."""
+    log = skewed_log.withColumn("event_date", F.date_add(F.lit("1999-01-01").cast("date"), F.col("time_stamp") % 100))
+    want = sorted(map(str, profiles.key_profile(log, ["cat_id"]).collect()))
+    monkeypatch.setattr(profiles, "_PROFILE_ROWS", 10_000)
+    dealt = profiles.key_profile(log, ["cat_id"])
+    assert re.search(r"RoundRobinPartitioning\(6\)", plan_of(dealt))
+    assert sorted(map(str, dealt.collect())) == want
