@@ -214,3 +214,19 @@ def test_optimality_residuals(spark, rows):
     for users, good in ((f.users, True), (f.users.select("user_id", *[(F.col(str(i)) * 1.5 + 0.1).alias(str(i)) for i in range(4)]), False)):
         got = optimality.factor_stationarity(counts, users, f.sellers, "user_id").collect()
         assert len(got) == 30 and all((r.worst <= 1e-3 * r.scale) == good and r.smallest >= 0 for r in got)
+
+
+def test_covariances_are_those_of_numpy(spark, monkeypatch):
+    """From one array of sums for each task, not from an aggregate for each pair."""
+    from tallybuy.operators import optimality
+
+    monkeypatch.delattr(F, "covar_samp")
+    x = np.random.default_rng(3).normal(5.0, 2.0, (200, 3))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double").repartition(5)
+    want = np.cov(x.T)
+    got = {(r.feature, r.earlier_feature): (r.covariance, r.scale) for r in optimality.component_covariances(df, ["a", "b", "c"]).collect()}
+    assert set(got) == {("b", "a"), ("c", "a"), ("c", "b")}
+    for (later, earlier), found in got.items():
+        i, j = "abc".index(later), "abc".index(earlier)
+        assert found == pytest.approx((want[i, j], np.sqrt(want[i, i] * want[j, j])), abs=1e-9)
+    assert [r.covariance for r in optimality.component_covariances(df.limit(1), ["a", "b"]).collect()] == [None]
