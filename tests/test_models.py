@@ -216,6 +216,18 @@ def test_optimality_residuals(spark, rows):
         assert len(got) == 30 and all((r.worst <= 1e-3 * r.scale) == good and r.smallest >= 0 for r in got)
 
 
+def test_factor_tables_are_never_broadcast(spark):
+    """Ids and factors are far smaller in files than on a driver; blocks of factors grow in number, not in size."""
+    from tallybuy.operators import optimality
+
+    counts = spark.createDataFrame([(u, s, 1) for u in range(12) for s in range(6) if (u + s) % 2], "user_id bigint, seller_id bigint, counts bigint")
+    f = models.pair_factors(counts, rank=2, max_iter=1)
+    for df in (f.users, f.sellers, optimality.factor_stationarity(counts, f.users, f.sellers, "user_id")):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert models.factor_blocks(15_000, 114_000) == (10, 10)
+    assert models.factor_blocks(5_400_000, 41_000_000) == (83, 157)
+
+
 def test_covariances_are_those_of_numpy(spark, monkeypatch):
     """From one array of sums for each task, not from an aggregate for each pair."""
     from tallybuy.operators import optimality
