@@ -62,3 +62,26 @@ def test_the_named_metric_decides(vectors):
     for task, wrong in (("classification", "l2"), ("regression", "auc"), ("classification", "f1")):
         with pytest.raises(ValueError):
             rounds.check_metric(task, wrong)
+
+
+def test_first_rounds_are_those_of_the_shorter_fit(vectors, tmp_path):
+    train = vectors.where("fold > 0")
+    for trees in (GBTClassifier(maxIter=5, maxDepth=3, seed=5, subsamplingRate=0.8), GBTRegressor(maxIter=5, maxDepth=3, seed=5, labelCol="label")):
+        cut, short = models.first_rounds(trees.fit(train), 2), trees.copy({trees.maxIter: 2}).fit(train)
+        cut.write().save(str(tmp_path / type(trees).__name__))
+        again = type(cut).load(str(tmp_path / type(trees).__name__))
+        want = [r["prediction"] for r in short.transform(vectors).select("prediction").collect()]
+        for model in (cut, again):
+            assert model.getNumTrees == 2 and model.getOrDefault("maxIter") == 2 and model.treeWeights == short.treeWeights
+            assert [r["prediction"] for r in model.transform(vectors).select("prediction").collect()] == want
+        found = cut.featureImportances.toArray()
+        assert found == pytest.approx(short.featureImportances.toArray()[: len(found)], abs=1e-12)
+
+
+def test_patience_fits_once_where_the_budget_is_used_up(vectors, monkeypatch):
+    train, valid = vectors.where("fold > 0"), vectors.where("fold = 0")
+    fits, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, *a: (fits.append(1), fit(self, *a))[1])
+    monkeypatch.setattr(models, "round_losses", lambda model, rows, metric: [0.5, 0.2, 0.4, 0.3])
+    assert models.fit_with_patience(GBTClassifier(maxIter=4, maxDepth=2), train, valid, 50).getNumTrees == 2
+    assert len(fits) == 1
