@@ -18,11 +18,13 @@ their counts.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tallybuy.functions.columns import PromoCalendar, cells, epoch_days, month_of, ratio, spread
 from tallybuy.operators.joins import lookup
@@ -267,29 +269,26 @@ def plan_features(spec: FeatureSpec) -> list[str]:
 
 @dataclass(frozen=True)
 class Part:
-    """A spec as one of several that are computed together.
+    """A spec as one of several that are computed together, from the same rows.
 
-    ``name`` sets its columns apart from those of the others; ``inside`` says which of
-    the shared rows it looks at (all, if None).
+    ``name`` sets its features apart from those of the others; counts and values of
+    parents are the same for all and shared.
     """
 
     spec: FeatureSpec
     name: str = ""
-    inside: Column | None = None
 
-    def n(self, condition: str | None) -> str:
+    @staticmethod
+    def n(condition: str | None) -> str:
         """Name of the count of rows, or of rows under a condition."""
-        return f"n{self.name}" if condition is None else f"n{self.name}_{condition}"
+        return "n" if condition is None else f"n_{condition}"
 
     def out(self, feature: str) -> str:
         return f"{self.name}{feature}"
 
     def cases(self) -> dict[str, Column | None]:
         """What each count counts."""
-        found = {self.n(None): self.inside}
-        for c, e in self.spec.condition_columns().items():
-            found[self.n(c)] = e if self.inside is None else self.inside & e
-        return found
+        return {self.n(None): None, **{self.n(c): e for c, e in self.spec.condition_columns().items()}}
 
 
 def _all_cases(parts: Sequence[Part]) -> dict[str, Column | None]:
@@ -319,7 +318,7 @@ def _counted_cells(
 
 
 def _plain(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
-    """Row counts and folds of the categorical columns per target; ``n`` of each part says whether it has the target."""
+    """Row counts and folds of the categorical columns per target."""
     keys = parts[0].spec.keys
     folds = {part.name: [p for p in part.spec.primitives if p in VALUE_FOLDS] for part in parts}
     columns = list(dict.fromkeys(c for part in parts if folds[part.name] for c in part.spec.categoricals))
@@ -335,7 +334,6 @@ def _plain(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
     out: list[Column] = []
     for part in parts:
         cases = [None, *part.spec.condition_columns()]
-        out.append(counted[part.n(None)].alias(part.n(None)))
         if "count" in part.spec.primitives:
             out += [counted[part.n(c)].alias(part.out(f"count{_suffix(c)}")) for c in cases]
         for col in part.spec.categoricals if folds[part.name] else ():
@@ -372,20 +370,18 @@ def _gaps(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
     counts say everything; conditions must depend on the day alone.
     """
     keys, days, out = parts[0].spec.keys, _daily(parts, rows), []
-    for k, part in enumerate(parts):
+    order = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    gap = F.datediff(F.col("date"), F.max("date").over(order)).cast("double") * SECONDS_PER_DAY
+    days = days.withColumn("gap", gap)
+    for part in parts:
         for c in part.spec.conditions:
             if c not in _TIME_COLUMNS:
                 raise ValueError(f"time since previous cannot be conditioned on {c}")
-        # Days without a row of the part are none of its days.
-        own = F.when(F.col(part.n(None)) > 0, F.col("date"))
-        order = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
-        gap = F.datediff(own, F.max(own).over(order)).cast("double") * SECONDS_PER_DAY
-        days = days.withColumn(f"gap{k}", gap)
         for c in [None, *part.spec.condition_columns()]:
             inside = F.col(part.n(c)) > 0
-            g = F.when(inside, F.col(f"gap{k}"))
+            g = F.when(inside, F.col("gap"))
             # The target's very first row has no gap.
-            m = F.sum(F.col(part.n(c)) - (inside & F.col(f"gap{k}").isNull()).cast("int"))
+            m = F.sum(F.col(part.n(c)) - (inside & F.col("gap").isNull()).cast("int"))
             total, squares = F.coalesce(F.sum(g), F.lit(0.0)), F.coalesce(F.sum(g * g), F.lit(0.0))
             if "mean" in part.spec.primitives:
                 mean = F.when(m > 0, ratio(total, m))
@@ -408,24 +404,24 @@ def _of_parent(part: Part, parent: str) -> list[StackedValue]:
 
 def _parent_aggregates(parts: Sequence[Part], rows: DataFrame, parent: str) -> DataFrame:
     """One row per parent with every value stacked from it."""
-    wanted = [(part, v) for part in parts for v in _of_parent(part, parent)]
-    columns = list(dict.fromkeys(v.of for _, v in wanted if v.of is not None))
+    wanted = list(dict.fromkeys(v for part in parts for v in _of_parent(part, parent)))
+    columns = list(dict.fromkeys(v.of for v in wanted if v.of is not None))
     if not columns:
         cases = _all_cases(parts)
         out = []
-        for part, v in wanted:
-            case = cases[part.n(v.condition)]
-            out.append((F.count(F.lit(1)) if case is None else F.count_if(case)).alias(part.out(v.name)))
+        for v in wanted:
+            case = cases[Part.n(v.condition)]
+            out.append((F.count(F.lit(1)) if case is None else F.count_if(case)).alias(v.name))
         return rows.groupBy(parent).agg(*out)
     counted = _counted_cells(parts, rows, [F.col(parent).alias("_parent")], columns)
     out = []
-    for part, v in wanted:
+    for v in wanted:
         if v.of is None:
-            e = F.sum(F.when(F.col("cell") == 0, F.col(part.n(v.condition))))
+            e = F.sum(F.when(F.col("cell") == 0, F.col(Part.n(v.condition))))
         else:
             here = F.col("cell") == columns.index(v.of)
-            e = F.count_if(here & F.col("value").isNotNull() & (F.col(part.n(None)) > 0))
-        out.append(e.alias(part.out(v.name)))
+            e = F.count_if(here & F.col("value").isNotNull())
+        out.append(e.alias(v.name))
     return counted.groupBy(F.col("_parent").alias(parent)).agg(*out)
 
 
@@ -454,7 +450,7 @@ def _stacked(parts: Sequence[Part], rows: DataFrame, parent: str) -> DataFrame:
     for part in parts:
         for value in _of_parent(part, parent):
             for c in _stacked_cases(part.spec, value):
-                v, n = F.col(part.out(value.name)), F.col(part.n(c))
+                v, n = F.col(value.name), F.col(part.n(c))
                 for fold in [*STACKED_FOLDS, "trend"]:
                     if fold not in part.spec.primitives:
                         continue
@@ -475,7 +471,7 @@ def _passes(parts: Sequence[Part]) -> int:
 
 
 def _together(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
-    """Features of several parts with one target entity, one row per target of any.
+    """Features of several parts with one target entity, one row per target.
 
     Each kind of count is taken once for all parts that need it.
     """
@@ -496,10 +492,9 @@ def _together(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
 
 
 def _dealt(part: Part, wide: DataFrame) -> DataFrame:
-    """The frame of one part: its targets, and its columns under their own names."""
-    keys = part.spec.keys
+    """The frame of one part: its columns under their own names."""
     names = [F.col(f"`{part.out(c)}`").alias(c) for c in plan_features(part.spec)]
-    return wide.where(F.col(f"`{part.n(None)}`") > 0).select(*keys, *names)
+    return wide.select(*part.spec.keys, *names)
 
 
 def _needed(parts: Sequence[Part], extra: Sequence[str] = ()) -> set[str]:
@@ -589,15 +584,18 @@ def synthesize_all(
     calendar: PromoCalendar,
     day: Column | None = None,
     unrestricted: Sequence[str] = (),
+    side_by_side: int = 4,
 ) -> dict[str, DataFrame]:
     """Features of many specs by name, computed together; specs named ``unrestricted`` don't look at ``pairs``.
 
     The log is prepared and written once for all specs (:func:`prepare_all`). Specs
-    with one target entity then share every count: their cells, days and parents are
-    the union of what each asks for, and each count is taken under the
-    actions and conditions of each spec in one aggregate. The wide frame of a target entity is
-    written, too, and its columns are dealt back to the specs, so reading the
-    result of one spec doesn't compute the others again.
+    that look at the same rows (one target entity, the same actions, all restricted to
+    ``pairs`` or all not) then share every count: their cells, days and parents are the union of
+    what each asks for, and each count is taken under the conditions of any in one
+    aggregate. Others share no count, and a row or a target would carry the columns of
+    specs that don't look at it. The wide frames, ``side_by_side`` at a time, are written,
+    too, and their columns are dealt back to the specs, so reading the result of one spec
+    doesn't compute the others again.
     """
     names = [s.name for s in specs]
     if len(set(names)) < len(names):
@@ -605,18 +603,23 @@ def synthesize_all(
     if not specs:
         return {}
     restricted = {s.name: pairs is not None and s.name not in unrestricted for s in specs}
-    parts = [Part(s, f"{s.name}__", _looked_at(s, restricted[s.name])) for s in specs]
+    parts = [Part(s, f"{s.name}__") for s in specs]
     flags = {_scope(s.target) for s in specs if restricted[s.name]}
     rows = prepare_all(specs, log, pairs, profile, calendar, day, unrestricted)
     needed = _needed(parts, ["action_type", *flags])
     rows = write_out(rows.select(*[c for c in rows.columns if c in needed]), "prepared")
-    out = {}
-    for target in dict.fromkeys(s.target for s in specs):
-        some = [part for part in parts if part.spec.target == target]
-        # Rows that no spec of this target looks at would only make targets without values.
-        seen = rows.where(reduce(lambda a, b: a | b, [part.inside for part in some]))
-        wide = write_out(_together(some, seen), "synthesized")
-        out |= {part.spec.name: _dealt(part, wide) for part in some}
+    groups: dict[tuple, list[Part]] = {}
+    for part in parts:
+        same = (part.spec.target, restricted[part.spec.name], frozenset(part.spec.actions))
+        groups.setdefault(same, []).append(part)
+
+    def wide(some: list[Part]) -> DataFrame:
+        first = some[0].spec
+        return write_out(_together(some, rows.where(_looked_at(first, restricted[first.name]))), "synthesized")
+
+    with ThreadPoolExecutor(side_by_side) as pool:
+        started = [(some, pool.submit(inheritable_thread_target(rows.sparkSession)(wide), some)) for some in groups.values()]
+        out = {part.spec.name: _dealt(part, done.result()) for some, done in started for part in some}
     return {name: out[name] for name in names}
 
 

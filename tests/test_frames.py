@@ -353,6 +353,35 @@ def test_batch_equals_its_specs(spark, loyal):
         syn.synthesize_all([specs[0], specs[0]], loyal, pairs, profile, CAL)
 
 
+def test_batch_frames_hold_the_rows_of_each_spec(spark, loyal, monkeypatch):
+    """No written frame has targets that one of its specs doesn't look at, and no count is there twice."""
+    clicks = log_of(spark, [(1, 10, 1, 1, 1, 601, 0), (1, 11, 2, 3, 1, 901, 0), (2, 10, 1, 1, 1, 1111, 1), (2, 12, 1, 4, 1, 1001, 2)])
+    log = loyal.unionByName(clicks)
+    profile = spark.createDataFrame([(1, 3, 0), (2, 1, 1)], schemas.USER_INFO)
+    pairs = spark.createDataFrame([(1, 1), (2, 1)], "user_id bigint, seller_id bigint")
+    specs = [s for s in syn.SPECS.values() if s.target == "user_seller" and s.name in (
+        "user_seller_fav_count", "user_seller_click_pro_count", "user_seller_click_unique_count", "user_seller_buy"
+    )]
+    written, write = [], syn.write_out
+
+    def watched(df, name):
+        frame = write(df, name)
+        if name == "synthesized":
+            written.append(frame)
+        return frame
+
+    monkeypatch.setattr(syn, "write_out", watched)
+    together = syn.synthesize_all(specs, log, pairs, profile, CAL, unrestricted=("user_seller_buy",))
+    held = sorted((sorted({c.split("__")[0] for c in f.columns if "__" in c}), f.count()) for f in written)
+    assert held == [
+        (["user_seller_buy"], 4), (["user_seller_click_pro_count", "user_seller_click_unique_count"], 1), (["user_seller_fav_count"], 1),
+    ]
+    for spec in specs:
+        own = None if spec.name == "user_seller_buy" else pairs
+        alone = syn.synthesize(spec, syn.prepare(spec, log, own, profile, CAL))
+        assert rows_of(together[spec.name]) == rows_of(alone), spec.name
+
+
 def test_quantiles_of_heavy_tails_by_narrowing(spark):
     """Ties on bounds, heavy tails, nulls, one value, and a sketch so coarse that bands must open."""
     rng = np.random.default_rng(11)
