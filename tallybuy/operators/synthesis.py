@@ -8,8 +8,9 @@ gives; :func:`synthesize` computes them:
   also under every condition;
 * stacked features (depth 3 and up) describe the parents of a target's rows,
   e.g. the mean over a user's rows of how often the row's seller occurs. The
-  parents' aggregates are not copied to the log rows; the log is first counted
-  per (target, parent), and the counts serve as weights.
+  aggregates of all parents meet the log rows, and one aggregate folds them. Only
+  folds of one's own that look at each parent once have the log counted per
+  (target, parent) first, and the counts serve as weights.
 
 :func:`synthesize_all` computes many specs from one prepared log and shares
 their counts.
@@ -156,6 +157,8 @@ STACKED_FOLDS: dict[str, Fold] = {
     "min": _min,
     "median": _median,
 }
+# Folds to which two rows of one parent are the same as one of twice the weight.
+_BY_ROWS = frozenset({*STACKED_FOLDS, "trend"})
 
 
 def register_fold(name: str, fold: Fold, stacked: bool = False) -> None:
@@ -439,54 +442,105 @@ def _weighted_slope(value: Column, n: Column, x: Column) -> Column:
 _SLOPE_ORIGIN = 9000
 
 
+def _stacked_parents(parts: Sequence[Part]) -> list[str]:
+    return list(dict.fromkeys(v.parent for part in parts for v in stacked_values(part.spec)))
+
+
+def _stacked_folds(part: Part) -> list[str]:
+    return [f for f in [*STACKED_FOLDS, "trend"] if f in part.spec.primitives]
+
+
+def _fold_stacked(part: Part, parent: str, weights: Mapping[str, Column], met: Column | None = None) -> list[Column]:
+    """Folds of what a part stacks on a parent; NULL for a target without ``met``, if that is given."""
+    out = []
+    for value in _of_parent(part, parent):
+        for c in _stacked_cases(part.spec, value):
+            v, n = F.col(value.name), weights[part.n(c)]
+            for fold in _stacked_folds(part):
+                if fold == "trend":
+                    e = _weighted_slope(v, n, epoch_days(F.col("date")) - _SLOPE_ORIGIN)
+                else:
+                    e = STACKED_FOLDS[fold](v, n, n > 0)
+                e = e if met is None else F.when(F.count(met) > 0, e)
+                out.append(e.alias(part.out(f"{fold}_{value.name}{_suffix(c)}")))
+    return out
+
+
 def _stacked(parts: Sequence[Part], rows: DataFrame, parent: str) -> DataFrame:
-    """Parent aggregates folded over each target's rows."""
+    """Parent aggregates folded over the parents that each target meets, one row per (target, parent)."""
     keys = parts[0].spec.keys
     per_day = ["date"] if any("trend" in part.spec.primitives for part in parts) else []
     met = rows.groupBy(*keys, F.col(parent).alias("_p"), *per_day).agg(*_case_counts(parts))
     about = _parent_aggregates(parts, rows, parent).withColumnRenamed(parent, "_p")
     joined = lookup(met, about, ["_p"], "inner")
-    out: list[Column] = []
+    weights = {name: F.col(name) for name in _all_cases(parts)}
+    return joined.groupBy(*keys).agg(*[e for part in parts for e in _fold_stacked(part, parent, weights)])
+
+
+def _stacked_by_rows(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
+    """Row counts, and the aggregates of all parents folded over each target's rows, in one aggregate.
+
+    The aggregates of a parent are written out, so those of few parents are broadcast on
+    their measured size and the rows are moved for the large ones only.
+    """
+    keys, parents, out = parts[0].spec.keys, _stacked_parents(parts), []
     for part in parts:
-        for value in _of_parent(part, parent):
-            for c in _stacked_cases(part.spec, value):
-                v, n = F.col(value.name), F.col(part.n(c))
-                for fold in [*STACKED_FOLDS, "trend"]:
-                    if fold not in part.spec.primitives:
-                        continue
-                    if fold == "trend":
-                        e = _weighted_slope(v, n, epoch_days(F.col("date")) - _SLOPE_ORIGIN)
-                    else:
-                        e = STACKED_FOLDS[fold](v, n, n > 0)
-                    out.append(e.alias(part.out(f"{fold}_{value.name}{_suffix(c)}")))
+        if "count" in part.spec.primitives and not _folds_values(part):
+            cases = {None: F.lit(True), **part.spec.condition_columns()}
+            out += [F.count_if(e).alias(part.out(f"count{_suffix(c)}")) for c, e in cases.items()]
+    # A target with a null key has no stacked values.
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    read = {*keys, *parents, "date", *[c for part in parts for c in part.spec.conditions]}
+    joined = rows.select(*[c for c in rows.columns if c in read])
+    for parent in parents:
+        stacking = [part for part in parts if _of_parent(part, parent)]
+        about = write_out(_parent_aggregates(stacking, rows, parent), f"about-{parent}")
+        joined = lookup(joined, about, [parent])
+        known = F.col(parent).isNotNull()
+        weights = {
+            name: F.when(known, F.lit(1) if e is None else F.coalesce(e.cast("int"), F.lit(0))).cast("bigint")
+            for name, e in _all_cases(stacking).items()
+        }
+        met = F.when(named & known, F.lit(1))
+        out += [e for part in stacking for e in _fold_stacked(part, parent, weights, met)]
     return joined.groupBy(*keys).agg(*out)
 
 
 def _passes(parts: Sequence[Part]) -> int:
     """How many times the rows are read for some parts."""
     spec_passes = {p for part in parts for p in part.spec.transforms}
-    parents = {v.parent for part in parts for v in stacked_values(part.spec)}
+    parents = _stacked_parents(parts)
     trends = any("trend" in part.spec.primitives for part in parts)
     return 1 + trends + len(spec_passes) + 2 * len(parents)
 
 
+def _folds_values(part: Part) -> bool:
+    return any(p in VALUE_FOLDS for p in part.spec.primitives) and bool(part.spec.categoricals)
+
+
 def _together(parts: Sequence[Part], rows: DataFrame) -> DataFrame:
     """Features of several parts with one target entity, one row per target.
 
     Each kind of count is taken once for all parts that need it.
     """
     keys = parts[0].spec.keys
-    frames = [_plain(parts, rows)]
+    by_rows = [p for p in parts if stacked_values(p.spec) and _BY_ROWS.issuperset(_stacked_folds(p))]
+    # Parts without folds of values have their row counts from the aggregate of the stacked features.
+    plain = [p for p in parts if p not in by_rows or _folds_values(p)]
+    frames: list[DataFrame] = []
 
     def add(chosen: list[Part], frame: Callable[[list[Part], DataFrame], DataFrame]) -> None:
         if chosen:
             frames.append(frame(chosen, rows))
 
+    add(plain, _plain)
+    add(by_rows, _stacked_by_rows)
     add([p for p in parts if "trend" in p.spec.primitives], _trend)
     for name, transform in TRANSFORMS.items():
         add([p for p in parts if name in p.spec.transforms], transform)
-    for parent in dict.fromkeys(v.parent for p in parts for v in stacked_values(p.spec)):
-        add([p for p in parts if _of_parent(p, parent)], lambda some, r, parent=parent: _stacked(some, r, parent))
+    others = [p for p in parts if p not in by_rows]
+    for parent in _stacked_parents(others):
+        add([p for p in others if _of_parent(p, parent)], lambda some, r, parent=parent: _stacked(some, r, parent))
     # The first frame has every target; the others may miss those without parents.
     return reduce(lambda a, b: a.join(b, keys, "left"), frames)
 
@@ -555,7 +609,7 @@ def prepare_all(
 
     The profile is joined once. Whether the entity of a row occurs in ``pairs`` is
     looked up once for each kind of entity that specs are restricted by, and goes
-    along as a flag.
+    along as a flag; that of a user comes with the profile.
     """
     actions = sorted({a for s in specs for a in s.actions})
     rows = with_actions(log, actions)
@@ -563,11 +617,15 @@ def prepare_all(
     for target in dict.fromkeys(s.target for s in bound):
         keys = ENTITY_KEYS[target]
         known = pairs.select(*keys).distinct().withColumn(_scope(target), F.lit(True))
-        rows = lookup(rows, known, keys).fillna(False, [_scope(target)])
+        if target == "user_id":
+            profile = lookup(profile, known, keys).fillna(False, [_scope(target)])
+        else:
+            rows = lookup(rows, known, keys).fillna(False, [_scope(target)])
+    whole = FeatureSpec("all", "user_seller", tuple(actions), ())
+    rows = prepare(whole, rows, None, profile, calendar, day)
     if len(bound) == len(specs) and bound:
         rows = rows.where(reduce(lambda a, b: a | b, [_looked_at(s, True) for s in bound]))
-    whole = FeatureSpec("all", "user_seller", tuple(actions), ())
-    return prepare(whole, rows, None, profile, calendar, day)
+    return rows
 
 
 def _looked_at(spec: FeatureSpec, restricted: bool) -> Column:
@@ -592,7 +650,7 @@ def synthesize_all(
     that look at the same rows (one target entity, the same actions, all restricted to
     ``pairs`` or all not) then share every count: their cells, days and parents are the union of
     what each asks for, and each count is taken under the conditions of any in one
-    aggregate. Others share no count, and a row or a target would carry the columns of
+    aggregate; their rows are written for them if they are read more than once. Others share no count, and a row or a target would carry the columns of
     specs that don't look at it. The wide frames, ``side_by_side`` at a time, are written,
     too, and their columns are dealt back to the specs, so reading the result of one spec
     doesn't compute the others again.
@@ -605,6 +663,8 @@ def synthesize_all(
     restricted = {s.name: pairs is not None and s.name not in unrestricted for s in specs}
     parts = [Part(s, f"{s.name}__") for s in specs]
     flags = {_scope(s.target) for s in specs if restricted[s.name]}
+    if flags:
+        pairs = write_out(pairs.select(*ENTITY_KEYS["user_seller"]).distinct(), "pairs")
     rows = prepare_all(specs, log, pairs, profile, calendar, day, unrestricted)
     needed = _needed(parts, ["action_type", *flags])
     rows = write_out(rows.select(*[c for c in rows.columns if c in needed]), "prepared")
@@ -615,7 +675,11 @@ def synthesize_all(
 
     def wide(some: list[Part]) -> DataFrame:
         first = some[0].spec
-        return write_out(_together(some, rows.where(_looked_at(first, restricted[first.name]))), "synthesized")
+        picked = rows.where(_looked_at(first, restricted[first.name]))
+        if _passes(some) > 1:
+            looked_at = _needed(some)
+            picked = write_out(picked.select(*[c for c in rows.columns if c in looked_at]), "picked")
+        return write_out(_together(some, picked), "synthesized")
 
     with ThreadPoolExecutor(side_by_side) as pool:
         started = [(some, pool.submit(inheritable_thread_target(rows.sparkSession)(wide), some)) for some in groups.values()]

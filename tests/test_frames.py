@@ -397,3 +397,31 @@ def test_quantiles_of_heavy_tails_by_narrowing(spark):
         for name, want in (("t", tail), ("i", ties), ("m", some), ("one", np.full(n, 7.0))):
             assert np.allclose(got[name], np.quantile(want, asked), rtol=1e-12), (name, accuracy)
         assert got["no ne"] == [None] * len(asked)
+
+
+def test_stacked_features_of_all_parents_in_one_aggregate(spark, loyal):
+    """Parents meet the rows and are folded once; a null parent or target key and folds of one's own count as in a frame for each parent."""
+    odd = [(1, 10, None, 1, 1, 1003, 2), (1, 10, None, 1, 1, 1004, 2), (2, 12, 1, None, 2, 1003, 2), (2, None, 2, 5, None, 1111, 2)]
+    profile = spark.createDataFrame([(1, 3, 0), (2, 1, 1)], schemas.USER_INFO)
+    spec = syn.FeatureSpec(
+        "odd", "user_seller", (2,), ("count", "mean", "std", "max", "median", "trend"), 3, {"before_pro": (True, False)},
+        extra_parents=("item_id", "cat_id"),
+    )
+    rows = syn.prepare(spec, loyal.unionByName(log_of(spark, odd)), None, profile, CAL)
+    got = syn._stacked_by_rows([syn.Part(spec)], rows)
+    logical = got._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Aggregate [") == 1
+    want = [rows.groupBy(*spec.keys).agg(*syn._case_counts([syn.Part(spec)]))]
+    want += [syn._stacked([syn.Part(spec)], rows, p) for p in spec.parents]
+    joined = want[0].join(want[1], spec.keys, "left").join(want[2], spec.keys, "left")
+    names = [c for c in syn.plan_features(spec) if c.split("_")[0] != "daily" and not c.startswith("count")]
+    ordered = [sorted(map(str, df.select(*spec.keys, *names).collect())) for df in (got, joined)]
+    assert ordered[0] == ordered[1]
+    syn.register_fold("met", lambda value, n, seen: F.count_if(seen), stacked=True)
+    try:
+        own = syn.FeatureSpec("own", "user_id", (2,), ("count", "met"), 3)
+        users = syn.synthesize(own, syn.prepare(own, loyal, None, profile, CAL)).select("user_id", "met_seller_id_count")
+        sellers = loyal.where("action_type = 2").groupBy("user_id").agg(F.countDistinct("seller_id"))
+        assert rows_of(users) == rows_of(sellers)
+    finally:
+        syn.STACKED_FOLDS.pop("met")
