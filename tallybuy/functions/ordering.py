@@ -9,6 +9,7 @@ before it is one row per slice and key that crosses the slice border.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -116,71 +117,77 @@ def exact_quantiles(
 def _narrowed_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int
 ) -> dict[str, list[float | None]]:
-    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    # One row for each cell: an aggregate by column stays small for any number of columns.
+    cells = F.posexplode(F.array(*[F.col(f"`{c}`").cast("double") for c in columns])).alias("i", "v")
+    values = df.select(cells)
     # Twice the share that a sketch may be off, to each side; the outermost bounds are exact.
     reach = 2.0 / accuracy
     asked = [min(max(q, 0.0), 1.0) for p in probabilities for q in (p - reach, p + reach)]
-    facts = values.agg(
-        *[
-            e.alias(f"{name}{i}")
-            for i in range(len(columns))
-            for name, e in (
-                ("n", F.count(f"v{i}")),
-                ("low", F.min(f"v{i}")),
-                ("high", F.max(f"v{i}")),
-                ("q", F.percentile_approx(f"v{i}", asked, accuracy)),
-            )
-        ]
-    ).first()
-    sizes = [facts[f"n{i}"] for i in range(len(columns))]
+    found = values.groupBy("i").agg(
+        F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"),
+        F.percentile_approx("v", asked, accuracy).alias("q"),
+    ).collect()
+    facts = {r["i"]: r for r in found if r["n"]}
     bands, targets = [], []
-    for i, n in enumerate(sizes):
-        for k, p in enumerate(probabilities if n else []):
-            rank = p * (n - 1)
-            low, high = facts[f"q{i}"][2 * k : 2 * k + 2]
-            low = facts[f"low{i}"] if asked[2 * k] == 0.0 else low
-            high = facts[f"high{i}"] if asked[2 * k + 1] == 1.0 else high
+    for i in sorted(facts):
+        fact = facts[i]
+        for k, p in enumerate(probabilities):
+            rank = p * (fact["n"] - 1)
+            low, high = fact["q"][2 * k : 2 * k + 2]
+            low = fact["low"] if asked[2 * k] == 0.0 else low
+            high = fact["high"] if asked[2 * k + 1] == 1.0 else high
             bands.append((i, low, high))
-            targets.append((int(rank), min(int(rank) + 1, n - 1), rank - int(rank)))
+            targets.append((int(rank), min(int(rank) + 1, fact["n"] - 1), rank - int(rank)))
     if bands:
-        bands = _sound_bands(values, bands, targets, facts)
-    spans = _values_of_ranks(values, bands, targets)
-    out: dict[str, list[float | None]] = {}
-    band = iter(range(len(bands)))
-    for i, c in enumerate(columns):
-        out[c] = [None] * len(probabilities)
-        for k in range(len(probabilities) if sizes[i] else 0):
-            b = next(band)
-            lo, hi, share = targets[b]
-            out[c][k] = spans[b, lo] * (1.0 - share) + spans[b, hi] * share
+        bands = _sound_bands(values, bands, targets, facts, len(probabilities))
+    spans = _values_of_ranks(values, bands, targets, len(probabilities))
+    out: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    for b, ((i, *_), (lo, hi, share)) in enumerate(zip(bands, targets)):
+        out[columns[i]][b % len(probabilities)] = spans[b, lo] * (1.0 - share) + spans[b, hi] * share
     return out
 
 
-def _sound_bands(values: DataFrame, bands: list, targets: list, facts) -> list[tuple[int, float, float, int]]:
-    """Bands with the number of values below each; one that misses its ranks is opened."""
-    counts = values.agg(
-        *[F.count_if(F.col(f"v{i}") < low).alias(f"below{b}") for b, (i, low, _) in enumerate(bands)],
-        *[F.count_if(F.col(f"v{i}") <= high).alias(f"upto{b}") for b, (i, _, high) in enumerate(bands)],
-    ).first()
+def _by_column(found: Sequence[tuple[int, float | int]], kind: str) -> Column:
+    """The number that goes with the column of a cell; NULL for a column without one."""
+    numbers = dict(found)
+    return F.get(F.array(*[F.lit(numbers.get(i)).cast(kind) for i in range(max(numbers) + 1)]), F.col("i"))
+
+
+def _sound_bands(
+    values: DataFrame, bands: list, targets: list, facts: Mapping, width: int
+) -> list[tuple[int, float, float, int]]:
+    """Bands with the number of values below each; one that misses its ranks is opened.
+
+    Each column has ``width`` bands, one after the other.
+    """
+    lows = [_by_column([(i, low) for i, low, _ in bands[k::width]], "double") for k in range(width)]
+    highs = [_by_column([(i, high) for i, _, high in bands[k::width]], "double") for k in range(width)]
+    below = F.array(*[F.count_if(F.col("v") < low) for low in lows]).alias("below")
+    upto = F.array(*[F.count_if(F.col("v") <= high) for high in highs]).alias("upto")
+    counts = {r["i"]: r for r in values.groupBy("i").agg(below, upto).collect()}
     out = []
     for b, ((i, low, high), (first, last, _)) in enumerate(zip(bands, targets)):
-        below = counts[f"below{b}"]
-        if not below <= first <= last < counts[f"upto{b}"]:
-            low, high, below = facts[f"low{i}"], facts[f"high{i}"], 0
-        out.append((i, low, high, below))
+        less = counts[i]["below"][b % width]
+        if not less <= first <= last < counts[i]["upto"][b % width]:
+            low, high, less = facts[i]["low"], facts[i]["high"], 0
+        out.append((i, low, high, less))
     return out
 
 
-def _values_of_ranks(values: DataFrame, bands: list, targets: list) -> dict[tuple[int, int], float]:
+def _values_of_ranks(values: DataFrame, bands: list, targets: list, width: int) -> dict[tuple[int, int], float]:
     """The value of each target rank, by band and rank."""
     if not bands:
         return {}
-    inside = [
-        F.when(F.col(f"v{i}").between(low, high), F.struct(F.lit(b).alias("band"), F.col(f"v{i}").alias("value")))
-        for b, (i, low, high, _) in enumerate(bands)
-    ]
+    inside = []
+    for k in range(width):
+        low = _by_column([(i, low) for i, low, _, _ in bands[k::width]], "double")
+        high = _by_column([(i, high) for i, _, high, _ in bands[k::width]], "double")
+        inside.append((F.col("v").between(low, high), _by_column([(band[0], k + width * at) for at, band in enumerate(bands[k::width])], "int")))
+    hits = [F.when(here, F.struct(band.alias("band"), F.col("v").alias("value"))) for here, band in inside]
     counts = (
-        values.select(F.explode(F.array_compact(F.array(*inside))).alias("cell"))
+        values.where(reduce(lambda a, b: a | b, [here for here, _ in inside]))
+        .select(F.explode(F.array(*hits)).alias("cell"))
+        .where(F.col("cell").isNotNull())
         .groupBy("cell.band", "cell.value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

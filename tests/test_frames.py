@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 from tallybuy import schemas
@@ -425,3 +426,13 @@ def test_stacked_features_of_all_parents_in_one_aggregate(spark, loyal):
         assert rows_of(users) == rows_of(sellers)
     finally:
         syn.STACKED_FOLDS.pop("met")
+
+
+def test_quantiles_take_all_columns_by_one_small_aggregate(spark, monkeypatch):
+    """Aggregates don't grow with the columns: no row runs through an expression for each column."""
+    df = spark.createDataFrame([(float(i), float(-i), float(i % 7)) for i in range(500)], "a double, b double, c double")
+    plans, agg = [], GroupedData.agg
+    monkeypatch.setattr(GroupedData, "agg", lambda self, *e: (plans.append(len(e)), agg(self, *e))[1])
+    got = exact_quantiles(df, ["a", "b", "c"], [0.0, 0.5])
+    assert got == {"a": [0.0, 249.5], "b": [-499.0, -249.5], "c": [0.0, 3.0]}
+    assert len(plans) >= 3 and max(plans) <= 4
