@@ -156,6 +156,20 @@ def logistic(max_iter: int = 5000, seed: int = 0, **params) -> LogisticRegressio
     )
 
 
+#: Numbers that one task sums up in a pass of the linear model: some 30 ms of work.
+_NUMBERS_A_TASK = 4_000_000
+
+
+def for_short_passes(vectors: DataFrame, width: int) -> DataFrame:
+    """``vectors`` in no more partitions than their size is worth; all rows stay, none is moved.
+
+    The linear model may pass over its rows thousands of times. Up to five
+    partitions are also summed up without a second stage in each pass.
+    """
+    tasks = -(-vectors.count() * width // _NUMBERS_A_TASK)
+    return vectors.coalesce(max(tasks, 1))
+
+
 @dataclass(frozen=True)
 class ModelKind:
     """How one family of models prepares its rows and builds its estimator."""
@@ -163,12 +177,14 @@ class ModelKind:
     estimator: Callable
     weigh: Callable[[DataFrame], DataFrame] | None = None
     scale: bool = False
+    # Passes so short that on small tables their tasks take longer to start than to run.
+    short_passes: bool = False
 
 
 MODEL_KINDS: dict[int, ModelKind] = {
     0: ModelKind(histogram_trees),
     1: ModelKind(sampled_trees),
-    2: ModelKind(logistic, weigh=balanced_weights, scale=True),
+    2: ModelKind(logistic, weigh=balanced_weights, scale=True, short_passes=True),
     3: ModelKind(weighted_trees, weigh=class_weights),
 }
 
@@ -206,7 +222,7 @@ def fit_model(rows: DataFrame, kind: int = 0, seed: int = 0, **params) -> Pipeli
         last = fit_with_patience(estimator, vectors, checked, patience)
     else:
         _keep_lineage_short(ready.sparkSession)
-        last = estimator.fit(vectors)
+        last = estimator.fit(for_short_passes(vectors, len(columns)) if family.short_passes else vectors)
     return PipelineModel([*prepare.stages, last])
 
 

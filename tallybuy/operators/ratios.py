@@ -100,21 +100,32 @@ def repeat_counts(buys: DataFrame, key: str, other: str) -> DataFrame:
     )
 
 
-def entity_ratios(
+def counts_met(
     log: DataFrame, key: str, other: str, calendar: PromoCalendar, strict_names: bool = True
 ) -> DataFrame:
-    """Ratio table of an entity with its loyalty and repeat features.
+    """Counts per entity and counterparty bought from; the entity's other actions in one row.
 
-    The log is read once: counts per (entity, counterparty) first, then both
-    the plain sums and the counterparty features from those.
+    Only buys tell counterparties apart. Most pairs meet once, so counts of all of
+    them would be as many rows as the log has.
     """
     promo = calendar.is_promo(F.col("time_stamp"))
     buy = F.col("action_type") == schemas.BUY
-    met = log.groupBy(key, other).agg(
+    return log.groupBy(key, buy.alias("_buy"), F.when(buy, F.col(other)).alias("_other")).agg(
         *_named(count_expressions(calendar, strict_names)),
         F.count_if(buy & promo).alias("_promo_buys"),
         F.count_if(buy & ~promo).alias("_other_buys"),
     )
+
+
+def entity_ratios(
+    log: DataFrame, key: str, other: str, calendar: PromoCalendar, strict_names: bool = True
+) -> DataFrame:
+    """Ratio table of an entity with its loyalty and repeat features.
+
+    The log is read once: see :func:`counts_met` for its first step; then both
+    the plain sums and the counterparty features come from those counts.
+    """
+    met = counts_met(log, key, other, calendar, strict_names)
     on_promo, off = F.col("_promo_buys") > 0, F.col("_other_buys") > 0
     totals = met.groupBy(key).agg(
         *[F.sum(c).alias(c) for c in COUNTS],

@@ -13,6 +13,7 @@ from tallybuy.functions.columns import PromoCalendar, date_of, month_of
 from tallybuy.functions.ordering import exact_quantiles, positions, previous_value, running_totals
 from tallybuy.operators import assembly, blend, keys, population, profiles, ratios, scaling, selection
 from tallybuy.operators import synthesis as syn
+from tallybuy.sources.fixtures import Fixtures
 
 CAL = PromoCalendar()
 
@@ -436,3 +437,30 @@ def test_quantiles_take_all_columns_by_one_small_aggregate(spark, monkeypatch):
     got = exact_quantiles(df, ["a", "b", "c"], [0.0, 0.5])
     assert got == {"a": [0.0, 249.5], "b": [-499.0, -249.5], "c": [0.0, 3.0]}
     assert len(plans) >= 3 and max(plans) <= 4
+
+
+def test_only_buys_are_counted_by_counterparty(spark):
+    """An entity's other actions are one row before they are shuffled, however many counterparties they have."""
+    rows = [(1, 10 + i, 1, i, 1, 1001 if i % 2 else 1111, i % 2) for i in range(20)]
+    rows += [(1, 5, 1, 3, 1, 1111, 2), (1, 5, 1, 3, 1, 1001, 2), (1, None, 1, 4, 1, 1111, 2), (1, 6, 1, None, 1, 1001, 2), (1, 7, 1, 9, 1, None, None)]
+    log = log_of(spark, rows + [(2, *r[1:]) for r in rows[:3]])
+    met = ratios.counts_met(log, "user_id", "seller_id", CAL)
+    assert rows_of(met.groupBy("user_id").agg(F.count_if("_buy"), F.count_if(~F.coalesce("_buy", F.lit(False))))) == [(1, 3, 2), (2, 0, 1)]
+    got = ratios.entity_ratios(log, "user_id", "seller_id", CAL)
+    assert rows_of(got.select("user_id", *ratios.COUNTS)) == rows_of(ratios.action_counts(log, ["user_id"], CAL).select("user_id", *ratios.COUNTS))
+    assert rows_of(got.select("user_id", "old_buy_count_on_de", "all_x_on_de", "more_than_once_number", "all_x_count")) == [(1, 1, 2, 1, 3), (2, 0, 0, 0, 0)]
+
+
+def test_pairs_group_only_rows_that_tell_of_a_pair(spark):
+    """Past actions other than promotion buys are most of a log; they are left out before the groups, not after."""
+    past, later = datetime.date(1999, 11, 11), datetime.date(2001, 1, 1)
+    rows = [
+        (1, 1, 1111, 2, past), (1, 1, 1111, 0, later), (1, 2, 1111, 2, past), (1, 2, 1001, 2, past), (1, 2, None, 2, None),
+        (2, 1, 1111, 0, past), (2, 1, 1111, 2, later), (2, 2, 1111, None, past), (3, 3, None, 2, None),
+    ]
+    fx = Fixtures(spark, "nowhere")
+    fx._log_all = spark.createDataFrame(rows, "user_id bigint, seller_id bigint, time_stamp int, action_type int, event_date date")
+    pairs = fx.pairs()
+    assert rows_of(pairs.select("user_id", "seller_id", "label")) == [(1, 1, 1), (1, 2, 0)]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Filter") > plan.rindex("Aggregate")

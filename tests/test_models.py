@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from tallybuy.operators import models, scaling
@@ -242,3 +243,16 @@ def test_covariances_are_those_of_numpy(spark, monkeypatch):
         i, j = "abc".index(later), "abc".index(earlier)
         assert found == pytest.approx((want[i, j], np.sqrt(want[i, i] * want[j, j])), abs=1e-9)
     assert [r.covariance for r in optimality.component_covariances(df.limit(1), ["a", "b"]).collect()] == [None]
+
+
+def test_linear_model_starts_no_more_tasks_than_its_rows_are_worth(rows, monkeypatch):
+    """Its passes are many and short: on few rows one task does each of them, on more rows more tasks do."""
+    seen, fit = [], LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, df, *a: (seen.append((df.rdd.getNumPartitions(), df.count())), fit(self, df, *a))[1])
+    spread = rows.repartition(8, "user_id", "seller_id")
+    n = rows.where("part = 'train'").count()
+    models.fit_model(spread, 2, max_iter=3)
+    monkeypatch.setattr(models, "_NUMBERS_A_TASK", n)
+    models.fit_model(spread, 2, max_iter=3)
+    assert seen[0] == (1, n) and seen[1][1] == n
+    assert 1 < seen[1][0] <= len(models.feature_columns(rows))
