@@ -163,8 +163,8 @@ _NUMBERS_A_TASK = 4_000_000
 def for_short_passes(vectors: DataFrame, width: int) -> DataFrame:
     """``vectors`` in no more partitions than their size is worth; all rows stay, none is moved.
 
-    The linear model may pass over its rows thousands of times. Up to five
-    partitions are also summed up without a second stage in each pass.
+    The linear model may pass over its rows thousands of times. The sums of a
+    pass also take fewer stages from fewer partitions.
     """
     tasks = -(-vectors.count() * width // _NUMBERS_A_TASK)
     return vectors.coalesce(max(tasks, 1))
