@@ -186,11 +186,11 @@ def _random_search(fx):
 
 @query("best_of_search")
 def _best_of_search(fx):
-    """The best setting of ``cv_search``, fitted and scored; where that search was run before, its results are taken up."""
+    """The best of all fifteen drawn settings, fitted and scored; where that search was run before, its results are taken up."""
     fx = fx.stored()
     rows = _features(fx)
     marked = training_rows(rows, fx.labelled(), keep=0.5)
-    model, _, area = models.best_by_search(marked, models.STAGED_SPACE, 2, 4, 50, **_SEARCH)
+    model, _, area = models.best_by_search(marked, models.STAGED_SPACE, 15, 4, 50)
     return models.pair_scores(model, rows_to_score(rows, fx.unlabelled())).withColumn("search_auc", F.lit(area))
 
 

@@ -256,3 +256,46 @@ def test_linear_model_starts_no_more_tasks_than_its_rows_are_worth(rows, monkeyp
     models.fit_model(spread, 2, max_iter=3)
     assert seen[0] == (1, n) and seen[1][1] == n
     assert 1 < seen[1][0] <= len(models.feature_columns(rows))
+
+
+class _Asked(Exception):
+    """Ends a query once it has asked for its fits."""
+
+
+def _asked(monkeypatch, name):
+    """What a call of ``models.<name>`` is given, defaults included, in a dictionary that it fills."""
+    import inspect
+
+    given, signature = {}, inspect.signature(getattr(models, name))
+
+    def ask(*args, **kw):
+        bound = signature.bind(*args, **kw)
+        bound.apply_defaults()
+        given.update(bound.arguments)
+        raise _Asked
+
+    monkeypatch.setattr(models, name, ask)
+    return given
+
+
+class _Tables:
+    """Stands in for the tables of a query whose rows are given."""
+
+    def stored(self):
+        return self
+
+    def labelled(self):
+        return None
+
+
+def test_best_of_search_is_a_whole_search(rows, monkeypatch):
+    """Fifteen settings, four folds, 5,000 rounds and a patience of 40."""
+    from tallybuy.plans import models as plans
+
+    monkeypatch.setattr(plans, "_features", lambda fx: rows)
+    monkeypatch.setattr(plans, "training_rows", lambda rows, labelled, keep: rows)
+    given = _asked(monkeypatch, "cross_validate")
+    with pytest.raises(_Asked):
+        plans._best_of_search(_Tables())
+    assert (len(given["settings"]), given["n_folds"], given["max_iter"], given["patience"]) == (15, 4, 5000, 40)
+    assert given["rows"].count() == rows.count()
