@@ -299,3 +299,21 @@ def test_best_of_search_is_a_whole_search(rows, monkeypatch):
         plans._best_of_search(_Tables())
     assert (len(given["settings"]), given["n_folds"], given["max_iter"], given["patience"]) == (15, 4, 5000, 40)
     assert given["rows"].count() == rows.count()
+
+
+def test_important_features_makes_all_its_runs(rows, monkeypatch):
+    """Six runs of up to 1,000 rounds with a patience of 100."""
+    from tallybuy.plans import models as plans
+
+    monkeypatch.setattr(plans, "_labelled_features", lambda fx: rows)
+    given = _asked(monkeypatch, "tree_importances")
+    with pytest.raises(_Asked):
+        plans._important_features(_Tables())
+    assert (given["n_runs"], given["max_iter"], given["patience"]) == (6, 1000, 100)
+
+
+def test_runs_side_by_side_add_up_to_the_same(rows):
+    """The mean over seeds doesn't depend on how many fits run at a time."""
+    given = rows, ["good", "noise"], "label", "classification", 3
+    alone = models.tree_importances(*given, max_iter=3, side_by_side=1)
+    assert models.tree_importances(*given, max_iter=3) == pytest.approx(alone, abs=1e-12)
