@@ -317,3 +317,15 @@ def test_runs_side_by_side_add_up_to_the_same(rows):
     given = rows, ["good", "noise"], "label", "classification", 3
     alone = models.tree_importances(*given, max_iter=3, side_by_side=1)
     assert models.tree_importances(*given, max_iter=3) == pytest.approx(alone, abs=1e-12)
+
+
+def test_random_search_is_a_whole_search(rows, monkeypatch):
+    """Ten settings, five folds and a patience of 40; rounds are drawn."""
+    from tallybuy.plans import models as plans
+
+    monkeypatch.setattr(plans, "_labelled_features", lambda fx: rows)
+    given = _asked(monkeypatch, "cross_validate")
+    with pytest.raises(_Asked):
+        plans._random_search(_Tables())
+    assert (len(given["settings"]), given["n_folds"], given["patience"]) == (10, 5, 40)
+    assert all(20 <= s["maxIter"] < 200 for s in given["settings"])
